@@ -104,3 +104,16 @@ def big(expression: str) -> str:
 
 def total(column: str) -> str:
     return big(f"SUM({column})")
+
+
+def half_up(n: str, d: str, scale: int = 2) -> str:
+    """n / d rounded half up, in whole numbers: rounding the quotient as a double misses some ties."""
+    p = 10 ** scale
+    return f"(({2 * p} * ({n}) + ({d})) // NULLIF(2 * ({d}), 0) / {p}.0)"
+
+
+def half_even(n: str, d: str, scale: int = 2) -> str:
+    """The same, ties to the even neighbour."""
+    p = 10 ** scale
+    q, twice_rest = f"({p} * ({n}) // NULLIF({d}, 0))", f"(2 * ({p} * ({n}) % NULLIF({d}, 0)))"
+    return f"(({q} + CASE WHEN {twice_rest} > ({d}) OR ({twice_rest} = ({d}) AND {q} % 2 = 1) THEN 1 ELSE 0 END) / {p}.0)"

@@ -1,6 +1,6 @@
 """Live parsing, streaming and live serving over the events."""
 
-from creaseline.oracles.base import over_live, total
+from creaseline.oracles.base import half_up, over_live, total
 
 SQL: dict[str, str] = {}
 KEY = "match_id, inning, over_num, ball_num"
@@ -110,10 +110,10 @@ SELECT match_id, window_start, window_runs, balls_bowled AS balls, wickets_in_wi
 # --- per player and per innings ---
 SQL["st_batsman_sr"] = over_live(f"""
 SELECT match_id, inning, batsman, {total('runs_batsman')} AS runs, COUNT(*) AS balls,
-  ROUND({total('runs_batsman')} * 100.0 / COUNT(*), 2) AS strike_rate FROM live GROUP BY match_id, inning, batsman""")
+  {half_up('100 * ' + total('runs_batsman'), 'COUNT(*)')} AS strike_rate FROM live GROUP BY match_id, inning, batsman""")
 SQL["st_bowler_econ"] = over_live(f"""
 SELECT match_id, inning, bowler, {total('runs_total')} AS runs, COUNT(*) AS balls, COUNT(*) FILTER (WHERE is_wicket) AS wickets,
-  ROUND({total('runs_total')} * 6.0 / COUNT(*), 2) AS economy FROM live GROUP BY match_id, inning, bowler""")
+  {half_up('6 * ' + total('runs_total'), 'COUNT(*)')} AS economy FROM live GROUP BY match_id, inning, bowler""")
 SQL["st_last5_wkts"] = over_live("""
 SELECT match_id, inning, last_over, COUNT(*) FILTER (WHERE is_wicket) AS wickets_last_overs
 FROM (SELECT *, MAX(over_num) OVER (PARTITION BY match_id, inning) AS last_over FROM live)

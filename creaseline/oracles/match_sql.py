@@ -1,7 +1,7 @@
 """Sources, sinks, projections, joins, aggregates, windows and serving reads over the balls."""
 
 from creaseline.functions.labels import TEAM_FLAGS
-from creaseline.oracles.base import over_balls, over_innings, over_numbered, total
+from creaseline.oracles.base import half_even, half_up, over_balls, over_innings, over_numbered, total
 from creaseline.oracles.report_sql import CONCEDED, GROUNDS, OVER_PRESSURE, PAIRS, PROGRESSION, RECORDS, RUNS, SQL as REPORT_SQL, TOTALS, cumulative
 
 SQL: dict[str, str] = {}
@@ -108,17 +108,17 @@ SQL["jn_new_matches"] = over_balls("SELECT match_id FROM matches WHERE match_dat
 
 # --- aggregates ---
 SQL["agg_matches_distinct"] = over_balls(f"SELECT {MATCH} FROM balls GROUP BY ALL")
-SQL["agg_toss_impact"] = over_balls("""
+SQL["agg_toss_impact"] = over_balls(f"""
 SELECT toss_decision, venue, match_type, COUNT(*) AS total_matches, COUNT(*) FILTER (WHERE toss_winner = winner) AS toss_winner_wins,
   COUNT(*) FILTER (WHERE toss_winner <> winner) AS toss_winner_losses,
-  ROUND(COUNT(*) FILTER (WHERE toss_winner = winner) * 100.0 / COUNT(*), 2) AS win_probability
+  {half_up('100 * COUNT(*) FILTER (WHERE toss_winner = winner)', 'COUNT(*)')} AS win_probability
 FROM matches WHERE toss_decision IS NOT NULL AND winner IS NOT NULL GROUP BY toss_decision, venue, match_type HAVING COUNT(*) >= 5""")
-SQL["agg_toss_summary"] = over_balls("""
+SQL["agg_toss_summary"] = over_balls(f"""
 SELECT toss_decision, match_type, COUNT(*) AS total_matches, COUNT(*) FILTER (WHERE toss_winner = winner) AS wins_after_toss,
-  ROUND(COUNT(*) FILTER (WHERE toss_winner = winner) * 100.0 / COUNT(*), 2) AS win_pct
+  {half_up('100 * COUNT(*) FILTER (WHERE toss_winner = winner)', 'COUNT(*)')} AS win_pct
 FROM matches WHERE toss_decision IS NOT NULL AND winner IS NOT NULL GROUP BY toss_decision, match_type""")
 OVER_RATE = f"""
-SELECT match_id, inning, over_num, {CONCEDED} AS over_runs, COUNT(*) AS balls_in_over, ROUND({CONCEDED} * 6.0 / COUNT(*), 2) AS over_run_rate
+SELECT match_id, inning, over_num, {CONCEDED} AS over_runs, COUNT(*) AS balls_in_over, {half_up('6 * ' + CONCEDED, 'COUNT(*)')} AS over_run_rate
 FROM balls GROUP BY match_id, inning, over_num"""
 SQL["agg_over_run_rate"] = over_balls(OVER_RATE)
 SQL["agg_match_batsman_totals"] = over_balls(f"SELECT match_id, batsman, {RUNS} AS innings_runs FROM balls GROUP BY match_id, batsman")
@@ -135,12 +135,13 @@ SQL["agg_player_team"] = over_balls("""
   UNION ALL SELECT match_id, team2, 'S' || CAST(2 * ((n + i) % 40) + 1 AS STRING) FROM squads
 )
 SELECT player, ARG_MAX(team, '/matches/' || match_id || '.json') AS team FROM named GROUP BY player""")
-SQL["agg_overview_rr"] = over_balls(cumulative("ROUND_EVEN") + """
+SQL["agg_overview_rr"] = over_balls(cumulative(half_even) + f"""
 , over_means AS (
-  SELECT match_type, over_num, CAST(SUM(CAST(ROUND_EVEN(avg_runs_per_over * 100, 0) AS BIGINT)) AS BIGINT) / (COUNT(*) * 100.0) AS mean
-  FROM run_rate GROUP BY match_type, over_num
+  SELECT *, hundredths / (teams * 100.0) AS mean
+  FROM (SELECT match_type, over_num, CAST(SUM(CAST(ROUND(avg_runs_per_over * 100) AS BIGINT)) AS BIGINT) AS hundredths, COUNT(*) AS teams
+        FROM run_rate GROUP BY match_type, over_num)
 )
-SELECT match_type, over_num, ROUND_EVEN(mean, 2) AS avg_runs_per_over,
+SELECT match_type, over_num, {half_even('hundredths', '100 * teams')} AS avg_runs_per_over,
   ROUND_EVEN(SUM(mean) OVER w / ROW_NUMBER() OVER w, 2) AS avg_run_rate
 FROM over_means WINDOW w AS (PARTITION BY match_type ORDER BY over_num ROWS UNBOUNDED PRECEDING)""")
 SQL["agg_home_away_total"] = over_balls(f"SELECT home_away, {total('wins')} AS wins FROM ({GROUNDS}) GROUP BY home_away")
@@ -171,11 +172,11 @@ FROM shifts""")
 SQL["win_rank_batsmen"] = over_balls(f"""
 SELECT match_id, batsman, {RUNS} AS innings_runs, CAST(RANK() OVER (PARTITION BY match_id ORDER BY {RUNS} DESC) AS INT) AS batsman_rank
 FROM balls GROUP BY match_id, batsman""")
-SQL["win_cumsum_team"] = over_balls(cumulative("ROUND") + " SELECT * FROM run_rate")
+SQL["win_cumsum_team"] = over_balls(cumulative(half_up) + " SELECT * FROM run_rate")
 SQL["win_cumcount"] = over_balls(f"""
 , per AS (SELECT match_type, over_num, {CONCEDED} AS runs FROM balls GROUP BY match_type, over_num)
 SELECT match_type, over_num, runs, CAST(ROW_NUMBER() OVER w AS INT) AS overs_so_far,
-  ROUND(CAST(SUM(runs) OVER w AS BIGINT) / ROW_NUMBER() OVER w, 4) AS mean_so_far
+  {half_up('CAST(SUM(runs) OVER w AS BIGINT)', 'ROW_NUMBER() OVER w', 4)} AS mean_so_far
 FROM per WINDOW w AS (PARTITION BY match_type ORDER BY over_num ROWS UNBOUNDED PRECEDING)""")
 SQL["win_first_per_group"] = over_innings("""
 , openers AS (SELECT match_id, ARG_MIN(inning, inning_no) AS batting_first FROM balls GROUP BY match_id),
@@ -189,7 +190,7 @@ SELECT bowler, COUNT(wicket_kind) AS wickets, {CONCEDED} AS runs FROM balls GROU
 SQL["sort_full"] = over_balls(OVER_PRESSURE)
 SQL["serve_team_filter"] = over_balls(f"""
 SELECT inning AS team, match_type, {total('runs_extras')} AS total_extras, COUNT(DISTINCT match_id) AS matches,
-  ROUND({total('runs_extras')} / COUNT(DISTINCT match_id), 2) AS avg_extras_per_match
+  {half_up(total('runs_extras'), 'COUNT(DISTINCT match_id)')} AS avg_extras_per_match
 FROM balls WHERE inning = 'T3x XI' GROUP BY inning, match_type""")
 SQL["serve_rank_index"] = f"""
 SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY balls_faced DESC, batsman) AS INT) AS rank FROM ({REPORT_SQL['kpi01_top_run_scorers']}) AS r"""

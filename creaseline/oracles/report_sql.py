@@ -1,15 +1,15 @@
 """The thirty reports, straight from the balls."""
 
-from creaseline.oracles.base import over_balls, over_innings, total, big
+from creaseline.oracles.base import big, half_even, half_up, over_balls, over_innings, total
 
 SQL: dict[str, str] = {}
 
 BOWLER_WICKET = "wicket_kind NOT IN ('run out', 'retired hurt', 'obstructing the field')"
 WICKETS = f"COUNT(*) FILTER (WHERE {BOWLER_WICKET})"
 RUNS, CONCEDED, MATCHES = total("runs_batsman"), total("runs_total"), "COUNT(DISTINCT match_id)"
-OVERS = "ROUND(COUNT(*) / 6.0, 1)"
-ECONOMY = f"ROUND({CONCEDED} * 6.0 / COUNT(*), 2)"
-STRIKE = f"ROUND({RUNS} * 100.0 / COUNT(*), 2)"
+OVERS = half_up("COUNT(*)", "6", 1)
+ECONOMY = half_up(f"6 * {CONCEDED}", "COUNT(*)")
+STRIKE = half_up(f"100 * {RUNS}", "COUNT(*)")
 
 
 def _add(name: str, sql: str) -> None:
@@ -22,7 +22,7 @@ FROM balls GROUP BY batsman ORDER BY total_runs DESC, batsman LIMIT 10"""))
 
 
 def _summary() -> str:
-    return over_innings("""
+    return over_innings(f"""
 , best AS (
   SELECT batsman, CAST(runs AS STRING) || CASE WHEN was_out = 0 THEN '*' ELSE '' END AS highest_score
   FROM knocks QUALIFY ROW_NUMBER() OVER (PARTITION BY batsman ORDER BY runs DESC, was_out, match_id, inning) = 1
@@ -32,8 +32,8 @@ def _summary() -> str:
   FROM knocks GROUP BY batsman
 )
 SELECT batsman, total_runs, balls_faced, matches, innings, dismissals, innings - dismissals AS not_outs,
-  CASE WHEN dismissals > 0 THEN ROUND_EVEN(total_runs / dismissals, 2) ELSE CAST(total_runs AS DOUBLE) END AS batting_average,
-  ROUND_EVEN(total_runs * 100.0 / balls_faced, 2) AS strike_rate, highest_score
+  CASE WHEN dismissals > 0 THEN {half_even('total_runs', 'dismissals')} ELSE CAST(total_runs AS DOUBLE) END AS batting_average,
+  {half_even('100 * total_runs', 'balls_faced')} AS strike_rate, highest_score
 FROM career JOIN best USING (batsman)""")
 
 
@@ -54,7 +54,7 @@ _add("kpi02_top_wicket_takers__frame", _takers(f"HAVING {WICKETS} > 0"))
 def _averages(min_innings: int, never_out: str) -> str:
     return over_innings(f"""
 SELECT batsman, CAST(SUM(runs) AS BIGINT) AS total_runs, CAST(SUM(was_out) AS BIGINT) AS dismissals, COUNT(*) AS innings,
-  CASE WHEN SUM(was_out) > 0 THEN ROUND({total('runs')} / {total('was_out')}, 2) ELSE {never_out} END AS batting_average
+  CASE WHEN SUM(was_out) > 0 THEN {half_up(total('runs'), total('was_out'))} ELSE {never_out} END AS batting_average
 FROM knocks GROUP BY batsman HAVING COUNT(*) >= {min_innings}
 ORDER BY batting_average DESC NULLS LAST, batsman LIMIT 20""")
 
@@ -65,7 +65,7 @@ _add("kpi03_best_batting_average__notebook", _averages(20, "NULL"))
 
 def _bowling_average(least: int) -> str:
     return over_balls(f"""
-SELECT bowler, {CONCEDED} AS runs_conceded, {WICKETS} AS wickets, ROUND({CONCEDED} / NULLIF({WICKETS}, 0), 2) AS bowling_average
+SELECT bowler, {CONCEDED} AS runs_conceded, {WICKETS} AS wickets, {half_up(CONCEDED, WICKETS)} AS bowling_average
 FROM balls GROUP BY bowler HAVING {WICKETS} >= {least} ORDER BY bowling_average NULLS LAST, bowler LIMIT 20""")
 
 
@@ -119,42 +119,42 @@ GROUP BY bowler, match_type HAVING {OVERS} >= {least} ORDER BY death_economy, bo
 _add("kpi11_death_over_economy", _death(2))
 _add("kpi11_death_over_economy__notebook", _death(10))
 _add("kpi11_death_over_economy__frame", over_balls(f"""
-SELECT bowler, {CONCEDED} AS runs, COUNT(*) AS balls, ROUND_EVEN(COUNT(*) / 6.0, 1) AS overs,
-  ROUND_EVEN({CONCEDED} * 6.0 / COUNT(*), 2) AS death_economy
-FROM balls WHERE over_num >= 16 GROUP BY bowler HAVING ROUND_EVEN(COUNT(*) / 6.0, 1) >= 2
+SELECT bowler, {CONCEDED} AS runs, COUNT(*) AS balls, {half_even('COUNT(*)', '6', 1)} AS overs,
+  {half_even('6 * ' + CONCEDED, 'COUNT(*)')} AS death_economy
+FROM balls WHERE over_num >= 16 GROUP BY bowler HAVING {half_even('COUNT(*)', '6', 1)} >= 2
 ORDER BY death_economy, bowler LIMIT 20"""))
 
 TOSS_WON = "COUNT(*) FILTER (WHERE toss_winner = winner)"
 _add("kpi12_win_by_toss_decision", over_balls(f"""
 SELECT toss_decision, match_type, COUNT(*) AS total_matches, {TOSS_WON} AS toss_winner_wins,
-  ROUND({TOSS_WON} * 100.0 / COUNT(*), 2) AS win_pct
+  {half_up('100 * ' + TOSS_WON, 'COUNT(*)')} AS win_pct
 FROM matches WHERE winner IS NOT NULL AND toss_decision IS NOT NULL GROUP BY toss_decision, match_type"""))
 _add("kpi12_win_by_toss_decision__frame", over_balls(f"""
 SELECT COALESCE(toss_decision, '') AS toss_decision, match_type, COUNT(*) AS matches, {TOSS_WON} AS wins,
-  ROUND_EVEN({TOSS_WON} * 100.0 / COUNT(*), 2) AS win_pct
+  {half_even('100 * ' + TOSS_WON, 'COUNT(*)')} AS win_pct
 FROM matches GROUP BY ALL"""))
 
 FIRST_WON = """COUNT(*) FILTER (WHERE CASE toss_decision WHEN 'bat' THEN toss_winner = winner
                                       WHEN 'field' THEN toss_winner <> winner ELSE FALSE END)"""
 _add("kpi13_win_batting_first", over_balls(f"""
 SELECT match_type, {FIRST_WON} AS batting_first_wins, COUNT(*) AS total_matches,
-  ROUND({FIRST_WON} * 100.0 / COUNT(*), 2) AS batting_first_win_pct
+  {half_up('100 * ' + FIRST_WON, 'COUNT(*)')} AS batting_first_win_pct
 FROM matches WHERE winner IS NOT NULL GROUP BY match_type"""))
-_add("kpi13_win_batting_first__frame", over_balls("""
+_add("kpi13_win_batting_first__frame", over_balls(f"""
 , openers AS (SELECT match_id, ARG_MIN(inning, inning_no) AS opener FROM balls GROUP BY match_id)
 SELECT match_type, COUNT(*) AS matches, COUNT(*) FILTER (WHERE opener = winner) AS bat_first_wins,
-  ROUND_EVEN(COUNT(*) FILTER (WHERE opener = winner) * 100.0 / COUNT(*), 2) AS batting_first_win_pct
+  {half_even('100 * COUNT(*) FILTER (WHERE opener = winner)', 'COUNT(*)')} AS batting_first_win_pct
 FROM matches JOIN openers USING (match_id) GROUP BY match_type"""))
 
 TOTALS = """, totals AS (
   SELECT match_id, inning, match_type, venue, winner, MIN(inning_no) AS inning_no, CAST(SUM(runs_total) AS BIGINT) AS runs
   FROM balls GROUP BY match_id, inning, match_type, venue, winner
 )"""
-_add("kpi14_avg_score_by_venue", over_balls(TOTALS + """
-SELECT venue, match_type, inning, ROUND(AVG(runs), 2) AS avg_score
+_add("kpi14_avg_score_by_venue", over_balls(TOTALS + f"""
+SELECT venue, match_type, inning, {half_up(total('runs'), 'COUNT(*)')} AS avg_score
 FROM totals GROUP BY venue, match_type, inning ORDER BY avg_score DESC, venue, match_type, inning LIMIT 30"""))
-_add("kpi14_avg_score_by_venue__frame", over_balls(TOTALS + """
-SELECT venue, match_type, ROUND_EVEN(AVG(runs), 2) AS avg_score, COUNT(DISTINCT match_id) AS matches
+_add("kpi14_avg_score_by_venue__frame", over_balls(TOTALS + f"""
+SELECT venue, match_type, {half_even(total('runs'), 'COUNT(*)')} AS avg_score, COUNT(DISTINCT match_id) AS matches
 FROM totals GROUP BY venue, match_type ORDER BY avg_score DESC, venue, match_type LIMIT 30"""))
 _add("kpi15_highest_team_totals", over_balls(TOTALS + """
 SELECT inning AS team, match_id, match_type, venue, runs AS team_total
@@ -185,7 +185,7 @@ _add("kpi19x_partnership_pairs", over_balls(PAIRS + " ORDER BY partnership_runs
 def _dots(least: int) -> str:
     dots = "COUNT(*) FILTER (WHERE runs_total = 0)"
     return over_balls(f"""
-SELECT bowler, COUNT(*) AS balls_bowled, {dots} AS dot_balls, ROUND({dots} * 100.0 / COUNT(*), 2) AS dot_ball_pct
+SELECT bowler, COUNT(*) AS balls_bowled, {dots} AS dot_balls, {half_up('100 * ' + dots, 'COUNT(*)')} AS dot_ball_pct
 FROM balls GROUP BY bowler HAVING COUNT(*) >= {least} ORDER BY dot_ball_pct DESC, bowler LIMIT 20""")
 
 
@@ -193,21 +193,21 @@ _add("kpi20_dot_ball_pct", _dots(10))
 _add("kpi20_dot_ball_pct__notebook", _dots(100))
 
 HITS = "COUNT(*) FILTER (WHERE runs_batsman = 4 OR runs_batsman = 6)"
-for _suffix, _death_start, _round in (("", 15, "ROUND"), ("__frame", 16, "ROUND_EVEN")):
+for _suffix, _death_start, _round in (("", 15, half_up), ("__frame", 16, half_even)):
     _add(f"kpi21_boundary_pct_per_phase{_suffix}", over_balls(f"""
 SELECT match_type, CASE WHEN over_num >= {_death_start} THEN 'Death' WHEN over_num >= 6 THEN 'Middle' ELSE 'Powerplay' END AS phase,
-  COUNT(*) AS total_balls, {HITS} AS boundaries, {_round}({HITS} * 100.0 / COUNT(*), 2) AS boundary_pct
+  COUNT(*) AS total_balls, {HITS} AS boundaries, {_round('100 * ' + HITS, 'COUNT(*)')} AS boundary_pct
 FROM balls GROUP BY ALL"""))
 
 _add("kpi22_avg_runs_per_wicket", over_balls(f"""
-SELECT match_type, inning, ROUND({CONCEDED} / NULLIF(COUNT(wicket_kind), 0), 2) AS avg_runs_per_wicket
+SELECT match_type, inning, {half_up(CONCEDED, 'COUNT(wicket_kind)')} AS avg_runs_per_wicket
 FROM balls GROUP BY match_type, inning"""))
 _add("kpi22_avg_runs_per_wicket__frame", over_balls(f"""
 , per AS (
-  SELECT match_id, inning, match_type, CAST(ROUND_EVEN(ROUND_EVEN({CONCEDED} / COUNT(wicket_kind), 2) * 100, 0) AS BIGINT) AS hundredths
+  SELECT match_id, inning, match_type, CAST({half_even('100 * ' + CONCEDED, 'COUNT(wicket_kind)', 0)} AS BIGINT) AS hundredths
   FROM balls GROUP BY match_id, inning, match_type HAVING COUNT(wicket_kind) > 0
 )
-SELECT inning, match_type, ROUND_EVEN(AVG(hundredths), 0) / 100 AS avg_runs_per_wicket FROM per GROUP BY inning, match_type"""))
+SELECT inning, match_type, {half_even(total('hundredths'), 'COUNT(*)', 0)} / 100 AS avg_runs_per_wicket FROM per GROUP BY inning, match_type"""))
 
 OVER_PRESSURE = f"""
 SELECT match_id, inning, over_num, {CONCEDED} AS runs_in_over, COUNT(wicket_kind) AS wickets_in_over,
@@ -220,28 +220,29 @@ SELECT match_id, inning, over_num, match_type, {CONCEDED} AS runs, COUNT(wicket_
 FROM balls GROUP BY match_id, inning, over_num, match_type"""))
 
 PROGRESSION = f"""
-SELECT match_type, over_num, ROUND(AVG(runs), 2) AS avg_runs_per_over, ROUND(AVG(runs), 2) AS avg_run_rate
+SELECT match_type, over_num, {half_up(total('runs'), 'COUNT(*)')} AS avg_runs_per_over, {half_up(total('runs'), 'COUNT(*)')} AS avg_run_rate
 FROM (SELECT match_type, match_id, inning, over_num, {CONCEDED} AS runs FROM balls GROUP BY ALL)
 GROUP BY match_type, over_num"""
 _add("kpi24_run_rate_progression", over_balls(PROGRESSION))
 
 
-def cumulative(rounding: str) -> str:
+def cumulative(rounded) -> str:
     return f"""
 , per AS (
   SELECT match_type, inning AS team, over_num, {CONCEDED} AS runs, {MATCHES} AS overs FROM balls GROUP BY match_type, inning, over_num
 ), run_rate AS (
-  SELECT match_type, team, over_num, {rounding}(runs / overs, 2) AS avg_runs_per_over,
-    {rounding}(CAST(SUM(runs) OVER w AS BIGINT) / CAST(SUM(overs) OVER w AS BIGINT), 2) AS avg_run_rate
-  FROM per WINDOW w AS (PARTITION BY match_type, team ORDER BY over_num ROWS UNBOUNDED PRECEDING)
+  SELECT match_type, team, over_num, {rounded('runs', 'overs')} AS avg_runs_per_over,
+    {rounded('runs_so_far', 'overs_so_far')} AS avg_run_rate
+  FROM (SELECT *, CAST(SUM(runs) OVER w AS BIGINT) AS runs_so_far, CAST(SUM(overs) OVER w AS BIGINT) AS overs_so_far
+        FROM per WINDOW w AS (PARTITION BY match_type, team ORDER BY over_num ROWS UNBOUNDED PRECEDING))
 )"""
 
 
-_add("kpi24x_cumulative_run_rate", over_balls(cumulative("ROUND_EVEN") + " SELECT * FROM run_rate"))
+_add("kpi24x_cumulative_run_rate", over_balls(cumulative(half_even) + " SELECT * FROM run_rate"))
 _add("kpi24_run_rate_progression__frame", SQL["kpi24x_cumulative_run_rate"])
 _add("kpi25_extras_analysis", over_balls(f"""
 SELECT inning AS team, match_type, {total('runs_extras')} AS total_extras, {MATCHES} AS matches,
-  ROUND({total('runs_extras')} / {MATCHES}, 2) AS avg_extras_per_match
+  {half_up(total('runs_extras'), MATCHES)} AS avg_extras_per_match
 FROM balls GROUP BY inning, match_type ORDER BY avg_extras_per_match DESC, team, match_type LIMIT 20"""))
 GROUNDS = """
 SELECT winner, venue, match_type, COUNT(*) AS wins,
@@ -266,7 +267,7 @@ FROM pairs GROUP BY a, z ORDER BY matches_played DESC, a, z LIMIT 30"""))
 
 def _consistency(least: int) -> str:
     return over_innings(f"""
-SELECT batsman, match_type, COUNT(*) AS innings, ROUND(AVG(runs), 2) AS avg_score, ROUND(STDDEV_SAMP(runs), 2) AS score_stddev
+SELECT batsman, match_type, COUNT(*) AS innings, {half_up(total('runs'), 'COUNT(*)')} AS avg_score, ROUND(STDDEV_SAMP(runs), 2) AS score_stddev
 FROM knocks GROUP BY batsman, match_type HAVING COUNT(*) >= {least}
 ORDER BY score_stddev NULLS LAST, batsman, match_type LIMIT 20""")
 
@@ -287,7 +288,7 @@ def _contribution(least: int) -> str:
     won = big("COALESCE(SUM(runs_batsman) FILTER (WHERE winner = inning), 0)")
     return over_balls(f"""
 SELECT batsman, match_type, {MATCHES} AS matches, {won} AS winning_runs, {RUNS} AS total_runs,
-  ROUND({won} * 100.0 / NULLIF({RUNS}, 0), 2) AS win_contribution_pct
+  {half_up('100 * ' + won, RUNS)} AS win_contribution_pct
 FROM balls GROUP BY batsman, match_type HAVING {RUNS} >= {least}
 ORDER BY win_contribution_pct DESC NULLS LAST, batsman, match_type LIMIT 20""")
 
