@@ -32,7 +32,7 @@ def query(fn: Query) -> Query:
 
 
 def match_data(spark: SparkSession, sf_dir: str) -> MatchData:
-    return MatchData.direct(bridge.balls(spark, sf_dir), bridge.matches(spark, sf_dir))
+    return MatchData(bridge.balls(spark, sf_dir), bridge.matches(spark, sf_dir))
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def src_kpi_table(spark, d):
 @query
 def src_coerce_numeric(spark, d):
     """Text columns of which all, most, half and no rows are numbers."""
-    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    lines = bridge.read_lines(spark, d)
     qty = F.col("l_quantity").cast("int")
     texts = lines.select(
         "l_orderkey", "l_linenumber", "l_extendedprice",
@@ -511,7 +511,7 @@ def jn_composite(spark, d):
 @query
 def jn_first_innings(spark, d):
     """Totals of the teams that did not bat first."""
-    data = MatchData.direct(bridge.balls(spark, d), bridge.matches(spark, d))
+    data = MatchData(bridge.balls(spark, d), bridge.matches(spark, d))
     totals = teams.innings_totals(data).join(teams.first_batting_team(data), "match_id")
     return totals.filter(F.col("inning") != F.col("batting_first")).select("match_id", "inning", "innings_total")
 
@@ -698,7 +698,7 @@ def set_distinct(spark, d):
 @query
 def fn_pressure_index(spark, d):
     """Match state from every line item, with zero rates and zero balls among it."""
-    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    lines = bridge.read_lines(spark, d)
     qty = F.col("l_quantity").cast("int")
     state = lines.select(
         "l_orderkey", "l_linenumber", "l_extendedprice",

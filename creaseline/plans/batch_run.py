@@ -35,7 +35,7 @@ def compute_reports(spark: SparkSession, base: str, variant: str = "sql") -> lis
     balls = read_table(spark, f"{base}/silver/deliveries")
     # Only matches that have balls count in the reports.
     matches = read_table(spark, f"{base}/silver/matches").join(balls.select("match_id").distinct(), "match_id", "left_semi")
-    data = MatchData.direct(balls, matches).stage(spark, scratch_dir(spark, "report-inputs"))
+    data = MatchData(balls, matches).stage(spark, scratch_dir(spark, "report-inputs"))
     names = None if variant != "frame" else _frame_names()
     return write_reports(spark, data, f"{base}/gold/batch_kpis", names, variant)
 

@@ -12,8 +12,8 @@ WINDOW, SLIDE, WATERMARK = "5 minutes", "1 minute", "10 minutes"
 DEMO_WINDOW, DEMO_SLIDE, DEMO_WATERMARK = "30 seconds", "5 seconds", "30 seconds"
 
 
-def _latest(name: str) -> Column:
-    return F.max_by(name, F.struct("event_time", "inning", "over_num", "ball_num"))
+def _latest(*names: str) -> Column:
+    return F.max_by(F.struct(*names), F.struct("event_time", "inning", "over_num", "ball_num"))
 
 
 def live_windows(balls: DataFrame, window: str = WINDOW, slide: str | None = SLIDE) -> DataFrame:
@@ -28,10 +28,11 @@ def live_windows(balls: DataFrame, window: str = WINDOW, slide: str | None = SLI
                  F.sum(F.col("is_wicket").cast("int")).alias("wickets_in_window"),
                  (runs * 6.0 / faced).alias("run_rate"),
                  (F.sum("runs_batsman") * 100.0 / faced).alias("batting_strike_rate"),
-                 _latest("batsman").alias("current_batsman"), _latest("bowler").alias("current_bowler"))
+                 _latest("batsman", "bowler").alias("current"))
             .select("match_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "window_runs", "balls_bowled", "wickets_in_window", "run_rate", "batting_strike_rate",
-                    F.col("run_rate").alias("bowler_economy"), "current_batsman", "current_bowler"))
+                    F.col("run_rate").alias("bowler_economy"),
+                    F.col("current.batsman").alias("current_batsman"), F.col("current.bowler").alias("current_bowler")))
 
 
 def closed_windows(windows: DataFrame, balls: DataFrame, watermark: str = WATERMARK) -> DataFrame:

@@ -6,7 +6,8 @@ the same either way, so a single report runs straight from the balls, and a run
 reports writes the three added-up tables once and reads those instead of the balls.
 """
 
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,31 +76,63 @@ def matches_of_balls(balls: DataFrame) -> DataFrame:
     return balls.select(*MATCH_COLUMNS).distinct()
 
 
-@dataclass
 class MatchData:
-    balls: DataFrame
-    matches: DataFrame
-    # Measures at any grain, for reports that only add up.
-    batting: DataFrame
-    bowling: DataFrame
-    overs: DataFrame
-    # The same, one row per key.
-    batting_innings: DataFrame
-    bowling_overs: DataFrame
-    innings_overs: DataFrame
-
-    @classmethod
-    def direct(cls, balls: DataFrame, matches: DataFrame | None = None, **wicket_rules) -> "MatchData":
-        batting, bowling, overs = batting_rows(balls), bowling_rows(balls, **wicket_rules), over_rows(balls)
-        return cls(balls, matches_of_balls(balls) if matches is None else matches, batting, bowling, overs,
-                   batting_innings(batting), bowling_overs(bowling), innings_overs(overs))
+    """Balls, matches and the measure frames, each planned when a report first asks for it.
+
+    `batting`, `bowling` and `overs` are at any grain, for reports that only add up. `batting_innings`, `bowling_overs`
+    and `innings_overs` have one row per key.
+    """
+
+    def __init__(self, balls: DataFrame, matches: DataFrame | None = None, **wicket_rules):
+        self.balls = balls
+        self._matches = matches
+        self._wicket_rules = wicket_rules
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return matches_of_balls(self.balls) if self._matches is None else self._matches
+
+    @cached_property
+    def batting(self) -> DataFrame:
+        return batting_rows(self.balls)
+
+    @cached_property
+    def bowling(self) -> DataFrame:
+        return bowling_rows(self.balls, **self._wicket_rules)
+
+    @cached_property
+    def overs(self) -> DataFrame:
+        return over_rows(self.balls)
+
+    @cached_property
+    def batting_innings(self) -> DataFrame:
+        return batting_innings(self.batting)
+
+    @cached_property
+    def bowling_overs(self) -> DataFrame:
+        return bowling_overs(self.bowling)
+
+    @cached_property
+    def innings_overs(self) -> DataFrame:
+        return innings_overs(self.overs)
 
     def stage(self, spark: SparkSession, path: str) -> "MatchData":
-        """Write the three added-up tables and the matches; return data that reads them."""
+        """Write the three added-up tables and the matches; return data that reads them.
+
+        Later jobs then depend on files in shared storage, not on executors staying alive.
+        """
         tables = {"batting": self.batting_innings, "bowling": self.bowling_overs, "overs": self.innings_overs,
                   "matches": self.matches}
-        for name, frame in tables.items():
+
+        def write(item):
+            name, frame = item
             frame.write.mode("overwrite").parquet(f"{path}/{name}")
-        t = {name: spark.read.parquet(f"{path}/{name}") for name in tables}
-        return MatchData(self.balls, t["matches"], t["batting"], t["bowling"], t["overs"],
-                         t["batting"], t["bowling"], t["overs"])
+            return spark.read.schema(frame.schema).parquet(f"{path}/{name}")
+
+        with ThreadPoolExecutor(len(tables)) as pool:
+            stored = dict(zip(tables, pool.map(write, tables.items())))
+        staged = MatchData(self.balls, stored["matches"])
+        staged.batting = staged.batting_innings = stored["batting"]
+        staged.bowling = staged.bowling_overs = stored["bowling"]
+        staged.overs = staged.innings_overs = stored["overs"]
+        return staged

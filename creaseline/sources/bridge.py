@@ -12,6 +12,9 @@ from creaseline.schemas import MATCH_COLUMNS
 # Deliveries that one bridged document may hold for an over; longer overs are split.
 DOCUMENT_BALLS = 60
 
+# Explicit schemas: no job to read footers before planning.
+LINES = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+         "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING")
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 # Fixed values of the bridge: facts of match number `m`.
@@ -55,14 +58,17 @@ BALL_COLUMNS = [
 
 
 def _derive(df: DataFrame, facts: list[tuple[str, str]]) -> DataFrame:
-    for name, text in facts:
-        df = df.withColumn(name, F.expr(text))
-    return df
+    # One select: later facts refer to earlier ones by name.
+    return df.select("*", *[F.expr(text).alias(name) for name, text in facts])
+
+
+def read_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(LINES).parquet(f"{sf_dir}/lineitem.parquet")
 
 
 def _with_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("m", F.expr("l_orderkey div 60"))
-    return _derive(_derive(lines, _MATCH_FACTS), _BALL_FACTS)
+    lines = read_lines(spark, sf_dir).withColumn("m", F.expr("l_orderkey div 60"))
+    return _derive(lines, _MATCH_FACTS + _BALL_FACTS)
 
 
 def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +86,7 @@ def numbered_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per match: only the match number is shuffled, its facts are computed afterwards."""
-    numbers = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.expr("l_orderkey div 60").alias("m")).distinct()
+    numbers = read_lines(spark, sf_dir).select(F.expr("l_orderkey div 60").alias("m")).distinct()
     return _derive(numbers, _MATCH_FACTS).select(*MATCH_COLUMNS)
 
 
