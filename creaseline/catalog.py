@@ -409,17 +409,28 @@ def prj_bowling_cards(spark, d):
     return scorecards.bowling_cards(_score_responses(spark, d))
 
 
-@query
-def prj_match_list(spark, d):
-    """One list of one match per event; conditions of the events give type and state."""
+def _list_responses(spark, d) -> DataFrame:
+    """One list of one match per event; conditions of the events give type, state and score."""
     e = bridge.read_events(spark, d)
+    score = F.struct(F.get_json_object("props", "$.k").cast("int").alias("r"), (F.col("event_id") % 10).cast("int").alias("w"),
+                     F.when(F.col("event_type") != "click", F.lit(20.0)).alias("o"), F.lit("1st").alias("inning"))
     kind = F.expr("element_at(array('T20', 't20i', 'ODI', 'Test', 'T10', 'odi'), CAST(event_id % 6 AS INT) + 1)")
     match = F.struct(F.col("event_id").cast("string").alias("id"), F.concat(F.lit("Game "), F.col("event_id").cast("string")).alias("name"),
                      F.col("event_type").alias("status"), kind.alias("matchType"), F.array(F.lit("India"), F.lit("Oman")).alias("teams"),
-                     F.when(F.col("event_type") != "view", F.col("user_id") % 3 > 0).alias("matchStarted"),
+                     F.array(score).alias("score"), F.when(F.col("event_type") != "view", F.col("user_id") % 3 > 0).alias("matchStarted"),
                      (F.col("user_id") % 3 == 2).alias("matchEnded"))
     body = F.to_json(F.struct(F.lit("success").alias("status"), F.array(match).alias("data")))
-    return scorecards.match_list(e.select(body.alias("body")))
+    return e.select(body.alias("body"))
+
+
+@query
+def prj_match_list(spark, d):
+    return scorecards.match_list(_list_responses(spark, d))
+
+
+@query
+def prj_match_list_scores(spark, d):
+    return scorecards.match_list_scores(_list_responses(spark, d))
 
 
 STATUS_TEXTS = {"click": "India WON by 7 runs", "error": "Match in Progress", "signup": "Starts at 14:00", "purchase": "Innings BREAK", "view": "No Result"}
@@ -837,6 +848,23 @@ def st_bowler_econ(spark, d):
     return live.live_bowlers(bridge.live_balls(spark, d))
 
 
+def _rates_table(spark, d, player) -> DataFrame:
+    path = scratch_dir(spark, f"{player}-rates")
+    balls = bridge.live_from_events(bridge.read_events(spark, d, stream=True))
+    streams.start_rates_upsert(balls, f"{path}/table", f"{path}/checkpoint", player).awaitTermination()
+    return spark.read.parquet(f"{path}/table")
+
+
+@query
+def st_batsman_sr_stream(spark, d):
+    return _rates_table(spark, d, "batsman")
+
+
+@query
+def st_bowler_econ_stream(spark, d):
+    return _rates_table(spark, d, "bowler")
+
+
 @query
 def st_last5_wkts(spark, d):
     return live.wickets_in_last_overs(bridge.live_balls(spark, d))

@@ -13,26 +13,31 @@ from creaseline.functions.rates import flag_int, is_wicket, per_over
 
 # Most balls of one over, or of one stretch of an innings, that a single window group sees.
 PIECE = 4096
-_INNINGS = ["match_id", "_inning"]
+_INNINGS = ["_match", "_inning"]
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    # Balls of an unnamed innings belong together; joins would lose a NULL key.
-    return df.withColumn("_inning", F.coalesce("inning", F.lit("\x00")))
+def _keyed(balls: DataFrame) -> DataFrame:
+    """Keys and order without NULLs: joins would lose such balls. As in a plain window, NULLs sort first."""
+    return balls.withColumns({
+        "_match": F.coalesce("match_id", F.lit("\x00")),
+        "_inning": F.coalesce("inning", F.lit("\x00")),
+        "_over": F.coalesce("over_num", F.lit(-1 << 31)),
+        "_ball": F.coalesce("ball_num", F.lit(-1 << 31)),
+    })
 
 
 def _running(balls: DataFrame) -> DataFrame:
     """Add ball_seq, cumulative_runs and wickets_down (wickets up to and with this ball)."""
-    piece = [*_INNINGS, "over_num", "_piece"]
+    piece = [*_INNINGS, "_over", "_piece"]
     cut = (_keyed(balls)
-           .withColumn("_piece", F.floor(F.col("ball_num") / PIECE))
+           .withColumn("_piece", F.floor(F.col("_ball") / PIECE))
            .withColumn("_wicket", flag_int(is_wicket())))
     totals = cut.groupBy(*piece).agg(
         F.count("*").alias("_balls"), F.sum("runs_total").alias("_runs"), F.sum("_wicket").alias("_wickets"))
-    before = Window.partitionBy(*_INNINGS).orderBy("over_num", "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*_INNINGS).orderBy("_over", "_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(*piece, *[
         F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("_balls", "_runs", "_wickets")])
-    inside = Window.partitionBy(*piece).orderBy("ball_num").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*piece).orderBy("_ball").rowsBetween(Window.unboundedPreceding, 0)
     return (cut.join(starts, piece)
             .withColumn("ball_seq", F.col("_balls_before") + F.row_number().over(inside))
             .withColumn("cumulative_runs", F.col("_runs_before") + F.coalesce(F.sum("runs_total").over(inside), F.lit(0)))
@@ -57,10 +62,10 @@ def rolling_avg_runs(balls: DataFrame, last: int = 6) -> DataFrame:
     copies = F.when(spot % PIECE >= PIECE - (last - 1), F.array(piece, piece + 1)).otherwise(F.array(piece))
     spread = (_running(balls)
               .withColumn("_home", piece)
-              .withColumn("_piece", F.explode(copies)))
-    stretch = Window.partitionBy(*_INNINGS, "_piece").orderBy("ball_seq").rowsBetween(-(last - 1), 0)
+              .withColumn("_stretch", F.explode(copies)))
+    stretch = Window.partitionBy(*_INNINGS, "_stretch").orderBy("ball_seq").rowsBetween(-(last - 1), 0)
     return (spread.withColumn("rolling_avg_runs", F.avg("runs_total").over(stretch))
-                  .filter(F.col("_piece") == F.col("_home"))
+                  .filter(F.col("_stretch") == F.col("_home"))
                   .select(*balls.columns, "rolling_avg_runs"))
 
 

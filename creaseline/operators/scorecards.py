@@ -111,10 +111,21 @@ def bowling_cards(responses: DataFrame) -> DataFrame:
         F.coalesce("p.eco", F.lit(0.0)).alias("economy"))
 
 
+def _listed(responses: DataFrame) -> DataFrame:
+    rows = _successful(responses, MATCH_LIST_RESPONSE, []).select(F.explode("data").alias("m"))
+    return rows.filter(F.lower("m.matchType").isin(*LISTED_TYPES))
+
+
+def match_list_scores(responses: DataFrame) -> DataFrame:
+    """Score lines of the listed matches."""
+    lines = _listed(responses).select(_text(F.col("m.id")).alias("match_id"), F.explode("m.score").alias("s"))
+    return lines.select("match_id", _text(F.col("s.inning")).alias("inning"), _zero(F.col("s.r")).alias("runs"),
+                        _zero(F.col("s.w")).alias("wickets"), F.coalesce("s.o", F.lit(0.0)).alias("overs"))
+
+
 def match_list(responses: DataFrame) -> DataFrame:
     """Matches of a listed type, with their state."""
-    rows = _successful(responses, MATCH_LIST_RESPONSE, []).select(F.explode("data").alias("m"))
-    return rows.filter(F.lower("m.matchType").isin(*LISTED_TYPES)).select(
+    return _listed(responses).select(
         _text(F.col("m.id")).alias("match_id"), _text(F.col("m.name")).alias("name"), _text(F.col("m.status")).alias("status"),
         F.col("m.matchType").alias("match_type"), _text(F.col("m.venue")).alias("venue"), _text(F.col("m.date")).alias("match_date"),
         F.concat_ws(" vs ", "m.teams").alias("teams"), match_state("m.matchStarted", "m.matchEnded").alias("state"))

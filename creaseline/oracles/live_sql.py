@@ -63,6 +63,9 @@ SELECT CAST(event_id AS STRING) AS match_id, 'Game ' || CAST(event_id AS STRING)
   '' AS venue, '' AS match_date, 'India vs Oman' AS teams,
   CASE WHEN user_id % 3 = 2 THEN 'Done' WHEN event_type <> 'view' AND user_id % 3 > 0 THEN 'Live' ELSE 'Soon' END AS state
 FROM live WHERE event_id % 6 <> 4""")
+SQL["prj_match_list_scores"] = over_live("""
+SELECT CAST(event_id AS STRING) AS match_id, '1st' AS inning, k AS runs, CAST(event_id % 10 AS INT) AS wickets,
+  CASE WHEN event_type = 'click' THEN 0.0 ELSE 20.0 END::DOUBLE AS overs FROM live WHERE event_id % 6 <> 4""")
 SQL["prj_status_badge"] = """
 SELECT event_id, status, CASE WHEN CONTAINS(s, 'won') OR CONTAINS(s, 'result') THEN 'finished'
   WHEN CONTAINS(s, 'live') OR CONTAINS(s, 'progress') OR CONTAINS(s, 'play') OR CONTAINS(s, 'break') THEN 'live' ELSE 'info' END AS badge
@@ -114,6 +117,7 @@ SELECT match_id, inning, batsman, {total('runs_batsman')} AS runs, COUNT(*) AS b
 SQL["st_bowler_econ"] = over_live(f"""
 SELECT match_id, inning, bowler, {total('runs_total')} AS runs, COUNT(*) AS balls, COUNT(*) FILTER (WHERE is_wicket) AS wickets,
   {half_up('6 * ' + total('runs_total'), 'COUNT(*)')} AS economy FROM live GROUP BY match_id, inning, bowler""")
+SQL["st_batsman_sr_stream"], SQL["st_bowler_econ_stream"] = SQL["st_batsman_sr"], SQL["st_bowler_econ"]
 SQL["st_last5_wkts"] = over_live("""
 SELECT match_id, inning, last_over, COUNT(*) FILTER (WHERE is_wicket) AS wickets_last_overs
 FROM (SELECT *, MAX(over_num) OVER (PARTITION BY match_id, inning) AS last_over FROM live)

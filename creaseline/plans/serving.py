@@ -10,8 +10,10 @@ from creaseline.functions.pressure import pressure_band
 from creaseline.plans.shaping import asc, desc, top
 
 
-def live_latest(kpis: DataFrame, now: datetime, within: str = "1 minute") -> DataFrame:
-    """The newest live row computed no longer than `within` before `now`; at most one row."""
+def live_latest(kpis: DataFrame, now: datetime, within: str = "1 minute", match_id: str | None = None) -> DataFrame:
+    """The newest live row, of one match or of all, computed no longer than `within` before `now`; at most one row."""
+    if match_id is not None:
+        kpis = kpis.filter(F.col("match_id") == match_id)
     fresh = kpis.filter(F.col("computed_at") >= F.lit(now) - F.expr(f"INTERVAL {within}"))
     return (fresh.orderBy(desc("computed_at"), desc("window_start"), F.col("match_id")).limit(1)
             .select("match_id", "window_start", "window_end", "window_runs", "balls_bowled", "wickets_in_window",

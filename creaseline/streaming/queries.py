@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from creaseline.operators.live_balls import LIVE_BALL_KEY, enrich_envelope, parse_live_balls
 from creaseline.operators.upsert import earliest_per_key
-from creaseline.plans.live import DEMO_WATERMARK, SLIDE, WATERMARK, WINDOW, live_windows, update_windows
+from creaseline.plans.live import DEMO_WATERMARK, SLIDE, WATERMARK, WINDOW, live_batsmen, live_bowlers, live_windows, update_windows
 from creaseline.schemas import CLEAN_LIVE_BALL
 from creaseline.sinks.tables import append_new, upsert_table
 from creaseline.sources.live import read_table_stream
@@ -84,6 +84,24 @@ def start_window_upsert(balls: DataFrame, path: str, checkpoint: str, every: str
     return start_batches(windows, write, checkpoint, every)
 
 
+def start_rates_upsert(balls: DataFrame, path: str, checkpoint: str, player: str = "batsman", every: str | None = None) -> StreamingQuery:
+    """Live strike rates (`batsman`) or economy (`bowler`) per innings, changed players replaced in a table split by match.
+
+    Reads a stream with one row per ball. Its state has one row per player and innings and is not bounded by a
+    watermark: start a new checkpoint per season.
+    """
+    rates = live_batsmen(balls) if player == "batsman" else live_bowlers(balls)
+
+    def write(batch: DataFrame, _id: int) -> None:
+        batch.persist()
+        try:
+            upsert_table(batch.sparkSession, batch, path, ["match_id", "inning", player], ["match_id"])
+        finally:
+            batch.unpersist()
+
+    return start_batches(rates, write, checkpoint, every)
+
+
 def run_chain(spark: SparkSession, messages: DataFrame, base: str, every: str | None = None) -> list[StreamingQuery]:
     """Raw, clean and metric queries, each with its own checkpoint, handing over through tables.
 

@@ -20,12 +20,13 @@ def balls(spark):
         for o in range(overs):
             for b in range(1, per_over + 1):
                 rows.append((match, inning, o, b, rnd.randint(0, 6), rnd.choice([None, None, None, "bowled"])))
+    rows += [("m3", "A", None, 1, 4, None), ("m3", "A", 0, None, 3, None), ("m3", "A", 0, 1, 2, None)]
     rnd.shuffle(rows)
     return spark.createDataFrame(rows, BALL)
 
 
 def key(r):
-    return (r.match_id, r.inning or "", r.over_num, r.ball_num)
+    return (r.match_id, r.inning or "", -1 if r.over_num is None else r.over_num, -1 if r.ball_num is None else r.ball_num)
 
 
 @pytest.mark.parametrize("piece", [6, 7, 16, 4096])

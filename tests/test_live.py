@@ -126,3 +126,15 @@ def test_current_partnership(spark):
     texts = [message(i, over=i // 6, ball=i % 6 + 1, runs=i, wicket={"kind": "bowled", "player_out": "x"} if i == 7 else None) for i in range(12)]
     row = live.current_partnership(live_balls.parse_live_balls(raw(spark, *texts))).first()
     assert (row.partnership_runs, row.partnership_balls) == (8 + 9 + 10 + 11, 4)
+
+
+def test_rates_are_replaced(spark, folder):
+    from creaseline.sources.live import read_table_stream
+    schema = "match_id string, inning string, over_num int, ball_num int, batsman string, bowler string, runs_batsman int, runs_total int, is_wicket boolean"
+    for ball, runs in ((1, 4), (2, 1)):
+        spark.createDataFrame([("M", "I", 0, ball, "x", "y", runs, runs, False)], schema).write.mode("append").parquet(f"{folder}/balls")
+        for player in ("batsman", "bowler"):
+            rows = read_table_stream(spark, f"{folder}/balls", schema)
+            streams.start_rates_upsert(rows, f"{folder}/{player}", f"{folder}/cp-{player}", player).awaitTermination()
+    assert [(r.runs, r.balls, r.strike_rate) for r in spark.read.parquet(f"{folder}/batsman").collect()] == [(5, 2, 250.0)]
+    assert [(r.runs, r.balls, r.economy) for r in spark.read.parquet(f"{folder}/bowler").collect()] == [(5, 2, 15.0)]
