@@ -23,8 +23,10 @@ def first_wicket(text: Column) -> Column:
 
 def parse_live_balls(raw: DataFrame) -> DataFrame:
     """Flat typed balls of `raw_json`; `ingestion_time` is kept when there is one."""
-    ball = F.col("ball")
-    parsed = raw.withColumn("ball", F.from_json("raw_json", LIVE_BALL)).withColumn("wicket", first_wicket(ball["wicket"]))
+    # As a generator, the parser runs once per message. As a plain column it would run again in every filter
+    # that Spark moves below it, such as the one for missing event times.
+    ball = F.col("b")
+    parsed = raw.select("*", F.explode(F.array(F.from_json("raw_json", LIVE_BALL))).alias("b")).withColumn("wicket", first_wicket(ball["wicket"]))
     return parsed.select(
         ball["matchId"].alias("match_id"), ball["inning"].alias("inning"),
         ball["over"].alias("over_num"), ball["ball"].alias("ball_num"),

@@ -16,7 +16,8 @@ LISTED_TYPES = ("t20", "t20i", "odi", "test")
 
 
 def _successful(responses: DataFrame, schema, keep: list[str]) -> DataFrame:
-    return (responses.select(*keep, F.from_json("body", schema).alias("response"))
+    # Parsed by a generator, hence once; see parse_live_balls.
+    return (responses.select(*keep, F.explode(F.array(F.from_json("body", schema))).alias("response"))
                      .filter(F.col("response.status") == "success")
                      .select(*keep, F.col("response.data").alias("data")))
 

@@ -26,10 +26,10 @@ def raw(spark, *texts):
 def test_wicket_shapes_and_gaps(spark):
     rows = live_balls.parse_live_balls(raw(
         spark, message(0, wicket={"kind": "bowled", "player_out": "x"}), message(0, wicket=[{"kind": "lbw", "player_out": "y"}]),
-        message(0), message(0, wicket=[]), '{"matchId": "M", "eventTime": "2024-01-01T00:00:00Z"}', "not json", message(0, eventTime="yesterday"))).collect()
+        message(0), message(0, wicket=[]), '{"matchId": "M", "eventTime": "2024-01-01T00:00:00Z"}', "not json", message(0, eventTime="yesterday"), None)).collect()
     assert [(r.wicket_kind, r.is_wicket) for r in rows[:4]] == [("bowled", True), ("lbw", True), (None, False), (None, False)]
     assert rows[4].match_id == "M" and rows[4].runs_total is None and rows[4].is_wicket is False and rows[4].event_time == datetime(2024, 1, 1)
-    assert rows[5].match_id is None and rows[6].event_time is None
+    assert rows[5].match_id is None and rows[6].event_time is None and rows[7].match_id is None
 
 
 def test_enrich_envelope(spark):
