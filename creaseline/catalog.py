@@ -390,8 +390,8 @@ def prj_score_cards(spark, d):
 
 
 @query
-def prj_score_cards__cricket_overs(spark, d):
-    return scorecards.innings_scores(_score_responses(spark, d), cricket_overs=True)
+def prj_score_cards__overs_and_balls(spark, d):
+    return scorecards.innings_scores(_score_responses(spark, d), overs_and_balls=True)
 
 
 @query
@@ -811,9 +811,8 @@ def st_late_drop(spark, d):
     """All balls arrive, then all of them again as if bowled 40 days earlier; the second load is too late to count."""
     path = scratch_dir(spark, "late")
     balls = _clean(spark, d, stream=False)
-    shifts = (F.lit(0), F.expr("INTERVAL 40 DAYS"))
-    for shift, run in zip(shifts, ("first", "late")):
-        rows = balls if run == "first" else balls.withColumn("event_time", F.col("event_time") - shift)
+    for days in (0, 40):
+        rows = balls.withColumn("event_time", F.col("event_time") - F.make_dt_interval(days=F.lit(days)))
         rows.write.mode("append").parquet(f"{path}/in")
         stream = streams.live_kpi_stream(streams.read_table_stream(spark, f"{path}/in", balls.schema), dedup=False)
         streams.start_append(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()

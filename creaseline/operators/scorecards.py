@@ -50,8 +50,8 @@ def scorecard_balls(responses: DataFrame, poll_time: Column | None = None) -> Da
     return balls.select(F.col("match_id").alias("key"), value.alias("value"))
 
 
-def _run_rate(score: Column, cricket_overs: bool) -> Column:
-    if cricket_overs:
+def _run_rate(score: Column, overs_and_balls: bool) -> Column:
+    if overs_and_balls:
         return ratio(score["r"] * 6.0, overs_to_balls(score["o"]))
     return ratio(score["r"], score["o"])
 
@@ -61,10 +61,10 @@ def _number(o: Column) -> Column:
     return F.when(o == F.floor(o), F.floor(o).cast("string")).otherwise(o.cast("string"))
 
 
-def score_headers(responses: DataFrame, cricket_overs: bool = False) -> DataFrame:
+def score_headers(responses: DataFrame, overs_and_balls: bool = False) -> DataFrame:
     """One row per response: match facts, toss text, and the first score line as current score.
 
-    The run rate takes overs as a decimal number; `cricket_overs` reads 19.3 as 19 overs 3 balls.
+    The run rate takes overs as a decimal number; `overs_and_balls` reads 19.3 as 19 overs 3 balls.
     """
     first = F.get(F.col("data.score"), F.lit(0))
     return _successful(responses, SCORE_RESPONSE, []).withColumn("first", first).select(
@@ -77,11 +77,11 @@ def score_headers(responses: DataFrame, cricket_overs: bool = False) -> DataFram
         F.when(F.col("first").isNull(), "").otherwise(F.format_string(
             "%s/%s (%s ov)", _zero(F.col("first.r")).cast("string"), _zero(F.col("first.w")).cast("string"),
             _number(_zero(F.col("first.o"))))).alias("current_score"),
-        F.coalesce(F.when(F.col("first.o") > 0, _run_rate(F.col("first"), cricket_overs)), F.lit(0.0)).alias("current_rr"),
+        F.coalesce(F.when(F.col("first.o") > 0, _run_rate(F.col("first"), overs_and_balls)), F.lit(0.0)).alias("current_rr"),
     )
 
 
-def innings_scores(responses: DataFrame, cricket_overs: bool = False) -> DataFrame:
+def innings_scores(responses: DataFrame, overs_and_balls: bool = False) -> DataFrame:
     """One row per score line."""
     lines = _successful(responses, SCORE_RESPONSE, []).select(
         F.col("data.id").alias("match_id"), F.posexplode("data.score").alias("line", "s"))
@@ -89,7 +89,7 @@ def innings_scores(responses: DataFrame, cricket_overs: bool = False) -> DataFra
         "match_id", (F.col("line") + 1).alias("line"), _text(F.col("s.inning")).alias("inning"),
         _zero(F.col("s.r")).alias("runs"), _zero(F.col("s.w")).alias("wickets"),
         F.coalesce("s.o", F.lit(0.0)).alias("overs"),
-        F.coalesce(F.when(F.col("s.o") > 0, _run_rate(F.col("s"), cricket_overs)), F.lit(0.0)).alias("run_rate"))
+        F.coalesce(F.when(F.col("s.o") > 0, _run_rate(F.col("s"), overs_and_balls)), F.lit(0.0)).alias("run_rate"))
 
 
 def _cards(responses: DataFrame, part: str) -> DataFrame:

@@ -48,7 +48,7 @@ SELECT CAST(event_id AS STRING) AS match_id, line, inning, runs, k % 10 AS wicke
 
 
 SQL["prj_innings_scores"] = _lines(f"ROUND(runs / {OVERS}, 2)")
-SQL["prj_score_cards__cricket_overs"] = _lines("ROUND(runs * 6.0 / (k % 20 * 6 + k % 6), 2)")
+SQL["prj_score_cards__overs_and_balls"] = _lines("ROUND(runs * 6.0 / (k % 20 * 6 + k % 6), 2)")
 SQL["prj_batting_cards"] = over_live("""
 SELECT CAST(event_id AS STRING) AS match_id, '1st' AS inning, batsman AS name, CASE WHEN k % 3 = 0 THEN 'b. B' ELSE '' END AS dismissal,
   k AS runs, k + 1 AS balls, k % 4 AS fours, k % 3 AS sixes, ROUND(value, 1) AS sr

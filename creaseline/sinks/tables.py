@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from creaseline.operators.flatten import slim_info
 from creaseline.operators.upsert import latest_per_key, merge_rows, only_new_rows
@@ -82,7 +83,10 @@ def _file_count(stats: DataFrame, target_bytes: int) -> int:
 def compact_table(spark: SparkSession, path: str, partition_by: Sequence[str] = (), target_bytes: int = 256 * MB,
                   fmt: str = "parquet") -> None:
     """Rewrite a table into files of about the target size, then put it in place of the old one."""
-    rows = read_table(spark, path, fmt)
+    # Partition values as text, or '007' would come back as 7.
+    schema = StructType([StructField(f.name, StringType()) if f.name in partition_by else f
+                         for f in read_table(spark, path, fmt).schema])
+    rows = read_table(spark, path, fmt, schema)
     if partition_by:
         # Spark splits large and joins small partitions by size at run time (advisoryPartitionSizeInBytes).
         rows = rows.hint("rebalance", *partition_by)

@@ -133,11 +133,14 @@ def over_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("wicket_kind").alias("kind"), F.col("wicket_player_out").alias("player_out")))).alias("wickets"),
         ).alias("ball"),
     )
-    keys = [*MATCH_COLUMNS, "inning", "inning_no", "over_num", "part"]
+    facts = [c for c in [*MATCH_COLUMNS, "inning_no"] if c != "match_id"]
+    keys = ["match_id", "inning", "over_num", "part"]
     slices = (numbered_balls(spark, sf_dir)
               .withColumn("part", F.floor((F.col("ball_num") - 1) / DOCUMENT_BALLS).cast("int"))
               .groupBy(*keys)
-              .agg(F.transform(F.array_sort(F.collect_list(delivery)), lambda d: d["ball"]).alias("deliveries")))
+              .agg(F.first(F.struct(*facts)).alias("facts"),
+                   F.transform(F.array_sort(F.collect_list(delivery)), lambda d: d["ball"]).alias("deliveries"))
+              .select(*keys, "facts.*", "deliveries"))
     # The team that bats second sits in the second place of the innings array, behind an empty innings.
     over = F.struct(F.col("inning").alias("team"), F.array(F.struct(F.col("over_num").alias("over"), "deliveries")).alias("overs"))
     empty = F.struct(F.lit(None).cast("string").alias("team"), F.lit(None).cast(

@@ -53,7 +53,7 @@ def test_score_header(spark):
     df = spark.createDataFrame([(body,)], "body string")
     head = scorecards.score_headers(df).first()
     assert (head.current_score, head.current_rr, head.toss, head.teams) == ("150/3 (19.3 ov)", 7.77, "A elected to bat", "A vs B")
-    assert scorecards.score_headers(df, cricket_overs=True).first().current_rr == 7.69
+    assert scorecards.score_headers(df, overs_and_balls=True).first().current_rr == 7.69
     assert [r.run_rate for r in scorecards.innings_scores(df).orderBy("line").collect()] == [7.77, 0.0]
 
 
@@ -122,6 +122,18 @@ def test_chain_runs_again_without_repeating(spark, folder):
     assert rows.count() == rows.select("match_id", "window_start").distinct().count() > 0
 
 
+def test_chain_running_continuously(spark, folder):
+    feed(spark, folder, [message(m, ball=m) for m in range(30)])
+    queries = streams.run_chain(spark, source(spark, folder), f"{folder}/lake", every="1 second")
+    try:
+        for q in queries:
+            q.processAllAvailable()
+    finally:
+        streams.stop_chain(queries)
+    assert spark.read.parquet(f"{folder}/lake/clean").count() == 30
+    assert spark.read.parquet(f"{folder}/lake/live_kpis").count() > 0
+
+
 def test_current_partnership(spark):
     texts = [message(i, over=i // 6, ball=i % 6 + 1, runs=i, wicket={"kind": "bowled", "player_out": "x"} if i == 7 else None) for i in range(12)]
     row = live.current_partnership(live_balls.parse_live_balls(raw(spark, *texts))).first()

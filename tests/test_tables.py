@@ -45,6 +45,10 @@ def test_compact_and_stats(spark, folder):
     tables.compact_table(spark, path, ["p"])
     after = tables.table_stats(spark, path).first()
     assert (before.row_count, after.row_count) == (1000, 1000) and after.file_count < before.file_count
+    seasons = folder + "/s"
+    spark.createDataFrame([("007", 1), ("007", 2)], "season string, v int").repartition(2).write.partitionBy("season").parquet(seasons)
+    tables.compact_table(spark, seasons, ["season"])
+    assert read_table(spark, seasons, schema="v int, season string").first().season == "007"
     plain = folder + "/u"
     spark.range(100).repartition(10).write.parquet(plain)
     tables.compact_table(spark, plain)
