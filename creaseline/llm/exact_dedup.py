@@ -56,6 +56,7 @@ class DigestIndex:
     def load(self, digests: DataFrame, id_col: str = "doc_id") -> None:
         """Add the digests of `digests` (id, text_sha256) that are new."""
         groups = digests.groupBy("text_sha256").agg(F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("first_size"))
+        groups = staged(groups, "digest-groups")  # else the optimizer puts the anti-join below the aggregate, and copies are not combined first
         self.unseen(groups).select("text_sha256", "keep_id", "first_size").write.insertInto(self.name)
 
     def lookup(self, digests: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.llm import decontaminate, exact_dedup, url_filter, warc_archive
+from creaseline.llm import decontaminate, exact_dedup, packing, toxicity, url_filter, warc_archive
 from creaseline.llm.common import table
 from creaseline.workspace import scratch_dir
 
@@ -13,6 +13,10 @@ from creaseline.workspace import scratch_dir
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
     warc_archive.write_archive(table(spark, sf_dir, "pages"), folder)
@@ -28,6 +32,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.tag(docs, model, keep=["doc_id"])
+    score = F.col("toxicity.score")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -37,8 +49,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op10_decontaminate": op10_decontaminate,
 }
