@@ -34,4 +34,17 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-ORACLES = {"op2_warc": OP2, "op5_exact_dedup": OP5, "op10_decontaminate": OP10}
+OP8 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {SPLIT_WORDS.format(text="coalesce(text, '')", pattern=r"[^\x20\x09-\x0D]+")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (gram) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, w.b FROM reach r JOIN ways w ON w.a = r.b),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN least USING (doc_id)"""
+
+ORACLES = {"op8_near_dup": OP8, "op2_warc": OP2, "op5_exact_dedup": OP5, "op10_decontaminate": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.llm import decontaminate, exact_dedup, packing, toxicity, url_filter, warc_archive
+from creaseline.llm import decontaminate, exact_dedup, near_dup, packing, toxicity, url_filter, warc_archive
 from creaseline.llm.common import table
 from creaseline.workspace import scratch_dir
 
@@ -40,6 +40,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link(table(spark, sf_dir, "documents"), width=2)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -54,5 +58,6 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_near_dup": op8_near_dup,
     "op10_decontaminate": op10_decontaminate,
 }
