@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.llm import decontaminate, exact_dedup, near_dup, packing, toxicity, url_filter, warc_archive
+from creaseline.llm import decontaminate, exact_dedup, html_text, near_dup, packing, pii, toxicity, url_filter, warc_archive
 from creaseline.llm.common import table
 from creaseline.workspace import scratch_dir
 
 #: The rules of the URL query.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
+PII_KEY = "key of the registered query"
+
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -32,6 +34,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -44,6 +50,11 @@ def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.link(table(spark, sf_dir, "documents"), width=2)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -57,7 +68,9 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_html_text": op6_html_text,
     "op7_toxicity": op7_toxicity,
     "op8_near_dup": op8_near_dup,
+    "op9_pii": op9_pii,
     "op10_decontaminate": op10_decontaminate,
 }
