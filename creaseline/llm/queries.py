@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.llm import decontaminate, exact_dedup, html_text, near_dup, packing, pii, toxicity, url_filter, warc_archive
+from creaseline.llm import decontaminate, exact_dedup, html_text, line_dedup, near_dup, packing, pii, toxicity, url_filter, warc_archive
 from creaseline.llm.common import table
 from creaseline.workspace import scratch_dir
 
@@ -26,6 +26,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("record").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.matches(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
@@ -66,6 +70,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
+    "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_html_text": op6_html_text,
