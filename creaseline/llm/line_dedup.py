@@ -22,12 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creaseline.llm.common import fresh_name, ship_package, staged
-from creaseline.llm.near_dup import FOLD, M2, SPACE, by_group, components, mixed
+from creaseline.llm.near_dup import FOLD, M2, SPACE, by_group, components, in_blocks, mixed, overlaps
 
 COUNTER_BITS = 22
 CHUNK = 1 << 14  # counters in one row of the table
@@ -141,13 +141,6 @@ def described(docs: DataFrame, counters: np.ndarray, percent: int, id_col: str,
     return docs.select(id_col, text_col).mapInArrow(read, schema)
 
 
-def in_blocks(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
-    """Rows of a key dealt to blocks; block i meets block j once, as side 0 and 1 of (low, high), or itself (side 2)."""
-    held = rows.withColumn("block", F.pmod(F.xxhash64("cid"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
-    return held.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other"), "side": side}).drop("block", "other")
-
-
 def filtered(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """Edges that connect the classes of a list (or of two of its blocks) between which all filters leave a match possible."""
     n = group.column("n_words").to_numpy()
@@ -158,24 +151,19 @@ def filtered(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     cid, left, side = group.column("cid").to_numpy()[order], n - group.column("place").to_numpy()[order], group.column("side").to_numpy()[order]
     map0, map1 = (group.column(c).to_numpy()[order].view(np.uint64) for c in ("map0", "map1"))
     root = np.arange(len(n))
-    edges = []
     for i in range(1, len(n)):
         low = int(np.searchsorted(n[:i], -(-percent * int(n[i]) // 100)))  # shorter lines that are long enough
-        if low == i:
-            continue
         some = np.flatnonzero((root[low:i] != root[i]) & ((side[low:i] != side[i]) | (side[i] == 2))) + low
-        if not len(some):
-            continue
         least = -(-percent * (n[some] + n[i]) // (100 + percent))  # words that a matching pair shares
         some = some[np.minimum(left[some], left[i]) >= least]
         apart = np.bitwise_count(map0[some] ^ map0[i]).astype(np.int64) + np.bitwise_count(map1[some] ^ map1[i])
         some = some[apart * (100 + percent) <= (100 - percent) * (n[some] + n[i])]
-        for j in some.tolist():
-            if root[j] != root[i]:
-                edges.append((int(cid[j]), int(cid[i])))
-                root[root == root[i]] = root[j]
-    if edges:
-        yield pa.RecordBatch.from_arrays([pa.array([min(e) for e in edges], pa.int64()), pa.array([max(e) for e in edges], pa.int64())], names=["a", "b"])
+        if len(some):
+            joined = np.unique(np.append(root[some], root[i]))
+            root[np.isin(root, joined)] = joined[0]
+    moved = np.flatnonzero(root != np.arange(len(n)))
+    if len(moved):  # stars of the components
+        yield pa.RecordBatch.from_arrays([pa.array(cid[root[moved]]), pa.array(cid[moved])], names=["a", "b"])
 
 
 def counted(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
@@ -187,14 +175,7 @@ def counted(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     rank[:] = [place[v] for v in first]
     sets = [np.frombuffer(b, np.uint64) for b in group.column("words").to_pylist()]
     n = np.array([len(s) for s in sets])
-    column = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    row = np.repeat(np.arange(len(sets)), n)
-    both = np.zeros((len(sets), len(sets)), np.int64)
-    for low in range(0, int(column.max()) + 1, 8192):  # the sets as rows of ones, a range of words at a time
-        some = (column >= low) & (column < low + 8192)
-        dense = np.zeros((len(sets), 8192), np.float32)
-        dense[row[some], column[some] - low] = 1
-        both += (dense @ dense.T).astype(np.int64)
+    both = overlaps(sets)
     match = 100 * both >= percent * (n[:, None] + n[None, :] - both)
     match &= (side[:, None] != side[None, :]) | (side[:, None] == 2)
     np.fill_diagonal(match, False)
@@ -237,7 +218,7 @@ def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "line-classes")
 
     posts = classes.select("cid", "n_words", "map0", "map1", F.explode("posts").alias("at")).select("cid", "n_words", "map0", "map1", "at.word", "at.place", "at.blocks")
-    met = in_blocks(posts, "word", F.col("blocks")).drop("blocks")
+    met = in_blocks(posts, F.col("blocks")).drop("blocks")
     edges = staged(by_group(met, ["word", "low", "high"], lambda group: filtered(group, percent), "a bigint, b bigint").distinct(), "line-edges")
     family = staged(components(edges).select(F.col("node").alias("cid"), "root"), "line-families")
     family = staged(family.unionByName(family.select(F.col("root").alias("cid"), "root").distinct()), "line-families")
@@ -245,7 +226,7 @@ def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     named = classes.select("cid", "line_key", F.col("first.missing").alias("first_null"), F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"))
     wanted = staged(family.join(named, "cid"), "line-wanted")
     sets = words_of(docs, wanted, id_col, text_col).join(wanted.hint("merge"), "line_key").dropDuplicates(["cid"])
-    full = in_blocks(sets.join(sizes, "root"), "root", F.col("blocks")).select(
+    full = in_blocks(sets.join(sizes, "root"), F.col("blocks")).select(
         "root", "low", "high", "cid", "side", F.col("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
     links = by_group(full, ["root", "low", "high"], lambda group: counted(group, percent), "cid bigint, links bigint, earlier boolean")
     links = links.groupBy("cid").agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier"))

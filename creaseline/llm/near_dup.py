@@ -3,13 +3,13 @@
 A document is its set of word shingles; equal sets form a class. Each class is posted under its coordinate-value pairs. Two
 signatures of `coordinates` values that agree in `agree` of them share one of any `coordinates - agree + 1`, so a class
 is posted only under that many, its rarest (the prefix); the long lists it also belongs to are skipped, and the agreement
-is counted on the signatures. Pairs at or above the match threshold are confirmed on the full sets.
+is counted on the signatures.
 
-No group is expanded into its pairs. First each class meets the smallest class of its lists (its pivot), in blocks of bounded size whose
-members are also compared with each other until they are connected. Then only the lists that still hold several components
-are compared, block against block, and only pairs that agree leave the task. A long list is cut into blocks, so it is
-shared by many tasks. Every link between two components that the signatures find is confirmed; copies and links inside a
-component need no pair.
+No group is expanded into its pairs. A list hands on only enough edges to connect the classes that agree at or above the match threshold;
+the connected families are then confirmed on the full sets, where they are: first each block of a family with itself and with the family's
+smallest members, which connects dense families, then, for families that are not one component yet, all blocks with each other. Again only
+edges that connect leave the task. Long lists and large families are cut into blocks, so they are shared by many tasks. Every pair of a family is
+decided or already connected; nothing is capped.
 
 Defined results: a null or wordless text has no shingles and is linked with nothing. Fewer words than a shingle has are one shingle. A null id is larger than any
 other. Rows that share an id stay or go together if their sets are equal. Extra columns are ignored, and kept by `keep_one`.
@@ -22,14 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creaseline.llm.common import fresh_name, partitions, ship_package, staged
 
 COORDINATES, AGREE = 32, 16  # a pair at 0.8 agrees in 25.6 on average; below 16 once in about 20,000
-BLOCK = 256
+LIST_BLOCK, BLOCK = 1024, 256
+EDGE = "a bigint, b bigint"
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -138,51 +139,71 @@ def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.stack(column.to_numpy()).reshape(len(column), width)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = np.intersect1d(a, b, assume_unique=True).size
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def stars(cid: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The components of a group as edges from their smallest member. cid is sorted; root is a place in it."""
+    moved = np.flatnonzero(root != np.arange(len(cid)))
+    if len(moved):
+        yield pa.RecordBatch.from_arrays([pa.array(cid[root[moved]]), pa.array(cid[moved])], names=["a", "b"])
 
 
-def confirm(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
-    """Links of one block: the pivot with each member, then members of different components whose signatures agree."""
-    cid = group.column("cid").to_numpy()
-    order = np.argsort(cid, kind="stable")
-    cid, sig = cid[order], matrix(group.column("sig"), COORDINATES)[order]
+def agreeing(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Edges that connect the classes of a list (or of two of its blocks) whose signatures agree often enough."""
+    if group.num_rows < 2:
+        return
+    cid, at = np.unique(group.column("cid").to_numpy(), return_index=True)
+    sig, n, side = matrix(group.column("sig"), COORDINATES)[at], group.column("n_shingles").to_numpy()[at], group.column("side").to_numpy()[at]
+    root = np.arange(len(cid))
+    for i in range(len(cid) - 1):
+        some = np.flatnonzero((root[i + 1:] != root[i]) & ((side[i + 1:] != side[i]) | (side[i] == 2))) + i + 1
+        some = some[100 * np.minimum(n[some], n[i]) >= percent * np.maximum(n[some], n[i])]
+        some = some[(sig[some] == sig[i]).sum(1) >= AGREE]
+        if len(some):
+            joined = np.unique(np.append(root[some], root[i]))
+            root[np.isin(root, joined)] = joined[0]
+    yield from stars(cid, root)
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the sets share: products of 0-1 rows, a range of values at a time."""
+    values, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = counts[inverse] > 1  # a value of one set alone adds to no overlap
+    number = np.cumsum(counts > 1) - 1
+    row, column = row[shared], number[inverse[shared]]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for low in range(0, int((counts > 1).sum()), 4096):
+        some = (column >= low) & (column < low + 4096)
+        ones = np.zeros((len(sets), min(4096, int(column.max()) + 1 - low)), np.float32)
+        ones[row[some], column[some] - low] = 1
+        out += (ones @ ones.T).astype(np.int64)
+    out[np.arange(len(sets)), np.arange(len(sets))] = [len(s) for s in sets]
+    return out
+
+
+def confirmed(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Edges that connect what is linked on the full sets, within a block of a family or two of its blocks."""
+    cid, at = np.unique(group.column("cid").to_numpy(), return_index=True)
+    if len(cid) < 2:
+        return
     raw = group.column("shingles").to_pylist()
-    sets = [np.frombuffer(raw[i], np.uint64) for i in order]
-    pivot = int(np.searchsorted(cid, group.column("pivot")[0].as_py()))
+    sets = [np.frombuffer(raw[k], np.uint64) for k in at]
+    n = np.array([len(s) for s in sets])
+    both = overlaps(sets)
+    linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
     root = np.arange(len(cid))
-    edges = []
-    for other in [pivot, *[i for i in range(len(cid)) if i != pivot]]:
-        if other != pivot and root[other] == root[pivot]:
-            continue  # reached through another member
-        agree = (sig == sig[other]).sum(1) >= (AGREE if other != pivot else 0)
-        for i in np.flatnonzero(agree & (root != root[other])).tolist():
-            if root[i] != root[other] and linked(sets[other], sets[i], percent):
-                edges.append((int(cid[other]), int(cid[i])))
-                low, high = min(root[i], root[other]), max(root[i], root[other])
-                root[root == high] = low
-    if edges:
-        yield pa.RecordBatch.from_arrays([pa.array([min(e) for e in edges], pa.int64()), pa.array([max(e) for e in edges], pa.int64())], names=["a", "b"])
-
-
-def agreeing(group: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Pairs of a list (or of two of its blocks) in different components whose signatures agree often enough."""
-    cid, comp = group.column("cid").to_numpy(), group.column("comp").to_numpy()
-    sig, n, side = matrix(group.column("sig"), COORDINATES), group.column("n_shingles").to_numpy(), group.column("side").to_numpy()
-    first, second = [], []
-    for i in range(len(cid)):
-        pairs = (comp != comp[i]) & (cid > cid[i] if side[i] == 2 else side == 1)
-        if side[i] == 1 or not pairs.any():
-            continue
-        at = np.flatnonzero(pairs)
-        at = at[(sig[at] == sig[i]).sum(1) >= AGREE]
-        first += [int(cid[i])] * len(at)
-        second += cid[at].tolist()
-    if first:
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(first, second), pa.int64()), pa.array(np.maximum(first, second), pa.int64())], names=["pivot", "cid"])
+    while True:
+        least = np.where(linked, root[None, :], len(cid)).min(1)
+        if (least == root).all():
+            break
+        root = least
+    yield from stars(cid, root)
+
+
+def in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Rows of a key dealt to blocks; block i meets block j once, as side 0 and 1 of (low, high), or itself (side 2)."""
+    held = rows.withColumn("block", F.pmod(F.xxhash64("cid"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
+    return held.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other"), "side": side}).drop("block", "other")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -204,32 +225,22 @@ def components(edges: DataFrame) -> DataFrame:
             out = out.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
         return staged(out.where("a <> b").distinct(), "component-edges")
 
-    def state(pairs: DataFrame) -> tuple:
-        return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def settled(pairs: DataFrame) -> bool:
+        """Whether all edges are stars: a node that points at a root points at one only, and is no root itself."""
+        ends = pairs.select(F.col("a").alias("x"), F.lit(1).alias("points"), F.lit(0).alias("root")).unionByName(
+            pairs.select(F.col("b").alias("x"), F.lit(0).alias("points"), F.lit(1).alias("root")))
+        seen = ends.groupBy("x").agg(F.sum("points").alias("points"), F.max("root").alias("root"))
+        return seen.where((F.col("points") > 1) | ((F.col("points") > 0) & (F.col("root") > 0))).isEmpty()
 
-    now, before = staged(edges.select("a", "b").where("a <> b").distinct(), "component-edges"), None
-    while (here := state(now)) != before:
-        before = here
-        if not here[0]:
-            break
+    now = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "component-edges")
+    while not settled(now):
         now = turn(turn(now, larger=True), larger=False)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def confirmed(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among the pairs (pivot, cid), in blocks of a pivot and about BLOCK of its members."""
-    stars = staged(stars, "stars")
-    sizes = staged(stars.groupBy("pivot").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks")), "star-sizes")
-    members = stars.join(sizes.hint("merge"), "pivot").select("pivot", F.pmod(F.xxhash64("cid"), "blocks").alias("block"), "cid")
-    heads = sizes.select("pivot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("pivot").alias("cid"))
-    wanted = staged(members.unionByName(heads), "blocks")
-    full = wanted.join(sets.hint("merge"), "cid").select("pivot", "block", "cid", "sig", "shingles")
-    return by_group(full, ["pivot", "block"], lambda group: confirm(group, percent), "a bigint, b bigint")
-
-
 def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(cid, sig, shingles) of the wanted classes, from the text of one document each."""
-    wanted = staged(classes.join(wanted.select("cid").distinct(), "cid").select("cid", "rep", "set_key", "sig"), "wanted-sets")
+    """(cid, shingles) of the wanted classes, from the text of one document each."""
+    wanted = staged(classes.join(wanted.select("cid").distinct(), "cid").select("cid", "rep", "set_key"), "wanted-sets")
     ids = wanted.select(F.col("rep").alias("rep_id")).distinct()
     texts = docs.select(F.col(id_col), F.col(text_col)).join(ids, docs[id_col].eqNullSafe(F.col("rep_id")), "left_semi")
 
@@ -241,7 +252,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int,
 
     found = texts.mapInArrow(read, "set_key binary, shingles binary")
     # Rows that repeat an id may bring a set twice.
-    return staged(found.join(wanted, "set_key").select("cid", "sig", "shingles").dropDuplicates(["cid"]), "sets")
+    return staged(found.join(wanted, "set_key").select("cid", "shingles").dropDuplicates(["cid"]), "sets")
 
 
 def link(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,34 +270,31 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_
     rare = F.lit(COORDINATES - AGREE + 1) - (F.lit(COORDINATES) - F.size("lists"))
     prefix = staged(placed.where(rare > 0).select("cid", F.explode(F.slice("lists", 1, F.greatest(rare, F.lit(1)))).alias("at")).select("cid", F.col("at.list").alias("list")), "prefixes")
 
-    pivots = staged(prefix.groupBy("list").agg(F.min("cid").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1").select("list", "pivot"), "pivots")
-    pairs = staged(prefix.join(pivots.hint("merge"), "list").where("cid <> pivot").select("cid", "pivot").distinct(), "pivot-pairs")
-    sigs = classes.select("cid", "sig", "n_shingles")
-    with_member = pairs.join(sigs, "cid")
-    heads = sigs.select(F.col("cid").alias("pivot"), F.col("sig").alias("pivot_sig"), F.col("n_shingles").alias("pivot_n"))
-    agree = F.aggregate(F.zip_with("sig", "pivot_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    near = with_member.join(heads, "pivot").where(
-        (F.least("n_shingles", "pivot_n") * 100 >= F.greatest("n_shingles", "pivot_n") * percent) & (agree >= AGREE))
-    stars = staged(near.groupBy("cid").agg(F.min("pivot").alias("pivot")), "near-stars")
-    sets = sets_of(docs, classes, stars.select("cid").unionByName(stars.select(F.col("pivot").alias("cid"))), width, id_col, text_col)
-    edges = staged(confirmed(stars, sets, percent), "links")
-    roots = components(edges)
-
-    # What one meeting with a pivot has not settled: lists with several components.
-    known = prefix.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("list", "cid", F.coalesce("root", "cid").alias("comp"))
-    known = staged(known, "prefix-components")
-    open_lists = known.groupBy("list").agg(F.count(F.lit(1)).alias("size"), (F.min("comp") != F.max("comp")).alias("open")).where("open")
-    open_lists = staged(open_lists.select("list", (F.floor(F.col("size") / BLOCK) + 1).alias("blocks")), "open-lists")
-    held = known.join(open_lists.hint("merge"), "list").join(sigs, "cid").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks"))
-    # Block i meets block j once: as the pair (min, max), where it is side 0 or 1, or with itself (2).
-    met = held.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
-        "list", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "comp", "sig", "n_shingles",
-        F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
-    more = staged(by_group(met, ["list", "low", "high"], agreeing, "pivot bigint, cid bigint").distinct(), "open-pairs")
-    if not more.isEmpty():
-        wanted = more.select("cid").unionByName(more.select(F.col("pivot").alias("cid"))).distinct().join(sets.select("cid"), "cid", "left_anti")
-        sets = sets.unionByName(sets_of(docs, classes, wanted, width, id_col, text_col))
-        roots = components(edges.unionByName(confirmed(more, sets, percent)))
+    sizes = prefix.groupBy("list").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = staged(sizes.select("list", (F.floor(F.col("size") / LIST_BLOCK) + 1).alias("blocks")), "list-sizes")
+    held = prefix.join(sizes.hint("merge"), "list").join(classes.select("cid", "sig", "n_shingles"), "cid")
+    edges = by_group(in_blocks(held, F.col("blocks")).drop("blocks"), ["list", "low", "high"], lambda group: agreeing(group, percent), EDGE)
+    families = components(staged(edges.distinct(), "family-edges"))
+    families = staged(families.unionByName(families.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "cid"), "families")
+
+    sets = sets_of(docs, classes, families, width, id_col, text_col)
+    counted = staged(families.groupBy("root").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks")), "family-sizes")
+    members = staged(families.join(counted.hint("merge"), "root"), "family-members")
+    # The smallest member stands in each block; it is the root itself.
+    blocks = members.select("root", F.pmod(F.xxhash64("cid"), "blocks").alias("block"), "cid").unionByName(
+        counted.select("root", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("root").alias("cid")))
+    links = staged(by_group(blocks.distinct().join(sets.hint("merge"), "cid"), ["root", "block"], lambda group: confirmed(group, percent), EDGE), "links")
+    roots = components(links)
+
+    # Families of several blocks that are not one component yet: all their blocks meet.
+    known = members.where("blocks > 1").join(roots.select(F.col("node").alias("cid"), F.col("root").alias("comp")), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    known = staged(known, "family-components")
+    open_ = known.groupBy("root").agg((F.min("comp") != F.max("comp")).alias("open")).where("open").select("root")
+    open_ = staged(known.select("root", "cid", "blocks").join(staged(open_, "open-families"), "root"), "open-members")
+    if not open_.isEmpty():
+        met = in_blocks(open_, F.col("blocks")).where("low < high").select("root", "low", "high", "cid")
+        more = by_group(met.join(sets.hint("merge"), "cid"), ["root", "low", "high"], lambda group: confirmed(group, percent), EDGE)
+        roots = components(links.unionByName(staged(more, "more-links")))
 
     placed = classes.select("cid", "set_key", "rep").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("set_key", "rep", F.coalesce("root", "cid").alias("root"))
     placed = staged(placed, "class-roots")
