@@ -76,7 +76,7 @@ def kpi24x_cumulative_run_rate(spark, d):
 def _document_bundle(spark, d) -> DataFrame:
     """The bridged documents written as JSON lines and read back by the document reader."""
     path = scratch_dir(spark, "documents")
-    bridge.over_documents(spark, d).select("match_id", "info", "innings").write.json(path)
+    bridge.match_documents(spark, d).select("match_id", "info", "innings").write.json(path)
     return read_match_documents(spark, path, one_per_file=False)
 
 
@@ -88,6 +88,17 @@ def src_match_documents(spark, d):
         F.count_distinct("inning_no").alias("innings"))
 
 
+@query
+def src_match_documents__files(spark, d):
+    """One file per match: a folder per match here, and the match's name taken from the document."""
+    path = scratch_dir(spark, "document-files")
+    bridge.match_documents(spark, d).select("info", "innings", "match_id", F.col("match_id").alias("file")).write.partitionBy("file").json(path)
+    flat = flatten.flatten_matches(read_match_documents(spark, f"{path}/*"))
+    return flat.groupBy("match_id", "match_type", "venue", "winner").agg(
+        F.count("*").alias("balls"), F.sum("runs_total").alias("runs"), F.count("wicket_kind").alias("wickets"),
+        F.count_distinct("inning_no").alias("innings"))
+
+
 @query
 def src_table(spark, d):
     path = scratch_dir(spark, "silver")
@@ -316,20 +327,19 @@ def prj_rebuild_struct(spark, d):
 
 @query
 def prj_flatten_match(spark, d):
-    flat = flatten.flatten_matches(bridge.over_documents(spark, d), keep=["part"])
-    return flat.withColumn("ball_num", (F.col("part") * bridge.DOCUMENT_BALLS + F.col("ball_num")).cast("int")).drop("part")
+    return flatten.flatten_matches(bridge.match_documents(spark, d))
 
 
 @query
 def prj_flatten_match__frame(spark, d):
     """Defaults instead of NULLs."""
-    flat = flatten.flatten_matches(bridge.over_documents(spark, d), fill_defaults=True)
+    flat = flatten.flatten_matches(bridge.match_documents(spark, d), fill_defaults=True)
     return flat.select("match_id", "winner", "toss_decision", "inning", "over_num", "batsman", "bowler", "runs_total", "wicket_kind")
 
 
 @query
 def prj_flatten_all_wickets(spark, d):
-    flat = flatten.flatten_matches(bridge.over_documents(spark, d), all_wickets=True)
+    flat = flatten.flatten_matches(bridge.match_documents(spark, d), all_wickets=True)
     return flat.filter(F.col("wicket_kind").isNotNull()).groupBy("match_id", "inning", "wicket_kind").agg(F.count("*").alias("wickets"))
 
 

@@ -52,14 +52,14 @@ def cumulative_runs(balls: DataFrame) -> DataFrame:
 def rolling_avg_runs(balls: DataFrame, last: int = 6) -> DataFrame:
     """Add `rolling_avg_runs`: mean runs of this ball and the ones before it, `last` balls in all.
 
-    Pieces are cut by position in the innings; the last balls of a piece are also sent to the next
-    one, so its first balls see them.
+    Pieces are cut by position in the innings; a ball is also sent to the following pieces whose first balls
+    look back as far as it, however many `last` reaches.
     """
-    if not 1 <= last <= PIECE:
-        raise ValueError(f"last must be between 1 and {PIECE}")
+    if last < 1:
+        raise ValueError("last must be at least 1")
     spot = F.col("ball_seq") - 1
     piece = F.floor(spot / PIECE)
-    copies = F.when(spot % PIECE >= PIECE - (last - 1), F.array(piece, piece + 1)).otherwise(F.array(piece))
+    copies = F.sequence(piece, F.floor((spot + (last - 1)) / PIECE))
     spread = (_running(balls)
               .withColumn("_home", piece)
               .withColumn("_stretch", F.explode(copies)))

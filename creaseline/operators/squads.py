@@ -19,8 +19,9 @@ def enrich_players(rows: DataFrame, player_teams: DataFrame, player: str = "bats
 
 
 def teams_from_balls(balls: DataFrame) -> DataFrame:
-    """player, team: the team a batsman last batted for, by match id."""
-    return (balls.groupBy(F.col("batsman").alias("player"))
+    """player, team: the team a batsman last batted for, by match id. One row per innings first: balls are not sorted."""
+    innings = balls.select(F.col("batsman").alias("player"), "match_id", "inning").distinct()
+    return (innings.groupBy("player")
             .agg(F.max_by("inning", F.struct("match_id", "inning")).alias("team")))
 
 

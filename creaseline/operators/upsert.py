@@ -6,20 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """The row with the highest version per key. Aggregates map-side, so a frequent key costs no more than others."""
+def _one_per_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str], last: bool) -> DataFrame:
+    """The best row per key. The first version column, a number or a time, is aggregated by hash before the shuffle;
+    the rest of the version only decides among the rows that share its best value, so a table is never sorted."""
+    names = {k: f"_key_{n}" for n, k in enumerate(keys)}
+    found = F.max(version[0]) if last else F.min(version[0])
+    best = rows.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(found.alias("_best"))
+    same = rows[version[0]].eqNullSafe(best["_best"])
+    for k, n in names.items():
+        same = same & rows[k].eqNullSafe(best[n])
+    near = rows.join(best, same, "left_semi")
     rest = [c for c in rows.columns if c not in keys]
-    return (rows.groupBy(*keys)
-            .agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("row"))
-            .select(*keys, "row.*").select(*rows.columns))
+    order = F.struct(*version, *[c for c in rest if c not in version])
+    pick = F.max_by(F.struct(*rest), order) if last else F.min_by(F.struct(*rest), order)
+    return near.groupBy(*keys).agg(pick.alias("row")).select(*keys, "row.*").select(*rows.columns)
+
+
+def latest_per_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """The row with the highest version per key; the other columns decide ties."""
+    return _one_per_key(rows, keys, version, last=True)
 
 
 def earliest_per_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """The row with the lowest version per key."""
-    rest = [c for c in rows.columns if c not in keys]
-    return (rows.groupBy(*keys)
-            .agg(F.min_by(F.struct(*rest), F.struct(*version)).alias("row"))
-            .select(*keys, "row.*").select(*rows.columns))
+    """The row with the lowest version per key; the other columns decide ties."""
+    return _one_per_key(rows, keys, version, last=False)
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -13,6 +13,7 @@ FLAT = (MATCH + ", inning, inning_no, over_num, ball_num, batsman, bowler, non_s
 SQL["src_match_documents"] = over_balls(f"""
 SELECT match_id, match_type, venue, winner, COUNT(*) AS balls, {CONCEDED} AS runs, COUNT(wicket_kind) AS wickets,
   COUNT(DISTINCT inning_no) AS innings FROM balls GROUP BY match_id, match_type, venue, winner""")
+SQL["src_match_documents__files"] = SQL["src_match_documents"]
 SQL["src_table"] = over_balls(f"""
 SELECT venue, COUNT(*) AS balls, {CONCEDED} AS runs FROM balls WHERE match_type = 'T20' GROUP BY venue""")
 SQL["src_kpi_table"] = over_balls(TOTALS + """

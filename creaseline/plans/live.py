@@ -1,6 +1,6 @@
 """Live metrics. The windowed ones run on batch and streaming frames alike."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creaseline.functions.rates import flag_int, per_over, percent
@@ -12,29 +12,46 @@ WINDOW, SLIDE, WATERMARK = "5 minutes", "1 minute", "10 minutes"
 DEMO_WINDOW, DEMO_SLIDE, DEMO_WATERMARK = "30 seconds", "5 seconds", "30 seconds"
 
 
-def _latest(*names: str) -> Column:
-    return F.max_by(F.struct(*names), F.struct("event_time", "inning", "over_num", "ball_num"))
-
-
 def live_windows(balls: DataFrame, window: str = WINDOW, slide: str | None = SLIDE) -> DataFrame:
     """Runs, balls, wickets and rates per match in sliding windows (tumbling without a slide).
 
-    The current batsman and bowler are those of the last ball in the window.
+    The current batsman and bowler are those of the last ball in the window. A batch is added up by pane (a slide long)
+    and pair of players first; each of the few rows left then counts in all windows over its pane. A stream has no second
+    aggregate to put on top in update mode, so there each ball is spread over its windows.
     """
-    at = F.window("event_time", window, slide) if slide else F.window("event_time", window)
-    runs, faced = F.sum("runs_total"), F.count("*")
-    return (balls.groupBy("match_id", at.alias("w"))
-            .agg(runs.alias("window_runs"), faced.alias("balls_bowled"),
-                 F.sum(F.col("is_wicket").cast("int")).alias("wickets_in_window"),
-                 (runs * 6.0 / faced).alias("run_rate"),
-                 (F.sum("runs_batsman") * 100.0 / faced).alias("batting_strike_rate"),
-                 _latest("batsman", "bowler").alias("current"))
+    if slide and not balls.isStreaming:
+        parts, at = _panes(balls, slide), F.window("pane", window, slide)
+    else:
+        parts, at = balls.select(
+            "match_id", "event_time", F.col("runs_total").alias("runs"), F.col("runs_batsman").alias("batting_runs"), F.lit(1).alias("balls"),
+            F.col("is_wicket").cast("int").alias("wickets"), "batsman", "bowler", F.struct("event_time", "inning", "over_num", "ball_num").alias("place"),
+        ), F.window("event_time", window, slide) if slide else F.window("event_time", window)
+    runs, faced = F.sum("runs"), F.sum("balls")
+    return (parts.groupBy("match_id", at.alias("w"))
+            .agg(runs.alias("window_runs"), faced.alias("balls_bowled"), F.sum("wickets").alias("wickets_in_window"),
+                 (runs * 6.0 / faced).alias("run_rate"), (F.sum("batting_runs") * 100.0 / faced).alias("batting_strike_rate"),
+                 F.max_by(F.struct("batsman", "bowler"), "place").alias("current"))
             .select("match_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "window_runs", "balls_bowled", "wickets_in_window", "run_rate", "batting_strike_rate",
                     F.col("run_rate").alias("bowler_economy"),
                     F.col("current.batsman").alias("current_batsman"), F.col("current.bowler").alias("current_bowler")))
 
 
+def _panes(balls: DataFrame, slide: str) -> DataFrame:
+    """Balls added up by hash per match, pane, innings and pair of players, with the place of the last ball of each.
+
+    Time, over and ball make one number, so that its maximum needs no sort: microseconds, five digits each for over and ball.
+    """
+    spot = (F.unix_micros("event_time").cast("decimal(38,0)") * 10_000_000_000
+            + F.coalesce("over_num", F.lit(-1)).cast("decimal(38,0)") * 100_000 + F.coalesce("ball_num", F.lit(-1)).cast("decimal(38,0)"))
+    added = (balls.groupBy("match_id", F.window("event_time", slide).alias("p"), "inning", "batsman", "bowler")
+             .agg(F.sum("runs_total").alias("runs"), F.sum("runs_batsman").alias("batting_runs"), F.count("*").alias("balls"),
+                  F.sum(F.col("is_wicket").cast("int")).alias("wickets"), F.max("event_time").alias("last_time"),
+                  F.max(spot.cast("decimal(38,0)")).alias("last_spot")))
+    return added.select("match_id", F.col("p.start").alias("pane"), "runs", "batting_runs", "balls", "wickets", "batsman", "bowler",
+                        F.struct("last_time", "inning", "last_spot").alias("place"))
+
+
 def closed_windows(windows: DataFrame, balls: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Windows an append-mode stream has put out once all these balls have arrived."""
     mark = balls.agg(F.max("event_time") - F.expr(f"INTERVAL {watermark}"))

@@ -130,7 +130,9 @@ def toss_decision_all(d: MatchData) -> DataFrame:
 
 
 def first_batting_team(d: MatchData) -> DataFrame:
-    return d.overs.groupBy("match_id").agg(F.min_by("inning", "inning_no").alias("batting_first"))
+    """By number first, so that only two rows of a match are sorted by name."""
+    per = d.overs.groupBy("match_id", "inning").agg(F.min("inning_no").alias("inning_no"))
+    return per.groupBy("match_id").agg(F.min_by("inning", "inning_no").alias("batting_first"))
 
 
 def batting_first_actual(d: MatchData) -> DataFrame:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from creaseline.schemas import MATCH_COLUMNS
 
-# Deliveries that one bridged document may hold for an over; longer overs are split.
-DOCUMENT_BALLS = 60
-
 # Explicit schemas: no job to read footers before planning.
 LINES = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
          "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING")
@@ -117,14 +114,18 @@ def match_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def over_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested match documents holding one over each, at most `DOCUMENT_BALLS` deliveries.
+_DELIVERIES = ("array<struct<batter:string,bowler:string,non_striker:string,runs:struct<batter:int,extras:int,total:int>,"
+               "wickets:array<struct<kind:string,player_out:string>>>>")
+
 
-    The bound keeps every collected array small whatever the key distribution; `part` tells
-    which slice of the over a document has.
+def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested match documents: both innings, all overs and all balls of a match.
+
+    A match is bounded (60 order keys), and so are its arrays. Balls, overs and innings stand in their order; the
+    team that bats second is in the second place even if the first has no ball.
     """
     delivery = F.struct(
-        "ball_num",
+        "l_orderkey", "l_linenumber", "l_extendedprice",
         F.struct(
             F.col("batsman").alias("batter"), "bowler", "non_striker",
             F.struct(F.col("runs_batsman").alias("batter"), F.col("runs_extras").alias("extras"),
@@ -133,21 +134,23 @@ def over_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("wicket_kind").alias("kind"), F.col("wicket_player_out").alias("player_out")))).alias("wickets"),
         ).alias("ball"),
     )
-    keys = [*MATCH_COLUMNS, "inning", "inning_no", "over_num", "part"]
-    slices = (numbered_balls(spark, sf_dir)
-              .withColumn("part", F.floor((F.col("ball_num") - 1) / DOCUMENT_BALLS).cast("int"))
-              .groupBy(*keys)
-              .agg(F.transform(F.array_sort(F.collect_list(delivery)), lambda d: d["ball"]).alias("deliveries")))
-    # The team that bats second sits in the second place of the innings array, behind an empty innings.
-    over = F.struct(F.col("inning").alias("team"), F.array(F.struct(F.col("over_num").alias("over"), "deliveries")).alias("overs"))
-    empty = F.struct(F.lit(None).cast("string").alias("team"), F.lit(None).cast(
-        "array<struct<over:int,deliveries:array<struct<batter:string,bowler:string,non_striker:string,"
-        "runs:struct<batter:int,extras:int,total:int>,wickets:array<struct<kind:string,player_out:string>>>>>>").alias("overs"))
-    return slices.select(
-        "match_id", "part",
+    overs = (_with_order(spark, sf_dir).groupBy(*MATCH_COLUMNS, "inning", "inning_no", "over_num")
+             .agg(F.transform(F.array_sort(F.collect_list(delivery)), lambda d: d["ball"]).alias("deliveries")))
+    over = F.struct(F.col("over_num").alias("over"), "deliveries")
+    innings = (overs.groupBy(*MATCH_COLUMNS, "inning", "inning_no")
+               .agg(F.sort_array(F.collect_list(F.struct("over_num", over.alias("row")))).alias("listed")))
+    one = F.struct("inning_no", F.struct(F.col("inning").alias("team"), F.transform("listed", lambda o: o["row"]).alias("overs")).alias("row"))
+    whole = innings.groupBy(*MATCH_COLUMNS).agg(F.collect_list(one).alias("innings"))
+    empty = F.struct(F.lit(None).cast("string").alias("team"), F.lit(None).cast(f"array<struct<over:int,deliveries:{_DELIVERIES}>>").alias("overs"))
+
+    def place(number):
+        return F.coalesce(F.get(F.filter("innings", lambda i: i["inning_no"] == number), F.lit(0))["row"], empty)
+
+    return whole.select(
+        "match_id",
         F.concat(F.lit("/matches/"), "match_id", F.lit(".json")).alias("source_file"),
         _info().alias("info"),
-        F.when(F.col("inning_no") == 1, F.array(over)).otherwise(F.array(empty, over)).alias("innings"),
+        F.array(place(1), place(2)).alias("innings"),
     )
 
 
