@@ -10,7 +10,7 @@ from creaseline.functions.labels import pair_label, status_badge, team_flag, tea
 from creaseline.functions.pressure import pressure_band, pressure_per_over, with_pressure
 from creaseline.functions.rates import flag_int, is_wicket, percent
 from creaseline.operators import flatten, innings, live_balls, quality, scorecards, squads, upsert
-from creaseline.plans import batting, explore, live, reports, serving, teams, trends
+from creaseline.plans import batch_run, batting, explore, live, reports, serving, teams, trends
 from creaseline.plans.match_data import MatchData, matches_of_balls
 from creaseline.plans.shaping import top, desc, asc
 from creaseline.schemas import MATCH_COLUMNS
@@ -211,6 +211,67 @@ def snk_clean_partitioned(spark, d):
         F.count("*").alias("balls"), F.sum("runs_total").alias("runs"), F.count("wicket_kind").alias("wickets"))
 
 
+def _revised_documents(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Documents of a first load, where some matches are half played, and of a second one with all matches, those complete in a higher revision."""
+    half = F.regexp_extract("match_id", r"(\d+)$", 1).cast("bigint") % 10 == 3
+    early = F.get("info.dates", F.lit(0)) < "2024-07-01"
+
+    def meta(revision):
+        return F.struct(F.lit("1.0").alias("data_version"), F.lit("2024").alias("created"), revision.cast("int").alias("revision"))
+
+    whole = bridge.match_documents(spark, d)
+    first = whole.filter(early).withColumn("innings", F.when(half, F.slice("innings", 1, 1)).otherwise(F.col("innings"))).withColumn("meta", meta(F.lit(1)))
+    return first, whole.withColumn("meta", meta(F.when(half & early, 2).otherwise(1)))
+
+
+def _loaded_twice(spark, d) -> str:
+    base = scratch_dir(spark, "lake")
+    for documents in _revised_documents(spark, d):
+        batch_run.load_raw(spark, documents, base)
+        batch_run.load_clean(spark, base)
+    return base
+
+
+@query
+def snk_clean_incremental(spark, d):
+    """The second load holds old, new and corrected matches; each counts once, in its latest revision."""
+    return batch_run.latest_balls(spark, _loaded_twice(spark, d)).groupBy("match_id", "match_type", "season", "revision").agg(
+        F.count("*").alias("balls"), F.sum("runs_total").alias("runs"), F.count("wicket_kind").alias("wickets"))
+
+
+@query
+def dq_quarantine(spark, d):
+    """Deliveries with a missing bowler or runs beyond the limit, as documents: rejected balls are kept with the rule they break."""
+    base = scratch_dir(spark, "quarantine")
+
+    def broken(ball):
+        none = ball["runs"]["batter"] == 3
+        return (ball.withField("bowler", F.when(none, F.lit(None)).otherwise(ball["bowler"]))
+                    .withField("runs", ball["runs"].withField("total", F.when(ball["runs"]["batter"] == 2, 37).otherwise(ball["runs"]["total"]))))
+
+    def overs(innings):
+        return F.transform(innings["overs"], lambda o: o.withField("deliveries", F.transform(o["deliveries"], broken)))
+
+    documents = bridge.match_documents(spark, d).withColumn("innings", F.transform("innings", lambda i: i.withField("overs", overs(i))))
+    for _ in range(2):
+        batch_run.load_raw(spark, documents, base)
+        batch_run.load_clean(spark, base)
+    return batch_run.latest_balls(spark, base, "quarantine").groupBy("match_id", "season", "failed_rule").agg(F.count("*").alias("balls"))
+
+
+@query
+def snk_kpi_tables__incremental(spark, d):
+    """All thirty reports from inputs kept over two loads; rows per table."""
+    base = scratch_dir(spark, "lake-reports")
+    for documents in _revised_documents(spark, d):
+        batch_run.load_raw(spark, documents, base)
+        batch_run.load_clean(spark, base)
+        failed = batch_run.compute_reports(spark, base)
+        if failed:
+            raise RuntimeError(f"reports failed: {failed}")
+    return tables.export_tables(spark, list(reports.REPORTS), f"{base}/gold/batch_kpis", f"{base}/export")
+
+
 @query
 def snk_kpi_tables(spark, d):
     """All thirty reports written from the shared inputs; rows per table."""
@@ -231,14 +292,37 @@ def snk_export_parquet(spark, d):
     return tables.export_tables(spark, ["most_wins_by_team", "run_rate_progression", "no_such_report"], path, f"{path}-export")
 
 
+def _in_batches(spark, d, label: str, parts: int = 3) -> str:
+    """Clean live balls as files in order of time, for a stream that takes one at a time."""
+    path = scratch_dir(spark, label)
+    events = bridge.read_events(spark, d)
+    first, last = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    share = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - first) * parts / (last - first + 1))
+    for n in range(parts):
+        bridge.live_from_events(events.filter(share == n)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @query
 def snk_stream_append(spark, d):
-    return st_raw(spark, d)
+    """Three micro-batches, and a restart that finds nothing new."""
+    path = _in_batches(spark, d, "append-in")
+    base = scratch_dir(spark, "append-out")
+    schema = bridge.live_balls(spark, d).schema
+    for _ in range(2):
+        rows = streams.read_table_stream(spark, path, schema, maxFilesPerTrigger=1)
+        streams.start_append(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/table").groupBy("match_id").agg(F.count("*").alias("balls"), F.sum("runs_total").alias("runs"))
 
 
 @query
 def snk_stream_update(spark, d):
-    return st_update_windows(spark, d)
+    """Windows over three micro-batches in order of time; later batches change windows of earlier ones."""
+    path = _in_batches(spark, d, "update-in")
+    base = scratch_dir(spark, "update-out")
+    rows = streams.read_table_stream(spark, path, bridge.live_balls(spark, d).schema, maxFilesPerTrigger=1)
+    streams.start_window_upsert(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return _plain_times(streams.read_windows(spark, f"{base}/table"))
 
 
 def _ball_states(spark, d) -> DataFrame:
@@ -813,7 +897,7 @@ def st_tumbling(spark, d):
 def st_update_windows(spark, d):
     path = scratch_dir(spark, "windows")
     streams.start_window_upsert(_clean(spark, d), f"{path}/table", f"{path}/checkpoint").awaitTermination()
-    return _plain_times(spark.read.parquet(f"{path}/table").drop("window_date"))
+    return _plain_times(streams.read_windows(spark, f"{path}/table"))
 
 
 @query
@@ -837,6 +921,39 @@ def st_chain(spark, d):
     return _plain_times(spark.read.parquet(f"{base}/live_kpis").drop("computed_at"))
 
 
+def _polled_again(spark, d) -> str:
+    """Messages of three batches in order of time; each comes again in later runs, a quarter of an hour and a day after
+    it was first sent, with the poll's own time. The chain runs after each; the folder of its tables is returned."""
+    base = scratch_dir(spark, "repolled")
+    events = bridge.read_events(spark, d)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    share = F.floor((micros - first) * 3 / (last - first + 1))
+
+    def send(part: int, minutes: int) -> None:
+        rows = events.filter(share == part).withColumn("ts", F.col("ts") + F.make_dt_interval(mins=F.lit(minutes)))
+        bridge.envelopes_from_events(rows).write.mode("append").parquet(f"{base}/in")
+
+    for sent in ([(0, 0)], [(1, 0), (0, 15)], [(2, 0), (1, 15), (0, 1440)], [(2, 15), (1, 1440)], [(2, 1440)]):
+        for part, minutes in sent:
+            send(part, minutes)
+        streams.run_chain(spark, read_envelopes(spark, "parquet", f"{base}/in"), f"{base}/lake")
+    return f"{base}/lake"
+
+
+@query
+def st_chain__repolled(spark, d):
+    return _plain_times(spark.read.parquet(f"{_polled_again(spark, d)}/live_kpis").drop("computed_at"))
+
+
+@query
+def st_live_rates__repolled(spark, d):
+    base = _polled_again(spark, d)
+    batsmen = streams.read_rates(spark, f"{base}/batsman_rates", "batsman").select("match_id", "inning", F.col("batsman").alias("player"), "runs", "balls", F.col("strike_rate").alias("rate"))
+    bowlers = streams.read_rates(spark, f"{base}/bowler_rates", "bowler").select("match_id", "inning", F.col("bowler").alias("player"), "runs", "balls", F.col("economy").alias("rate"))
+    return batsmen.unionByName(bowlers)
+
+
 @query
 def st_partnership(spark, d):
     return live.current_partnership(bridge.live_balls(spark, d))
@@ -860,8 +977,9 @@ def st_bowler_econ(spark, d):
 def _rates_table(spark, d, player) -> DataFrame:
     path = scratch_dir(spark, f"{player}-rates")
     balls = bridge.live_from_events(bridge.read_events(spark, d, stream=True))
-    streams.start_rates_upsert(balls, f"{path}/table", f"{path}/checkpoint", player).awaitTermination()
-    return spark.read.parquet(f"{path}/table")
+    streams.start_ball_upsert(balls, f"{path}/balls", f"{path}/checkpoints/balls").awaitTermination()
+    streams.start_rates_upsert(f"{path}/balls", f"{path}/table", f"{path}/checkpoints/rates", player, spark).awaitTermination()
+    return streams.read_rates(spark, f"{path}/table", player)
 
 
 @query

@@ -13,7 +13,8 @@ UNION ALL SELECT 'live-matches', COUNT(*), COUNT(DISTINCT user_id) FROM live""")
 SQL["src_stream_table"] = over_live(f"SELECT match_id, COUNT(*) AS balls, {total('runs_total')} AS runs FROM live GROUP BY match_id")
 SQL["prj_enrich_stream"] = over_live(f"SELECT {KEY}, TRUE AS has_time FROM live")
 SQL["prj_parse_live"] = over_live(f"SELECT {BALL}, event_time FROM live")
-SQL["st_raw"] = SQL["snk_stream_append"] = over_live(f"SELECT {KEY} FROM live")
+SQL["snk_stream_append"] = SQL["src_stream_table"]
+SQL["st_raw"] = over_live(f"SELECT {KEY} FROM live")
 SQL["st_clean"] = SQL["prj_parse_live"]
 SQL["st_dedup"] = over_live(f"SELECT {BALL} FROM live")
 SQL["st_dedup_upsert"] = SQL["prj_parse_live"]
@@ -102,7 +103,7 @@ def windows(size: str, slide: str, grain: str) -> str:
 MINUTE = "DATE_TRUNC('minute', event_time)"
 SLIDING = windows("5 MINUTES", "1 MINUTE", MINUTE)
 CLOSED = " WHERE window_end <= (SELECT MAX(ts) - INTERVAL 10 MINUTES FROM events)"
-SQL["st_live_kpis"] = SQL["st_chain"] = over_live(SLIDING + " SELECT * FROM windows" + CLOSED)
+SQL["st_live_kpis"] = SQL["st_chain"] = SQL["st_chain__repolled"] = over_live(SLIDING + " SELECT * FROM windows" + CLOSED)
 SQL["st_live_kpis_batch"] = over_live(SLIDING + " SELECT * FROM windows")
 SQL["st_tumbling"] = over_live(windows("5 MINUTES", "5 MINUTES", "TIME_BUCKET(INTERVAL 5 MINUTES, event_time)") + """
 SELECT match_id, window_start, window_end, window_runs, balls_bowled, wickets_in_window FROM windows""" + CLOSED)
@@ -117,6 +118,11 @@ SELECT match_id, inning, batsman, {total('runs_batsman')} AS runs, COUNT(*) AS b
 SQL["st_bowler_econ"] = over_live(f"""
 SELECT match_id, inning, bowler, {total('runs_total')} AS runs, COUNT(*) AS balls, COUNT(*) FILTER (WHERE is_wicket) AS wickets,
   {half_up('6 * ' + total('runs_total'), 'COUNT(*)')} AS economy FROM live GROUP BY match_id, inning, bowler""")
+SQL["st_live_rates__repolled"] = over_live(f"""
+SELECT match_id, inning, batsman AS player, {total('runs_batsman')} AS runs, COUNT(*) AS balls,
+  {half_up('100 * ' + total('runs_batsman'), 'COUNT(*)')} AS rate FROM live GROUP BY match_id, inning, batsman
+UNION ALL
+SELECT match_id, inning, bowler, {total('runs_total')}, COUNT(*), {half_up('6 * ' + total('runs_total'), 'COUNT(*)')} FROM live GROUP BY match_id, inning, bowler""")
 SQL["st_batsman_sr_stream"], SQL["st_bowler_econ_stream"] = SQL["st_batsman_sr"], SQL["st_bowler_econ"]
 SQL["st_last5_wkts"] = over_live("""
 SELECT match_id, inning, last_over, COUNT(*) FILTER (WHERE is_wicket) AS wickets_last_overs

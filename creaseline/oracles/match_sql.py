@@ -33,6 +33,13 @@ SQL["snk_raw_partitioned"] = over_balls("""
 SELECT match_type, '2024' AS season, COUNT(*) AS documents, COUNT(DISTINCT match_id) AS matches FROM matches GROUP BY match_type""")
 SQL["snk_clean_partitioned"] = over_balls(f"""
 SELECT match_type, COUNT(*) AS balls, {CONCEDED} AS runs, COUNT(wicket_kind) AS wickets FROM balls GROUP BY match_type""")
+SQL["snk_clean_incremental"] = over_balls(f"""
+SELECT match_id, match_type, '2024' AS season,
+  CASE WHEN match_date < '2024-07-01' AND CAST(SUBSTR(match_id, 7) AS BIGINT) % 10 = 3 THEN 2 ELSE 1 END AS revision,
+  COUNT(*) AS balls, {CONCEDED} AS runs, COUNT(wicket_kind) AS wickets FROM balls GROUP BY match_id, match_type, match_date""")
+SQL["dq_quarantine"] = over_balls("""
+SELECT match_id, '2024' AS season, CASE runs_batsman WHEN 3 THEN 'no_bowler' ELSE 'runs_out_of_range' END AS failed_rule, COUNT(*) AS balls
+FROM balls WHERE runs_batsman IN (2, 3) GROUP BY ALL""")
 SQL["tbl_compact"] = over_balls(f"SELECT match_type, COUNT(*) AS balls, {CONCEDED} AS runs FROM balls GROUP BY match_type")
 SQL["tbl_stats"] = "SELECT COUNT(*) AS row_count, TRUE AS has_bytes, TRUE AS has_time FROM lineitem"
 
@@ -41,6 +48,7 @@ SQL["tbl_stats"] = "SELECT COUNT(*) AS row_count, TRUE AS has_bytes, TRUE AS has
 SQL["snk_kpi_tables"] = "\nUNION ALL\n".join(
     f"SELECT '{key[6:]}' AS kpi, COUNT(*) AS row_count, 'ok' AS status FROM ({sql}) AS r"
     for key, sql in REPORT_SQL.items() if "__" not in key and key[5] == "_")
+SQL["snk_kpi_tables__incremental"] = SQL["snk_kpi_tables"]
 SQL["snk_export_parquet"] = "\nUNION ALL\n".join([
     *[f"SELECT '{key[6:]}' AS kpi, COUNT(*) AS row_count, 'ok' AS status FROM ({REPORT_SQL[key]}) AS r"
       for key in ("kpi17_most_wins_by_team", "kpi24_run_rate_progression")],
@@ -85,12 +93,11 @@ GROUP BY ALL""")
 
 # --- joins ---
 SQL["jn_balls_matches"] = over_balls(f"""
-SELECT d.batsman, m.match_type, CAST(SUM(CASE WHEN m.winner = d.inning THEN d.runs_batsman ELSE 0 END) AS BIGINT) AS winning_runs,
-  {RUNS} AS total_runs
-FROM balls d JOIN matches m ON m.match_id = d.match_id GROUP BY d.batsman, m.match_type""")
+SELECT batsman, match_type, COALESCE(CAST(SUM(runs_batsman) FILTER (WHERE inning = winner) AS BIGINT), 0) AS winning_runs, {RUNS} AS total_runs
+FROM balls GROUP BY batsman, match_type""")
 SQL["jn_chase_theta"] = over_balls(f"""
-SELECT d.match_id, d.inning AS team, m.match_type, m.venue, {CONCEDED} AS total
-FROM balls d JOIN matches m ON d.match_id = m.match_id AND m.winner = d.inning GROUP BY ALL""")
+SELECT match_id, ANY_VALUE(winner) AS team, ANY_VALUE(match_type) AS match_type, ANY_VALUE(venue) AS venue, {CONCEDED} AS total
+FROM balls WHERE inning IN (winner) GROUP BY match_id""")
 SQL["jn_left_fill"] = over_balls("""
 SELECT a.batsman, a.innings, COALESCE(o.dismissals, 0) AS dismissals
 FROM (SELECT batsman, COUNT(DISTINCT match_id || '_' || inning) AS innings FROM balls GROUP BY batsman) a

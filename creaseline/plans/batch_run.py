@@ -1,51 +1,85 @@
-"""Batch run: documents to raw, clean and report tables."""
+"""Batch run: documents to raw, clean and report tables.
 
-from pyspark.sql import SparkSession
+All layers only grow. A match that comes again with a higher revision is loaded again under it; readers take the
+latest revision of each match from the table of matches, which has one row per match and revision.
+"""
 
-from creaseline.operators.flatten import documents_of_event, flatten_matches, matches_of, not_loaded, stamp_batch
-from creaseline.operators.quality import clean_balls
-from creaseline.plans.match_data import MatchData
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from creaseline.operators.flatten import documents_of_event, flatten_matches, matches_of, not_loaded, not_loaded_revisions, stamp_batch
+from creaseline.operators.quality import clean_balls, rejected_balls
+from creaseline.plans.match_data import MatchData, ReportInputs
 from creaseline.plans.reports import write_reports
 from creaseline.sinks.tables import append_new, write_clean_balls, write_raw_documents
 from creaseline.sources.documents import read_match_documents
 from creaseline.sources.kpi_tables import read_table
 from creaseline.workspace import path_exists, scratch_dir
 
+REVISION = ["match_id", "revision"]
+
 
-def new_documents(spark: SparkSession, documents_path: str, base: str, year: str, event: str, one_per_file: bool = True):
+def new_documents(spark: SparkSession, documents_path: str, base: str, year: str, event: str, one_per_file: bool = True) -> DataFrame:
     """Documents of an event that the raw table does not have yet; nothing is written."""
     wanted = documents_of_event(read_match_documents(spark, documents_path, one_per_file), year, event)
     raw = f"{base}/bronze/matches"
     return not_loaded(wanted, read_table(spark, raw)) if path_exists(spark, raw) else wanted
 
 
-def load_raw(spark: SparkSession, documents_path: str, base: str, one_per_file: bool = True) -> None:
-    documents = stamp_batch(read_match_documents(spark, documents_path, one_per_file))
-    write_raw_documents(spark, documents, f"{base}/bronze/matches")
+def load_raw(spark: SparkSession, documents: DataFrame, base: str) -> None:
+    write_raw_documents(spark, stamp_batch(documents), f"{base}/bronze/matches")
+
+
+def pending_documents(spark: SparkSession, base: str) -> DataFrame:
+    """Raw documents that the clean layer does not have in their latest revision."""
+    raw, done = read_table(spark, f"{base}/bronze/matches"), f"{base}/silver/matches"
+    raw = raw.withColumn("season", F.col("season").cast("string"))
+    if path_exists(spark, done):
+        return not_loaded_revisions(raw, read_table(spark, done).select(*REVISION))
+    return not_loaded_revisions(raw, raw.select(*REVISION).filter(F.lit(False)))
 
 
 def load_clean(spark: SparkSession, base: str) -> None:
-    """Clean balls, and one row per match straight from the documents."""
-    raw = read_table(spark, f"{base}/bronze/matches")
-    write_clean_balls(spark, clean_balls(flatten_matches(raw)), f"{base}/silver/deliveries")
-    append_new(spark, matches_of(raw), f"{base}/silver/matches", ["match_id"])
+    """Clean balls, rejected balls and one row per match and revision, of the pending documents only.
 
+    The matches come last: a run that fails before has marked nothing as done, and its balls are found and left out by the next.
+    """
+    staged = scratch_dir(spark, "pending")
+    pending_documents(spark, base).write.parquet(staged)  # three tables are made of them
+    pending = spark.read.parquet(staged)
+    balls = flatten_matches(pending, keep=["season", "revision"])
+    write_clean_balls(spark, clean_balls(balls), f"{base}/silver/deliveries")
+    append_new(spark, rejected_balls(balls), f"{base}/silver/quarantine", REVISION, ["match_type", "season"])
+    append_new(spark, matches_of(pending, keep=["season", "revision"]), f"{base}/silver/matches", REVISION)
 
-def compute_reports(spark: SparkSession, base: str, variant: str = "sql") -> list[tuple[str, str]]:
-    balls = read_table(spark, f"{base}/silver/deliveries")
-    # Only matches that have balls count in the reports.
-    matches = read_table(spark, f"{base}/silver/matches").join(balls.select("match_id").distinct(), "match_id", "left_semi")
-    data = MatchData(balls, matches).stage(spark, scratch_dir(spark, "report-inputs"))
-    names = None if variant != "frame" else _frame_names()
-    return write_reports(spark, data, f"{base}/gold/batch_kpis", names, variant)
+
+def latest_matches(spark: SparkSession, base: str) -> DataFrame:
+    """One row per match: its latest revision."""
+    matches = read_table(spark, f"{base}/silver/matches")
+    newest = matches.groupBy("match_id").agg(F.max("revision").alias("revision"))
+    return matches.join(newest, REVISION, "left_semi")
 
 
-def _frame_names() -> list[str]:
-    from creaseline.plans.reports import FRAME_REPORTS
-    return list(FRAME_REPORTS)
+def latest_balls(spark: SparkSession, base: str, table: str = "deliveries") -> DataFrame:
+    """Balls of the latest revision of each match."""
+    balls = read_table(spark, f"{base}/silver/{table}").withColumn("season", F.col("season").cast("string"))  # a partition value
+    return balls.join(latest_matches(spark, base).select(*REVISION), REVISION, "left_semi")
+
+
+def compute_reports(spark: SparkSession, base: str, variant: str = "sql") -> list[tuple[str, str]]:
+    """Add new matches to the kept inputs, and write the reports from these alone."""
+    inputs = ReportInputs(spark, f"{base}/gold/inputs")
+    inputs.add(read_table(spark, f"{base}/silver/deliveries"))
+    data = inputs.data(latest_matches(spark, base))
+    return write_reports(spark, data, f"{base}/gold/batch_kpis", None, variant)
 
 
 def run_batch(spark: SparkSession, documents_path: str, base: str, one_per_file: bool = True) -> list[tuple[str, str]]:
-    load_raw(spark, documents_path, base, one_per_file)
+    load_raw(spark, read_match_documents(spark, documents_path, one_per_file), base)
     load_clean(spark, base)
     return compute_reports(spark, base)
+
+
+def match_data_of(spark: SparkSession, base: str) -> MatchData:
+    """Reports straight from the clean layer."""
+    return MatchData(latest_balls(spark, base), latest_matches(spark, base))

@@ -65,16 +65,16 @@ def player_by_match_type(d: MatchData, limit: int | None = 30) -> DataFrame:
 def partnership_analysis(d: MatchData, limit: int | None = 20) -> DataFrame:
     """Runs while one batsman faced and the other watched; the pair is ordered."""
     keys = ["batsman", "non_striker", "match_id", "inning"]
-    per = d.balls.groupBy(*keys).agg(F.sum("runs_total").alias("partnership_runs"), F.count("*").alias("balls_faced"))
+    per = d.pairs.groupBy(*keys).agg(F.sum("runs").alias("partnership_runs"), F.sum("balls").alias("balls_faced"))
     return top(per, [desc("partnership_runs")], keys, limit)
 
 
 def partnership_pairs(d: MatchData, limit: int | None = 20) -> DataFrame:
     """Runs of two batsmen together, whoever faced."""
     keys = ["player_a", "player_b", "match_id", "inning"]
-    per = (d.balls.withColumn("player_a", F.least("batsman", "non_striker"))
+    per = (d.pairs.withColumn("player_a", F.least("batsman", "non_striker"))
            .withColumn("player_b", F.greatest("batsman", "non_striker"))
-           .groupBy(*keys).agg(F.sum("runs_total").alias("partnership_runs"), F.count("*").alias("balls_faced")))
+           .groupBy(*keys).agg(F.sum("runs").alias("partnership_runs"), F.sum("balls").alias("balls_faced")))
     return top(per, [desc("partnership_runs")], keys, limit)
 
 

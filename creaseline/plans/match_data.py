@@ -1,9 +1,9 @@
 """The inputs of all reports.
 
-Three measure frames hold everything the reports add up: one for batting, one for bowling,
-one for overs. Each can be read per ball (a projection, no shuffle) or added up to its key. The sums are
+Four measure frames hold everything the reports add up: one for batting, one for bowling,
+one for overs, one for pairs of batsmen. Each can be read per ball (a projection, no shuffle) or added up to its key. The sums are
 the same either way, so a single report runs straight from the balls, and a run over all
-reports writes the three added-up tables once and reads those instead of the balls.
+reports writes the added-up tables once and reads those instead of the balls.
 """
 
 from concurrent.futures import ThreadPoolExecutor
@@ -14,16 +14,26 @@ from pyspark.sql import functions as F
 
 from creaseline.functions.rates import NOT_BOWLER_WICKETS, NOT_SPELL_WICKETS, flag_int, is_wicket
 from creaseline.schemas import MATCH_COLUMNS
+from creaseline.sinks.tables import append_new
+from creaseline.sources.kpi_tables import read_table
+from creaseline.workspace import path_exists
 
 BATTING_KEY = ["batsman", "match_id", "inning", "match_type"]
 BOWLING_KEY = ["bowler", "match_id", "inning", "match_type", "over_num"]
 OVER_KEY = ["match_id", "inning", "over_num", "match_type", "venue", "winner"]
+PAIR_KEY = ["batsman", "non_striker", "match_id", "inning"]
+REVISION = ["match_id", "revision"]
+
+
+def _revision(rows: DataFrame) -> list[str]:
+    """Rows of a clean layer also carry the revision of their match."""
+    return [c for c in ("revision",) if c in rows.columns]
 
 
 def batting_rows(balls: DataFrame) -> DataFrame:
     runs = F.col("runs_batsman")
     return balls.select(
-        *BATTING_KEY,
+        *BATTING_KEY, *_revision(balls),
         runs.alias("runs"), F.lit(1).alias("balls"),
         flag_int(runs == 4).alias("fours"), flag_int(runs == 6).alias("sixes"),
         flag_int(F.col("wicket_player_out") == F.col("batsman")).alias("dismissed"),
@@ -33,14 +43,14 @@ def batting_rows(balls: DataFrame) -> DataFrame:
 
 def batting_innings(rows: DataFrame) -> DataFrame:
     """One row per batsman and innings."""
-    return rows.groupBy(*BATTING_KEY).agg(
+    return rows.groupBy(*BATTING_KEY, *_revision(rows)).agg(
         *[F.sum(c).alias(c) for c in ("runs", "balls", "fours", "sixes", "winning_runs")],
         F.max("dismissed").alias("dismissed"))
 
 
 def bowling_rows(balls: DataFrame, not_wickets=NOT_BOWLER_WICKETS, not_spell_wickets=NOT_SPELL_WICKETS) -> DataFrame:
     return balls.select(
-        *BOWLING_KEY,
+        *BOWLING_KEY, *_revision(balls),
         F.col("runs_total").alias("runs"), F.lit(1).alias("balls"),
         flag_int(F.col("runs_total") == 0).alias("dots"),
         flag_int(is_wicket(not_wickets)).alias("wickets"),
@@ -50,14 +60,14 @@ def bowling_rows(balls: DataFrame, not_wickets=NOT_BOWLER_WICKETS, not_spell_wic
 
 def bowling_overs(rows: DataFrame) -> DataFrame:
     """One row per bowler and over."""
-    return rows.groupBy(*BOWLING_KEY).agg(
+    return rows.groupBy(*BOWLING_KEY, *_revision(rows)).agg(
         *[F.sum(c).alias(c) for c in ("runs", "balls", "dots", "wickets", "spell_wickets")])
 
 
 def over_rows(balls: DataFrame) -> DataFrame:
     number = F.col("inning_no") if "inning_no" in balls.columns else F.lit(None).cast("int")
     return balls.select(
-        *OVER_KEY, number.alias("inning_no"),
+        *OVER_KEY, *_revision(balls), number.alias("inning_no"),
         F.col("runs_total").alias("runs"), F.col("runs_extras").alias("extras"), F.lit(1).alias("balls"),
         flag_int(is_wicket()).alias("wickets"),
         flag_int(F.col("runs_batsman").isin(4, 6)).alias("boundaries"),
@@ -66,11 +76,20 @@ def over_rows(balls: DataFrame) -> DataFrame:
 
 def innings_overs(rows: DataFrame) -> DataFrame:
     """One row per innings and over; a team's innings of one match count together, as in the reports."""
-    return rows.groupBy(*OVER_KEY).agg(
+    return rows.groupBy(*OVER_KEY, *_revision(rows)).agg(
         F.min("inning_no").alias("inning_no"),
         *[F.sum(c).alias(c) for c in ("runs", "extras", "balls", "wickets", "boundaries")])
 
 
+def pair_rows(balls: DataFrame) -> DataFrame:
+    return balls.select(*PAIR_KEY, *_revision(balls), F.col("runs_total").alias("runs"), F.lit(1).alias("balls"))
+
+
+def pair_innings(rows: DataFrame) -> DataFrame:
+    """One row per batsman, partner and innings."""
+    return rows.groupBy(*PAIR_KEY, *_revision(rows)).agg(F.sum("runs").alias("runs"), F.sum("balls").alias("balls"))
+
+
 def matches_of_balls(balls: DataFrame) -> DataFrame:
     """One row per match, from its balls."""
     return balls.select(*MATCH_COLUMNS).distinct()
@@ -104,6 +123,14 @@ class MatchData:
     def overs(self) -> DataFrame:
         return over_rows(self.balls)
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return pair_rows(self.balls)
+
+    @cached_property
+    def pair_innings(self) -> DataFrame:
+        return pair_innings(self.pairs)
+
     @cached_property
     def batting_innings(self) -> DataFrame:
         return batting_innings(self.batting)
@@ -116,13 +143,23 @@ class MatchData:
     def innings_overs(self) -> DataFrame:
         return innings_overs(self.overs)
 
+    @classmethod
+    def of_tables(cls, stored: dict[str, DataFrame], balls: DataFrame | None = None) -> "MatchData":
+        """Data that reads the added-up tables (see `INPUTS`) and the matches instead of balls."""
+        out = cls(balls, stored["matches"])
+        out.batting = out.batting_innings = stored["batting"]
+        out.bowling = out.bowling_overs = stored["bowling"]
+        out.overs = out.innings_overs = stored["overs"]
+        out.pairs = out.pair_innings = stored["pairs"]
+        return out
+
     def stage(self, spark: SparkSession, path: str) -> "MatchData":
-        """Write the three added-up tables and the matches; return data that reads them.
+        """Write the four added-up tables and the matches; return data that reads them.
 
         Later jobs then depend on files in shared storage, not on executors staying alive.
         """
         tables = {"batting": self.batting_innings, "bowling": self.bowling_overs, "overs": self.innings_overs,
-                  "matches": self.matches}
+                  "pairs": self.pair_innings, "matches": self.matches}
 
         def write(item):
             name, frame = item
@@ -131,8 +168,31 @@ class MatchData:
 
         with ThreadPoolExecutor(len(tables)) as pool:
             stored = dict(zip(tables, pool.map(write, tables.items())))
-        staged = MatchData(self.balls, stored["matches"])
-        staged.batting = staged.batting_innings = stored["batting"]
-        staged.bowling = staged.bowling_overs = stored["bowling"]
-        staged.overs = staged.innings_overs = stored["overs"]
-        return staged
+        return MatchData.of_tables(stored, self.balls)
+
+
+INPUTS = {"batting": "batting_innings", "bowling": "bowling_overs", "overs": "innings_overs", "pairs": "pair_innings"}
+
+
+class ReportInputs:
+    """The added-up tables kept between runs: each takes only matches (and revisions of them) that it does not have."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def add(self, balls: DataFrame) -> None:
+        """Add up the balls of matches that are not in yet. The list of matches is written last, so a failed run is repeated whole."""
+        done = f"{self.path}/matches"
+        if path_exists(self.spark, done):
+            balls = balls.join(read_table(self.spark, done), REVISION, "left_anti")
+        data = MatchData(balls)
+        for name, frame in INPUTS.items():
+            append_new(self.spark, getattr(data, frame), f"{self.path}/{name}", REVISION)
+        append_new(self.spark, balls.select(*REVISION).distinct(), done, REVISION)
+
+    def data(self, matches: DataFrame) -> MatchData:
+        """The inputs of these matches (match_id, revision and their facts) that have balls; no ball is read."""
+        loaded = matches.join(read_table(self.spark, f"{self.path}/matches"), REVISION, "left_semi")
+        wanted = loaded.select(*REVISION)
+        stored = {name: read_table(self.spark, f"{self.path}/{name}").join(wanted, REVISION, "left_semi").drop("revision") for name in INPUTS}
+        return MatchData.of_tables({**stored, "matches": loaded.select(*MATCH_COLUMNS)})

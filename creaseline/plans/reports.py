@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from creaseline.plans import batting, bowling, teams, trends
 from creaseline.plans.match_data import MatchData
+from creaseline.workspace import replace_path, scratch_dir
 
 
 @dataclass(frozen=True)
@@ -92,8 +93,10 @@ def report(name: str, data: MatchData, variant: str = "sql", ordered: bool = Fal
 
     `ordered` sorts a report without a limit for reading; do not ask for it before a write.
     """
+    if name not in REPORTS:
+        raise ValueError(f"unknown report {name}; there are {', '.join(REPORTS)}")
     if variant == "frame":
-        return FRAME_REPORTS[name](data, **params)
+        return FRAME_REPORTS.get(name, REPORTS[name].fn)(data, **params)
     if variant == "notebook":
         params = {**NOTEBOOK_PARAMS.get(name, {}), **params}
     elif variant != "sql":
@@ -107,7 +110,8 @@ def report(name: str, data: MatchData, variant: str = "sql", ordered: bool = Fal
 
 def write_reports(spark: SparkSession, data: MatchData, out: str, names=None, variant: str = "sql",
                   parallel: int = 4) -> list[tuple[str, str]]:
-    """Overwrite one table per report; return (report, error) of those that failed.
+    """Write one table per report; return (report, error) of those that failed. A table is written aside and then put in the
+    place of the old one, so a report that fails leaves the old one.
 
     The small jobs are submitted a few at a time so that the tail of one does not leave the cluster idle.
     """
@@ -115,7 +119,9 @@ def write_reports(spark: SparkSession, data: MatchData, out: str, names=None, va
 
     def write(name: str):
         try:
-            report(name, data, variant).write.mode("overwrite").parquet(f"{out}/{name}")
+            staged = scratch_dir(spark, f"report-{name}")
+            report(name, data, variant).write.parquet(staged)
+            replace_path(spark, staged, f"{out}/{name}")
         except Exception as e:  # one failing report must not stop the others
             return name, str(e)
         return None

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from creaseline.operators.flatten import slim_info
+from creaseline.operators.flatten import revision_of, slim_info
 from creaseline.operators.upsert import latest_per_key, merge_rows, only_new_rows
 from creaseline.sources.kpi_tables import read_table
 from creaseline.workspace import path_exists, replace_path, scratch_dir
@@ -18,27 +18,28 @@ def append_new(spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[s
                partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Append the rows whose key the table does not have yet, so a repeated load changes nothing.
 
-    The rows keep their keys' duplicates among themselves (all balls of a new match, say). When the keys have
-    a partition column, only partitions that the rows touch are searched.
+    The rows keep their keys' duplicates among themselves (all balls of a new match, say). A key always falls into
+    the same partition, so only partitions that the rows touch are searched.
     """
     if path_exists(spark, path):
         stored = read_table(spark, path, fmt, rows.schema)
-        within = [c for c in partition_by if c in keys]
-        if within:
-            stored = stored.join(rows.select(*within).distinct(), within, "left_semi")
+        if partition_by:
+            stored = stored.join(rows.select(*partition_by).distinct(), list(partition_by), "left_semi")
         rows = only_new_rows(rows, stored, keys)
     rows.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
 def write_raw_documents(spark: SparkSession, documents: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Raw table by match type and season, without squads and registry."""
-    rows = (slim_info(documents).withColumn("match_type", F.col("info.match_type")).withColumn("season", F.col("info.season")))
-    append_new(spark, rows, path, ["match_id"], ["match_type", "season"], fmt)
+    """Raw table by match type and season, without squads and registry. A document with a higher revision is a new row."""
+    rows = (slim_info(documents).withColumns({
+        "match_type": F.col("info.match_type"), "season": F.col("info.season"), "revision": revision_of(documents)}))
+    append_new(spark, rows, path, ["match_id", "revision"], ["match_type", "season"], fmt)
 
 
 def write_clean_balls(spark: SparkSession, balls: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Clean balls by match type. A match is loaded once."""
-    append_new(spark, balls, path, ["match_id"], ["match_type"], fmt)
+    """Clean balls by match type, and season where there is one. A revision of a match is loaded once."""
+    keys = [c for c in ("match_id", "revision") if c in balls.columns]
+    append_new(spark, balls, path, keys, [c for c in ("match_type", "season") if c in balls.columns], fmt)
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (),
@@ -80,23 +81,65 @@ def _file_count(stats: DataFrame, target_bytes: int) -> int:
     return max(1, -(-stats.first()["total_bytes"] // target_bytes))
 
 
+def small_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], target_bytes: int = 256 * MB, fmt: str = "parquet") -> DataFrame:
+    """Partitions with several files that would fit into fewer of the target size. Reads file footers only."""
+    files = (read_table(spark, path, fmt, _with_text(read_table(spark, path, fmt), partition_by))
+             .select(*partition_by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).distinct())
+    sizes = files.groupBy(*partition_by).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+    return sizes.where(F.col("files") > F.ceil(F.col("bytes") / target_bytes)).select(*partition_by)
+
+
+def _with_text(rows: DataFrame, partition_by: Sequence[str]) -> StructType:
+    """The schema with partition values as text, or '007' would come back as 7."""
+    return StructType([StructField(f.name, StringType()) if f.name in partition_by else f for f in rows.schema])
+
+
 def compact_table(spark: SparkSession, path: str, partition_by: Sequence[str] = (), target_bytes: int = 256 * MB,
                   fmt: str = "parquet") -> None:
-    """Rewrite a table into files of about the target size, then put it in place of the old one."""
-    # Partition values as text, or '007' would come back as 7.
-    schema = StructType([StructField(f.name, StringType()) if f.name in partition_by else f
-                         for f in read_table(spark, path, fmt).schema])
-    rows = read_table(spark, path, fmt, schema)
+    """Rewrite small files into files of about the target size. Of a partitioned table, only partitions that have too many
+    files are read and replaced; a table without partitions is written aside and put in place."""
+    rows = read_table(spark, path, fmt, _with_text(read_table(spark, path, fmt), partition_by))
+    staged = scratch_dir(spark, "compact")
     if partition_by:
+        small = small_partitions(spark, path, partition_by, target_bytes, fmt)
         # Spark splits large and joins small partitions by size at run time (advisoryPartitionSizeInBytes).
-        rows = rows.hint("rebalance", *partition_by)
-    else:
-        rows = rows.repartition(_file_count(table_stats(spark, path, fmt), target_bytes))
-    staged = scratch_dir(spark, "compact")
-    rows.write.format(fmt).partitionBy(*partition_by).save(staged)
+        rows = rows.join(small, list(partition_by), "left_semi").select(*rows.columns).hint("rebalance", *partition_by)
+        rows.write.format(fmt).partitionBy(*partition_by).save(staged)
+        again = read_table(spark, staged, fmt, rows.schema)
+        if not again.isEmpty():
+            # The staged files are as many as they should be; each goes back as it is.
+            (again.hint("rebalance", *partition_by).write.format(fmt).mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
+        return
+    rows.repartition(_file_count(table_stats(spark, path, fmt), target_bytes)).write.format(fmt).save(staged)
     replace_path(spark, staged, path)
 
 
+BUCKETS = 16
+
+
+def append_update(rows: DataFrame, path: str, batch: int, bucket_key: str, partition_by: Sequence[str], buckets: int = BUCKETS, fmt: str = "parquet") -> None:
+    """Add changed rows under their batch number, split by `partition_by`, a hash bucket of a key and the batch.
+
+    Nothing stored before is read or replaced. A batch that comes again replaces only its own files.
+    """
+    rows = rows.withColumns({"bucket": F.pmod(F.xxhash64(bucket_key), F.lit(buckets)).cast("int"), "batch": F.lit(batch).cast("bigint")})
+    (rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by, "bucket", "batch").save(path))
+
+
+def read_updates(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """The latest row of each key of a table of updates."""
+    return latest_per_key(read_table(spark, path, fmt), keys, ["batch"]).drop("bucket")
+
+
+def merge_updates(spark: SparkSession, path: str, target: str, keys: Sequence[str], partition_by: Sequence[str], buckets: int = BUCKETS,
+                  fmt: str = "parquet") -> None:
+    """The scheduled merge: the latest rows as a new version of the table, in a folder of its own, for readers and writers to switch to."""
+    rows = latest_per_key(read_table(spark, path, fmt), keys, ["batch"])
+    rows.write.format(fmt).partitionBy(*partition_by, "bucket", "batch").save(target)
+
+
 def export_tables(spark: SparkSession, names: Sequence[str], source: str, target: str, fmt: str = "parquet") -> DataFrame:
     """Copy report tables to Parquet; one result row (kpi, row_count, status) per table. A failing table does not stop the others.
 

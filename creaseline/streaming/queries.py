@@ -5,12 +5,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from creaseline.operators.live_balls import LIVE_BALL_KEY, enrich_envelope, parse_live_balls
 from creaseline.operators.upsert import earliest_per_key
 from creaseline.plans.live import DEMO_WATERMARK, SLIDE, WATERMARK, WINDOW, live_batsmen, live_bowlers, live_windows, update_windows
 from creaseline.schemas import CLEAN_LIVE_BALL
-from creaseline.sinks.tables import append_new, upsert_table
+from creaseline.sinks.tables import BUCKETS, append_new, append_update, read_updates
+from creaseline.sources.kpi_tables import read_table
 from creaseline.sources.live import read_table_stream
 
 RAW_LIVE = "topic STRING, ingestion_time TIMESTAMP, raw_json STRING"
@@ -68,60 +70,78 @@ def start_ball_upsert(balls: DataFrame, path: str, checkpoint: str, every: str |
 
 
 def start_window_upsert(balls: DataFrame, path: str, checkpoint: str, every: str | None = None,
-                        watermark: str = DEMO_WATERMARK) -> StreamingQuery:
-    """Short windows in update mode, changed ones replaced in a table split by window date."""
+                        watermark: str = DEMO_WATERMARK, buckets: int = BUCKETS) -> StreamingQuery:
+    """Short windows in update mode. Each micro-batch adds the windows that changed, by window date and bucket of matches;
+    `read_windows` takes the latest of each, `merge_updates` merges the table on a schedule."""
     windows = (update_windows(balls.withWatermark("event_time", watermark))
                .withColumn("window_date", F.to_date("window_start")))
 
-    def write(batch: DataFrame, _id: int) -> None:
-        # The merge reads the batch twice; computing a stateful batch twice is not allowed.
-        batch.persist()
-        try:
-            upsert_table(batch.sparkSession, batch, path, ["match_id", "window_start"], ["window_date"])
-        finally:
-            batch.unpersist()
+    def write(batch: DataFrame, number: int) -> None:
+        append_update(batch, path, number, "match_id", ["window_date"], buckets)
 
     return start_batches(windows, write, checkpoint, every)
 
 
-def start_rates_upsert(balls: DataFrame, path: str, checkpoint: str, player: str = "batsman", every: str | None = None) -> StreamingQuery:
-    """Live strike rates (`batsman`) or economy (`bowler`) per innings, changed players replaced in a table split by match.
+def read_windows(spark: SparkSession, path: str) -> DataFrame:
+    return read_updates(spark, path, ["match_id", "window_start"]).drop("window_date", "batch")
+
 
-    Reads a stream with one row per ball. Its state has one row per player and innings and is not bounded by a
-    watermark: start a new checkpoint per season.
+def start_rates_upsert(ball_table: str, path: str, checkpoint: str, player: str = "batsman", spark: SparkSession | None = None,
+                       every: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """Live strike rates (`batsman`) or economy (`bowler`) per innings, from the table that has each ball once.
+
+    New balls only tell which innings to add up again; these are read from the table of balls, so the query keeps no state, and a batch
+    that comes again gives the same rows. `read_rates` takes the latest of each player and innings.
     """
-    rates = live_batsmen(balls) if player == "batsman" else live_bowlers(balls)
+    spark = spark or SparkSession.active()
+    schema = ball_schema()
+    rates = live_batsmen if player == "batsman" else live_bowlers
+
+    def write(batch: DataFrame, number: int) -> None:
+        innings = batch.select("match_id", "inning").distinct()
+        balls = read_table(spark, ball_table, schema=schema).join(innings, ["match_id", "inning"], "left_semi")
+        append_update(rates(balls), path, number, "match_id", [], buckets)
+
+    return start_batches(read_table_stream(spark, ball_table, schema).select("match_id", "inning"), write, checkpoint, every, mode="append")
 
-    def write(batch: DataFrame, _id: int) -> None:
-        batch.persist()
-        try:
-            upsert_table(batch.sparkSession, batch, path, ["match_id", "inning", player], ["match_id"])
-        finally:
-            batch.unpersist()
 
-    return start_batches(rates, write, checkpoint, every)
+def read_rates(spark: SparkSession, path: str, player: str = "batsman") -> DataFrame:
+    return read_updates(spark, path, ["match_id", "inning", player]).drop("batch")
+
+
+def ball_schema() -> StructType:
+    """Of the table of balls: the clean balls without the time they came in."""
+    return StructType([f for f in StructType.fromDDL(CLEAN_LIVE_BALL).fields if f.name != "ingestion_time"])
 
 
 def run_chain(spark: SparkSession, messages: DataFrame, base: str, every: str | None = None) -> list[StreamingQuery]:
-    """Raw, clean and metric queries, each with its own checkpoint, handing over through tables.
+    """Raw, clean, ball and metric queries, each with its own checkpoint, handing over through tables.
 
-    Without `every`, each runs to the end of its input before the next starts.
+    A feed repeats each ball at every poll, for as long as it likes. The table of balls keeps the first sight of a ball, so the metrics and
+    the rates that read it count a ball once, whenever it comes again. Without `every`, each query runs to the end of its
+    input before the next starts.
     """
     queries = []
 
-    def start(rows: DataFrame, layer: str) -> None:
-        q = start_append(rows, f"{base}/{layer}", f"{base}/_checkpoints/{layer}", every)
+    def add(query: StreamingQuery) -> None:
         if every is None:
-            q.awaitTermination()
-        queries.append(q)
+            query.awaitTermination()
+        queries.append(query)
+
+    def checkpoint(layer: str) -> str:
+        return f"{base}/_checkpoints/{layer}"
 
     if every:  # a file source needs its folder to exist
-        for layer in ("raw", "clean"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{layer}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-    start(enrich_envelope(messages), "raw")
-    start(clean_stream(read_table_stream(spark, f"{base}/raw", RAW_LIVE)), "clean")
-    start(live_kpi_stream(read_table_stream(spark, f"{base}/clean", CLEAN_LIVE_BALL)), "live_kpis")
+        for layer in ("raw", "clean", "balls"):  # an empty partitioned write makes the folder and no file
+            spark.createDataFrame([], "match_id STRING, n INT").write.mode("append").partitionBy("match_id").parquet(f"{base}/{layer}")
+    add(start_append(enrich_envelope(messages), f"{base}/raw", checkpoint("raw"), every))
+    add(start_append(clean_stream(read_table_stream(spark, f"{base}/raw", RAW_LIVE)), f"{base}/clean", checkpoint("clean"), every))
+    clean = read_table_stream(spark, f"{base}/clean", CLEAN_LIVE_BALL)
+    add(start_ball_upsert(clean.drop("ingestion_time"), f"{base}/balls", checkpoint("balls"), every))
+    balls = read_table_stream(spark, f"{base}/balls", ball_schema())
+    add(start_append(live_kpi_stream(balls, dedup=False), f"{base}/live_kpis", checkpoint("live_kpis"), every))
+    for player in ("batsman", "bowler"):
+        add(start_rates_upsert(f"{base}/balls", f"{base}/{player}_rates", checkpoint(f"{player}_rates"), player, spark, every))
     return queries
 
 

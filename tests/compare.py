@@ -75,7 +75,7 @@ def main():
             df = queries[name](spark, sf_dir)
             found = difference(df, con, oracles[name]) if name in oracles else f"no oracle, {df.count()} rows"
         except Exception as e:
-            found = f"{type(e).__name__}: {str(e)[:600]}"
+            found = f"{type(e).__name__}: {str(e)[:1500]}"
         bad += bool(found)
         print(f"{'FAIL' if found else 'ok  '} {name} {time.time() - start:.1f}s {found or ''}", flush=True)
     print(f"{bad} of {len(names or queries)} differ")

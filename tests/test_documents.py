@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creaseline.operators import flatten, quality
 from creaseline.plans import batch_run
+from creaseline.plans.reports import REPORTS, report
 from creaseline.sources.documents import read_match_documents
 
 
@@ -90,3 +91,48 @@ def test_batch_run_twice_and_incrementally(spark, documents, folder):
     assert spark.read.parquet(f"{base}/silver/deliveries").count() == 20
     top = spark.read.parquet(f"{base}/gold/batch_kpis/top_run_scorers").first()
     assert (top.batsman, top.total_runs, top.balls_faced, top.matches) == ("A", 55, 20, 5)
+
+
+def test_corrected_matches_replace_and_rejected_balls_stay(spark, documents, folder):
+    """A half-played match, then its whole document; a ball without a bowler goes to quarantine."""
+    base = f"{folder}/lake"
+    half = document()
+    half["innings"] = half["innings"][:1]
+    path = documents(m1=half, m2=document())
+    assert batch_run.run_batch(spark, path, base) == []
+    whole = document(winner="Oman")
+    whole["meta"]["revision"] = 2
+    whole["innings"][1]["overs"][0]["deliveries"].append(delivery(3, bowler=None))
+    documents(m1=whole)
+    assert batch_run.run_batch(spark, path, base) == []
+    balls = {r.match_id: (r["count"], r.revision) for r in batch_run.latest_balls(spark, base).groupBy("match_id", "revision").count().collect()}
+    assert balls == {"m1": (4, 2), "m2": (4, 1)}
+    assert [(r.match_id, r.failed_rule, r.season) for r in batch_run.latest_balls(spark, base, "quarantine").collect()] == [("m1", "no_bowler", "2024")]
+    wins = {r.team: r.wins for r in spark.read.parquet(f"{base}/gold/batch_kpis/most_wins_by_team").collect()}
+    assert wins == {"Oman": 1, "India": 1}
+    direct = batch_run.match_data_of(spark, base)
+    for name in REPORTS:
+        kept = spark.read.parquet(f"{base}/gold/batch_kpis/{name}")
+        assert sorted(map(str, kept.collect())) == sorted(map(str, report(name, direct).collect())), name
+
+
+def test_anti_join_is_below_the_first_generator(spark, documents, folder):
+    path = documents(m1=document(), m2=document())
+    base = f"{folder}/lake"
+    batch_run.run_batch(spark, path, base)
+    plan = flatten.flatten_matches(batch_run.pending_documents(spark, base), keep=["season", "revision"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("LeftAnti")  # the plan prints from the top
+
+
+def test_job_modes(spark, documents, folder):
+    from creaseline import job
+    base = f"{folder}/lake"
+    assert job.main(["batch", "--base", base, "--documents", documents(m1=document())], spark) == 0
+    assert job.main(["reports", "--base", base, "--variant", "frame"], spark) == 0
+    assert spark.read.parquet(f"{base}/gold/batch_kpis/top_run_scorers").first().batsman == "A"
+    envelope = spark.createDataFrame([("k", json.dumps({"matchId": "M", "inning": "I", "over": 0, "ball": 1, "eventTime": "2024-01-01T00:00:00Z"}), "live-balls")], "key string, value string, topic string")
+    envelope.write.parquet(f"{folder}/messages")
+    assert job.main(["streaming", "--base", f"{folder}/live", "--messages", f"{folder}/messages"], spark) == 0
+    assert spark.read.parquet(f"{folder}/live/balls").count() == 1
+    with pytest.raises(SystemExit):
+        job.main(["batch", "--base", base], spark)

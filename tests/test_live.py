@@ -108,7 +108,7 @@ def test_update_windows_are_replaced(spark, folder):
         feed(spark, folder, texts)
         balls = streams.clean_stream(live_balls.enrich_envelope(source(spark, folder)))
         streams.start_window_upsert(balls, f"{folder}/w", f"{folder}/cp").awaitTermination()
-    rows = spark.read.parquet(f"{folder}/w")
+    rows = streams.read_windows(spark, f"{folder}/w")
     assert rows.count() == rows.select("match_id", "window_start").distinct().count()
     assert rows.filter(F.col("window_start") == "2024-01-01 00:00:00").first().window_runs == 10
 
@@ -126,7 +126,7 @@ def test_chain_running_continuously(spark, folder):
     feed(spark, folder, [message(m, ball=m) for m in range(30)])
     queries = streams.run_chain(spark, source(spark, folder), f"{folder}/lake", every="1 second")
     try:
-        for q in queries:
+        for q in queries * 2:  # the second time, the watermark of the first has closed its windows
             q.processAllAvailable()
     finally:
         streams.stop_chain(queries)
@@ -141,12 +141,39 @@ def test_current_partnership(spark):
 
 
 def test_rates_are_replaced(spark, folder):
-    from creaseline.sources.live import read_table_stream
-    schema = "match_id string, inning string, over_num int, ball_num int, batsman string, bowler string, runs_batsman int, runs_total int, is_wicket boolean"
-    for ball, runs in ((1, 4), (2, 1)):
-        spark.createDataFrame([("M", "I", 0, ball, "x", "y", runs, runs, False)], schema).write.mode("append").parquet(f"{folder}/balls")
+    rows = [("M", "I", 0, 1, "x", "y", 4), ("M", "I", 0, 2, "x", "y", 1)]
+    for row in rows:
+        match, inning, over, ball, batsman, bowler, runs = row
+        spark.createDataFrame([(match, inning, over, ball, batsman, bowler, runs, 0, runs, None, None, False, START)], streams.ball_schema()) \
+             .write.mode("append").partitionBy("match_id").parquet(f"{folder}/balls")
         for player in ("batsman", "bowler"):
-            rows = read_table_stream(spark, f"{folder}/balls", schema)
-            streams.start_rates_upsert(rows, f"{folder}/{player}", f"{folder}/cp-{player}", player).awaitTermination()
-    assert [(r.runs, r.balls, r.strike_rate) for r in spark.read.parquet(f"{folder}/batsman").collect()] == [(5, 2, 250.0)]
-    assert [(r.runs, r.balls, r.economy) for r in spark.read.parquet(f"{folder}/bowler").collect()] == [(5, 2, 15.0)]
+            streams.start_rates_upsert(f"{folder}/balls", f"{folder}/{player}", f"{folder}/cp-{player}", player, spark).awaitTermination()
+    assert [(r.runs, r.balls, r.strike_rate) for r in streams.read_rates(spark, f"{folder}/batsman").collect()] == [(5, 2, 250.0)]
+    assert [(r.runs, r.balls, r.economy) for r in streams.read_rates(spark, f"{folder}/bowler", "bowler").collect()] == [(5, 2, 15.0)]
+
+
+def test_polls_repeated_after_the_watermark_count_once(spark, folder):
+    """The same ten balls in four runs of the chain, twenty minutes apart."""
+    for poll in range(4):
+        feed(spark, folder, [message(20 * poll, ball=b, runs=2, seconds=b) for b in range(1, 11)] + [message(20 * poll + 15, ball=90 + poll)])
+        streams.run_chain(spark, source(spark, folder), f"{folder}/lake")
+    rows = spark.read.parquet(f"{folder}/lake/live_kpis").collect()
+    assert {r.window_start.minute for r in rows if r.balls_bowled == 10} == {0, 56, 57, 58, 59}
+    assert sum(r.balls_bowled == 10 for r in rows) == 5
+
+
+def test_a_batch_leaves_other_buckets_alone(spark, folder):
+    import glob
+    import os
+
+    from creaseline.sinks.tables import append_update, merge_updates, read_updates
+    rows = spark.createDataFrame([(f"m{k}", 1) for k in range(40)], "match_id string, v int")
+    append_update(rows, f"{folder}/t", 0, "match_id", [], 8)
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/t/bucket=*/batch=0/*.parquet")}
+    for _ in range(2):  # a batch that comes again replaces only itself
+        append_update(spark.createDataFrame([("m3", 2)], "match_id string, v int"), f"{folder}/t", 1, "match_id", [], 8)
+    assert {f: os.stat(f).st_mtime_ns for f in before} == before and len(glob.glob(f"{folder}/t/bucket=*/batch=1")) == 1
+    merge_updates(spark, f"{folder}/t", f"{folder}/merged", ["match_id"], [])
+    for table in ("t", "merged"):
+        got = {r.match_id: r.v for r in read_updates(spark, f"{folder}/{table}", ["match_id"]).collect()}
+        assert got == {**{f"m{k}": 1 for k in range(40)}, "m3": 2}

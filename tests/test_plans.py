@@ -40,3 +40,14 @@ def test_filter_on_match_type_prunes_partitions(spark, folder):
 
 def test_last_windows_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(spark, "serve_rr_trend")
+
+
+@pytest.mark.parametrize("name", ["jn_first_innings", "win_first_per_group", "kpi13_win_batting_first__frame", "kpi16_lowest_successful_chases__frame", "jn_player_team", "st_live_kpis_batch"])
+def test_balls_are_added_up_by_hash_before_anything_is_sorted(spark, name):
+    """Below each sorted aggregate stands a hash aggregate, nearer to the scan."""
+    lines = plan(spark, name).splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    for at, line in enumerate(lines):
+        if "SortAggregate" in line:
+            below = [other for k, other in enumerate(lines[at + 1:], at + 1) if depth[k] > depth[at]]
+            assert any("HashAggregate" in other and "Object" not in other for other in below), line
