@@ -12,7 +12,7 @@ edges that connect leave the task. Long lists and large families are cut into bl
 decided or already connected; nothing is capped.
 
 Defined results: a null or wordless text has no shingles and is linked with nothing. Fewer words than a shingle has are one shingle. A null id is larger than any
-other. Rows that share an id stay or go together if their sets are equal. Extra columns are ignored, and kept by `keep_one`.
+other. Rows that share an id and a set have the same result. Extra columns are ignored, and kept by `keep_one`.
 """
 
 from __future__ import annotations
@@ -306,6 +306,11 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, with all their columns, whose id is the smallest of its component."""
-    kept = staged(link(docs, width, percent, id_col, text_col).where("kept").select(F.col(id_col).alias("kept_id")).distinct(), "near-kept")
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
+    """The rows of `docs`, with all their columns, without the ids that are not the smallest of their component.
+
+    Anti-joined with the ids to drop, which are far fewer than those to keep: where Spark finds them small, no text is shuffled.
+    An id goes if none of its rows stays. A null id names no row, so rows without an id always stay.
+    """
+    gone = link(docs, width, percent, id_col, text_col).groupBy(F.col(id_col).alias("gone_id")).agg(F.max("kept").alias("kept"))
+    gone = staged(gone.where(F.col("gone_id").isNotNull() & ~F.col("kept")).select("gone_id"), "near-gone")
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")

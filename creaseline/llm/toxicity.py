@@ -81,15 +81,29 @@ def tokens_of(texts: list[bytes]) -> Tokens:
     return Tokens(np.searchsorted(offsets, start, "right") - 1, chain, start, stop, features)
 
 
-def marginals(score: np.ndarray, chain: np.ndarray, trans: np.ndarray, first: float) -> tuple[np.ndarray, np.ndarray]:
-    """P(toxic) of each token, and for each token but a chain's first the four joint probabilities with the one before.
+def scores_of(weights: np.ndarray, tokens: Tokens) -> np.ndarray:
+    out = np.zeros(len(tokens.doc))
+    for column in tokens.features.T:
+        out += weights[column]
+    return out
+
+
+def joined(parts: list[Tokens], docs: list[int]) -> Tokens:
+    """Batches of texts as one, with their numbers of documents; byte ranges stay those of the batches."""
+    firsts = np.cumsum([0, *docs[:-1]])
+    chains = np.cumsum([0, *[int(t.chain[-1]) + 1 if len(t.chain) else 0 for t in parts[:-1]]])
+    return Tokens(np.concatenate([t.doc + d for t, d in zip(parts, firsts)]), np.concatenate([t.chain + c for t, c in zip(parts, chains)]),
+                  np.concatenate([t.start for t in parts]), np.concatenate([t.stop for t in parts]), np.concatenate([t.features for t in parts]))
+
+
+def marginals(score: np.ndarray, chain: np.ndarray, trans: np.ndarray, first: float, pairs: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """P(toxic) of each token and, if asked for, for each token but a chain's first the four joint probabilities with the one before.
 
     Ratios of the two labels' forward and backward sums, for all chains of the batch in step; `trans` and `first` are log scores.
     """
     n = len(score)
-    p, joint = np.zeros(n), np.zeros((n, 2, 2))
     if not n:
-        return p, joint
+        return np.zeros(0), np.zeros((0, 2, 2))
     begin = np.flatnonzero(np.diff(chain, prepend=-1))
     size = np.diff(np.append(begin, n))
     order = np.argsort(-size, kind="stable")
@@ -108,6 +122,9 @@ def marginals(score: np.ndarray, chain: np.ndarray, trans: np.ndarray, first: fl
         behind[at - 1] = (move[1, 0] + move[1, 1] * after) / (move[0, 0] + move[0, 1] * after)
     odds = ahead * behind
     p = odds / (1 + odds)
+    if not pairs:
+        return p, None
+    joint = np.zeros((n, 2, 2))
     later = np.ones(n, bool)
     later[begin] = False
     at = np.flatnonzero(later)
@@ -132,7 +149,7 @@ class Model:
         tokens = tokens_of([small(t or "").encode("utf-8", "surrogatepass") for t in texts])
         if self.base is not None:
             return np.zeros(len(tokens.doc)), tokens, np.zeros(len(texts)), np.full(len(texts), self.base)
-        p, _ = marginals(self.weights[tokens.features].sum(1), tokens.chain, self.trans, self.first)
+        p, _ = marginals(scores_of(self.weights, tokens), tokens.chain, self.trans, self.first)
         figures = document_figures(p, tokens.doc, len(texts))
         return p, tokens, np.bincount(tokens.doc, p, len(texts)), 1 / (1 + np.exp(-np.clip(figures @ self.logistic, -30, 30)))
 
@@ -178,7 +195,7 @@ def fit_field(tokens: Tokens, label: np.ndarray, turns: int, l2: float) -> tuple
     np.add.at(true, (label[pair - 1].astype(int), label[pair].astype(int)), 1)
     columns = list(tokens.features.T)
     for _ in range(turns):
-        p, joint = marginals(weights[tokens.features].sum(1), tokens.chain, trans, first)
+        p, joint = marginals(scores_of(weights, tokens), tokens.chain, trans, first, pairs=True)
         error = label - p
         slope = sum(np.bincount(c, error, buckets) for c in columns) - l2 * weights
         slope[0] = 0.0
@@ -229,10 +246,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not len(toxic) or toxic.all() or not toxic.any():
         share = totals.get(True, 0) / max(sum(totals.values()), 1)
         return Model(np.zeros(0), np.zeros((2, 2)), 0.0, np.zeros(4), base=float(share))
-    tokens = tokens_of([small(r["text"]).encode("utf-8", "surrogatepass") for r in rows])
+    slices = [rows[k:k + 100] for k in range(0, len(rows), 100)]
+    tokens = joined([tokens_of([small(r["text"]).encode("utf-8", "surrogatepass") for r in part]) for part in slices], [len(part) for part in slices])
     label = toxic_tokens(tokens, toxic, ratio, least_docs)
     weights, trans, first = fit_field(tokens, label.astype(float), turns, l2)
-    p, _ = marginals(weights[tokens.features].sum(1), tokens.chain, trans, first)
+    p, _ = marginals(scores_of(weights, tokens), tokens.chain, trans, first)
     per_row = np.where(toxic, totals[True] / toxic.sum(), totals[False] / (~toxic).sum())
     logistic = fit_logistic(document_figures(p, tokens.doc, len(rows)), toxic.astype(float), per_row / per_row.mean())
     return Model(weights.astype(np.float32), trans, first, logistic)

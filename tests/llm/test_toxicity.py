@@ -16,7 +16,7 @@ def test_marginals_against_all_labellings():
     for sizes in ([4], [1, 3, 2], [5, 1]):
         chain = np.repeat(np.arange(len(sizes)), sizes)
         score, trans, first = rng.normal(size=len(chain)), rng.normal(size=(2, 2)), float(rng.normal())
-        p, joint = toxicity.marginals(score, chain, trans, first)
+        p, joint = toxicity.marginals(score, chain, trans, first, pairs=True)
         for c in range(len(sizes)):
             at = np.flatnonzero(chain == c)
             total, hit, pair = 0.0, np.zeros(len(at)), np.zeros((len(at), 2, 2))
