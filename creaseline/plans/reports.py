@@ -12,7 +12,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.plans import batting, bowling, teams, trends
+from creaseline.plans import batting, bowling, frames, teams, trends
 from creaseline.plans.match_data import MatchData
 from creaseline.workspace import replace_path, scratch_dir
 
@@ -74,6 +74,20 @@ FRAME_REPORTS: dict[str, Callable[..., DataFrame]] = {
     "run_rate_progression": trends.cumulative_run_rate,
     "home_away_win_pct": teams.home_away_by_host,
     "head_to_head": teams.head_to_head_pairs,
+    "best_batting_average": frames.batting_average,
+    "best_bowling_average": frames.bowling_average,
+    "best_strike_rate": frames.strike_rate,
+    "best_economy_rate": frames.economy_rate,
+    "powerplay_run_rate": frames.powerplay,
+    "highest_team_totals": frames.team_totals,
+    "most_wins_by_team": frames.team_wins,
+    "player_by_match_type": frames.players_by_type,
+    "partnership_analysis": frames.partnerships,
+    "dot_ball_pct": frames.dot_balls,
+    "extras_analysis": frames.extras,
+    "player_consistency": frames.consistency,
+    "best_bowling_spells": frames.spells,
+    "win_contribution": frames.winning_share,
 }
 
 NOTEBOOK_PARAMS: dict[str, dict] = {
@@ -96,7 +110,7 @@ def report(name: str, data: MatchData, variant: str = "sql", ordered: bool = Fal
     if name not in REPORTS:
         raise ValueError(f"unknown report {name}; there are {', '.join(REPORTS)}")
     if variant == "frame":
-        return FRAME_REPORTS.get(name, REPORTS[name].fn)(data, **params)
+        return FRAME_REPORTS[name](data, **params)
     if variant == "notebook":
         params = {**NOTEBOOK_PARAMS.get(name, {}), **params}
     elif variant != "sql":

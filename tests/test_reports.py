@@ -99,7 +99,7 @@ def test_unordered_reports_can_be_sorted(data):
 
 
 def test_variants_are_all_known():
-    assert len(REPORTS) == 30 and set(FRAME_REPORTS) <= set(REPORTS) and set(NOTEBOOK_PARAMS) <= set(REPORTS)
+    assert len(REPORTS) == 30 and set(FRAME_REPORTS) == set(REPORTS) and set(NOTEBOOK_PARAMS) <= set(REPORTS)
 
 
 def test_shared_inputs_give_the_same_reports(spark, folder):
