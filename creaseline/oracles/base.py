@@ -6,8 +6,8 @@ t AS (
   FROM (SELECT *, CAST(FLOOR(l_orderkey / 60) AS BIGINT) AS m FROM lineitem)
 ), n AS (
   SELECT *,
-    'T' || CAST(k1 AS STRING) || 'x XI' AS team1,
-    'T' || CAST(k2 AS STRING) || 'x XI' AS team2,
+    CASE k1 WHEN 0 THEN 'India' WHEN 1 THEN 'Sri Lanka' WHEN 2 THEN 'Oman' ELSE 'T' || CAST(k1 AS STRING) || 'x XI' END AS team1,
+    CASE k2 WHEN 0 THEN 'India' WHEN 1 THEN 'Sri Lanka' WHEN 2 THEN 'Oman' ELSE 'T' || CAST(k2 AS STRING) || 'x XI' END AS team2,
     CASE WHEN m % 29 = 0 THEN NULL WHEN m % 3 = 0 THEN 'bat' ELSE 'field' END AS toss_decision,
     (m * 13) % 7 < 3 AS toss_t1, (m * 31) % 5 < 3 AS win_t1, l_linestatus = 'F' AS bat_t1
   FROM t
@@ -24,25 +24,26 @@ t AS (
     END AS wicket_kind,
     CASE CAST(l_quantity AS INT) % 12 WHEN 5 THEN 1 WHEN 6 THEN 1 WHEN 7 THEN 1 WHEN 8 THEN 2
          WHEN 9 THEN 4 WHEN 10 THEN 6 WHEN 11 THEN 3 ELSE 0 END AS runs_batsman,
-    CASE WHEN l_tax >= 0.065 THEN 1 ELSE 0 END AS runs_extras
+    CASE WHEN l_tax >= 0.065 THEN 1 ELSE 0 END AS runs_extras,
+    CASE WHEN l_suppkey % 3 = 0 THEN 0 ELSE l_suppkey % 11 END AS batsman_no, CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_partkey % 11 END AS bowler_no
   FROM n
 ), balls AS (
   SELECT 'match_' || CAST(m AS STRING) AS match_id,
     CASE WHEN m % 4 <= 1 THEN 'T20' WHEN m % 4 = 2 THEN 'ODI' ELSE 'Test' END AS match_type,
     team1, team2,
-    'T' || CAST((m * 7) % 5 AS STRING) || 'x Oval' AS venue,
+    CASE (m * 7) % 5 WHEN 0 THEN 'India Oval' WHEN 3 THEN 'T3x XI Park' ELSE 'T' || CAST((m * 7) % 5 AS STRING) || 'x Oval' END AS venue,
     '2024-' || LPAD(CAST(1 + m % 12 AS STRING), 2, '0') || '-' || LPAD(CAST(1 + m % 28 AS STRING), 2, '0') AS match_date,
     winner, toss_winner, toss_decision, inning,
     CASE WHEN inning = bat_first THEN 1 ELSE 2 END AS inning_no,
     CAST((l_partkey * 3 + l_linenumber) % 20 AS INT) AS over_num,
-    inning || ' P' || CAST(l_suppkey % 11 AS STRING) AS batsman,
-    fielding || ' P' || CAST(l_partkey % 11 AS STRING) AS bowler,
+    inning || ' P' || CAST(batsman_no AS STRING) AS batsman,
+    fielding || ' P' || CAST(bowler_no AS STRING) AS bowler,
     inning || ' P' || CAST((l_suppkey + 1 + l_linenumber) % 11 AS STRING) AS non_striker,
     runs_batsman, runs_extras, runs_batsman + runs_extras AS runs_total,
     wicket_kind,
     CASE WHEN wicket_kind IS NULL THEN NULL
          WHEN wicket_kind = 'run out' AND l_linenumber % 2 = 0 THEN inning || ' P' || CAST((l_suppkey + 1 + l_linenumber) % 11 AS STRING)
-         ELSE inning || ' P' || CAST(l_suppkey % 11 AS STRING) END AS wicket_player_out,
+         ELSE inning || ' P' || CAST(batsman_no AS STRING) END AS wicket_player_out,
     l_orderkey AS seq_order, l_linenumber AS seq_line, l_extendedprice AS seq_price
   FROM b
 ), matches AS (

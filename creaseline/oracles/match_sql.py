@@ -1,10 +1,11 @@
 """Sources, sinks, projections, joins, aggregates, windows and serving reads over the balls."""
 
-from creaseline.functions.labels import TEAM_FLAGS
 from creaseline.oracles.base import half_even, half_up, over_balls, over_innings, over_numbered, total
 from creaseline.oracles.report_sql import CONCEDED, GROUNDS, OVER_PRESSURE, PAIRS, PROGRESSION, RECORDS, RUNS, SQL as REPORT_SQL, TOTALS, cumulative
 
 SQL: dict[str, str] = {}
+# Flags of the named teams of the bridge.
+FLAGS = "WHEN 'India' THEN '🇮🇳' WHEN 'Sri Lanka' THEN '🇱🇰' WHEN 'Oman' THEN '🇴🇲'"
 MATCH = "match_id, match_type, team1, team2, venue, match_date, winner, toss_winner, toss_decision"
 FLAT = (MATCH + ", inning, inning_no, over_num, ball_num, batsman, bowler, non_striker, runs_batsman, runs_extras, runs_total, "
         "wicket_kind, wicket_player_out")
@@ -106,11 +107,13 @@ LEFT JOIN (SELECT batsman, COUNT(DISTINCT match_id || '_' || inning) AS dismissa
 SQL["jn_composite"] = over_innings("SELECT batsman, match_id, inning, runs AS score, was_out = 0 AS not_out FROM knocks")
 SQL["jn_first_innings"] = over_balls(TOTALS + "SELECT match_id, inning, runs AS innings_total FROM totals WHERE inning_no = 2")
 SQL["jn_player_team"] = over_balls(f"""
-SELECT batsman, {RUNS} AS total_runs, ARG_MAX(inning, match_id) AS team, '' AS flag, batsman AS player_display FROM balls GROUP BY batsman""")
+SELECT batsman, total_runs, team, flag, CASE WHEN flag = '' THEN batsman ELSE flag || ' ' || batsman END AS player_display
+FROM (SELECT *, CASE team {FLAGS} ELSE '' END AS flag
+      FROM (SELECT batsman, {RUNS} AS total_runs, ARG_MAX(inning, match_id) AS team FROM balls GROUP BY batsman))""")
 SQL["jn_team_labels"] = f"""
 SELECT c_custkey, team, flag, short, flag || ' ' || team AS display
-FROM customer JOIN (VALUES (0, 'India', '{TEAM_FLAGS['India']}', 'India'), (1, 'South Africa', '{TEAM_FLAGS['South Africa']}', 'SA'),
-  (2, 'Sri Lanka', '{TEAM_FLAGS['Sri Lanka']}', 'SL'), (3, 'United Arab Emirates', '{TEAM_FLAGS['United Arab Emirates']}', 'UAE'),
+FROM customer JOIN (VALUES (0, 'India', '🇮🇳', 'India'), (1, 'South Africa', '🇿🇦', 'SA'),
+  (2, 'Sri Lanka', '🇱🇰', 'SL'), (3, 'United Arab Emirates', '🇦🇪', 'UAE'),
   (4, 'Elsewhere', '🏳️', 'Elsewhere')) AS v(k, team, flag, short) ON c_nationkey % 5 = k"""
 SQL["jn_new_matches"] = over_balls("SELECT match_id FROM matches WHERE match_date >= '2024-07-01'")
 
@@ -241,7 +244,7 @@ SQL["serve_rr_progression"] = over_balls(f"SELECT * FROM ({PROGRESSION}) WHERE m
 SQL["serve_phase"] = REPORT_SQL["kpi21_boundary_pct_per_phase"]
 SQL["serve_toss"] = f"SELECT toss_decision, match_type, total_matches, win_pct, {VERDICT} FROM ({REPORT_SQL['kpi12_win_by_toss_decision']}) AS r"
 SQL["serve_h2h"] = over_balls(f"""
-SELECT match_type, team1, team2, '🏳️ ' || team1 || ' vs 🏳️ ' || team2 AS matchup, matches_played, team1_wins, team2_wins, no_result
+SELECT match_type, team1, team2, CASE team1 {FLAGS} ELSE '🏳️' END || ' ' || team1 || ' vs ' || CASE team2 {FLAGS} ELSE '🏳️' END || ' ' || team2 AS matchup, matches_played, team1_wins, team2_wins, no_result
 FROM ({RECORDS}) WHERE match_type = 'T20' ORDER BY matches_played DESC, team1, team2 LIMIT 20""")
 SQL["serve_partnerships"] = f"""
 SELECT batsman, non_striker, match_id, inning, batsman || ' & ' || non_striker AS pair, partnership_runs, balls_faced

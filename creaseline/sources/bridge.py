@@ -20,9 +20,9 @@ _MATCH_FACTS = [
     ("k2", "(m + 1 + (m div 25) % 24) % 25"),
     ("match_id", "'match_' || m"),
     ("match_type", "CASE WHEN m % 4 <= 1 THEN 'T20' WHEN m % 4 = 2 THEN 'ODI' ELSE 'Test' END"),
-    ("team1", "'T' || k1 || 'x XI'"),
-    ("team2", "'T' || k2 || 'x XI'"),
-    ("venue", "'T' || (m * 7) % 5 || 'x Oval'"),
+    ("team1", "CASE k1 WHEN 0 THEN 'India' WHEN 1 THEN 'Sri Lanka' WHEN 2 THEN 'Oman' ELSE 'T' || k1 || 'x XI' END"),
+    ("team2", "CASE k2 WHEN 0 THEN 'India' WHEN 1 THEN 'Sri Lanka' WHEN 2 THEN 'Oman' ELSE 'T' || k2 || 'x XI' END"),
+    ("venue", "CASE (m * 7) % 5 WHEN 0 THEN 'India Oval' WHEN 3 THEN 'T3x XI Park' ELSE 'T' || (m * 7) % 5 || 'x Oval' END"),
     ("match_date", "'2024-' || lpad(CAST(1 + m % 12 AS STRING), 2, '0') || '-' || lpad(CAST(1 + m % 28 AS STRING), 2, '0')"),
     ("winner", "CASE WHEN m % 17 = 0 THEN NULL WHEN (m * 31) % 5 < 3 THEN team1 ELSE team2 END"),
     ("toss_winner", "CASE WHEN (m * 13) % 7 < 3 THEN team1 ELSE team2 END"),
@@ -36,8 +36,9 @@ _BALL_FACTS = [
     ("fielding", "CASE WHEN l_linestatus = 'F' THEN team2 ELSE team1 END"),
     ("inning_no", "CASE WHEN inning = bat_first THEN 1 ELSE 2 END"),
     ("over_num", "CAST((l_partkey * 3 + l_linenumber) % 20 AS INT)"),
-    ("batsman", "inning || ' P' || l_suppkey % 11"),
-    ("bowler", "fielding || ' P' || l_partkey % 11"),
+    # One batsman and one bowler of each team have a third of its balls.
+    ("batsman", "inning || ' P' || CASE WHEN l_suppkey % 3 = 0 THEN 0 ELSE l_suppkey % 11 END"),
+    ("bowler", "fielding || ' P' || CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_partkey % 11 END"),
     ("non_striker", "inning || ' P' || (l_suppkey + 1 + l_linenumber) % 11"),
     ("runs_batsman", "element_at(array(0, 0, 0, 0, 0, 1, 1, 1, 2, 4, 6, 3), CAST(l_quantity AS INT) % 12 + 1)"),
     ("runs_extras", "CASE WHEN l_tax >= 0.065 THEN 1 ELSE 0 END"),
