@@ -1,9 +1,9 @@
 """Line de-duplication by an exact set-similarity join.
 
 A line is the set of its words; equal sets form a class, and a class is compared with others at a Jaccard similarity of `percent` per cent or
-more. Words are ordered by rarity. A pair must share a word among the first n - ceil(t n) + 1 of either line (the prefix), so a class
+more. Words are ordered by rarity. A pair must share a word among the first n - ceil(t n) + 1 of either line (the prefix), so a line
 is posted under these only. In each list, pairs pass the length filter, the positional filter (words left after the shared one) and a filter on
-128-bit maps of the words, whose difference never exceeds that of the sets. A list hands on no pairs, only enough of
+64-bit maps of the words, whose difference never exceeds that of the sets. A list hands on no pairs, only enough of
 them to connect what passed; each connected family is then compared on its full word sets, block against block, and counted
 where it is compared. Lists and families of any size are cut into blocks shared by many tasks.
 
@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creaseline.llm.common import fresh_name, ship_package, staged
+from creaseline.llm.common import fresh_name, partitions, ship_package, staged
 from creaseline.llm.near_dup import FOLD, M2, SPACE, by_group, components, in_blocks, mixed, overlaps
 
 COUNTER_BITS = 22
 CHUNK = 1 << 14  # counters in one row of the table
 LIST_BLOCK, FAMILY_BLOCK = 2048, 256
+ROWS = 200_000  # postings that are compared at once; a list is never parted
+PLACE_BITS, POSTED = 28, 300_000
 
 
 def line_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -91,10 +93,9 @@ def rarity(docs: DataFrame, text_col: str) -> np.ndarray:
 
 
 def maps_of(line: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
-    """Two 64-bit maps for each line: a bit for each of its words."""
-    bit = (words >> np.uint64(57)).astype(np.int64)
-    out = np.zeros((n, 2), np.uint64)
-    np.bitwise_or.at(out, (line, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+    """A 64-bit map for each line: a bit for each of its words."""
+    out = np.zeros(n, np.uint64)
+    np.bitwise_or.at(out, line, np.uint64(1) << (words >> np.uint64(58)))
     return out
 
 
@@ -106,73 +107,166 @@ def distinct_words(line: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.
     return line[new], words[new]
 
 
-def described(docs: DataFrame, counters: np.ndarray, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Per line: id, line, n_words, key of the word set (null without words), maps, and the prefix words to post it under."""
-    shared = docs.sparkSession.sparkContext.broadcast(counters)
-    schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(
-        "line bigint, n_words bigint, line_key binary, map0 bigint, map1 bigint, posts array<struct<word:bigint,place:int,blocks:bigint>>").fields])
-    post = pa.list_(pa.struct([("word", pa.int64()), ("place", pa.int32()), ("blocks", pa.int64())]))
+def keyed(line: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, list[bytes | None], np.ndarray]:
+    """(words of each line, key of each word set or None, 64 bits of the key). line and words are sorted and distinct."""
+    size = np.bincount(line, minlength=n)
+    ends = np.cumsum(size)
+    keys = [hashlib.blake2b(words[b - k:b].tobytes(), digest_size=16).digest() if k else None for b, k in zip(ends.tolist(), size.tolist())]
+    short = np.frombuffer(b"".join(k[:8] if k else bytes(8) for k in keys), "<i8")
+    return size, keys, short
+
+
+def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per line: id, line, n_words, key of the word set (null without words) and its first 64 bits."""
+    schema = T.StructType([docs.schema[id_col], T.StructField("line", T.LongType()), T.StructField("n_words", T.LongType()),
+                           T.StructField("line_key", T.BinaryType()), T.StructField("cid", T.LongType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
         for batch in batches:
             for part in slices(batch):
                 doc, number, line, words = line_words(part.column(text_col).to_pylist())
+                size, keys, short = keyed(*distinct_words(line, words), len(doc))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(id_col).take(pa.array(doc)), pa.array(number.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(keys, pa.binary()), pa.array(short)], names=schema.names)
+
+    return docs.select(id_col, text_col).mapInArrow(read, schema)
+
+
+def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str) -> DataFrame:
+    """A row for each prefix word of each line: list, cid, facts (size and place in one number, with the side of the block), map.
+
+    The list of a frequent word is cut into blocks; block i meets block j once, as side 0 and 1 of a list of their own, or itself (side 2).
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(counters)
+    names = ["list", "cid", "facts", "map"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, posted = shared.value, set()  # lines that this task has posted: of a frequent line, a task sends one copy
+        for batch in batches:
+            for part in slices(batch):
+                doc, _, line, words = line_words(part.column(text_col).to_pylist())
                 line, words = distinct_words(line, words)
-                size = np.bincount(line, minlength=len(doc))
+                size, _, short = keyed(line, words, len(doc))
                 maps = maps_of(line, words, len(doc))
-                ends = np.cumsum(size)
-                keys = [hashlib.blake2b(words[b - n:b].tobytes(), digest_size=16).digest() if n else None for b, n in zip(ends.tolist(), size.tolist())]
                 seen = counts[(words >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
                 order = np.lexsort((words, seen, line))
                 line, words, seen = line[order], words[order], seen[order]
-                place = np.arange(len(line)) - (ends - size)[line]
+                place = np.arange(len(line)) - (np.cumsum(size) - size)[line]
                 n = size[line]
-                posted = (place < n - -(-percent * n // 100) + 1) & (seen > 1)
-                at = np.flatnonzero(posted)
-                lists = np.append(0, np.cumsum(np.bincount(line[at], minlength=len(doc))))
-                posts = pa.StructArray.from_arrays([pa.array(words[at].view(np.int64)), pa.array(place[at].astype(np.int32)), pa.array(seen[at].astype(np.int64) // LIST_BLOCK + 1)],
-                                                   names=["word", "place", "blocks"])
-                yield pa.RecordBatch.from_arrays([
-                    part.column(id_col).take(pa.array(doc)), pa.array(number.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(keys, pa.binary()),
-                    pa.array(maps[:, 0].view(np.int64)), pa.array(maps[:, 1].view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), posts).cast(post)], names=schema.names)
-
-    return docs.select(id_col, text_col).mapInArrow(read, schema)
-
-
-def filtered(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
-    """Edges that connect the classes of a list (or of two of its blocks) between which all filters leave a match possible."""
-    n = group.column("n_words").to_numpy()
-    if len(n) < 2:
-        return
-    order = np.argsort(n, kind="stable")
-    n = n[order]
-    cid, left, side = group.column("cid").to_numpy()[order], n - group.column("place").to_numpy()[order], group.column("side").to_numpy()[order]
-    map0, map1 = (group.column(c).to_numpy()[order].view(np.uint64) for c in ("map0", "map1"))
-    root = np.arange(len(n))
-    for i in range(1, len(n)):
-        low = int(np.searchsorted(n[:i], -(-percent * int(n[i]) // 100)))  # shorter lines that are long enough
-        some = np.flatnonzero((root[low:i] != root[i]) & ((side[low:i] != side[i]) | (side[i] == 2))) + low
-        least = -(-percent * (n[some] + n[i]) // (100 + percent))  # words that a matching pair shares
-        some = some[np.minimum(left[some], left[i]) >= least]
-        apart = np.bitwise_count(map0[some] ^ map0[i]).astype(np.int64) + np.bitwise_count(map1[some] ^ map1[i])
-        some = some[apart * (100 + percent) <= (100 - percent) * (n[some] + n[i])]
-        if len(some):
-            joined = np.unique(np.append(root[some], root[i]))
-            root[np.isin(root, joined)] = joined[0]
-    moved = np.flatnonzero(root != np.arange(len(n)))
-    if len(moved):  # stars of the components
-        yield pa.RecordBatch.from_arrays([pa.array(cid[root[moved]]), pa.array(cid[moved])], names=["a", "b"])
+                ids, begin = np.unique(short, return_index=True)
+                new = np.zeros(len(doc), bool)
+                new[begin] = [c not in posted for c in ids.tolist()]
+                if len(posted) > POSTED:
+                    posted.clear()
+                posted.update(ids.tolist())
+                at = np.flatnonzero(new[line] & (place < n - -(-percent * n // 100) + 1) & (seen > 1))  # a word seen once is in no other line
+                blocks = seen[at].astype(np.int64) // LIST_BLOCK + 1
+                own = (short[line[at]].view(np.uint64) % blocks.astype(np.uint64)).astype(np.int64)
+                copies = np.repeat(np.arange(len(at)), blocks)
+                other = np.arange(len(copies)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                low, high = np.minimum(own[copies], other), np.maximum(own[copies], other)
+                side = np.where(low == high, 2, np.where(own[copies] == low, 0, 1))
+                at = at[copies]
+                lists = mixed(words[at] + mixed((low * (1 << 31) + high).astype(np.uint64)))
+                facts = (n[at] << (PLACE_BITS + 2)) | (place[at] << 2) | side
+                yield pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(short[line[at]]), pa.array(facts.astype(np.int64)), pa.array(maps[line[at]].view(np.int64))], names=names)
+
+    return docs.select(text_col).mapInArrow(read, "list bigint, cid bigint, facts bigint, map bigint")
+
+
+def filtered(lists: np.ndarray, cid: np.ndarray, facts: np.ndarray, maps: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect the lines of each list between which all filters leave a match possible. Rows are sorted by list and size.
+
+    All lists at once: each row is compared with the next of its list, then with the one after it, and so on while the sizes are near enough.
+    """
+    n, place, side = facts >> (PLACE_BITS + 2), (facts >> 2) & ((1 << PLACE_BITS) - 1), facts & 3
+    left = n - place
+    root = np.arange(len(lists))
+    active, step = np.arange(len(lists)), 0
+    first: list[np.ndarray] = []
+    second: list[np.ndarray] = []
+    while True:
+        step += 1
+        active = active[active + step < len(lists)]
+        j = active + step
+        near = (lists[j] == lists[active]) & (100 * n[active] >= percent * n[j])
+        active = active[near]
+        if not len(active):
+            break
+        i, j = active, active + step
+        good = (cid[i] != cid[j]) & ((side[i] != side[j]) | (side[i] == 2))
+        i, j = i[good], j[good]
+        both = n[i] + n[j]
+        good = np.minimum(left[i], left[j]) >= -(-percent * both // (100 + percent))  # words that a matching pair shares
+        good &= np.bitwise_count(maps[i] ^ maps[j]).astype(np.int64) * (100 + percent) <= (100 - percent) * both
+        first.append(i[good])
+        second.append(j[good])
+        if sum(map(len, first)) > 4 * ROWS:
+            root = rooted(root, np.concatenate(first), np.concatenate(second))
+            first, second = [], []
+    if first:
+        root = rooted(root, np.concatenate(first), np.concatenate(second))
+    moved = np.flatnonzero((root != np.arange(len(root))) & (cid[root] != cid))
+    return cid[root[moved]], cid[moved]
+
+
+def rooted(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Places with the edges (i, j) joined: each points at the smallest of its component."""
+    root = root.copy()
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not (root[root] == root).all():
+            root = root[root]
+
+
+def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) over all lists."""
+    names = ["list", "cid", "facts", "map"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        rows = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(c).to_numpy() for c in names]
+            # Copies of a line stand next to each other; one is enough.
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+            new[0] = not held or not len(held[-1][0]) or held[-1][0][-1] != columns[0][0] or held[-1][1][-1] != columns[1][0]
+            held.append([c[new] for c in columns])
+            rows += int(new.sum())
+            if rows >= ROWS:
+                columns = [np.concatenate(c) for c in zip(*held)]
+                cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last list may go on
+                if cut:
+                    yield edges([c[:cut] for c in columns])
+                held, rows = [[c[cut:] for c in columns]], rows - cut
+        if rows:
+            yield edges([np.concatenate(c) for c in zip(*held)])
+
+    def edges(columns: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = filtered(columns[0], columns[1], columns[2], columns[3].view(np.uint64), percent)
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    dealt = posts.repartition(partitions(posts.sparkSession), "list").sortWithinPartitions("list", "facts", "cid")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def counted(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """Links of each class of a family (or of two of its blocks), and whether one of them begins earlier: exact, on the full sets."""
-    cid, side = group.column("cid").to_numpy(), group.column("side").to_numpy()
-    first = list(zip(group.column("first_null").to_pylist(), group.column("first_id").to_pylist(), group.column("first_line").to_pylist()))
-    rank = np.empty(len(cid), np.int64)
+    keys, side = group.column("line_key").combine_chunks(), group.column("side").to_numpy()
+    if len(keys) < 2:
+        return
+    first = list(zip(*(group.column(c).to_pylist() for c in ("first_null", "first_id", "first_line"))))
     place = {v: k for k, v in enumerate(sorted(set(first)))}
-    rank[:] = [place[v] for v in first]
+    rank = np.array([place[v] for v in first])
     sets = [np.frombuffer(b, np.uint64) for b in group.column("words").to_pylist()]
     n = np.array([len(s) for s in sets])
     both = overlaps(sets)
@@ -183,7 +277,7 @@ def counted(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     earlier = (match & (rank[None, :] < rank[:, None])).any(1)
     at = np.flatnonzero(links)
     if len(at):
-        yield pa.RecordBatch.from_arrays([pa.array(cid[at]), pa.array(links[at].astype(np.int64)), pa.array(earlier[at])], names=["cid", "links", "earlier"])
+        yield pa.RecordBatch.from_arrays([keys.take(pa.array(at)), pa.array(links[at].astype(np.int64)), pa.array(earlier[at])], names=["line_key", "links", "earlier"])
 
 
 def words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -212,28 +306,24 @@ def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     """Per line: id, line (from 0), n_words, class_id and class_line (where its word set occurs first), n_links (other sets that match it), kept."""
     ship_package(docs.sparkSession)
     counters = rarity(docs, text_col)
-    lines = staged(described(docs, counters, percent, id_col, text_col), "lines")
+    lines = staged(described(docs, id_col, text_col), "lines")
     first = F.min(F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.col("line").alias("line"))).alias("first")
-    classes = lines.where("n_words > 0").groupBy("line_key").agg(first, *[F.any_value(c).alias(c) for c in ("n_words", "map0", "map1", "posts")])
-    classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "line-classes")
+    classes = staged(lines.where("n_words > 0").groupBy("line_key", "cid").agg(first), "line-classes")
 
-    posts = classes.select("cid", "n_words", "map0", "map1", F.explode("posts").alias("at")).select("cid", "n_words", "map0", "map1", "at.word", "at.place", "at.blocks")
-    met = in_blocks(posts, F.col("blocks")).drop("blocks")
-    edges = staged(by_group(met, ["word", "low", "high"], lambda group: filtered(group, percent), "a bigint, b bigint").distinct(), "line-edges")
-    family = staged(components(edges).select(F.col("node").alias("cid"), "root"), "line-families")
+    edges = staged(candidate_edges(postings(docs, counters, percent, text_col), percent).distinct(), "line-edges")
+    family = staged(components(edges).select(F.col("node").alias("cid"), "root"), "line-nodes")
     family = staged(family.unionByName(family.select(F.col("root").alias("cid"), "root").distinct()), "line-families")
-    sizes = staged(family.groupBy("root").agg((F.floor(F.count(F.lit(1)) / FAMILY_BLOCK) + 1).alias("blocks")), "line-family-sizes")
     named = classes.select("cid", "line_key", F.col("first.missing").alias("first_null"), F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"))
     wanted = staged(family.join(named, "cid"), "line-wanted")
-    sets = words_of(docs, wanted, id_col, text_col).join(wanted.hint("merge"), "line_key").dropDuplicates(["cid"])
+    sizes = staged(wanted.groupBy("root").agg((F.floor(F.count(F.lit(1)) / FAMILY_BLOCK) + 1).alias("blocks")), "line-family-sizes")
+    sets = words_of(docs, wanted, id_col, text_col).join(wanted.hint("merge"), "line_key").dropDuplicates(["line_key"])
     full = in_blocks(sets.join(sizes, "root"), F.col("blocks")).select(
-        "root", "low", "high", "cid", "side", F.col("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
-    links = by_group(full, ["root", "low", "high"], lambda group: counted(group, percent), "cid bigint, links bigint, earlier boolean")
-    links = links.groupBy("cid").agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier"))
-    judged = classes.select("cid", "line_key", "first").join(links, "cid", "left").select("line_key", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("earlier", F.lit(False)).alias("earlier"))
+        "root", "low", "high", "line_key", "side", F.col("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
+    links = by_group(full, ["root", "low", "high"], lambda group: counted(group, percent), "line_key binary, links bigint, earlier boolean")
+    links = staged(links.groupBy("line_key").agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier")), "line-links")
+    judged = classes.join(links, "line_key", "left").select("line_key", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("earlier", F.lit(False)).alias("earlier"))
     judged = staged(judged, "line-judged")
-    own = lines.select(id_col, "line", "n_words", "line_key")
-    out = own.join(judged.hint("merge"), "line_key", "left")
+    out = lines.drop("cid").join(judged.hint("merge"), "line_key", "left")
     stays = F.col("first").isNull() | (~F.col("earlier") & F.col(id_col).eqNullSafe(F.col("first.id")) & (F.col("line") == F.col("first.line")))
     return out.select(F.col(id_col), "line", "n_words", F.col("first.id").alias("class_id"), F.col("first.line").alias("class_line"), F.coalesce("n_links", F.lit(0)).alias("n_links"), stays.alias("kept"))
 
