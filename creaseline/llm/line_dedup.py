@@ -3,7 +3,7 @@
 A line is the set of its words; equal sets form a class, and a class is compared with others at a Jaccard similarity of `percent` per cent or
 more. Words are ordered by rarity. A pair must share a word among the first n - ceil(t n) + 1 of either line (the prefix), so a line
 is posted under these only. In each list, pairs pass the length filter, the positional filter (words left after the shared one) and a filter on
-64-bit maps of the words, whose difference never exceeds that of the sets. A list hands on no pairs, only enough of
+128-bit maps of the words, whose difference never exceeds that of the sets. A list hands on no pairs, only enough of
 them to connect what passed; each connected family is then compared on its full word sets, block against block, and counted
 where it is compared. Lists and families of any size are cut into blocks shared by many tasks.
 
@@ -93,9 +93,10 @@ def rarity(docs: DataFrame, text_col: str) -> np.ndarray:
 
 
 def maps_of(line: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit map for each line: a bit for each of its words."""
-    out = np.zeros(n, np.uint64)
-    np.bitwise_or.at(out, line, np.uint64(1) << (words >> np.uint64(58)))
+    """Two 64-bit maps for each line: a bit for each of its words."""
+    bit = (words >> np.uint64(57)).astype(np.int64)
+    out = np.zeros((n, 2), np.uint64)
+    np.bitwise_or.at(out, (line, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
     return out
 
 
@@ -133,12 +134,12 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str) -> DataFrame:
-    """A row for each prefix word of each line: list, cid, facts (size and place in one number, with the side of the block), map.
+    """A row for each prefix word of each line: list, cid, facts (size and place in one number, with the side of the block), two maps.
 
     The list of a frequent word is cut into blocks; block i meets block j once, as side 0 and 1 of a list of their own, or itself (side 2).
     """
     shared = docs.sparkSession.sparkContext.broadcast(counters)
-    names = ["list", "cid", "facts", "map"]
+    names = ["list", "cid", "facts", "map0", "map1"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, posted = shared.value, set()  # lines that this task has posted: of a frequent line, a task sends one copy
@@ -169,12 +170,12 @@ def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str)
                 at = at[copies]
                 lists = mixed(words[at] + mixed((low * (1 << 31) + high).astype(np.uint64)))
                 facts = (n[at] << (PLACE_BITS + 2)) | (place[at] << 2) | side
-                yield pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(short[line[at]]), pa.array(facts.astype(np.int64)), pa.array(maps[line[at]].view(np.int64))], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(short[line[at]]), pa.array(facts.astype(np.int64)), *[pa.array(maps[line[at], k].view(np.int64)) for k in (0, 1)]], names=names)
 
-    return docs.select(text_col).mapInArrow(read, "list bigint, cid bigint, facts bigint, map bigint")
+    return docs.select(text_col).mapInArrow(read, "list bigint, cid bigint, facts bigint, map0 bigint, map1 bigint")
 
 
-def filtered(lists: np.ndarray, cid: np.ndarray, facts: np.ndarray, maps: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def filtered(lists: np.ndarray, cid: np.ndarray, facts: np.ndarray, maps: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges that connect the lines of each list between which all filters leave a match possible. Rows are sorted by list and size.
 
     All lists at once: each row is compared with the next of its list, then with the one after it, and so on while the sizes are near enough.
@@ -198,7 +199,8 @@ def filtered(lists: np.ndarray, cid: np.ndarray, facts: np.ndarray, maps: np.nda
         i, j = i[good], j[good]
         both = n[i] + n[j]
         good = np.minimum(left[i], left[j]) >= -(-percent * both // (100 + percent))  # words that a matching pair shares
-        good &= np.bitwise_count(maps[i] ^ maps[j]).astype(np.int64) * (100 + percent) <= (100 - percent) * both
+        apart = sum(np.bitwise_count(m[i] ^ m[j]).astype(np.int64) for m in maps)
+        good &= apart * (100 + percent) <= (100 - percent) * both
         first.append(i[good])
         second.append(j[good])
         if sum(map(len, first)) > 4 * ROWS:
@@ -226,7 +228,7 @@ def rooted(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) over all lists."""
-    names = ["list", "cid", "facts", "map"]
+    names = ["list", "cid", "facts", "map0", "map1"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -251,7 +253,7 @@ def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
             yield edges([np.concatenate(c) for c in zip(*held)])
 
     def edges(columns: list[np.ndarray]) -> pa.RecordBatch:
-        a, b = filtered(columns[0], columns[1], columns[2], columns[3].view(np.uint64), percent)
+        a, b = filtered(columns[0], columns[1], columns[2], [m.view(np.uint64) for m in columns[3:]], percent)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
