@@ -3,8 +3,8 @@
 Each document is its token ids and an end id; longer ones are cut so that only the first piece is short. Full pieces are
 sequences of their own. The others are dealt evenly over partitions of a bounded number of pieces. Each partition packs its pieces by best-fit
 decreasing and computes a lower bound on its sequences from dual feasible functions. A partition that meets its bound is certified and done.
-A partition with a gap keeps its full sequences and gives the pieces of the others back; these are dealt anew,
-together with those of all other partitions with gaps, and packed again.
+A partition with a gap gives its emptiest sequences back; these are dealt anew, together with those of all other partitions with gaps, and packed
+again. A partition of a later round keeps what it got unless it needs fewer sequences, so no round makes the packing worse.
 
 Defined results: a null text is empty, so it is the end id alone. Rows that repeat an id are packed each for itself. An
 empty table gives no pieces. Extra columns are neither read nor returned.
@@ -13,6 +13,7 @@ empty table gives no pieces. Extra columns are neither read nor returned.
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -143,47 +144,58 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, room
 
 
-def pack_group(frame: pd.DataFrame, capacity: int, turn: int, last: bool) -> pd.DataFrame:
-    """One partition: packed, with its bound; `done` marks the pieces that stay where they are."""
+def pack_group(frame: pd.DataFrame, capacity: int, turn: int, last: bool, release: int) -> pd.DataFrame:
+    """One partition: packed, with its bound; `done` marks the pieces that stay where they are.
+
+    From the second round on a partition holds whole sequences of earlier ones, and keeps these unless it needs fewer. A partition with a gap
+    gives back its emptiest sequences, `release` for each one that it is above its bound.
+    """
     frame = frame.sort_values("slot", ignore_index=True)
     lengths = frame["length"].to_numpy()
     bins, offsets, room = best_fit(lengths, capacity)
-    bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-    certified = len(room) - bound < 1e-9
-    full = np.array(room)[bins] == 0
-    return frame.assign(
-        sequence_id=(turn << 56) + (int(frame["part"].iloc[0]) << 28) + bins, offset=offsets, bound=bound, done=full | certified | last)
-
-
-def packer(capacity: int, turn: int, last: bool):
+    names = (turn << 56) + (int(frame["part"].iloc[0]) << 28) + np.arange(len(room))
+    if turn > 1:
+        old, places = np.unique(frame["sequence_id"].to_numpy(), return_inverse=True)
+        if len(old) <= len(room):
+            bins, offsets, names = places, frame["offset"].to_numpy(), old
+            room = capacity - np.bincount(places, lengths).astype(np.int64)
+    room = np.asarray(room)
+    gap = len(room) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
+    done = np.ones(len(room), bool)
+    if not last and gap > 1e-9:
+        done[np.argsort(-room, kind="stable")[:release * math.ceil(gap)]] = False
+    return frame.assign(sequence_id=names[bins], offset=offsets, gap=gap, done=done[bins])
+
+
+def packer(capacity: int, turn: int, last: bool, release: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        return pack_group(frame, capacity, turn, last)
+        return pack_group(frame, capacity, turn, last, release)
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, partition_pieces: int = 4000, rounds: int = 4) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, partition_pieces: int = 16_000, rounds: int = 4, release: int = 64) -> DataFrame:
     """`pieces` (staged: with length and slot) with sequence_id and offset.
 
-    The last of `rounds` rounds, or a round of one partition, keeps all that it packs.
+    The last of `rounds` rounds, or one of a single partition, keeps all that it packs.
     """
     ship_package(pieces.sparkSession)
     full = pieces.where(F.col("length") == capacity).select("*", (F.col("slot") + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     done = [full]
-    rest = pieces.where(F.col("length") < capacity)
-    schema = T.StructType([*pieces.schema.fields, T.StructField("part", T.LongType()), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
-                           T.StructField("bound", T.DoubleType()), T.StructField("done", T.BooleanType())])
+    rest = pieces.where(F.col("length") < capacity).withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
+    schema = T.StructType([*rest.schema.fields, T.StructField("part", T.LongType()), T.StructField("gap", T.DoubleType()), T.StructField("done", T.BooleanType())])
     for turn in range(1, rounds + 1):
         n = rest.count()
         if not n:
             break
         parts = -(-n // partition_pieces)
         last = parts == 1 or turn == rounds
-        dealt = rest.withColumn("part", F.pmod(F.xxhash64("slot", F.lit(turn)), F.lit(parts)))
-        packed = staged(dealt.groupBy("part").applyInPandas(packer(capacity, turn, last), schema), f"packed-{turn}")
-        done.append(packed.where("done").drop("part", "bound", "done"))
+        deal = F.xxhash64("slot") if turn == 1 else F.xxhash64("sequence_id", F.lit(turn))  # sequences move as they are
+        dealt = rest.withColumn("part", F.pmod(deal, F.lit(parts)))
+        packed = staged(dealt.groupBy("part").applyInPandas(packer(capacity, turn, last, release), schema), f"packed-{turn}")
+        done.append(packed.where("done").drop("part", "gap", "done"))
         if last:
             break
-        rest = packed.where("NOT done").drop("part", "bound", "done", "sequence_id", "offset")
+        rest = packed.where("NOT done").drop("part", "gap", "done")
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

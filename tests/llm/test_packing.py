@@ -46,11 +46,15 @@ def test_empty_table(spark):
 
 
 def test_partitions_with_gaps_exchange_pieces(spark):
-    """Partitions of a few pieces pack badly alone; after the exchange the total meets the bound of all pieces."""
-    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat(' a', int(20 + pmod(hash(id), 900))) AS text")
-    pieces = packing.pack_documents(docs, partition_pieces=400).toPandas()
-    bound = packing.lower_bound(np.bincount(pieces["length"], minlength=1025), 1024)
-    assert pieces["sequence_id"].nunique() <= math.ceil(bound) + 3
+    """The exchange saves sequences, and the total comes near the bound of all pieces."""
+    docs = spark.range(8000).selectExpr("id AS doc_id", "repeat(' a', int(20 + pmod(hash(id), 900))) AS text")
+    pieces = packing.tokenize(docs).cache()
+    made = {rounds: packing.pack(pieces, partition_pieces=2000, rounds=rounds).toPandas() for rounds in (1, 4)}
+    used = {rounds: p["sequence_id"].nunique() for rounds, p in made.items()}
+    bound = packing.lower_bound(np.bincount(made[4]["length"], minlength=1025), 1024)
+    assert bound <= used[4] < used[1] and used[4] <= 1.005 * bound
+    placed = made[4].sort_values(["sequence_id", "offset"])
+    assert (placed.groupby("sequence_id")["length"].cumsum() - placed["length"] == placed["offset"]).all() and len(placed) == 8000
 
 
 def best(lengths, capacity):
