@@ -60,7 +60,7 @@ def with_form(urls: DataFrame, url_col: str) -> DataFrame:
         (F.length(F.regexp_replace(url, "[^0-9]", "")) / size).alias("digit_ratio"), entropy(url).alias("entropy"), entropy(F.col("host")).alias("host_entropy"),
         (F.length("host") - F.length(F.replace("host", F.lit("-"), F.lit("")))).cast("double").alias("hyphens"),
         F.size(F.filter(F.split(query, "&"), lambda s: s != "")).cast("double").alias("parameters"), F.contains(url, F.lit("#")).cast("double").alias("fragment"),
-        F.substring_index("host", ".", -1).alias("suffix"), F.element_at(F.filter(F.split("path", "/"), lambda s: s != ""), 1).alias("first_segment"))
+        F.substring_index("host", ".", -1).alias("suffix"), F.get(F.filter(F.split("path", "/"), lambda s: s != ""), F.lit(0)).alias("first_segment"))
 
 
 def sample_of(labelled: DataFrame, url_col: str, rows: int) -> DataFrame:
