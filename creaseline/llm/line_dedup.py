@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from creaseline.llm.common import fresh_name, partitions, ship_package, staged
 from creaseline.llm.near_dup import FOLD, M2, SPACE, by_group, components, in_blocks, mixed, overlaps
 
-COUNTER_BITS = 22
+COUNTER_BITS, SIEVE_BITS = 23, 24
 CHUNK = 1 << 14  # counters in one row of the table
 LIST_BLOCK, FAMILY_BLOCK = 2048, 256
 ROWS = 200_000  # postings that are compared at once; a list is never parted
@@ -282,26 +282,40 @@ def counted(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([keys.take(pa.array(at)), pa.array(links[at].astype(np.int64)), pa.array(earlier[at])], names=["line_key", "links", "earlier"])
 
 
-def words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(line_key, words) of the lines `wanted` (first_id, first_line), from the documents that hold them."""
-    by_doc = staged(wanted.groupBy("first_id").agg(F.collect_set("first_line").alias("wanted_lines")), "wanted-lines")  # at most the lines of one document
-    texts = docs.select(F.col(id_col).alias("own_id"), F.col(text_col).alias("own_text"))
-    texts = texts.join(by_doc, texts["own_id"].eqNullSafe(by_doc["first_id"])).select("own_text", "wanted_lines")
+def sieve_of(families: DataFrame) -> np.ndarray:
+    """A bit for the low bits of each cid in a family: a table of one fixed size, whatever the corpus."""
+    rows = families.select(F.expr(f"shiftright(cid & {(1 << SIEVE_BITS) - 1}L, 6)").alias("at"), F.expr("shiftleft(1L, CAST(cid & 63 AS INT))").alias("bits"))
+    out = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
+    for row in rows.groupBy("at").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+        out[row["at"]] = row["bits"]
+    return out.view(np.uint64)
+
+
+def words_of(docs: DataFrame, families: DataFrame, text_col: str) -> DataFrame:
+    """(line_key, words) of the lines in a family, and of the few others that the sieve lets pass; a task sends a line once."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve_of(families))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve, sent = shared.value, set()
         for batch in batches:
             for part in slices(batch):
-                doc, number, line, words = line_words(part.column("own_text").to_pylist())
+                doc, _, line, words = line_words(part.column(text_col).to_pylist())
                 line, words = distinct_words(line, words)
-                lists = part.column("wanted_lines").to_pylist()
-                begin = np.searchsorted(doc, np.arange(len(lists)))
-                size = np.bincount(line, minlength=len(doc))
+                size, keys, short = keyed(line, words, len(doc))
+                low = short & ((1 << SIEVE_BITS) - 1)
+                passed = (sieve[low >> 6] >> (low & 63).astype(np.uint64)) & np.uint64(1)
                 ends = np.cumsum(size)
-                count = np.bincount(doc, minlength=len(lists))
-                found = [words[ends[k] - size[k]:ends[k]].tobytes() for d, ask in enumerate(lists) for k in (begin[d] + v for v in ask if v < count[d]) if size[k]]
-                yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(b, digest_size=16).digest() for b in found], pa.binary()), pa.array(found, pa.binary())], names=["line_key", "words"])
+                found = []
+                for k in np.flatnonzero((passed == 1) & (size > 0)).tolist():
+                    if keys[k] not in sent:
+                        sent.add(keys[k])
+                        found.append(k)
+                if len(sent) > POSTED:
+                    sent.clear()
+                yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in found], pa.binary()),
+                                                  pa.array([words[ends[k] - size[k]:ends[k]].tobytes() for k in found], pa.binary())], names=["line_key", "words"])
 
-    return texts.mapInArrow(read, "line_key binary, words binary")
+    return docs.select(text_col).mapInArrow(read, "line_key binary, words binary")
 
 
 def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,7 +332,7 @@ def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     named = classes.select("cid", "line_key", F.col("first.missing").alias("first_null"), F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"))
     wanted = staged(family.join(named, "cid"), "line-wanted")
     sizes = staged(wanted.groupBy("root").agg((F.floor(F.count(F.lit(1)) / FAMILY_BLOCK) + 1).alias("blocks")), "line-family-sizes")
-    sets = words_of(docs, wanted, id_col, text_col).join(wanted.hint("merge"), "line_key").dropDuplicates(["line_key"])
+    sets = words_of(docs, family, text_col).join(wanted.hint("merge"), "line_key").dropDuplicates(["line_key"])
     full = in_blocks(sets.join(sizes, "root"), F.col("blocks")).select(
         "root", "low", "high", "line_key", "side", F.col("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
     links = by_group(full, ["root", "low", "high"], lambda group: counted(group, percent), "line_key binary, links bigint, earlier boolean")
