@@ -1,9 +1,10 @@
 """Format-preserving pseudonyms for private numbers, dates, addresses and tokens.
 
 Every value found is validated, then permuted by a keyed Feistel network over the values of its own format, so equal values get equal pseudonyms in every
-document, different ones stay different. Cards, addresses and dates stay valid:
+document, different ones stay different. Cards, bank accounts, addresses and dates stay valid:
 
 * numbers of payment cards: all digits but the last, which is then the check digit again (Luhn);
+* international bank account numbers of the registered lengths: all but the country, and the check digits (mod 97) made anew;
 * IPv4 addresses: the pairs of octets; dates from 1900 on: the day's number in 73,000 days, written in the same form;
 * telephone numbers, social security numbers, local parts of e-mail addresses, hexadecimal tokens: the two halves of the string, each character
   moved within its class (digit, small letter, capital letter); blanks, brackets, dashes and an international prefix stay.
@@ -25,12 +26,29 @@ ROUNDS = 8
 #: Forms of private values; earlier ones win where several fit.
 EMAIL = r"[\p{L}\p{N}._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 IP = r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?![\p{L}\p{N}]|\.\d)"
-DATE = r"(?<![\p{L}\p{N}.\-/])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\p{L}\p{N}\-/]|\.\d)"
+DATE = (r"(?<![\p{L}\p{N}.\-/])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{1,2}/\d{1,2}|\d{4}\.\d{1,2}\.\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})"
+        r"(?:(?=[Tt]\d{2})|(?![\p{L}\p{N}\-/]|\.\d))")
+#: The countries of each length of an IBAN; the groups of four may be apart.
+IBAN_COUNTRIES = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+                  24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+                  31: "MT SC", 32: "LC", 33: "RU"}
+IBAN = r"(?<![\p{L}\p{N}])(?:" + "|".join(
+    rf"(?:{c.replace(' ', '|')})\d{{2}}(?:[ \-]?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"[ \-]?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_COUNTRIES.items()) + r")(?![\p{L}\p{N}])"
 TOKEN = r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"
 CARD = r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2,3}(?:[ \-]\d{1,3})?|\d{4}[ \-]\d{6}[ \-]\d{4,5})(?![\p{L}\p{N}])"
 SSN = r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])"
-PHONE = r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,5}\)[ .\-]?|\d{2,5}[ .\-])\d{2,4}(?:[ .\-]\d{2,4}){1,3}(?![\p{L}\p{N}]|-\d)|(?<![\p{L}\p{N}+])\+\d{8,15}(?![\p{L}\p{N}])"
-ANY = "|".join([EMAIL, IP, DATE, TOKEN, CARD, SSN, PHONE])
+#: Telephone numbers have a plus, a bracket or a national grouping. Grouped thousands (12.345.678, 10 000 000, also signed) are none.
+END = r"(?![\p{L}\p{N}]|-\d)"
+THOUSANDS = r"(?![\p{N}]|[ .\-]\d)"
+NATIONAL = (r"(?:1[ .\-])?\d{3}[ .\-]\d{3}[ .\-]\d{4}"  # North America
+            r"|0\d{1,4}[ /\-]\d{2,8}(?:[ \-]\d{2,8}){0,4}|0\d{1,4}(?:\.\d{2,4}){2,4}"  # with the trunk prefix 0, or 00 and the country
+            r"|1[3-9]\d[ \-]\d{4}[ \-]\d{4}|\d{3}-\d{3}-\d{3}")  # China; Poland
+SHORT_GROUPS = r"[2-9]\d(?:[ \-]\d{2}){3}|\d{2}[ .\-]\d{3}[ .\-]\d{2}[ .\-]\d{2}|[4-9]\d{2}[ \-]\d{2}[ \-]\d{2}[ \-]\d{2}|\d{3}[ \-]\d{3}[ \-]\d{2}[ \-]\d{2}"  # Scandinavia; Spain, Poland; Spain; Russia, Turkey
+PHONE = (rf"(?<![\p{{L}}\p{{N}}+])(?:(?!\+(?:\d{{2}}(?:[ .]\d{{3}}){{2}}|1(?:[ .]\d{{3}}){{3}}){THOUSANDS})"
+         rf"\+\d{{1,3}}[ .\-]?(?:\(\d{{1,5}}\)[ .\-]?|\d{{1,5}}[ .\-])\d{{2,8}}(?:[ .\-]\d{{2,4}}){{0,4}}{END}|\+\d{{8,15}}(?![\p{{L}}\p{{N}}])"
+         rf"|(?!\(\d{{2,5}}\) \d{{1,3}}(?:[ .]\d{{3}}){{2,}}{THOUSANDS})\(\d{{2,5}}\)[ .\-]?\d{{2,4}}(?:[ .\-]\d{{2,4}}){{1,3}}{END}|\(0\d{{1,4}}\)[ .\-]?\d{{5,8}}{END}"
+         rf"|(?<!\d[.\-])(?:{NATIONAL}){END}|(?<!\d[ .\-])(?:{SHORT_GROUPS})(?![\p{{L}}\p{{N}}]|[ .\-]\d))")
+ANY = "|".join([EMAIL, IP, IBAN, DATE, TOKEN, CARD, SSN, PHONE])
 FIRST_DAY, YEARS, DAYS = "1900-01-01", 200, 365
 
 
@@ -87,12 +105,12 @@ def digits_of(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def put_back(template: Column, digits: Column) -> Column:
-    """`template` with its digits replaced by `digits`, in order."""
+def put_back(template: Column, digits: Column, replaced: str = "[0-9]") -> Column:
+    """`template` with its digits (or other characters to be replaced) replaced by `digits`, in order."""
     begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
 
     def step(now: Column, c: Column) -> Column:
-        number = c.between("0", "9")
+        number = F.rlike(c, F.lit(replaced))
         return F.struct(F.concat(now["out"], F.when(number, F.substr(digits, now["n"] + 1, F.lit(1))).otherwise(c)).alias("out"),
                         (now["n"] + number.cast("int")).alias("n"))
 
@@ -124,23 +142,38 @@ def address(key: str, value: Column) -> Column:
 
 
 def date(key: str, value: Column) -> Column:
-    """ISO dates; day.month.year; month/day/year, or day/month/year where only that is valid."""
+    """Year first; day.month.year and day-month-year; month/day/year. Slashes and dashes have the other order where only that is valid."""
     parts = F.transform(F.split(value, r"[./\-]"), lambda x: x.cast("int"))
-    iso, dotted = F.contains(value, F.lit("-")), F.contains(value, F.lit("."))
+    separator, year_first = F.regexp_extract(value, r"[./\-]", 0), F.rlike(value, F.lit(r"^\d{4}"))
 
     def made(y: int, m: int, d: int) -> Column:
         return F.try_to_date(F.concat_ws("-", F.lpad(F.element_at(parts, y).cast("string"), 4, "0"), F.lpad(F.element_at(parts, m).cast("string"), 2, "0"),
                                          F.lpad(F.element_at(parts, d).cast("string"), 2, "0")), "yyyy-MM-dd")
 
-    american = made(3, 1, 2)
-    day = F.when(iso, made(1, 2, 3)).when(dotted, made(3, 2, 1)).otherwise(F.coalesce(american, made(3, 2, 1)))
+    month_first = (separator == "/") & made(3, 1, 2).isNotNull() | (separator == "-") & made(3, 2, 1).isNull()
+    day = F.when(year_first, made(1, 2, 3)).when(month_first, made(3, 1, 2)).otherwise(made(3, 2, 1))
     number = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("bigint")
     pair = numbers(key, "date", F.floor(number / DAYS), number % DAYS, (YEARS, DAYS))
-    # One form for each way of writing, so that a pseudonym is read as the date it is: slashes with the order that the old value had.
+    # One form for each way of writing, so that a pseudonym is read as the date it is: slashes and dashes with the order that the old value had.
     new = F.transform(F.array(pair), lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["l"] * DAYS + p["r"]).cast("int")))[0]
-    written = F.when(iso, F.date_format(new, "yyyy-MM-dd")).when(dotted, F.date_format(new, "dd.MM.yyyy")).when(
-        american.isNotNull(), F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy"))
-    return F.when(number.between(0, YEARS * DAYS - 1), written).otherwise(value)
+    form = F.when(year_first, "yyyy-MM-dd").when(month_first, "MM-dd-yyyy").otherwise("dd-MM-yyyy")
+    return F.when(number.between(0, YEARS * DAYS - 1), F.replace(F.call_function("date_format", new, form), F.lit("-"), separator)).otherwise(value)
+
+
+def iban(key: str, value: Column) -> Column:
+    """The country stays, the characters after the check digits move within their classes, and the check digits (mod 97) are made anew."""
+    plain = F.regexp_replace(value, "[ \\-]", "")
+    country, account = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5))
+
+    def step(rest: Column, c: Column) -> Column:
+        return F.pmod(rest * F.when(c <= "9", 10).otherwise(100) + F.ascii(c) - F.when(c <= "9", 48).otherwise(55), F.lit(97))
+
+    def checked(account: Column) -> Column:
+        rest = F.aggregate(F.split(F.concat(account, country, F.lit("00")), ""), F.lit(0), step)
+        return F.lpad((98 - rest).cast("string"), 2, "0")
+
+    new = characters(key, "iban", account)
+    return F.when(checked(account) == F.substr(plain, F.lit(3), F.lit(2)), put_back(value, F.concat(country, checked(new), new), "[A-Z0-9]")).otherwise(value)
 
 
 def telephone(key: str, value: Column) -> Column:
@@ -164,7 +197,8 @@ def pseudonym(key: str, value: Column) -> Column:
     def whole(pattern: str) -> Column:
         return F.rlike(value, F.lit(f"^(?:{pattern})$"))
 
-    return (F.when(F.contains(value, F.lit("@")), email(key, value)).when(whole(IP), address(key, value)).when(whole(DATE), date(key, value))
+    return (F.when(F.contains(value, F.lit("@")), email(key, value)).when(whole(IP), address(key, value)).when(whole(IBAN), iban(key, value))
+            .when(whole(DATE), date(key, value))
             .when(whole(TOKEN), characters(key, "token", value, letters=6)).when(whole(CARD), card(key, value)).when(whole(SSN), security_number(key, value))
             .otherwise(telephone(key, value)))
 
