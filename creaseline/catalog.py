@@ -1,6 +1,6 @@
 """Every operator as a query over the test tables: name -> function(spark, sf_dir)."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from creaseline.sources import bridge
 from creaseline.sources.documents import read_match_documents
 from creaseline.sources.kpi_tables import coerce_numeric, read_kpi, read_table
 from creaseline.sources.live import LIVE_BALLS_TOPIC, LIVE_MATCHES_TOPIC, of_topic, read_envelopes
+from creaseline.streaming import ball_table
 from creaseline.streaming import queries as streams
 from creaseline.workspace import scratch_dir
 
@@ -292,36 +293,40 @@ def snk_export_parquet(spark, d):
     return tables.export_tables(spark, ["most_wins_by_team", "run_rate_progression", "no_such_report"], path, f"{path}-export")
 
 
-def _in_batches(spark, d, label: str, parts: int = 3) -> str:
-    """Clean live balls as files in order of time, for a stream that takes one at a time."""
-    path = scratch_dir(spark, label)
+def _in_batches(spark, d, path: str, parts: int = 3) -> Iterator[int]:
+    """Adds clean live balls to a folder in order of time, a part of the time at each step."""
     events = bridge.read_events(spark, d)
-    first, last = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    share = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - first) * parts / (last - first + 1))
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    share = F.floor((micros - first) * parts / (last - first + 1))
     for n in range(parts):
-        bridge.live_from_events(events.filter(share == n)).coalesce(1).write.mode("append").parquet(path)
-    return path
+        bridge.live_from_events(events.filter(share == n)).write.mode("append").parquet(path)
+        yield n
 
 
 @query
 def snk_stream_append(spark, d):
-    """Three micro-batches, and a restart that finds nothing new."""
-    path = _in_batches(spark, d, "append-in")
-    base = scratch_dir(spark, "append-out")
+    """Three runs over what has come in, and a restart that finds nothing new."""
+    path, base = scratch_dir(spark, "append-in"), scratch_dir(spark, "append-out")
     schema = bridge.live_balls(spark, d).schema
-    for _ in range(2):
-        rows = streams.read_table_stream(spark, path, schema, maxFilesPerTrigger=1)
-        streams.start_append(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+
+    def run() -> None:
+        streams.start_append(streams.read_table_stream(spark, path, schema), f"{base}/table", f"{base}/checkpoint").awaitTermination()
+
+    for _ in _in_batches(spark, d, path):
+        run()
+    run()
     return spark.read.parquet(f"{base}/table").groupBy("match_id").agg(F.count("*").alias("balls"), F.sum("runs_total").alias("runs"))
 
 
 @query
 def snk_stream_update(spark, d):
     """Windows over three micro-batches in order of time; later batches change windows of earlier ones."""
-    path = _in_batches(spark, d, "update-in")
-    base = scratch_dir(spark, "update-out")
-    rows = streams.read_table_stream(spark, path, bridge.live_balls(spark, d).schema, maxFilesPerTrigger=1)
-    streams.start_window_upsert(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    path, base = scratch_dir(spark, "update-in"), scratch_dir(spark, "update-out")
+    schema = bridge.live_balls(spark, d).schema
+    for _ in _in_batches(spark, d, path):
+        rows = streams.read_table_stream(spark, path, schema)
+        streams.start_window_upsert(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return _plain_times(streams.read_windows(spark, f"{base}/table"))
 
 
@@ -872,7 +877,7 @@ def st_dedup_upsert(spark, d):
     balls = _two_polls(_clean(spark, d)).drop("ingestion_time")
     for run in ("first", "again"):
         streams.start_ball_upsert(balls, f"{path}/table", f"{path}/{run}").awaitTermination()
-    return _plain_times(spark.read.parquet(f"{path}/table"))
+    return _plain_times(ball_table.read_balls(spark, f"{path}/table"))
 
 
 @query

@@ -15,17 +15,17 @@ DEMO_WINDOW, DEMO_SLIDE, DEMO_WATERMARK = "30 seconds", "5 seconds", "30 seconds
 def live_windows(balls: DataFrame, window: str = WINDOW, slide: str | None = SLIDE) -> DataFrame:
     """Runs, balls, wickets and rates per match in sliding windows (tumbling without a slide).
 
-    The current batsman and bowler are those of the last ball in the window. A batch is added up by pane (a slide long)
-    and pair of players first; each of the few rows left then counts in all windows over its pane. A stream has no second
-    aggregate to put on top in update mode, so there each ball is spread over its windows.
+    The current batsman and bowler are those of the last ball in the window. Balls are added up by pane (a slide long) and pair of players
+    first; each of the few rows left then counts in all windows over its pane. On a stream these are two stateful aggregates in append mode, one on
+    top of the other: a pane is handed on when the watermark has passed its end.
     """
-    if slide and not balls.isStreaming:
+    if slide:
         parts, at = _panes(balls, slide), F.window("pane", window, slide)
     else:
         parts, at = balls.select(
             "match_id", "event_time", F.col("runs_total").alias("runs"), F.col("runs_batsman").alias("batting_runs"), F.lit(1).alias("balls"),
             F.col("is_wicket").cast("int").alias("wickets"), "batsman", "bowler", F.struct("event_time", "inning", "over_num", "ball_num").alias("place"),
-        ), F.window("event_time", window, slide) if slide else F.window("event_time", window)
+        ), F.window("event_time", window)
     runs, faced = F.sum("runs"), F.sum("balls")
     return (parts.groupBy("match_id", at.alias("w"))
             .agg(runs.alias("window_runs"), faced.alias("balls_bowled"), F.sum("wickets").alias("wickets_in_window"),
@@ -44,11 +44,11 @@ def _panes(balls: DataFrame, slide: str) -> DataFrame:
     """
     spot = (F.unix_micros("event_time").cast("decimal(38,0)") * 10_000_000_000
             + F.coalesce("over_num", F.lit(-1)).cast("decimal(38,0)") * 100_000 + F.coalesce("ball_num", F.lit(-1)).cast("decimal(38,0)"))
-    added = (balls.groupBy("match_id", F.window("event_time", slide).alias("p"), "inning", "batsman", "bowler")
+    added = (balls.groupBy("match_id", F.window("event_time", slide).alias("pane"), "inning", "batsman", "bowler")
              .agg(F.sum("runs_total").alias("runs"), F.sum("runs_batsman").alias("batting_runs"), F.count("*").alias("balls"),
                   F.sum(F.col("is_wicket").cast("int")).alias("wickets"), F.max("event_time").alias("last_time"),
                   F.max(spot.cast("decimal(38,0)")).alias("last_spot")))
-    return added.select("match_id", F.col("p.start").alias("pane"), "runs", "batting_runs", "balls", "wickets", "batsman", "bowler",
+    return added.select("match_id", "pane", "runs", "batting_runs", "balls", "wickets", "batsman", "bowler",
                         F.struct("last_time", "inning", "last_spot").alias("place"))
 
 

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -118,12 +118,17 @@ def compact_table(spark: SparkSession, path: str, partition_by: Sequence[str] =
 BUCKETS = 16
 
 
+def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
+    """The hash bucket of a key; a null key has one too."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def append_update(rows: DataFrame, path: str, batch: int, bucket_key: str, partition_by: Sequence[str], buckets: int = BUCKETS, fmt: str = "parquet") -> None:
     """Add changed rows under their batch number, split by `partition_by`, a hash bucket of a key and the batch.
 
     Nothing stored before is read or replaced. A batch that comes again replaces only its own files.
     """
-    rows = rows.withColumns({"bucket": F.pmod(F.xxhash64(bucket_key), F.lit(buckets)).cast("int"), "batch": F.lit(batch).cast("bigint")})
+    rows = rows.withColumns({"bucket": bucket_of(bucket_key, buckets), "batch": F.lit(batch).cast("bigint")})
     (rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by, "bucket", "batch").save(path))
 

@@ -32,6 +32,13 @@ def of_topic(messages: DataFrame, topic: str) -> DataFrame:
     return messages.filter(messages.topic == topic)
 
 
-def read_table_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", **options) -> DataFrame:
-    """Follow a layer table."""
-    return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
+def read_table_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", partition_by: Sequence[str] = (),
+                      **options) -> DataFrame:
+    """Follow a layer table.
+
+    Once a folder has partitions, a file source puts their columns last and maps the rows of a batch by position to the columns it was planned with. So
+    `partition_by` is put last from the start, and a stream planned on an empty folder reads the same columns as one planned on a filled one.
+    """
+    given = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    stored = StructType([*[f for f in given if f.name not in partition_by], *[given[c] for c in partition_by]])
+    return spark.readStream.format(fmt).schema(stored).options(**options).load(path).select(*given.names)

@@ -5,15 +5,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from creaseline.operators.live_balls import LIVE_BALL_KEY, enrich_envelope, parse_live_balls
-from creaseline.operators.upsert import earliest_per_key
 from creaseline.plans.live import DEMO_WATERMARK, SLIDE, WATERMARK, WINDOW, live_batsmen, live_bowlers, live_windows, update_windows
 from creaseline.schemas import CLEAN_LIVE_BALL
-from creaseline.sinks.tables import BUCKETS, append_new, append_update, read_updates
-from creaseline.sources.kpi_tables import read_table
+from creaseline.sinks.tables import BUCKETS, append_update, read_updates
 from creaseline.sources.live import read_table_stream
+from creaseline.streaming import ball_table
 
 RAW_LIVE = "topic STRING, ingestion_time TIMESTAMP, raw_json STRING"
 
@@ -53,18 +51,13 @@ def live_kpi_stream(balls: DataFrame, window: str = WINDOW, slide: str | None =
     return live_windows(balls, window, slide).withColumn("computed_at", F.current_timestamp())
 
 
-def start_ball_upsert(balls: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def start_ball_upsert(balls: DataFrame, path: str, checkpoint: str, every: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """Keep one row per ball however long ago it was first sent; the first event time stays.
 
-    Balls are never changed, so a batch only adds rows it does not find. The table is split by match, and each batch reads
-    the keys of its own matches only.
+    Balls are never changed, so a batch only adds rows it does not find, in the partitions of its own matches.
     """
-    def write(batch: DataFrame, _id: int) -> None:
-        rows = earliest_per_key(batch, LIVE_BALL_KEY, ["event_time"]).persist()
-        try:
-            append_new(batch.sparkSession, rows, path, LIVE_BALL_KEY, ["match_id"])
-        finally:
-            rows.unpersist()
+    def write(batch: DataFrame, number: int) -> None:
+        ball_table.add_balls(batch, path, number, buckets)
 
     return start_batches(balls, write, checkpoint, every, mode="append")
 
@@ -86,34 +79,32 @@ def read_windows(spark: SparkSession, path: str) -> DataFrame:
     return read_updates(spark, path, ["match_id", "window_start"]).drop("window_date", "batch")
 
 
-def start_rates_upsert(ball_table: str, path: str, checkpoint: str, player: str = "batsman", spark: SparkSession | None = None,
+def start_rates_upsert(ball_table_path: str, path: str, checkpoint: str, player: str = "batsman", spark: SparkSession | None = None,
                        every: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """Live strike rates (`batsman`) or economy (`bowler`) per innings, from the table that has each ball once.
 
-    New balls only tell which innings to add up again; these are read from the table of balls, so the query keeps no state, and a batch
-    that comes again gives the same rows. `read_rates` takes the latest of each player and innings.
+    New balls only tell which innings to add up again; these are read from the partitions of the table that the new balls are in, so the query
+    keeps no state, and a batch that comes again gives the same rows. `read_rates` takes the latest of each player and innings.
     """
     spark = spark or SparkSession.active()
-    schema = ball_schema()
     rates = live_batsmen if player == "batsman" else live_bowlers
 
     def write(batch: DataFrame, number: int) -> None:
-        innings = batch.select("match_id", "inning").distinct()
-        balls = read_table(spark, ball_table, schema=schema).join(innings, ["match_id", "inning"], "left_semi")
-        append_update(rates(balls), path, number, "match_id", [], buckets)
+        innings = batch.distinct().persist()
+        try:
+            balls = ball_table.balls_beside(spark, innings, path=ball_table_path).join(innings.drop(*ball_table.PARTS), ["match_id", "inning"], "left_semi")
+            append_update(rates(balls), path, number, "match_id", [], buckets)
+        finally:
+            innings.unpersist()
 
-    return start_batches(read_table_stream(spark, ball_table, schema).select("match_id", "inning"), write, checkpoint, every, mode="append")
+    fresh = ball_table.read_balls_stream(spark, ball_table_path).select("match_id", "inning", *ball_table.PARTS)
+    return start_batches(fresh, write, checkpoint, every, mode="append")
 
 
 def read_rates(spark: SparkSession, path: str, player: str = "batsman") -> DataFrame:
     return read_updates(spark, path, ["match_id", "inning", player]).drop("batch")
 
 
-def ball_schema() -> StructType:
-    """Of the table of balls: the clean balls without the time they came in."""
-    return StructType([f for f in StructType.fromDDL(CLEAN_LIVE_BALL).fields if f.name != "ingestion_time"])
-
-
 def run_chain(spark: SparkSession, messages: DataFrame, base: str, every: str | None = None) -> list[StreamingQuery]:
     """Raw, clean, ball and metric queries, each with its own checkpoint, handing over through tables.
 
@@ -133,12 +124,12 @@ def run_chain(spark: SparkSession, messages: DataFrame, base: str, every: str |
 
     if every:  # a file source needs its folder to exist
         for layer in ("raw", "clean", "balls"):  # an empty partitioned write makes the folder and no file
-            spark.createDataFrame([], "match_id STRING, n INT").write.mode("append").partitionBy("match_id").parquet(f"{base}/{layer}")
+            spark.createDataFrame([], "bucket INT, n INT").write.mode("append").partitionBy("bucket").parquet(f"{base}/{layer}")
     add(start_append(enrich_envelope(messages), f"{base}/raw", checkpoint("raw"), every))
     add(start_append(clean_stream(read_table_stream(spark, f"{base}/raw", RAW_LIVE)), f"{base}/clean", checkpoint("clean"), every))
     clean = read_table_stream(spark, f"{base}/clean", CLEAN_LIVE_BALL)
     add(start_ball_upsert(clean.drop("ingestion_time"), f"{base}/balls", checkpoint("balls"), every))
-    balls = read_table_stream(spark, f"{base}/balls", ball_schema())
+    balls = ball_table.read_balls_stream(spark, f"{base}/balls").drop(*ball_table.PARTS)
     add(start_append(live_kpi_stream(balls, dedup=False), f"{base}/live_kpis", checkpoint("live_kpis"), every))
     for player in ("batsman", "bowler"):
         add(start_rates_upsert(f"{base}/balls", f"{base}/{player}_rates", checkpoint(f"{player}_rates"), player, spark, every))

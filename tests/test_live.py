@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from creaseline.operators import live_balls, scorecards
 from creaseline.plans import live
+from creaseline.streaming import ball_table
 from creaseline.streaming import queries as streams
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -134,6 +135,72 @@ def test_chain_running_continuously(spark, folder):
     assert spark.read.parquet(f"{folder}/lake/live_kpis").count() > 0
 
 
+def lake_tables(spark, base):
+    """Windows and both rates, without the time they were computed."""
+    tables = [spark.read.parquet(f"{base}/live_kpis").drop("computed_at"), streams.read_rates(spark, f"{base}/batsman_rates"),
+              streams.read_rates(spark, f"{base}/bowler_rates", "bowler")]
+    return [sorted(map(str, t.collect())) for t in tables]
+
+
+def test_chain_started_on_an_empty_lake_equals_one_run_to_the_end(spark, folder):
+    """The same messages, once before the chain and once while it runs from an empty feed on."""
+    texts = [message(m, ball=m % 6, over=m // 6, runs=m % 5, match=f"M{m % 3}") for m in range(90)]
+    feed(spark, f"{folder}/a", texts)
+    streams.run_chain(spark, source(spark, f"{folder}/a"), f"{folder}/a/lake")
+    streams.run_chain(spark, source(spark, f"{folder}/a"), f"{folder}/a/lake")
+    feed(spark, f"{folder}/b", [])
+    queries = streams.run_chain(spark, source(spark, f"{folder}/b"), f"{folder}/b/lake", every="1 second")
+    try:
+        for part in (texts[:40], texts[40:]):
+            feed(spark, f"{folder}/b", part)
+            for q in queries * 2:
+                q.processAllAvailable()
+    finally:
+        streams.stop_chain(queries)
+    once, running = lake_tables(spark, f"{folder}/a/lake"), lake_tables(spark, f"{folder}/b/lake")
+    assert once == running and all(len(t) > 20 for t in once[:2])
+
+
+def test_batches_read_only_their_partitions(spark, folder):
+    """Ten matches on ten days; a later batch of one of them lists and reads its own partition, also days after."""
+    schema = ball_table.ball_schema()
+
+    def balls(match, day, ball):
+        return spark.createDataFrame([(match, "I", 0, ball, "x", "y", 1, 0, 1, None, None, False, START + timedelta(days=day))], schema)
+
+    for day in range(10):
+        ball_table.add_balls(balls(f"m{day}", day, 1), f"{folder}/balls", day)
+    ball_table.add_balls(balls("m3", 7, 1), f"{folder}/balls", 10)  # polled again four days later
+    ball_table.add_balls(balls("m3", 7, 2), f"{folder}/balls", 11)
+    stored = ball_table.read_balls(spark, f"{folder}/balls").where("match_id = 'm3'").collect()
+    assert sorted((r.ball_num, r.event_time.day) for r in stored) == [(1, 4), (2, 8)]
+    m3 = spark.read.schema(ball_table.stored_schema()).parquet(f"{folder}/balls").where("match_id = 'm3'")
+    beside = ball_table.balls_beside(spark, m3, f"{folder}/balls")
+    assert {r.match_day.day for r in beside.collect()} == {4}
+    plan = beside._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "match_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(beside.inputFiles()) >= 10 and len(set(r.f for r in beside.select(F.input_file_name().alias("f")).collect())) == 2
+
+
+def test_ball_table_takes_a_batch_twice_and_null_matches(spark, folder):
+    rows = [("m1", "I", 0, 1, "x", "y", 1, 0, 1, None, None, False, START), ("m2", "I", 0, 1, "x", "y", 1, 0, 1, None, None, False, None)]
+    batch = spark.createDataFrame(rows + rows[:1], ball_table.ball_schema())
+    for _ in range(2):
+        ball_table.add_balls(batch, f"{folder}/balls", 0)
+    assert sorted(r.match_id for r in ball_table.read_balls(spark, f"{folder}/balls").collect()) == ["m1", "m2"]
+    ball_table.add_balls(batch.limit(0), f"{folder}/balls", 1)
+    assert ball_table.read_balls(spark, f"{folder}/balls").count() == 2
+
+
+def test_live_windows_stream_adds_up_panes_first(spark, folder):
+    feed(spark, folder, [message(m, ball=m) for m in range(3)])
+    balls = streams.clean_stream(live_balls.enrich_envelope(source(spark, folder)))
+    plan = streams.live_kpi_stream(balls, dedup=False)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Aggregate [") == 2 and plan.count("Expand [") == 1
+    lower = plan[plan.rindex("Aggregate ["):]
+    assert "Expand" not in lower  # a ball is not copied into its five windows
+
+
 def test_current_partnership(spark):
     texts = [message(i, over=i // 6, ball=i % 6 + 1, runs=i, wicket={"kind": "bowled", "player_out": "x"} if i == 7 else None) for i in range(12)]
     row = live.current_partnership(live_balls.parse_live_balls(raw(spark, *texts))).first()
@@ -144,8 +211,8 @@ def test_rates_are_replaced(spark, folder):
     rows = [("M", "I", 0, 1, "x", "y", 4), ("M", "I", 0, 2, "x", "y", 1)]
     for row in rows:
         match, inning, over, ball, batsman, bowler, runs = row
-        spark.createDataFrame([(match, inning, over, ball, batsman, bowler, runs, 0, runs, None, None, False, START)], streams.ball_schema()) \
-             .write.mode("append").partitionBy("match_id").parquet(f"{folder}/balls")
+        ball_table.add_balls(spark.createDataFrame(
+            [(match, inning, over, ball, batsman, bowler, runs, 0, runs, None, None, False, START)], ball_table.ball_schema()), f"{folder}/balls", ball)
         for player in ("batsman", "bowler"):
             streams.start_rates_upsert(f"{folder}/balls", f"{folder}/{player}", f"{folder}/cp-{player}", player, spark).awaitTermination()
     assert [(r.runs, r.balls, r.strike_rate) for r in streams.read_rates(spark, f"{folder}/batsman").collect()] == [(5, 2, 250.0)]
