@@ -1,6 +1,8 @@
 """Writing layer tables: partitioned, repeatable, merged, compacted, exported."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,38 +10,74 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from creaseline.operators.flatten import revision_of, slim_info
 from creaseline.operators.upsert import latest_per_key, merge_rows, only_new_rows
+from creaseline.sinks.loads import LOAD
 from creaseline.sources.kpi_tables import read_table
 from creaseline.workspace import path_exists, replace_path, scratch_dir
 
 MB = 1024 * 1024
 
 
+MOST_LITERALS = 2_000
+
+
+def touched_by(rows: DataFrame, partition_by: Sequence[str]) -> Column | None:
+    """The partitions that some rows fall into, as a condition of literals, so that no other partition is listed or read; None if they are too
+    many for one expression."""
+    values = rows.select(*partition_by).distinct().limit(MOST_LITERALS + 1).collect()
+    if len(values) > MOST_LITERALS:
+        return None
+    *outer, inner = partition_by
+    groups: dict[tuple, list] = {}
+    for value in values:
+        groups.setdefault(tuple(value)[:-1], []).append(value[-1])
+
+    def one(key: tuple, found: list) -> Column:
+        given = [v for v in found if v is not None]
+        last = F.col(inner).isin(given) if given else F.lit(False)
+        if len(given) < len(found):
+            last = last | F.col(inner).isNull()
+        return reduce(and_, [F.col(c).isNull() if v is None else F.col(c) == F.lit(v) for c, v in zip(outer, key)], last)
+
+    return reduce(or_, [one(key, found) for key, found in groups.items()], F.lit(False))
+
+
+def in_partitions_of(stored: DataFrame, rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Stored rows of the partitions that `rows` fall into."""
+    wanted = touched_by(rows, partition_by)
+    return stored.join(rows.select(*partition_by).distinct(), list(partition_by), "left_semi") if wanted is None else stored.where(wanted)
+
+
 def append_new(spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[str],
                partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Append the rows whose key the table does not have yet, so a repeated load changes nothing.
 
     The rows keep their keys' duplicates among themselves (all balls of a new match, say). A key always falls into
-    the same partition, so only partitions that the rows touch are searched.
+    the same partition, so only partitions that the rows touch are searched; the number of a load is no part of a key's place.
     """
     if path_exists(spark, path):
-        stored = read_table(spark, path, fmt, rows.schema)
-        if partition_by:
-            stored = stored.join(rows.select(*partition_by).distinct(), list(partition_by), "left_semi")
+        stored = read_table(spark, path, fmt, _stored(rows.schema, partition_by))
+        places = [c for c in partition_by if c != LOAD]
+        if places:
+            stored = in_partitions_of(stored, rows, places)
         rows = only_new_rows(rows, stored, keys)
     rows.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
+def _stored(schema: StructType, partition_by: Sequence[str]) -> StructType:
+    return StructType([*[f for f in schema if f.name not in partition_by], *[schema[c] for c in partition_by]])
+
+
 def write_raw_documents(spark: SparkSession, documents: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Raw table by match type and season, without squads and registry. A document with a higher revision is a new row."""
+    """Raw table by match type and season, and by load where there is one, without squads and registry. A document with a higher revision is a new row."""
     rows = (slim_info(documents).withColumns({
         "match_type": F.col("info.match_type"), "season": F.col("info.season"), "revision": revision_of(documents)}))
-    append_new(spark, rows, path, ["match_id", "revision"], ["match_type", "season"], fmt)
+    append_new(spark, rows, path, ["match_id", "revision"], [c for c in ("match_type", "season", LOAD) if c in rows.columns], fmt)
 
 
 def write_clean_balls(spark: SparkSession, balls: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Clean balls by match type, and season where there is one. A revision of a match is loaded once."""
+    """Clean balls by match type, season and load where there are. A revision of a match is loaded once."""
     keys = [c for c in ("match_id", "revision") if c in balls.columns]
-    append_new(spark, balls, path, keys, [c for c in ("match_type", "season") if c in balls.columns], fmt)
+    append_new(spark, balls, path, keys, [c for c in ("match_type", "season", LOAD) if c in balls.columns], fmt)
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (),
@@ -57,8 +95,7 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
         return
     current = read_table(spark, path, fmt, source.schema)
     if partition_by:
-        touched = source.select(*partition_by).distinct()
-        merged = merge_rows(current.join(touched, list(partition_by), "left_semi"), source, keys)
+        merged = merge_rows(in_partitions_of(current, source, partition_by), source, keys)
         (merged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).save(path))
     else:

@@ -8,24 +8,20 @@ folders of other days are listed.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from creaseline.operators.live_balls import LIVE_BALL_KEY
 from creaseline.operators.upsert import earliest_per_key, only_new_rows
 from creaseline.schemas import CLEAN_LIVE_BALL
-from creaseline.sinks.tables import BUCKETS, bucket_of
+from creaseline.sinks.tables import BUCKETS, bucket_of, in_partitions_of
 from creaseline.sources.kpi_tables import read_table
 from creaseline.sources.live import read_table_stream
 from creaseline.workspace import path_exists
 
 PARTS = ["match_day", "bucket"]
 DAYS = "match_id STRING, match_day DATE, bucket INT, batch BIGINT"
-MOST_LITERALS = 2_000
 NO_DAY = "1970-01-01"  # of a match whose balls have no time
 
 
@@ -48,21 +44,9 @@ def read_balls_stream(spark: SparkSession, path: str, **options) -> DataFrame:
     return read_table_stream(spark, path, stored_schema(), partition_by=PARTS, **options)
 
 
-def touched_by(rows: DataFrame) -> Column | None:
-    """The partitions of some rows as a condition of literals; None if a very long back-fill touches too many for one expression."""
-    days: dict = {}
-    for day, bucket in rows.select(*PARTS).distinct().limit(MOST_LITERALS + 1).collect():
-        days.setdefault(day, []).append(bucket)
-    if sum(map(len, days.values())) > MOST_LITERALS:
-        return None
-    return reduce(or_, [(F.col("match_day") == F.lit(day)) & F.col("bucket").isin(buckets) for day, buckets in days.items()], F.lit(False))
-
-
 def balls_beside(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     """Stored balls of the partitions that `rows` (with match_day and bucket) touch."""
-    stored = read_table(spark, path, schema=stored_schema())
-    wanted = touched_by(rows)
-    return stored.join(rows.select(*PARTS).distinct(), PARTS, "left_semi") if wanted is None else stored.where(wanted)
+    return in_partitions_of(read_table(spark, path, schema=stored_schema()), rows, PARTS)
 
 
 def with_match_day(rows: DataFrame, path: str, number: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """Reading and flattening documents, data quality, incremental and repeated loads."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,10 +121,54 @@ def test_anti_join_is_below_the_first_generator(spark, documents, folder):
     path = documents(m1=document(), m2=document())
     base = f"{folder}/lake"
     batch_run.run_batch(spark, path, base)
+    documents(m3=document())
+    batch_run.load_files(spark, path, base)
     plan = flatten.flatten_matches(batch_run.pending_documents(spark, base), keep=["season", "revision"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.rindex("LeftAnti")  # the plan prints from the top
 
 
+def opened(documents):
+    return {r.f.rsplit("/", 1)[1] for r in documents.select(F.col("source_file").alias("f")).collect()}
+
+
+def test_a_second_run_opens_only_new_and_changed_files(spark, folder):
+    from creaseline.sources.documents import changed_files, read_changed_documents
+    base, path = f"{folder}/lake", f"{folder}/docs"
+    os.makedirs(path)
+    for k in range(1000):
+        with open(f"{path}/m{k}.json", "w") as out:
+            json.dump(document(), out)
+    assert batch_run.load_files(spark, path, base) == 1000
+    for name, found in {"n 1": document(), "n[2]": document(), "m7": {**document(), "meta": {"data_version": "1", "created": "2024", "revision": 2}}}.items():
+        with open(f"{path}/{name}.json", "w") as out:
+            json.dump(found, out)
+    files = changed_files(spark, path, f"{base}/bronze/files")
+    documents = read_changed_documents(spark, path, files)
+    assert len(documents.inputFiles()) == 3 and opened(documents) == {"n%201.json", "n%5B2%5D.json", "m7.json"}
+    assert batch_run.load_files(spark, path, base) == 3 and batch_run.load_files(spark, path, base) == 0
+    raw = spark.read.parquet(f"{base}/bronze/matches")
+    assert raw.count() == 1003 and {r.revision for r in raw.where("match_id = 'm7'").collect()} == {document()["meta"]["revision"], 2}
+    assert read_changed_documents(spark, path, files.limit(0)).count() == 0
+
+
+def test_runs_read_only_new_loads(spark, documents, folder):
+    base = f"{folder}/lake"
+    path = documents(m1=document(), m2=document())
+    batch_run.run_batch(spark, path, base)
+    documents(m3=document(winner=None))
+    batch_run.load_files(spark, path, base)
+    pending = batch_run.pending_documents(spark, base)
+    plan = pending._jdf.queryExecution().executedPlan().toString()
+    assert any("load#" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]) and {r.match_id for r in pending.collect()} == {"m3"}
+    batch_run.load_clean(spark, base)
+    assert batch_run.pending_documents(spark, base).count() == 0
+    assert sorted(r.load for r in spark.read.parquet(f"{base}/silver/loads").collect()) == [1, 2]
+    balls = spark.read.parquet(f"{base}/silver/deliveries")
+    assert {(r.match_id, r.load) for r in balls.select("match_id", "load").distinct().collect()} == {("m1", 1), ("m2", 1), ("m3", 2)}
+    assert batch_run.compute_reports(spark, base) == []
+    assert spark.read.parquet(f"{base}/gold/batch_kpis/top_run_scorers").first().matches == 3
+
+
 def test_job_modes(spark, documents, folder):
     from creaseline import job
     base = f"{folder}/lake"
