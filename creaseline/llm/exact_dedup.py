@@ -12,12 +12,13 @@ its fate. An empty table gives an empty result. Columns other than id and text a
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creaseline.llm.common import fresh_name, null_as_empty, partitions, staged
-from creaseline.workspace import scratch_dir
+from creaseline.workspace import path_exists, scratch_dir
 
 
 def normalised(text: Column) -> Column:
@@ -33,17 +34,36 @@ def text_digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """Digests seen so far, at `path`; reopening a path finds what earlier sessions added."""
+    """Digests seen so far, in the folder `path`; reopening a path finds what earlier sessions added.
 
-    COLUMNS = "text_sha256 STRING, keep_id {id_type}, first_size BIGINT"
+    The number of buckets and the type of the ids are kept in the folder beside the digests. A session that opens the folder takes them from there,
+    however many shuffle partitions it has itself, and an argument that differs from them is refused.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, id_type: str = "BIGINT", buckets: int | None = None):
-        """`buckets` counts only when the index is created; as many as shuffle partitions, each load writes one file a bucket."""
-        self.spark, self.path = spark, path
-        self.name = "digest_index_" + hashlib.md5(path.encode()).hexdigest()
+    ABOUT = "buckets INT, id_type STRING"
+
+    def __init__(self, spark: SparkSession, path: str, id_type: str | None = None, buckets: int | None = None):
+        """`buckets` (as many as shuffle partitions: each load then writes one file a bucket) and `id_type` (BIGINT) count when the index is created."""
+        self.spark, self.path = spark, f"{path}/digests"
+        about = f"{path}/about"
+        if path_exists(spark, about):
+            kept = spark.read.schema(self.ABOUT).json(about).first()
+            for name, given in (("buckets", buckets), ("id_type", id_type and id_type.lower())):
+                if given is not None and given != kept[name]:
+                    raise ValueError(f"the index at {path} has {name} {kept[name]}, not {given}")
+            buckets, id_type = kept["buckets"], kept["id_type"]
+        else:
+            buckets, id_type = buckets or partitions(spark), (id_type or "bigint").lower()
+            spark.createDataFrame([(buckets, id_type)], self.ABOUT).coalesce(1).write.json(about)
+        # The catalog may hold another session's idea of the folder; the table is external, so only its entry goes.
+        self.name = "digest_index_" + hashlib.md5(f"{path} {uuid.uuid4().hex}".encode()).hexdigest()
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} ({self.COLUMNS.format(id_type=id_type)}) USING parquet "
-            f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {buckets or partitions(spark)} BUCKETS LOCATION '{path}'")
+            f"CREATE TABLE {self.name} (text_sha256 STRING, keep_id {id_type}, first_size BIGINT) USING parquet "
+            f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {buckets} BUCKETS LOCATION '{self.path}'")
+
+    def close(self) -> None:
+        """Take the entry out of the catalog; the digests stay in their folder."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -62,7 +82,6 @@ class DigestIndex:
     def lookup(self, digests: DataFrame) -> DataFrame:
         """Each row with the keeper of its digest. Both sides are shuffled, not bucketed, so that a digest with a large
         share of all rows is split at run time."""
-        self.spark.catalog.refreshTable(self.name)
         plain = self.spark.read.schema(self.rows().schema).parquet(self.path)
         return digests.join(plain.hint("merge"), "text_sha256")
 
@@ -74,10 +93,13 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     """
     spark = docs.sparkSession
     digests = staged(docs.select(F.col(id_col), text_digest(F.col(text_col)).alias("text_sha256")), "digests")
-    if index is None:
+    own = index is None
+    if own:
         index = DigestIndex(spark, scratch_dir(spark, "digest-index"), digests.schema[id_col].dataType.simpleString())
     index.load(digests, id_col)
     found = index.lookup(digests)
+    if own:
+        index.close()
     return found.select(
         F.col(id_col), "keep_id", F.col("first_size").alias("group_size"),
         F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

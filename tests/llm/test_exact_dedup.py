@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from creaseline.llm import exact_dedup
 from tests.llm import cases
 
@@ -41,6 +43,36 @@ def test_later_loads_find_what_earlier_ones_added(spark, folder):
     assert sorted(r["keep_id"] for r in again.rows().collect()) == [2, 10, 11]
 
 
+def test_index_reopened_with_other_shuffle_partitions(spark, folder):
+    """400 texts loaded by sessions with 8, 4 and 16 shuffle partitions: no digest is added or kept twice."""
+    path, before = f"{folder}/index", spark.conf.get("spark.sql.shuffle.partitions")
+    rows = [(k, f"text {k}") for k in range(400)]
+    try:
+        for number, width in enumerate((8, 4, 16)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(width))
+            index = exact_dedup.DigestIndex(spark, path)
+            load = [*((k + 1000 * number, t) for k, t in rows), (9000 + number, f"new {number}")]
+            got = exact_dedup.deduplicate(cases.documents(spark, load), index).where("kept").collect()
+            assert len(got) == (401 if number == 0 else 1)
+            assert index.rows().count() == 401 + number
+            index.close()
+        digests = exact_dedup.DigestIndex(spark, path).rows()
+        assert digests.select("text_sha256").distinct().count() == digests.count() == 403
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_index_refuses_other_properties_and_leaves_no_table(spark, folder):
+    tables = {t.name for t in spark.catalog.listTables()}
+    exact_dedup.deduplicate(cases.documents(spark)).collect()
+    exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=4).close()
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=8)
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, f"{folder}/index", id_type="string")
+
+
 def test_index_is_not_shuffled_for_the_anti_join(spark, folder):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
