@@ -1,11 +1,14 @@
 """Ordered features of an innings.
 
-A plain window over (match_id, inning) would put a whole innings into one task. Here an innings is
+A plain window over (match_id, inning) puts a whole innings into one task: one exchange and one sort, and right for innings as they are played.
+A count per innings, added up before its shuffle, finds innings of more than `LARGE` balls; only these are
 cut into pieces of at most `PIECE` balls, in ball order. Piece totals are aggregated first, running totals
 over the few piece rows give each piece its start, and the remaining windows work inside one piece.
 So an innings of any size is spread over many tasks, and the result is the same as the plain window's.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ from creaseline.functions.rates import flag_int, is_wicket, per_over
 
 # Most balls of one over, or of one stretch of an innings, that a single window group sees.
 PIECE = 4096
+# Most balls of an innings that is a window group as a whole: some tens of megabytes.
+LARGE = 1 << 18
 _INNINGS = ["_match", "_inning"]
 
 
@@ -44,19 +49,39 @@ def _running(balls: DataFrame) -> DataFrame:
             .withColumn("wickets_down", F.col("_wickets_before") + F.sum("_wicket").over(inside)))
 
 
+def _order() -> Window:
+    return Window.partitionBy("match_id", "inning").orderBy("over_num", "ball_num")
+
+
+def _by_size(balls: DataFrame, whole: Callable[[DataFrame], DataFrame], in_pieces: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`whole` of the innings up to LARGE balls and `in_pieces` of the larger ones. The latter are at most one per LARGE balls of the table, and usually none."""
+    sizes = balls.groupBy("match_id", "inning").agg(F.count("*").alias("_balls")).filter(F.col("_balls") > LARGE)
+    large = sizes.select(F.col("match_id").alias("_large_match"), F.col("inning").alias("_large_inning")).collect()
+    if not large:
+        return whole(balls)
+    named = balls.sparkSession.createDataFrame(large, "_large_match STRING, _large_inning STRING")
+    same = F.col("match_id").eqNullSafe(F.col("_large_match")) & F.col("inning").eqNullSafe(F.col("_large_inning"))
+    return whole(balls.join(named, same, "left_anti")).unionByName(in_pieces(balls.join(named, same, "left_semi")))
+
+
 def cumulative_runs(balls: DataFrame) -> DataFrame:
     """Add `cumulative_runs`: runs of the innings up to and with this ball."""
-    return _running(balls).select(*balls.columns, "cumulative_runs")
+    so_far = F.coalesce(F.sum("runs_total").over(_order().rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    return _by_size(balls, lambda some: some.withColumn("cumulative_runs", so_far), lambda some: _running(some).select(*balls.columns, "cumulative_runs"))
 
 
 def rolling_avg_runs(balls: DataFrame, last: int = 6) -> DataFrame:
-    """Add `rolling_avg_runs`: mean runs of this ball and the ones before it, `last` balls in all.
+    """Add `rolling_avg_runs`: mean runs of this ball and the ones before it, `last` balls in all."""
+    if last < 1:
+        raise ValueError("last must be at least 1")
+    mean = F.avg("runs_total").over(_order().rowsBetween(-(last - 1), 0))
+    return _by_size(balls, lambda some: some.withColumn("rolling_avg_runs", mean), lambda some: _rolling_in_pieces(some, last))
+
 
-    Pieces are cut by position in the innings; a ball is also sent to the following pieces whose first balls
+def _rolling_in_pieces(balls: DataFrame, last: int) -> DataFrame:
+    """Pieces are cut by position in the innings; a ball is also sent to the following pieces whose first balls
     look back as far as it, however many `last` reaches.
     """
-    if last < 1:
-        raise ValueError("last must be at least 1")
     spot = F.col("ball_seq") - 1
     piece = F.floor(spot / PIECE)
     copies = F.sequence(piece, F.floor((spot + (last - 1)) / PIECE))
@@ -72,8 +97,11 @@ def rolling_avg_runs(balls: DataFrame, last: int = 6) -> DataFrame:
 def stands(balls: DataFrame) -> DataFrame:
     """One row per stand of an innings: runs and balls from one wicket to the next."""
     # The wicket ball itself still belongs to the stand it ends.
-    numbered = _running(balls).withColumn("stand_no", F.col("wickets_down") - F.col("_wicket") + 1)
-    return (numbered.groupBy("match_id", "inning", "stand_no")
+    columns = [*balls.columns, "_wicket", "wickets_down"]
+    fell = flag_int(is_wicket())
+    down = F.sum(fell).over(_order().rowsBetween(Window.unboundedPreceding, 0))
+    counted = _by_size(balls, lambda some: some.withColumns({"_wicket": fell, "wickets_down": down}), lambda some: _running(some).select(*columns))
+    return (counted.withColumn("stand_no", F.col("wickets_down") - F.col("_wicket") + 1).groupBy("match_id", "inning", "stand_no")
             .agg(F.sum("runs_total").alias("stand_runs"), F.count("*").alias("stand_balls"),
                  F.max("_wicket").alias("ended")))
 

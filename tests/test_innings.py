@@ -29,9 +29,10 @@ def key(r):
     return (r.match_id, r.inning or "", -1 if r.over_num is None else r.over_num, -1 if r.ball_num is None else r.ball_num)
 
 
-@pytest.mark.parametrize("piece", [6, 7, 16, 4096])
-def test_running_and_rolling(balls, monkeypatch, piece):
+@pytest.mark.parametrize("piece, large", [(6, 0), (7, 0), (16, 0), (4096, 0), (16, 100), (16, 1 << 18)])
+def test_running_and_rolling(balls, monkeypatch, piece, large):
     monkeypatch.setattr(innings, "PIECE", piece)
+    monkeypatch.setattr(innings, "LARGE", large)
     order = Window.partitionBy("match_id", "inning").orderBy("over_num", "ball_num")
     want = balls.withColumn("c", F.sum("runs_total").over(order.rowsBetween(Window.unboundedPreceding, 0))) \
         .withColumn("r", F.avg("runs_total").over(order.rowsBetween(-5, 0)))
@@ -41,9 +42,10 @@ def test_running_and_rolling(balls, monkeypatch, piece):
     assert len(rolled) == len(expected) and {key(r): r.rolling_avg_runs for r in rolled} == {k: v[1] for k, v in expected.items()}
 
 
-@pytest.mark.parametrize("piece", [5, 4096])
-def test_stands(balls, monkeypatch, piece):
+@pytest.mark.parametrize("piece, large", [(5, 0), (4096, 0), (5, 100), (5, 1 << 18)])
+def test_stands(balls, monkeypatch, piece, large):
     monkeypatch.setattr(innings, "PIECE", piece)
+    monkeypatch.setattr(innings, "LARGE", large)
     expected, stand = {}, {}
     for r in sorted(balls.collect(), key=key):
         group = (r.match_id, r.inning)
@@ -56,6 +58,12 @@ def test_stands(balls, monkeypatch, piece):
     assert got == expected
 
 
+@pytest.mark.parametrize("feature", [innings.cumulative_runs, innings.rolling_avg_runs, innings.stands])
+def test_one_exchange_and_one_sort(balls, feature):
+    plan = feature(balls)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1 and "Join" not in plan
+
+
 def test_rolling_limits(balls):
     with pytest.raises(ValueError):
         innings.rolling_avg_runs(balls, 0)
