@@ -17,7 +17,7 @@ from creaseline.schemas import MATCH_COLUMNS
 from creaseline.sinks import tables
 from creaseline.sources import bridge
 from creaseline.sources.documents import read_match_documents
-from creaseline.sources.kpi_tables import coerce_numeric, read_kpi, read_table
+from creaseline.sources.kpi_tables import coerce_numeric, note_types, read_kpi, read_table
 from creaseline.sources.live import LIVE_BALLS_TOPIC, LIVE_MATCHES_TOPIC, of_topic, read_envelopes
 from creaseline.streaming import ball_table
 from creaseline.streaming import queries as streams
@@ -157,6 +157,7 @@ def src_kpi_table(spark, d):
     base = scratch_dir(spark, "kpi")
     report = teams.highest_team_totals(match_data(spark, d), limit=None)
     report.select(*[F.col(c).cast("string").alias(c) for c in report.columns]).write.parquet(f"{base}/data/highest_team_totals.parquet")
+    note_types(spark, f"{base}/data/highest_team_totals.parquet")
     return read_kpi(spark, "highest_team_totals", f"{base}/missing", f"{base}/data")
 
 
@@ -355,7 +356,7 @@ def tbl_upsert(spark, d):
     path = scratch_dir(spark, "slots")
     tables.upsert_table(spark, old, path, SLOT)
     tables.upsert_table(spark, new, path, SLOT)
-    return read_table(spark, path)
+    return tables.read_merged(spark, path)
 
 
 @query

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from creaseline.plans import batting, bowling, frames, teams, trends
 from creaseline.plans.match_data import MatchData
+from creaseline.sources.kpi_tables import note_types
 from creaseline.workspace import replace_path, scratch_dir
 
 
@@ -135,6 +136,7 @@ def write_reports(spark: SparkSession, data: MatchData, out: str, names=None, va
         try:
             staged = scratch_dir(spark, f"report-{name}")
             report(name, data, variant).write.parquet(staged)
+            note_types(spark, staged)
             replace_path(spark, staged, f"{out}/{name}")
         except Exception as e:  # one failing report must not stop the others
             return name, str(e)

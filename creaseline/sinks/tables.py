@@ -11,8 +11,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from creaseline.operators.flatten import revision_of, slim_info
 from creaseline.operators.upsert import latest_per_key, merge_rows, only_new_rows
 from creaseline.sinks.loads import LOAD
-from creaseline.sources.kpi_tables import read_table
-from creaseline.workspace import path_exists, replace_path, scratch_dir
+from creaseline.sources.kpi_tables import note_types, read_table
+from creaseline.workspace import path_exists, read_text, replace_path, scratch_dir, write_text
 
 MB = 1024 * 1024
 
@@ -80,28 +80,42 @@ def write_clean_balls(spark: SparkSession, balls: DataFrame, path: str, fmt: str
     append_new(spark, balls, path, keys, [c for c in ("match_type", "season", LOAD) if c in balls.columns], fmt)
 
 
+HASHED = "key_bucket"
+
+
+def _bucket_count(spark: SparkSession, path: str, buckets: int) -> int:
+    """How many hash buckets a merged table has: fixed when it is made, and kept in its folder."""
+    notes = f"{path}/_{HASHED}s"
+    kept = read_text(spark, notes)
+    if kept is None:
+        if path_exists(spark, path):
+            raise ValueError(f"the table at {path} has no hash buckets; name its partitions")
+        write_text(spark, notes, str(buckets))
+        return buckets
+    return int(kept)
+
+
 def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (),
-                 version: Sequence[str] = (), fmt: str = "parquet") -> None:
+                 version: Sequence[str] = (), fmt: str = "parquet", buckets: int = 16) -> None:
     """Merge rows into a stored table: same key updates, other rows are added.
 
-    With partitions, a key must always fall into the same one; then only touched partitions are read and
-    replaced, each when the job commits. Without, the merged table is written aside and put in place. `version`
-    picks the newest of several source rows with one key.
+    With `partition_by`, a key must always fall into the same partition. Without, the table is split by a hash of the key, into as many `buckets` as it was made
+    with. Either way only partitions that the source touches are read and replaced, all when the job commits. `version`
+    picks the newest of several source rows with one key; `read_merged` reads the table without the buckets.
     """
     if version:
         source = latest_per_key(source, keys, version)
-    if not path_exists(spark, path):
-        source.write.format(fmt).partitionBy(*partition_by).save(path)
-        return
-    current = read_table(spark, path, fmt, source.schema)
-    if partition_by:
-        merged = merge_rows(in_partitions_of(current, source, partition_by), source, keys)
-        (merged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).save(path))
-    else:
-        staged = scratch_dir(spark, "merge")
-        merge_rows(current, source, keys).write.format(fmt).save(staged)
-        replace_path(spark, staged, path)
+    if not partition_by:
+        count = _bucket_count(spark, path, buckets)
+        source, partition_by = source.withColumn(HASHED, F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")), [HASHED]
+    current = read_table(spark, path, fmt, _stored(source.schema, partition_by)) if path_exists(spark, path) else None
+    merged = source if current is None else merge_rows(in_partitions_of(current, source, partition_by), source, keys)
+    (merged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).save(path))
+
+
+def read_merged(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return read_table(spark, path, fmt).drop(HASHED)
 
 
 def table_stats(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -193,6 +207,7 @@ def export_tables(spark: SparkSession, names: Sequence[str], source: str, target
             table = read_table(spark, f"{source}/{name}", fmt)
             stats = table_stats(spark, f"{source}/{name}", fmt).first()
             table.coalesce(max(1, -(-stats["total_bytes"] // (256 * MB)))).write.mode("overwrite").parquet(f"{target}/{name}.parquet")
+            note_types(spark, f"{target}/{name}.parquet")
             results.append((name, stats["row_count"], "ok"))
         except Exception as e:
             results.append((name, None, f"failed: {type(e).__name__}"))

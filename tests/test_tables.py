@@ -2,12 +2,13 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from creaseline.functions.labels import team_short
 from creaseline.operators import squads, upsert
 from creaseline.sinks import tables
-from creaseline.sources.kpi_tables import coerce_numeric, read_kpi, read_table
+from creaseline.sources.kpi_tables import coerce_numeric, note_types, read_kpi, read_table
 
 
 def test_upsert_is_a_dictionary_update(spark, folder):
@@ -25,6 +26,41 @@ def test_upsert_is_a_dictionary_update(spark, folder):
         assert read_table(spark, f"{folder}/{name}").count() == len(state)
 
 
+def test_a_merge_replaces_only_its_own_bucket(spark, folder):
+    import glob
+    import os
+    path = f"{folder}/slots"
+    tables.upsert_table(spark, spark.range(200).selectExpr("id AS k", "0 AS v"), path, ["k"], buckets=8)
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*.parquet")}
+    tables.upsert_table(spark, spark.createDataFrame([(7, 1)], "k long, v int"), path, ["k"], buckets=32)  # the table keeps its own count
+    after = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*.parquet")}
+    gone = {os.path.dirname(f) for f in before if f not in after}
+    assert len(gone) == 1 and all(after[f] == t for f, t in before.items() if os.path.dirname(f) not in gone)
+    got = {r.k: r.v for r in tables.read_merged(spark, path).collect()}
+    assert got == {**{k: 0 for k in range(200)}, 7: 1}
+    spark.range(3).write.parquet(f"{folder}/plain")
+    with pytest.raises(ValueError):
+        tables.upsert_table(spark, spark.range(3), f"{folder}/plain", ["id"])
+
+
+def test_read_kpi_starts_no_job(spark, folder):
+    rows = spark.createDataFrame([("1", "x", 3), ("2.5", "y", None)], "a string, `b.c` string, n int")
+    rows.write.parquet(f"{folder}/gold/batch_kpis/k")
+    note_types(spark, f"{folder}/gold/batch_kpis/k")
+    rows.limit(0).write.parquet(f"{folder}/gold/batch_kpis/e")
+    note_types(spark, f"{folder}/gold/batch_kpis/e")
+    tables.export_tables(spark, ["k"], f"{folder}/gold/batch_kpis", f"{folder}/data")
+    spark.sparkContext.setJobGroup("read-kpi", "")
+    try:
+        found, empty = read_kpi(spark, "k", folder), read_kpi(spark, "e", folder, f"{folder}/data")
+        copy = read_kpi(spark, "k", f"{folder}/none", f"{folder}/data")
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("read-kpi")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert dict(found.dtypes) == {"a": "double", "b.c": "string", "n": "int"} and empty.columns == []
+    assert sorted(map(str, found.collect())) == sorted(map(str, copy.collect())) and found.count() == 2
+
+
 def test_merge_matches_null_keys(spark):
     schema = "k string, v int"
     merged = upsert.merge_rows(spark.createDataFrame([(None, 1), ("a", 1)], schema), spark.createDataFrame([(None, 2), ("b", 2)], schema), ["k"])
