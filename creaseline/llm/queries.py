@@ -51,7 +51,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.tag(docs, model, keep=["doc_id"])
     score = F.col("toxicity.score")
-    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.7).cast("int").alias("predicted"),
+                         F.col("toxicity.spans").alias("spans"))
 
 
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ a document count nowhere. Other columns of the documents are never features.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -229,22 +230,27 @@ def held_out(id_column: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_docs: int = 1000,
         train_chars: int = 30_000, ratio: float = 5.0, least_docs: int = 4, turns: int = 40, l2: float = 0.5) -> Model:
-    """Fit on labelled documents that are not held out."""
+    """Fit on labelled documents that are not held out. Labels count only where `docs` has the document, not longer than `train_chars`: the sample is
+    drawn among these, also when a stage gets few of the labelled documents."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    known = staged(known.groupBy(id_col).agg((F.max(label_col) == 1).alias("is_toxic")), "toxic-labels")
+    usable = docs.where(F.length(text_col) <= train_chars).select(id_col)
+    known = known.groupBy(id_col).agg((F.max(label_col) == 1).alias("is_toxic")).join(usable, id_col, "left_semi")
+    known = staged(known, "toxic-labels")
     totals = {r["is_toxic"]: r["count"] for r in known.groupBy("is_toxic").count().collect()}  # two rows
     wanted = None
-    for kind in (True, False):  # ids of a bounded sample, with room for ids without a document
-        some = known.where(F.col("is_toxic") == kind).orderBy(F.xxhash64(id_col), id_col).limit(3 * train_docs)
+    for kind in (True, False):  # ids of a bounded sample
+        some = known.where(F.col("is_toxic") == kind).orderBy(F.xxhash64(id_col), id_col).limit(train_docs)
         wanted = some if wanted is None else wanted.unionByName(some)
     texts = docs.select(F.col(id_col), F.col(text_col).alias("text")).where(F.length("text") <= train_chars)
-    found = staged(texts.join(F.broadcast(wanted), id_col), "toxic-sample")  # at most 6 * train_docs rows on the broadcast side
+    found = staged(texts.join(F.broadcast(wanted), id_col), "toxic-sample")  # at most 2 * train_docs rows on the broadcast side
     rows = []
     for kind in (True, False):
         rows += found.where(F.col("is_toxic") == kind).orderBy(F.xxhash64(id_col), id_col, "text").limit(train_docs).collect()
     toxic = np.array([r["is_toxic"] for r in rows], bool)
     if not len(toxic) or toxic.all() or not toxic.any():
         share = totals.get(True, 0) / max(sum(totals.values()), 1)
+        if totals:
+            warnings.warn(f"labels of one class only ({totals}): every document scores {share}", stacklevel=2)
         return Model(np.zeros(0), np.zeros((2, 2)), 0.0, np.zeros(4), base=float(share))
     slices = [rows[k:k + 100] for k in range(0, len(rows), 100)]
     tokens = joined([tokens_of([small(r["text"]).encode("utf-8", "surrogatepass") for r in part]) for part in slices], [len(part) for part in slices])

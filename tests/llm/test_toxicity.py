@@ -67,6 +67,15 @@ def test_edge_cases_and_columns(spark, learnt):
     assert {toxic["text"][s["start"]:s["stop"]] for s in toxic["found"]["spans"]} <= {"idiot", "MORON", "scum", "trash", "An", "and", "a"} and toxic["found"]["score"] > 0.7
 
 
+def test_few_of_the_labelled_documents(spark):
+    """A shard holds forty of many thousands of labelled documents, none of them first in the order of the sample."""
+    words = {True: "idiot scum trash", False: "fine day sun"}
+    rows = [(k, f"{words[k % 2 == 0]} and more. {cases.sentence(k, 12)}") for k in range(100_000, 100_080)]
+    labels = spark.range(100_080).selectExpr("id AS doc_id", "CAST(id % 2 = 0 AS INT) AS toxic")
+    kept = {r["doc_id"] for r in toxicity.drop_toxic(cases.documents(spark, rows), labels, train_docs=50, least_docs=2).collect()}
+    assert kept == {k for k, _ in rows if k % 2}
+
+
 def test_without_labels(spark):
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id bigint, toxic int")
     docs = cases.documents(spark)
