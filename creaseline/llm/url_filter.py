@@ -1,7 +1,7 @@
 """URL filter: explicit host and path rules, and gradient-boosted trees on lexical features for what no rule covers.
 
 The trees are trained on labelled URLs (here those that a rule decides) and see only the URL's form: lengths, depth, digit
-ratio, entropy, parameter counts, and how often labelled hosts of the same suffix were blocked.
+ratio, entropy, parameter counts, and how often labelled URLs of other hosts with the same suffix or first path segment were blocked.
 
 Defined results: a null URL, or one without `://`, has an empty host and path, matches no rule and is judged by the trees on
 its empty form. With only one class of labels (or none), the trees are left out and every other URL gets that class (allow).
@@ -9,8 +9,9 @@ its empty form. With only one class of labels (or none), the trees are left out
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,8 @@ from creaseline.llm.common import null_as_empty, staged
 
 LETTERS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FORM = ["url_length", "host_length", "path_length", "host_labels", "depth", "digit_ratio", "entropy", "host_entropy", "hyphens", "parameters", "fragment"]
-FEATURES = [*FORM, "suffix_blocked", "suffix_weight", "host_word_blocked"]
+FEATURES = [*FORM, "suffix_blocked", "suffix_weight", "segment_blocked"]
+MOST_WEIGHT = 16  # copies of a URL that count in the fit
 
 
 def host_of(url: Column) -> Column:
@@ -63,49 +65,95 @@ def with_form(urls: DataFrame, url_col: str) -> DataFrame:
         F.substring_index("host", ".", -1).alias("suffix"), F.get(F.filter(F.split("path", "/"), lambda s: s != ""), F.lit(0)).alias("first_segment"))
 
 
-def sample_of(labelled: DataFrame, url_col: str, rows: int) -> DataFrame:
-    """At most about `rows` labelled URLs, chosen by the hash of the URL, the same in every run."""
-    total = labelled.count()
-    share = min(1.0, rows / max(total, 1))
-    return labelled.where(F.pmod(F.xxhash64(url_col), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+def sample_of(labelled: DataFrame, rows: int) -> DataFrame:
+    """At most about `rows` distinct labelled URLs with how often each is there, chosen by the hash of the URL, the same in every run. Copies are added
+    up before, so that a frequent URL is one row, with a bounded weight."""
+    distinct = staged(labelled.groupBy("url", "label", "suffix", "host", "first_segment", *FORM).agg(F.count(F.lit(1)).alias("copies")), "url-distinct")
+    share = min(1.0, rows / max(distinct.count(), 1))
+    chosen = distinct.where(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    return chosen.withColumn("weight", F.least(F.col("copies"), F.lit(MOST_WEIGHT)).cast("double"))
 
 
-def blocked_by(labelled: DataFrame, key: str, share: str, weight: str | None = None) -> DataFrame:
-    """How often labelled URLs with this key are blocked, smoothed towards one half; combined before the shuffle."""
-    made = labelled.groupBy(key).agg(((F.sum("label") + 1.0) / (F.count(F.lit(1)) + 2.0)).alias(share), F.log1p(F.count(F.lit(1)).cast("double")).alias("n"))
-    return made.withColumnRenamed("n", weight) if weight else made.drop("n")
+class Shares:
+    """How often labelled URLs with a suffix, and with a first path segment, are blocked, smoothed towards one half.
 
-
-def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
-          train_rows: int = 20_000, trees: int = 8, depth: int = 4, threshold: float = 0.5) -> DataFrame:
-    """Per row: id, host, path, rule, verdict, block_score (null where a rule decides).
-
-    `train_rows` bounds the labelled URLs the trees are fitted on; suffix statistics count all labelled URLs.
+    A URL that is learnt from does not see its own host's labels: they are taken out of its shares, which else would give its label away.
     """
+
+    KEYS = {"suffix": "suffix_blocked", "first_segment": "segment_blocked"}
+
+    def __init__(self, labelled: DataFrame):
+        by_host = staged(labelled.groupBy(*self.KEYS, "host").agg(F.sum("label").alias("b"), F.count(F.lit(1)).alias("n")), "url-shares")
+        self.whole, self.own = {}, {}
+        for key in self.KEYS:
+            self.whole[key] = staged(by_host.groupBy(key).agg(F.sum("b").alias("b"), F.sum("n").alias("n")), f"url-{key}")
+            self.own[key] = by_host.groupBy(key, "host").agg(F.sum("b").alias("own_b"), F.sum("n").alias("own_n"))
+
+    def describe(self, urls: DataFrame, learning: bool = False) -> DataFrame:
+        for key, share in self.KEYS.items():
+            urls = urls.join(self.whole[key], key, "left")
+            if learning:
+                urls = urls.join(self.own[key], [key, "host"], "left")
+            b, n = (F.coalesce(c, F.lit(0)) - (F.coalesce(f"own_{c}", F.lit(0)) if learning else 0) for c in ("b", "n"))
+            urls = urls.withColumn(share, (b + 1.0) / (n + 2.0))
+            if key == "suffix":
+                urls = urls.withColumn("suffix_weight", F.log1p(n.cast("double")))
+            urls = urls.drop("b", "n", "own_b", "own_n")
+        return urls
+
+
+def described_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str, url_col: str) -> DataFrame:
     url = F.col(url_col)
     parts = pages.select(F.col(id_col), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, verdict = rule_verdict(F.col("host"), F.col("path"), rules)
-    formed = staged(with_form(parts.select("*", rule.alias("rule"), verdict.alias("ruled")), "url"), "url-features")
-
-    labelled = formed.where("ruled IS NOT NULL").withColumn("label", (F.col("ruled") == "block").cast("double"))
-    by_suffix = staged(blocked_by(labelled, "suffix", "suffix_blocked", "suffix_weight"), "url-suffixes")
-    by_segment = staged(blocked_by(labelled, "first_segment", "host_word_blocked"), "url-segments")
+    formed = with_form(parts.select("*", rule.alias("rule"), verdict.alias("ruled")), "url")
+    return staged(formed.withColumn("label", (F.col("ruled") == "block").cast("double")), "url-features")
 
-    def described(df: DataFrame) -> DataFrame:
-        return (df.join(by_suffix, "suffix", "left").join(by_segment, "first_segment", "left")
-                .fillna({"suffix_blocked": 0.5, "suffix_weight": 0.0, "host_word_blocked": 0.5}))
 
-    train = staged(described(sample_of(labelled, "url", train_rows)).select("label", *FEATURES), "url-training")
+def fit(labelled: DataFrame, train_rows: int, trees: int, depth: int) -> tuple[PipelineModel | float, Shares]:
+    """(trees, or the only label there is, and 0 without any; the shares they need)."""
+    shares = Shares(labelled)
+    train = staged(shares.describe(sample_of(labelled, train_rows), learning=True).select("label", "weight", *FEATURES), "url-training")
     classes = [r["label"] for r in train.select("label").distinct().collect()]  # at most two rows
-    ruled = formed.where("ruled IS NOT NULL").select(id_col, "host", "path", "rule", F.col("ruled").alias("verdict"), F.lit(None).cast("double").alias("block_score"))
-    others = described(formed.where("ruled IS NULL"))
     if len(classes) < 2:
-        only = "block" if classes == [1.0] else "allow"
-        free = others.select(id_col, "host", "path", "rule", F.lit(only).alias("verdict"), F.lit(None).cast("double").alias("block_score"))
+        return (classes or [0.0])[0], shares
+    stages = [VectorAssembler(inputCols=FEATURES, outputCol="features"),
+              GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=depth, seed=7, stepSize=0.3)]
+    return Pipeline(stages=stages).fit(train), shares
+
+
+def scored(model: PipelineModel, shares: Shares, urls: DataFrame) -> DataFrame:
+    return model.transform(shares.describe(urls)).withColumn("block_score", vector_to_array("probability")[1])
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
+          train_rows: int = 20_000, trees: int = 8, depth: int = 4, threshold: float = 0.5) -> DataFrame:
+    """Per row: id, host, path, rule, verdict, block_score (null where a rule decides).
+
+    `train_rows` bounds the distinct labelled URLs the trees are fitted on; suffix and segment statistics count all labelled URLs.
+    """
+    formed = described_urls(pages, rules, id_col, url_col)
+    model, shares = fit(formed.where("ruled IS NOT NULL"), train_rows, trees, depth)
+    named = [id_col, "host", "path", "rule"]
+    ruled = formed.where("ruled IS NOT NULL").select(*named, F.col("ruled").alias("verdict"), F.lit(None).cast("double").alias("block_score"))
+    others = formed.where("ruled IS NULL")
+    if isinstance(model, float):
+        free = others.select(*named, F.lit("block" if model else "allow").alias("verdict"), F.lit(None).cast("double").alias("block_score"))
     else:
-        model = Pipeline(stages=[
-            VectorAssembler(inputCols=FEATURES, outputCol="features"),
-            GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=7, stepSize=0.3)]).fit(train)
-        scored = model.transform(others).withColumn("block_score", vector_to_array("probability")[1])
-        free = scored.select(id_col, "host", "path", "rule", F.when(F.col("block_score") >= threshold, "block").otherwise("allow").alias("verdict"), "block_score")
+        verdict = F.when(F.col("block_score") >= threshold, "block").otherwise("allow").alias("verdict")
+        free = scored(model, shares, others).select(*named, verdict, "block_score")
     return ruled.unionByName(free)
+
+
+def held_out_quality(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", parts: int = 5,
+                     train_rows: int = 20_000, trees: int = 8, depth: int = 4, threshold: float = 0.5) -> dict[str, float]:
+    """How well the trees tell what the rules say of hosts they have not seen: one in `parts` of the hosts with a rule is held out, shares included."""
+    labelled = described_urls(pages, rules, id_col, url_col).where("ruled IS NOT NULL")
+    held = F.pmod(F.xxhash64("host"), F.lit(parts)) == 0
+    model, shares = fit(labelled.where(~held), train_rows, trees, depth)
+    if isinstance(model, float):
+        raise ValueError("labels of both classes are needed")
+    rows = staged(scored(model, shares, labelled.where(held)).select("label", "block_score"), "url-held-out")
+    found = rows.agg(F.count("*").alias("urls"), F.avg(((F.col("block_score") >= threshold).cast("double") == F.col("label")).cast("double")).alias("accuracy"),
+                     F.avg("label").alias("blocked")).first().asDict()
+    return {**found, "auc": BinaryClassificationEvaluator(rawPredictionCol="block_score", labelCol="label").evaluate(rows)}

@@ -40,6 +40,31 @@ def test_trees_learn_the_form(spark):
     assert {r["verdict"] for r in got if 1000 <= r["page_id"] < 2000} == {"block"} and {r["verdict"] for r in got if r["page_id"] >= 2000} == {"allow"}
 
 
+def test_trees_on_hosts_they_have_not_seen(spark):
+    """Of the ruled URLs of the table, a fifth of the hosts is held out."""
+    found = url_filter.held_out_quality(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"), URL_RULES)
+    assert found["urls"] > 150 and found["accuracy"] > 0.9 and found["auc"] > 0.9, found
+
+
+def test_a_frequent_url_is_one_row_of_bounded_weight(spark):
+    rows = [(k, "http://same.bad/x") for k in range(500)] + [(1000 + k, f"http://h{k}.good/{k}") for k in range(100)]
+    rules = [("block", "bad/"), ("allow", "good/")]
+    labelled = url_filter.described_urls(spark.createDataFrame(rows, "page_id bigint, url string"), rules, "page_id", "url")
+    sample = url_filter.sample_of(labelled, 1000).collect()
+    assert len(sample) == 101 and {r["copies"] for r in sample} == {1, 500} and {r["weight"] for r in sample} == {1.0, 16.0}
+    half = url_filter.sample_of(labelled, 50).count()
+    assert 20 < half < 80
+
+
+def test_shares_leave_out_the_own_host(spark):
+    rows = [(1, "http://a.x/p"), (2, "http://a.x/q"), (3, "http://b.x/p"), (4, "http://c.y/p")]
+    labelled = url_filter.described_urls(spark.createDataFrame(rows, "page_id bigint, url string"), [("block", "a.x/"), ("allow", "b.x/"), ("allow", "c.y/")], "page_id", "url")
+    shares = url_filter.Shares(labelled)
+    got = {r["page_id"]: (r["suffix_blocked"], r["segment_blocked"]) for r in shares.describe(labelled, learning=True).collect()}
+    assert got == {1: (1 / 3, 1 / 4), 2: (1 / 3, 1 / 2), 3: (3 / 4, 2 / 4), 4: (1 / 2, 2 / 4)}
+    assert {r["page_id"]: r["suffix_blocked"] for r in shares.describe(labelled).collect()} == {1: 3 / 5, 2: 3 / 5, 3: 3 / 5, 4: 1 / 3}
+
+
 def test_no_labels_and_no_rows(spark):
     assert {r["verdict"] for r in url_filter.judge(spark.createDataFrame([(1, "http://a.b/"), (None, None)], "page_id bigint, url string"), URL_RULES).collect()} == {"allow"}
     assert url_filter.judge(spark.createDataFrame([], "page_id bigint, url string"), URL_RULES).collect() == []
