@@ -110,7 +110,8 @@ def upsert_table(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
         source, partition_by = source.withColumn(HASHED, F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")), [HASHED]
     current = read_table(spark, path, fmt, _stored(source.schema, partition_by)) if path_exists(spark, path) else None
     merged = source if current is None else merge_rows(in_partitions_of(current, source, partition_by), source, keys)
-    (merged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Dealt by partition, so that a task writes few files; Spark splits a large partition at run time.
+    (merged.hint("rebalance", *partition_by).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).save(path))
 
 
