@@ -174,12 +174,14 @@ def packer(capacity: int, turn: int, last: bool, release: int):
 
 
 def pack(pieces: DataFrame, capacity: int = 1024, partition_pieces: int = 16_000, rounds: int = 4, release: int = 64) -> DataFrame:
-    """`pieces` (staged: with length and slot) with sequence_id and offset.
+    """`pieces` (staged: with length and slot) with sequence_id, offset and the certificate of the sequence: the round and partition that closed it, and the gap.
 
-    The last of `rounds` rounds, or one of a single partition, keeps all that it packs.
+    gap is how many sequences that partition had above its bound then; below 1, no packing of its pieces has fewer. Pieces of the whole capacity have a sequence
+    each, in round 0, without a partition and with gap 0. The last of `rounds` rounds, or one of a single partition, keeps all that it packs.
     """
     ship_package(pieces.sparkSession)
-    full = pieces.where(F.col("length") == capacity).select("*", (F.col("slot") + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    full = pieces.where(F.col("length") == capacity).select("*", (F.col("slot") + F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"),
+                                                           F.lit(0).alias("round"), F.lit(None).cast("bigint").alias("part"), F.lit(0.0).alias("gap"))
     done = [full]
     rest = pieces.where(F.col("length") < capacity).withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
     schema = T.StructType([*rest.schema.fields, T.StructField("part", T.LongType()), T.StructField("gap", T.DoubleType()), T.StructField("done", T.BooleanType())])
@@ -192,7 +194,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, partition_pieces: int = 16_000
         deal = F.xxhash64("slot") if turn == 1 else F.xxhash64("sequence_id", F.lit(turn))  # sequences move as they are
         dealt = rest.withColumn("part", F.pmod(deal, F.lit(parts)))
         packed = staged(dealt.groupBy("part").applyInPandas(packer(capacity, turn, last, release), schema), f"packed-{turn}")
-        done.append(packed.where("done").drop("part", "gap", "done"))
+        done.append(packed.where("done").withColumn("round", F.lit(turn)).drop("done"))
         if last:
             break
         rest = packed.where("NOT done").drop("part", "gap", "done")
@@ -203,11 +205,20 @@ def pack(pieces: DataFrame, capacity: int = 1024, partition_pieces: int = 16_000
 
 
 def pack_documents(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, **options) -> DataFrame:
-    """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
+    """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset, round, part, gap (and ids)."""
     pieces = staged(tokenize(docs, capacity, end_id, id_col, text_col, with_ids=with_ids), "pieces")
     return pack(pieces, capacity, **options).drop("slot")
 
 
+def certificate(packed: DataFrame, capacity: int = 1024) -> tuple[int, int]:
+    """(sequences used, sequences that every packing of these pieces needs by the bound). One count for each length comes to the driver."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for row in packed.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[row["length"]] = row["n"]
+    used = packed.where("offset = 0").count()
+    return used, math.ceil(lower_bound(counts, capacity) - 1e-6)
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """Token sequences from pieces packed with their ids: one row per sequence, pieces in order of their offset."""
     rows = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("pieces"))

@@ -57,6 +57,28 @@ def test_partitions_with_gaps_exchange_pieces(spark):
     assert (placed.groupby("sequence_id")["length"].cumsum() - placed["length"] == placed["offset"]).all() and len(placed) == 8000
 
 
+def test_small_partitions_and_certificates(spark):
+    """Partitions of 400 pieces; each sequence has the gap of the partition that closed it, as counted again from its pieces."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat(' a', int(20 + pmod(hash(id), 900))) AS text")
+    packed = packing.pack_documents(docs, partition_pieces=400).cache()
+    pieces = packed.toPandas()
+    used, needed = packing.certificate(packed)
+    bound = packing.lower_bound(np.bincount(pieces["length"], minlength=1025), 1024)
+    assert used == pieces["sequence_id"].nunique() and needed == math.ceil(bound - 1e-6) and needed <= used <= 1.015 * needed
+    assert pieces.groupby("sequence_id")[["round", "part", "gap"]].nunique(dropna=False).max().max() == 1
+    last = pieces[pieces["round"] == pieces["round"].max()]
+    assert len(last)
+    for _, rows in last.groupby("part"):  # a last round keeps all its pieces
+        again = rows["sequence_id"].nunique() - packing.lower_bound(np.bincount(rows["length"], minlength=1025), 1024)
+        assert abs(again - rows["gap"].iloc[0]) < 1e-6 and rows["gap"].nunique() == 1
+
+
+def test_whole_pieces_are_certified_and_an_empty_table_needs_nothing(spark):
+    long = packing.pack_documents(spark.createDataFrame([(1, " a" * 2047)], "doc_id bigint, text string"))
+    assert {(r["round"], r["part"], r["gap"]) for r in long.collect()} == {(0, None, 0.0)} and packing.certificate(long) == (2, 2)
+    assert packing.certificate(packing.pack_documents(cases.nothing(spark))) == (0, 0)
+
+
 def best(lengths, capacity):
     """The smallest number of bins, by trying all."""
     def search(rest, bins, top):
