@@ -7,8 +7,9 @@ back to words of the document and to offsets in the original text.
 Words are runs of ASCII letters, digits and characters beyond ASCII, with A-Z lower-cased. The automaton works on UTF-8
 bytes: every ASCII character that is no letter or digit separates words, so the byte form has the same words.
 
-The automaton's size follows the benchmark, never the corpus. Items beyond `block_bytes` of window text go to further
-automata, and each of them reads the texts in a pass of its own, so an automaton always fits a worker; results are the same.
+The automaton's size follows the benchmark, never the corpus. A benchmark of more than `block_bytes` of window text is dealt to several
+automata. Each of them reads the texts in a pass of its own, and what it found is written with the texts before the next begins: the driver holds one
+block of items at a time and a worker one automaton; results are the same.
 
 Defined results: a null or wordless text has no words and no hits; items without words are never found; repeated items count once by
 id; a null item id is left out of the list of ids but its windows still hit. Other columns are kept by `drop_contaminated` and ignored otherwise.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creaseline.llm.common import fresh_name, ship_package
+from creaseline.llm.common import fresh_name, ship_package, staged
 
 #: ASCII to its normal form: letters in small, digits, everything else a blank; bytes beyond ASCII stay.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -105,48 +106,52 @@ def merged(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def item_blocks(benchmark: DataFrame, width: int, block_bytes: int, item_col: str, text_col: str) -> Iterator[list[tuple[str | None, str]]]:
-    """Items in blocks whose windows have at most about `block_bytes` bytes; one block is on the driver at a time."""
-    block, size = [], 0
-    rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col)).where(F.col(text_col).isNotNull()).distinct()
-    for item, text in rows.toLocalIterator():
-        windows = windows_of(text, width)
-        if not windows:
-            continue
-        if block and size + sum(map(len, windows)) > block_bytes:
+    """Items in blocks of about `block_bytes` bytes of windows at most; each is fetched when it is asked for.
+
+    A word is in `width` windows at most, so the bytes of the texts bound those of the windows. Items are dealt to blocks by their hash; more than one
+    block are made half as large as they may be, for a hash deals unevenly.
+    """
+    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("body")).where(F.col(text_col).isNotNull()).distinct()
+    rows = staged(rows, "benchmark-items")
+    total = (rows.agg(F.sum(F.octet_length("body") + 1)).first()[0] or 0) * width
+    blocks = 1 if total <= block_bytes else -(-2 * total // block_bytes)
+    for k in range(blocks):
+        block = [(r["item"], r["body"]) for r in rows.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k).collect()]
+        if block or not k:
             yield sorted(block, key=repr)
-            block, size = [], 0
-        block.append((item, text))
-        size += sum(map(len, windows))
-    if block:
-        yield sorted(block, key=repr)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 64 << 20, text_col: str = "text",
          item_col: str = "item_id", item_text_col: str = "text", out_col: str = "leaks", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of `docs` (all, if none are given) with `out_col`, a struct of n_words, n_hit, items, spans."""
     ship_package(docs.sparkSession)
-    blocks = [*item_blocks(benchmark, width, block_bytes, item_col, item_text_col)] or [[]]
-    out = docs
-    for turn, items in enumerate(blocks):
-        names = docs.columns if keep is None or turn + 1 < len(blocks) else keep
-        schema = T.StructType([*[docs.schema[c] for c in names], T.StructField(out_col, SCAN_TYPE)])
-
-        def read(batches: Iterator[pa.RecordBatch], items=items, later=turn > 0, names=names) -> Iterator[pa.RecordBatch]:
-            patterns = automaton(items, width)
-            for batch in batches:
-                found = []
-                before = batch.column(out_col).to_pylist() if later else []
-                for at, text in enumerate(batch.column(text_col).to_pylist()):
-                    n_words, n_hit, ids, spans = scan(text, patterns)
-                    if later and before[at]["n_hit"]:
-                        spans = merged([(s["start"], s["stop"]) for s in before[at]["spans"]], spans)
-                        ids = sorted({*before[at]["items"], *ids})
-                        n_hit = sum(len(words_of(text[a:b])) for a, b in spans)
-                    found.append({"n_words": n_words, "n_hit": n_hit, "items": ids, "spans": [{"start": a, "stop": b} for a, b in spans]})
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found, SCAN_ARROW)], names=[*names, out_col])
-
-        out = out.mapInArrow(read, schema)
-    return out
+    out, items = docs, None
+    for turn, block in enumerate(item_blocks(benchmark, width, block_bytes, item_col, item_text_col)):
+        if turn:  # written before the next block is fetched: the driver holds one block, a worker one automaton
+            out = staged(scanned(out, items, width, text_col, out_col, docs.columns, turn > 1), f"scanned-{turn}")
+        later, items = turn > 0, block
+    return scanned(out, items, width, text_col, out_col, docs.columns if keep is None else keep, later)
+
+
+def scanned(docs: DataFrame, items: list[tuple[str | None, str]], width: int, text_col: str, out_col: str, names: list[str], later: bool) -> DataFrame:
+    """The columns `names` of `docs` with `out_col`: what one block of items finds, added to what earlier blocks found if `later`."""
+    schema = T.StructType([*[docs.schema[c] for c in names], T.StructField(out_col, SCAN_TYPE)])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = automaton(items, width)
+        for batch in batches:
+            found = []
+            before = batch.column(out_col).to_pylist() if later else []
+            for at, text in enumerate(batch.column(text_col).to_pylist()):
+                n_words, n_hit, ids, spans = scan(text, patterns)
+                if later and before[at]["n_hit"]:
+                    spans = merged([(s["start"], s["stop"]) for s in before[at]["spans"]], spans)
+                    ids = sorted({*before[at]["items"], *ids})
+                    n_hit = sum(len(words_of(text[a:b])) for a, b in spans)
+                found.append({"n_words": n_words, "n_hit": n_hit, "items": ids, "spans": [{"start": a, "stop": b} for a, b in spans]})
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found, SCAN_ARROW)], names=[*names, out_col])
+
+    return docs.mapInArrow(read, schema)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -37,6 +37,14 @@ def test_against_brute_force_with_one_automaton_and_with_several(spark):
             sorted(((i, *brute(t)) for i, t in TEXTS), key=repr)
 
 
+def test_blocks_hold_every_item_once_and_stay_small(spark):
+    rows = [(k, cases.sentence(k, 30)) for k in range(200)]
+    made = list(decontaminate.item_blocks(spark.createDataFrame([*rows, *rows[:5], (None, None)], "item_id bigint, text string"), 10, 20_000, "item_id", "text"))
+    assert sorted(x for block in made for x in block) == sorted((str(k), t) for k, t in rows)
+    sizes = [sum(len(w) for _, t in block for w in decontaminate.windows_of(t, 10)) for block in made]
+    assert len(made) > 10 and max(sizes) <= 20_000
+
+
 def test_offsets_are_of_the_original_text(spark):
     text = "Näh! “Short,\n item” and more"
     found = decontaminate.find(cases.documents(spark, [(1, text)]), items(spark), out_col="found").first()["found"]
