@@ -8,8 +8,8 @@ is counted on the signatures.
 No group is expanded into its pairs. A list hands on only enough edges to connect the classes that agree at or above the match threshold;
 the connected families are then confirmed on the full sets, where they are: first each block of a family with itself and with the family's
 smallest members, which connects dense families, then, for families that are not one component yet, all blocks with each other. Again only
-edges that connect leave the task. Long lists and large families are cut into blocks, so they are shared by many tasks. Every pair of a family is
-decided or already connected; nothing is capped.
+edges that connect leave the task. A long list is first compared with its first class; what does not agree with that, and large families, are cut into
+blocks, so they are shared by many tasks. Every pair of a family is decided or already connected; nothing is capped.
 
 Defined results: a null or wordless text has no shingles and is linked with nothing. Fewer words than a shingle has are one shingle. A null id is larger than any
 other. Rows that share an id and a set have the same result. Extra columns are ignored, and kept by `keep_one`.
@@ -255,6 +255,49 @@ def sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int,
     return staged(found.join(wanted, "set_key").select("cid", "shingles").dropDuplicates(["cid"]), "sets")
 
 
+def long_lists(prefix: DataFrame, sizes: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Edges and rows for `agreeing` of the lists in `sizes` (list, head), which are too long for one task.
+
+    The head, a list's first class, is compared with every class where that stands; those that agree with it are connected at once and need no comparison with each
+    other. The others are dealt to blocks, which meet each other and blocks of those that agree. A list that agrees makes no rows.
+    """
+    heads = sizes.select("list", F.col("head").alias("cid")).join(classes, "cid").select("list", F.col("cid").alias("head"), F.col("sig").alias("head_sig"), F.col("n_shingles").alias("head_n"))
+    same = F.size(F.filter(F.zip_with("sig", "head_sig", lambda x, y: x == y), lambda x: x))
+    n, m = F.col("n_shingles"), F.col("head_n")
+    near = (same >= AGREE) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+    rows = prefix.join(heads.hint("merge"), "list").join(classes, "cid").select("list", "head", "cid", "sig", "n_shingles", near.alias("near"))
+    rows = staged(rows, "long-lists")
+    edges = rows.where("near AND cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b"))
+
+    counts = rows.groupBy("list").agg(F.count_if(~F.col("near")).alias("others"), F.count_if("near").alias("nears")).where("others > 0")
+    blocks = staged(counts.select("list", *((F.floor(F.col(c) / LIST_BLOCK) + 1).alias(c) for c in ("others", "nears"))), "long-list-blocks")
+    open_ = rows.drop("head").join(blocks.hint("merge"), "list")
+    among = in_blocks(open_.where("NOT near"), F.col("others"))
+    # Block i of those that agree meets block j of the others as (-1 - i, j).
+    own = F.pmod(F.xxhash64("cid"), F.when(F.col("near"), F.col("nears")).otherwise(F.col("others")))
+    met = open_.withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(F.col("near"), F.col("others")).otherwise(F.col("nears")) - 1)))
+    across = met.withColumns({"low": -1 - F.when(F.col("near"), F.col("own")).otherwise(F.col("met")), "high": F.when(F.col("near"), F.col("met")).otherwise(F.col("own")),
+                              "side": F.when(F.col("near"), 0).otherwise(1)})
+    return edges, among.select(*LISTED).unionByName(across.select(*LISTED))
+
+
+LISTED = ["list", "low", "high", "cid", "side", "sig", "n_shingles"]
+
+
+def family_edges(prefix: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect the classes of each list of `prefix` (cid, list) that agree; classes: cid, sig, n_shingles."""
+    sizes = staged(prefix.groupBy("list").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("head")).where("size > 1"), "list-sizes")
+    short = prefix.join(sizes.where(F.col("size") < LIST_BLOCK).select("list").hint("merge"), "list").join(classes, "cid")
+    rows = short.withColumns({"low": F.lit(0).cast("bigint"), "high": F.lit(0).cast("bigint"), "side": F.lit(2)}).select(*LISTED)
+    long = sizes.where(F.col("size") >= LIST_BLOCK)
+    edges = None
+    if not long.isEmpty():
+        edges, more = long_lists(prefix, long, classes, percent)
+        rows = rows.unionByName(more)
+    found = by_group(rows, ["list", "low", "high"], lambda group: agreeing(group, percent), EDGE)
+    return found if edges is None else found.unionByName(edges)
+
+
 def link(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links), kept (whether that is the row's own)."""
     facts = staged(described(docs, width, id_col, text_col), "shingle-facts")
@@ -270,10 +313,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_
     rare = F.lit(COORDINATES - AGREE + 1) - (F.lit(COORDINATES) - F.size("lists"))
     prefix = staged(placed.where(rare > 0).select("cid", F.explode(F.slice("lists", 1, F.greatest(rare, F.lit(1)))).alias("at")).select("cid", F.col("at.list").alias("list")), "prefixes")
 
-    sizes = prefix.groupBy("list").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    sizes = staged(sizes.select("list", (F.floor(F.col("size") / LIST_BLOCK) + 1).alias("blocks")), "list-sizes")
-    held = prefix.join(sizes.hint("merge"), "list").join(classes.select("cid", "sig", "n_shingles"), "cid")
-    edges = by_group(in_blocks(held, F.col("blocks")).drop("blocks"), ["list", "low", "high"], lambda group: agreeing(group, percent), EDGE)
+    edges = family_edges(prefix, classes.select("cid", "sig", "n_shingles"), percent)
     families = components(staged(edges.distinct(), "family-edges"))
     families = staged(families.unionByName(families.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "cid"), "families")
 

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from creaseline.llm import near_dup
 from tests.llm import cases
@@ -57,6 +58,42 @@ def test_chains_stars_and_small_sets_against_brute_force(spark, monkeypatch):
     check(spark, rows, 2)
 
 
+def test_long_lists_against_brute_force(spark, monkeypatch):
+    """Lists of classes that agree with the first one, with each other only, through a chain, and not at all; blocks of three."""
+    monkeypatch.setattr(near_dup, "LIST_BLOCK", 3)
+    rng = np.random.default_rng(5)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}w{k}" for k in range(90)]
+        for k in range(25):
+            own = list(base)
+            for at in rng.integers(0, 90, int(rng.integers(0, 14))):
+                own[int(at)] = f"f{family}x{k}y{at}"
+            rows.append((family * 100 + k, " ".join(own)))
+    text = [f"c{k}" for k in range(70)]
+    for k in range(30):
+        text = list(text)
+        text[int(rng.integers(0, 70))] = f"new{k}"
+        rows.append((500 + k, " ".join(text)))
+    check(spark, rows, 2)
+
+
+def test_a_long_list_that_agrees_makes_no_rows(spark, monkeypatch):
+    """And with m classes beside n that agree, n and m rows a block of the others, not n * n / block."""
+    monkeypatch.setattr(near_dup, "LIST_BLOCK", 50)
+    made = {}
+    for others in (0, 40):
+        sigs = [(k, [1] * near_dup.COORDINATES, 100) for k in range(1000)] + [(1000 + k, [1] * 8 + [100 + k] * 24, 100) for k in range(others)]
+        classes = spark.createDataFrame(sigs, "cid bigint, sig array<int>, n_shingles bigint")
+        prefix = classes.select("cid", F.lit(7).cast("bigint").alias("list"))
+        edges, rows = near_dup.long_lists(prefix, spark.createDataFrame([(7, 0)], "list bigint, head bigint"), classes, 80)
+        assert {(r["a"], r["b"]) for r in edges.collect()} == {(0, k) for k in range(1, 1000)}
+        made[others] = rows.count()
+        found = near_dup.family_edges(prefix, classes, 80)
+        assert near_dup.components(found).count() == 999
+    assert made == {0: 0, 40: 40 + 1000 + 40 * 21}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(50, 40), (40, 45), (60, 60)], "a bigint, b bigint")
     assert dict(map(tuple, near_dup.components(edges).collect())) == {**{k: 0 for k in range(1, 21)}, 45: 40, 50: 40}
