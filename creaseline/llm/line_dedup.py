@@ -7,8 +7,8 @@ is posted under these only. In each list, pairs pass the length filter, the posi
 them to connect what passed; each connected family is then compared on its full word sets, block against block, and counted
 where it is compared. Lists and families of any size are cut into blocks shared by many tasks.
 
-Rarity comes from counts of all words in a table of a fixed number of hashed counters; lines that share a counter are only ordered
-less well, so the join stays exact. A word whose counter is 1 occurs once, and needs no posting.
+Rarity comes from counts of the words of all word sets in a table of a fixed number of hashed counters; words that share a counter are only ordered
+less well, so the join stays exact. A word whose counter is 1 is in one set, and needs no posting. The pass that counts also writes the lines.
 
 A line goes if an earlier line (by id, then by number) matches it; the first of each family stays. Defined results: a null text is one empty line; a line
 without words is never matched and stays. A null id is larger than any other. Repeated rows are repeated lines; of lines with the same id and number, all count as the
@@ -18,10 +18,13 @@ first. Extra columns are ignored by `matches` and kept by `remove_later`.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +33,25 @@ from creaseline.llm.common import fresh_name, partitions, ship_package, staged
 from creaseline.llm.near_dup import FOLD, M2, SPACE, by_group, components, in_blocks, mixed, overlaps
 
 COUNTER_BITS, SIEVE_BITS = 23, 24
+KEY = ["cid", "rest"]
+POSTING = ["list", "cid", "map0", "map1", "facts"]
 CHUNK = 1 << 14  # counters in one row of the table
 LIST_BLOCK, FAMILY_BLOCK = 2048, 256
 ROWS = 200_000  # postings that are compared at once; a list is never parted
-PLACE_BITS, POSTED = 28, 300_000
+PLACE_BITS, LIST_BITS, POSTED = 28, 40, 300_000
+SLICE = 1 << 21  # bytes of text that are parsed at once
+BASE = M2 | np.uint64(1)
+BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+
+
+@lru_cache(maxsize=2)
+def kept_powers(base: np.uint64) -> np.ndarray:
+    return np.cumprod(np.concatenate(([np.uint64(1)], np.full(2 * SLICE, base))))
+
+
+def powers_of(base: np.uint64, n: int) -> np.ndarray:
+    """At least n powers of the base."""
+    return kept_powers(base) if n <= 2 * SLICE else np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, base))))
 
 
 def line_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -50,44 +68,33 @@ def line_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
         return doc, number, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    size = stop - start
-    first = np.cumsum(size) - size
-    inside = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
-    powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(int(size.max()), M2 | np.uint64(1)))))
-    hashes = mixed(np.add.reduceat((data[word].astype(np.uint64) + np.uint64(1)) * powers[inside], first) + size.astype(np.uint64))
-    return doc, number, np.searchsorted(begin, start, "right") - 1, hashes
+    # A word's polynomial is a difference of running sums, moved back to its first character.
+    powers, back = (powers_of(b, len(data)) for b in (BASE, BASE_INVERSE))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * powers[:len(data)], out=sums[1:])
+    hashes = mixed((sums[stop] - sums[start]) * back[start] + (stop - start).astype(np.uint64))
+    return doc, number, np.repeat(np.arange(len(begin)), np.diff(np.searchsorted(start, breaks), prepend=0)), hashes
 
 
-def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
-    for low in range(0, batch.num_rows, rows):
-        yield batch.slice(low, rows)
+def slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
+    """Rows of about SLICE bytes of text; a longer text stands alone."""
+    size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    number = (np.cumsum(size) - 1) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(low, high - low)
 
 
-def rarity(docs: DataFrame, text_col: str) -> np.ndarray:
-    """Counters of all words: a table of one fixed size, whatever the corpus."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, held, n = np.zeros(1 << COUNTER_BITS, np.uint32), [], 0
-        for batch in batches:
-            for part in slices(batch):
-                held.append((line_words(part.column(text_col).to_pylist())[3] >> np.uint64(64 - COUNTER_BITS)).astype(np.int32))
-                n += len(held[-1])
-                if n > 3_000_000:
-                    counters += np.bincount(np.concatenate(held), minlength=len(counters)).astype(np.uint32)
-                    held, n = [], 0
-        if held:
-            counters += np.bincount(np.concatenate(held), minlength=len(counters)).astype(np.uint32)
-        chunks = counters.reshape(-1, CHUNK)
-        for at in np.flatnonzero(chunks.any(1)).tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([chunks[at].tobytes()], pa.binary())], names=["chunk", "counters"])
-
+def rarity(parsed: DataFrame) -> np.ndarray:
+    """The counters of all tasks added up."""
     def add(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        total = sum(np.frombuffer(b, np.uint32).astype(np.uint64) for b in group.column("counters").to_pylist())
+        total = sum(np.frombuffer(zlib.decompress(b), np.uint32).astype(np.uint64) for b in group.column("counters").to_pylist())
         total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
         yield pa.RecordBatch.from_arrays([group.column("chunk").combine_chunks().slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=["chunk", "counters"])
 
     out = np.zeros((1 << COUNTER_BITS) // CHUNK * CHUNK, np.uint32).reshape(-1, CHUNK)
-    kind = "chunk bigint, counters binary"
-    for row in by_group(docs.select(text_col).mapInArrow(count, kind), ["chunk"], add, kind).collect():
+    chunks = parsed.where("counters IS NOT NULL").select(F.col("line").alias("chunk"), "counters")
+    for row in by_group(chunks, ["chunk"], add, "chunk bigint, counters binary").collect():
         out[row["chunk"]] = np.frombuffer(row["counters"], np.uint32)
     return out.ravel()
 
@@ -100,67 +107,99 @@ def maps_of(line: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def by_line(line: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The order by line, then by value."""
+    if not len(line) or line.max() >= 1 << 16:
+        return np.lexsort((value, line))
+    order = np.argsort(value)
+    return order[np.argsort(line[order].astype(np.uint16), kind="stable")]  # short numbers are sorted by counting
+
+
 def distinct_words(line: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((words, line))
+    order = by_line(line, words)
     line, words = line[order], words[order]
     new = np.ones(len(words), bool)
     new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
     return line[new], words[new]
 
 
-def keyed(line: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, list[bytes | None], np.ndarray]:
-    """(words of each line, key of each word set or None, 64 bits of the key). line and words are sorted and distinct."""
+def keyed(line: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of each line, and the two halves of the 128-bit key of its word set). line and words are sorted and distinct."""
     size = np.bincount(line, minlength=n)
-    ends = np.cumsum(size)
-    keys = [hashlib.blake2b(words[b - k:b].tobytes(), digest_size=16).digest() if k else None for b, k in zip(ends.tolist(), size.tolist())]
-    short = np.frombuffer(b"".join(k[:8] if k else bytes(8) for k in keys), "<i8")
-    return size, keys, short
+    ends, held = (np.cumsum(size) * 8).tolist(), words.tobytes()
+    keys = b"".join([hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in zip([0, *ends[:-1]], ends)])
+    halves = np.frombuffer(keys, "<i8").reshape(-1, 2)
+    return size, halves[:, 0], halves[:, 1]
+
+
+def unseen(short: np.ndarray, posted: set[int]) -> np.ndarray:
+    """The first line of each word set that this task has not had lately. `posted` is bounded."""
+    ids, begin = np.unique(short, return_index=True)
+    new = np.zeros(len(short), bool)
+    new[begin] = [c not in posted for c in ids.tolist()]
+    if len(posted) > POSTED:
+        posted.clear()
+    posted.update(ids.tolist())
+    return new
 
 
 def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per line: id, line, n_words, key of the word set (null without words) and its first 64 bits."""
-    schema = T.StructType([docs.schema[id_col], T.StructField("line", T.LongType()), T.StructField("n_words", T.LongType()),
-                           T.StructField("line_key", T.BinaryType()), T.StructField("cid", T.LongType())])
+    """Per line: id, line, n_words, the two halves of the key of the word set (null without words).
+
+    At its end a task adds rows of its counters (number of the chunk as line): words of all its word sets, copies counted once, in a table of one fixed size, whatever the corpus.
+    """
+    schema = T.StructType([docs.schema[id_col], *[T.StructField(c, T.LongType()) for c in ("line", "n_words", *KEY)], T.StructField("counters", T.BinaryType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, held, n, posted, id_type = np.zeros(1 << COUNTER_BITS, np.uint32), [], 0, set(), None
         for batch in batches:
-            for part in slices(batch):
+            id_type = batch.schema.field(id_col).type
+            for part in slices(batch, text_col):
                 doc, number, line, words = line_words(part.column(text_col).to_pylist())
-                size, keys, short = keyed(*distinct_words(line, words), len(doc))
+                line, words = distinct_words(line, words)
+                size, cid, rest = keyed(line, words, len(doc))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(id_col).take(pa.array(doc)), pa.array(number.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(keys, pa.binary()), pa.array(short)], names=schema.names)
+                    part.column(id_col).take(pa.array(doc)), pa.array(number.astype(np.int64)), pa.array(size.astype(np.int64)), *[pa.array(k, mask=size == 0) for k in (cid, rest)],
+                    pa.nulls(len(doc), pa.binary())], names=schema.names)
+                held.append((words[unseen(cid, posted)[line]] >> np.uint64(64 - COUNTER_BITS)).astype(np.int32))
+                n += len(held[-1])
+                if n > 3_000_000:
+                    counters += np.bincount(np.concatenate(held), minlength=len(counters)).astype(np.uint32)
+                    held, n = [], 0
+        if held:
+            counters += np.bincount(np.concatenate(held), minlength=len(counters)).astype(np.uint32)
+        chunks = counters.reshape(-1, CHUNK)
+        for at in np.flatnonzero(chunks.any(1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.array([at], pa.int64()), *[pa.nulls(1, pa.int64()) for _ in range(3)],
+                                              pa.array([zlib.compress(chunks[at].tobytes(), 1)], pa.binary())], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(read, schema)
 
 
 def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str) -> DataFrame:
-    """A row for each prefix word of each line: list, cid, facts (size and place in one number, with the side of the block), two maps.
+    """A row for each prefix word of each line: list, cid, two maps, facts (size and place in one number, with the side of the block).
 
+    A list is named by 40 bits, in the upper part of the number; words that share them are compared, which the filters and the full sets undo.
     The list of a frequent word is cut into blocks; block i meets block j once, as side 0 and 1 of a list of their own, or itself (side 2).
     """
     shared = docs.sparkSession.sparkContext.broadcast(counters)
-    names = ["list", "cid", "facts", "map0", "map1"]
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, posted = shared.value, set()  # lines that this task has posted: of a frequent line, a task sends one copy
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, text_col):
                 doc, _, line, words = line_words(part.column(text_col).to_pylist())
                 line, words = distinct_words(line, words)
-                size, _, short = keyed(line, words, len(doc))
+                size, short, _ = keyed(line, words, len(doc))
+                new = unseen(short, posted)
+                mine = new[line]
+                line, words, size = line[mine], words[mine], np.where(new, size, 0)
                 maps = maps_of(line, words, len(doc))
                 seen = counts[(words >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-                order = np.lexsort((words, seen, line))
+                order = by_line(line, (seen.astype(np.uint64) << np.uint64(32)) | (words >> np.uint64(32)))  # ties by the upper half of the hash
                 line, words, seen = line[order], words[order], seen[order]
                 place = np.arange(len(line)) - (np.cumsum(size) - size)[line]
                 n = size[line]
-                ids, begin = np.unique(short, return_index=True)
-                new = np.zeros(len(doc), bool)
-                new[begin] = [c not in posted for c in ids.tolist()]
-                if len(posted) > POSTED:
-                    posted.clear()
-                posted.update(ids.tolist())
-                at = np.flatnonzero(new[line] & (place < n - -(-percent * n // 100) + 1) & (seen > 1))  # a word seen once is in no other line
+                at = np.flatnonzero((place < n - -(-percent * n // 100) + 1) & (seen > 1))  # a word seen once is in no other line
                 blocks = seen[at].astype(np.int64) // LIST_BLOCK + 1
                 own = (short[line[at]].view(np.uint64) % blocks.astype(np.uint64)).astype(np.int64)
                 copies = np.repeat(np.arange(len(at)), blocks)
@@ -168,11 +207,11 @@ def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str)
                 low, high = np.minimum(own[copies], other), np.maximum(own[copies], other)
                 side = np.where(low == high, 2, np.where(own[copies] == low, 0, 1))
                 at = at[copies]
-                lists = mixed(words[at] + mixed((low * (1 << 31) + high).astype(np.uint64)))
+                lists = mixed(words[at] + mixed((low * (1 << 31) + high).astype(np.uint64))) >> np.uint64(64 - LIST_BITS) << np.uint64(64 - LIST_BITS)
                 facts = (n[at] << (PLACE_BITS + 2)) | (place[at] << 2) | side
-                yield pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(short[line[at]]), pa.array(facts.astype(np.int64)), *[pa.array(maps[line[at], k].view(np.int64)) for k in (0, 1)]], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(short[line[at]]), *[pa.array(maps[line[at], k].view(np.int64)) for k in (0, 1)], pa.array(facts.astype(np.int64))], names=POSTING)
 
-    return docs.select(text_col).mapInArrow(read, "list bigint, cid bigint, facts bigint, map0 bigint, map1 bigint")
+    return docs.select(text_col).mapInArrow(read, ", ".join(f"{c} bigint" for c in POSTING))
 
 
 def filtered(lists: np.ndarray, cid: np.ndarray, facts: np.ndarray, maps: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,15 +267,13 @@ def rooted(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) over all lists."""
-    names = ["list", "cid", "facts", "map0", "map1"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         rows = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(c).to_numpy() for c in names]
+            columns = [batch.column(c).to_numpy() for c in POSTING]
             # Copies of a line stand next to each other; one is enough.
             new = np.ones(batch.num_rows, bool)
             new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
@@ -253,7 +290,7 @@ def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
             yield edges([np.concatenate(c) for c in zip(*held)])
 
     def edges(columns: list[np.ndarray]) -> pa.RecordBatch:
-        a, b = filtered(columns[0], columns[1], columns[2], [m.view(np.uint64) for m in columns[3:]], percent)
+        a, b = filtered(columns[0], columns[1], columns[4], [m.view(np.uint64) for m in columns[2:4]], percent)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -263,8 +300,8 @@ def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
 
 def counted(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """Links of each class of a family (or of two of its blocks), and whether one of them begins earlier: exact, on the full sets."""
-    keys, side = group.column("line_key").combine_chunks(), group.column("side").to_numpy()
-    if len(keys) < 2:
+    side = group.column("side").to_numpy()
+    if len(side) < 2:
         return
     first = list(zip(*(group.column(c).to_pylist() for c in ("first_null", "first_id", "first_line"))))
     place = {v: k for k, v in enumerate(sorted(set(first)))}
@@ -279,7 +316,8 @@ def counted(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     earlier = (match & (rank[None, :] < rank[:, None])).any(1)
     at = np.flatnonzero(links)
     if len(at):
-        yield pa.RecordBatch.from_arrays([keys.take(pa.array(at)), pa.array(links[at].astype(np.int64)), pa.array(earlier[at])], names=["line_key", "links", "earlier"])
+        keys = [group.column(c).combine_chunks().take(pa.array(at)) for c in KEY]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(links[at].astype(np.int64)), pa.array(earlier[at])], names=[*KEY, "links", "earlier"])
 
 
 def sieve_of(families: DataFrame) -> np.ndarray:
@@ -292,56 +330,57 @@ def sieve_of(families: DataFrame) -> np.ndarray:
 
 
 def words_of(docs: DataFrame, families: DataFrame, text_col: str) -> DataFrame:
-    """(line_key, words) of the lines in a family, and of the few others that the sieve lets pass; a task sends a line once."""
+    """(cid, rest, words) of the lines in a family, and of the few others that the sieve lets pass; a task sends a line once."""
     shared = docs.sparkSession.sparkContext.broadcast(sieve_of(families))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve, sent = shared.value, set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, text_col):
                 doc, _, line, words = line_words(part.column(text_col).to_pylist())
                 line, words = distinct_words(line, words)
-                size, keys, short = keyed(line, words, len(doc))
+                size, short, rest = keyed(line, words, len(doc))
                 low = short & ((1 << SIEVE_BITS) - 1)
                 passed = (sieve[low >> 6] >> (low & 63).astype(np.uint64)) & np.uint64(1)
                 ends = np.cumsum(size)
                 found = []
                 for k in np.flatnonzero((passed == 1) & (size > 0)).tolist():
-                    if keys[k] not in sent:
-                        sent.add(keys[k])
+                    key = (int(short[k]), int(rest[k]))
+                    if key not in sent:
+                        sent.add(key)
                         found.append(k)
                 if len(sent) > POSTED:
                     sent.clear()
-                yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in found], pa.binary()),
-                                                  pa.array([words[ends[k] - size[k]:ends[k]].tobytes() for k in found], pa.binary())], names=["line_key", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(short[found]), pa.array(rest[found]),
+                                                  pa.array([words[ends[k] - size[k]:ends[k]].tobytes() for k in found], pa.binary())], names=[*KEY, "words"])
 
-    return docs.select(text_col).mapInArrow(read, "line_key binary, words binary")
+    return docs.select(text_col).mapInArrow(read, "cid bigint, rest bigint, words binary")
 
 
 def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per line: id, line (from 0), n_words, class_id and class_line (where its word set occurs first), n_links (other sets that match it), kept."""
     ship_package(docs.sparkSession)
-    counters = rarity(docs, text_col)
-    lines = staged(described(docs, id_col, text_col), "lines")
+    parsed = staged(described(docs, id_col, text_col), "lines")
+    counters, lines = rarity(parsed), parsed.where("counters IS NULL").drop("counters")
     first = F.min(F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.col("line").alias("line"))).alias("first")
-    classes = staged(lines.where("n_words > 0").groupBy("line_key", "cid").agg(first), "line-classes")
+    classes = lines.where("n_words > 0").groupBy(*KEY).agg(first).select(*KEY, F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"))
+    classes = staged(classes, "line-classes")
 
     edges = staged(candidate_edges(postings(docs, counters, percent, text_col), percent).distinct(), "line-edges")
     family = staged(components(edges).select(F.col("node").alias("cid"), "root"), "line-nodes")
     family = staged(family.unionByName(family.select(F.col("root").alias("cid"), "root").distinct()), "line-families")
-    named = classes.select("cid", "line_key", F.col("first.missing").alias("first_null"), F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"))
-    wanted = staged(family.join(named, "cid"), "line-wanted")
-    sizes = staged(wanted.groupBy("root").agg((F.floor(F.count(F.lit(1)) / FAMILY_BLOCK) + 1).alias("blocks")), "line-family-sizes")
-    sets = words_of(docs, family, text_col).join(wanted.hint("merge"), "line_key").dropDuplicates(["line_key"])
-    full = in_blocks(sets.join(sizes, "root"), F.col("blocks")).select(
-        "root", "low", "high", "line_key", "side", F.col("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
-    links = by_group(full, ["root", "low", "high"], lambda group: counted(group, percent), "line_key binary, links bigint, earlier boolean")
-    links = staged(links.groupBy("line_key").agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier")), "line-links")
-    judged = classes.join(links, "line_key", "left").select("line_key", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("earlier", F.lit(False)).alias("earlier"))
+    blocks = family.groupBy("root").agg((F.floor(F.count(F.lit(1)) / FAMILY_BLOCK) + 1).alias("blocks"))
+    wanted = staged(family.join(classes, "cid").join(blocks, "root"), "line-wanted")
+    sets = words_of(docs, family, text_col).join(wanted.hint("merge"), KEY).dropDuplicates(KEY)
+    full = in_blocks(sets, F.col("blocks")).select(
+        "root", "low", "high", *KEY, "side", F.col("first_id").isNull().alias("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
+    links = by_group(full, ["root", "low", "high"], lambda group: counted(group, percent), "cid bigint, rest bigint, links bigint, earlier boolean")
+    links = staged(links.groupBy(*KEY).agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier")), "line-links")
+    judged = classes.join(links, KEY, "left").select(*KEY, "first_id", "first_line", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("earlier", F.lit(False)).alias("earlier"))
     judged = staged(judged, "line-judged")
-    out = lines.drop("cid").join(judged.hint("merge"), "line_key", "left")
-    stays = F.col("first").isNull() | (~F.col("earlier") & F.col(id_col).eqNullSafe(F.col("first.id")) & (F.col("line") == F.col("first.line")))
-    return out.select(F.col(id_col), "line", "n_words", F.col("first.id").alias("class_id"), F.col("first.line").alias("class_line"), F.coalesce("n_links", F.lit(0)).alias("n_links"), stays.alias("kept"))
+    out = lines.join(judged.hint("merge"), KEY, "left")
+    stays = F.col("first_line").isNull() | (~F.col("earlier") & F.col(id_col).eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line")))
+    return out.select(F.col(id_col), "line", "n_words", F.col("first_id").alias("class_id"), F.col("first_line").alias("class_line"), F.coalesce("n_links", F.lit(0)).alias("n_links"), stays.alias("kept"))
 
 
 def remove_later(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
