@@ -4,7 +4,7 @@ A line is the set of its words; equal sets form a class, and a class is compared
 more. Words are ordered by rarity. A pair must share a word among the first n - ceil(t n) + 1 of either line (the prefix), so a line
 is posted under these only. In each list, pairs pass the length filter, the positional filter (words left after the shared one) and a filter on
 128-bit maps of the words, whose difference never exceeds that of the sets. A list hands on no pairs, only enough of
-them to connect what passed; each connected family is then compared on its full word sets, block against block, and counted
+them to connect what passed; a large family is parted by maps of 2,048 bits, then each family is compared on its full word sets, block against block, and counted
 where it is compared. Lists and families of any size are cut into blocks shared by many tasks.
 
 Rarity comes from counts of the words of all word sets in a table of a fixed number of hashed counters; words that share a counter are only ordered
@@ -36,7 +36,8 @@ COUNTER_BITS, SIEVE_BITS = 23, 24
 KEY = ["cid", "rest"]
 POSTING = ["list", "cid", "map0", "map1", "facts"]
 CHUNK = 1 << 14  # counters in one row of the table
-LIST_BLOCK, FAMILY_BLOCK = 2048, 256
+LIST_BLOCK, FAMILY_BLOCK, SKETCH_BLOCK = 2048, 256, 2048
+SKETCH_BITS = 2048
 ROWS = 200_000  # postings that are compared at once; a list is never parted
 PLACE_BITS, LIST_BITS, POSTED = 28, 40, 300_000
 SLICE = 1 << 21  # bytes of text that are parsed at once
@@ -357,6 +358,78 @@ def words_of(docs: DataFrame, families: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(read, "cid bigint, rest bigint, words binary")
 
 
+def sketches(sets: DataFrame) -> DataFrame:
+    """Per class: root, cid, n, and a map of SKETCH_BITS bits of its words."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps, sizes = [], []
+            for held in batch.column("words").to_pylist():
+                words = np.frombuffer(held, np.uint64)
+                bits = np.zeros(SKETCH_BITS, np.uint8)
+                bits[(words % np.uint64(SKETCH_BITS)).astype(np.int64)] = 1
+                maps.append(np.packbits(bits).tobytes())
+                sizes.append(len(words))
+            yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("cid"), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())], names=["root", "cid", "n", "sketch"])
+
+    return sets.select("root", "cid", "words").mapInArrow(read, "root bigint, cid bigint, n bigint, sketch binary")
+
+
+def near_sketches(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Edges that connect the classes of a group (or of two of its blocks) which sizes and sketches leave possible matches."""
+    n = group.column("n").to_numpy()
+    order = np.argsort(n, kind="stable")
+    n, cid, side = n[order], group.column("cid").to_numpy()[order], group.column("side").to_numpy()[order]
+    maps = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)[order]
+    stop = np.searchsorted(n, 100 * n // percent, "right")
+    first: list[np.ndarray] = []
+    second: list[np.ndarray] = []
+    for i in range(len(n)):
+        j = np.arange(i + 1, stop[i])
+        j = j[(side[j] != side[i]) | (side[i] == 2)]
+        most = (100 - percent) * (n[i] + n[j]) // (100 + percent)  # words in which a matching pair differs
+        apart = np.zeros(len(j), np.int64)
+        for low in range(0, maps.shape[1], 8):  # the distance only grows
+            apart += np.bitwise_count(maps[j, low:low + 8] ^ maps[i, low:low + 8]).sum(1, dtype=np.int64)
+            near = apart <= most
+            j, most, apart = j[near], most[near], apart[near]
+        first.append(np.full(len(j), i))
+        second.append(j)
+        if i % 256 == 255:
+            first, second = linked(first, second, len(n))
+    i, j = linked(first, second, len(n))
+    if len(i) and len(i[0]):
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[i[0]], cid[j[0]])), pa.array(np.maximum(cid[i[0]], cid[j[0]]))], names=["a", "b"])
+
+
+def linked(first: list[np.ndarray], second: list[np.ndarray], n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """As few edges that connect the same places."""
+    if not first:
+        return [], []
+    root = rooted(np.arange(n), np.concatenate(first), np.concatenate(second))
+    moved = np.flatnonzero(root != np.arange(n))
+    return [root[moved]], [moved]
+
+
+def parted(sets: DataFrame, percent: int) -> DataFrame:
+    """`sets` with families of FAMILY_BLOCK classes or more parted by sketches; a class that is near no other goes.
+
+    The maps of postings tell long lines apart only badly (from about 180 words on), so these chain. Sizes in bands a matching pair is at most one apart
+    keep each class to two groups, and groups are compared in blocks.
+    """
+    bands = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent + 1e-9)))
+    small, large = sets.where("blocks = 1"), sets.where("blocks > 1")
+    grouped = sketches(large).withColumn("band", F.explode(F.array(bands, bands - 1)))
+    grouped = staged(grouped, "line-sketches")
+    sizes = grouped.groupBy("root", "band").agg((F.floor(F.count(F.lit(1)) / SKETCH_BLOCK) + 1).alias("parts"))
+    dealt = in_blocks(grouped.join(sizes, ["root", "band"]), F.col("parts")).drop("parts")
+    edges = by_group(dealt, ["root", "band", "low", "high"], lambda group: near_sketches(group, percent), "a bigint, b bigint")
+    family = components(staged(edges.distinct(), "line-sketch-edges")).select(F.col("node").alias("cid"), F.col("root").alias("part"))
+    family = family.unionByName(family.select(F.col("part").alias("cid"), "part").distinct())
+    sizes = family.groupBy("part").agg((F.floor(F.count(F.lit(1)) / FAMILY_BLOCK) + 1).alias("blocks"))
+    large = large.drop("root", "blocks").join(staged(family.join(sizes, "part"), "line-parts"), "cid").withColumnRenamed("part", "root")
+    return small.unionByName(large)
+
+
 def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per line: id, line (from 0), n_words, class_id and class_line (where its word set occurs first), n_links (other sets that match it), kept."""
     ship_package(docs.sparkSession)
@@ -371,8 +444,8 @@ def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     family = staged(family.unionByName(family.select(F.col("root").alias("cid"), "root").distinct()), "line-families")
     blocks = family.groupBy("root").agg((F.floor(F.count(F.lit(1)) / FAMILY_BLOCK) + 1).alias("blocks"))
     wanted = staged(family.join(classes, "cid").join(blocks, "root"), "line-wanted")
-    sets = words_of(docs, family, text_col).join(wanted.hint("merge"), KEY).dropDuplicates(KEY)
-    full = in_blocks(sets, F.col("blocks")).select(
+    sets = staged(words_of(docs, family, text_col).join(wanted.hint("merge"), KEY).dropDuplicates(KEY), "line-sets")
+    full = in_blocks(parted(sets, percent), F.col("blocks")).select(
         "root", "low", "high", *KEY, "side", F.col("first_id").isNull().alias("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
     links = by_group(full, ["root", "low", "high"], lambda group: counted(group, percent), "cid bigint, rest bigint, links bigint, earlier boolean")
     links = staged(links.groupBy(*KEY).agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier")), "line-links")

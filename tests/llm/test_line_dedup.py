@@ -38,6 +38,7 @@ def test_edge_cases_against_brute_force(spark):
 def test_families_and_common_words_in_blocks_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "LIST_BLOCK", 6)
     monkeypatch.setattr(line_dedup, "FAMILY_BLOCK", 8)
+    monkeypatch.setattr(line_dedup, "SKETCH_BLOCK", 16)
     rng = np.random.default_rng(4)
     words = [f"w{k}" for k in range(12)]
     rows = [(k, "\n".join(" ".join(words[j] for j in rng.permutation(12)[:rng.integers(1, 12)]) for _ in range(3))) for k in range(25)]
@@ -50,6 +51,18 @@ def test_families_and_common_words_in_blocks_against_brute_force(spark, monkeypa
     check(spark, rows)
 
 
+def test_long_lines_that_share_a_rare_word_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FAMILY_BLOCK", 8)
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(24):
+        words = [f"v{j}" for j in rng.choice(4000, 300 + 4 * k, replace=False)] + ["rare"]
+        rows.append((2 * k, " ".join(words)))
+        if k % 3 == 0:
+            rows.append((2 * k + 1, " ".join([*words[30:], "more"])))
+    check(spark, rows)
+
+
 def test_remove_later_keeps_columns(spark):
     docs = cases.documents(spark, [(2, "same line of words\n\nown"), (1, "Same  line OF words\nother"), (3, "own\nother"), (4, None)])
     out = line_dedup.remove_later(docs)
