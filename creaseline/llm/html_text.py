@@ -2,14 +2,14 @@
 
 Pages of a host with equal lines form a group, and the first of them stands for it. These are sorted by host, path and id and dealt over
 partitions in ranges of that order, so a large host is spread over many; each range also gets the page before and the page after it. A page is paired
-with the neighbour of its host whose path shares more segments with its own. The text lines of both are aligned by longest common
-subsequence, and lines that both have are deleted as the site's template. All pages of the group get the same text by a join. Only pages without marked
-content take part, and pages of their hosts; the text of a marked page does not depend on others, so it is never shuffled.
+with the neighbour of its host whose path shares more segments with its own. The text lines of both, as 64-bit numbers, are aligned by longest common
+subsequence; what both have is the site's template. Every page of a host takes part, whatever its structure.
 
 Differencing alone gives wrong results here (README has the figures): adverts differ from page to page, and articles may share sentences
-with their neighbours. So the structure decides where it speaks: blocks inside an article or main element are content and stay, blocks inside
-navigation, page header and footer, asides, forms and the like, by element, role or class, go. Lines that structure leaves open are kept
-unless the paired page has them.
+with their neighbours. So the structure decides where it speaks: blocks inside navigation, page header and footer, asides, forms and the like, by
+element, role or class, go; where a page has an article or main element, only blocks inside it are shown. Of a page without these, lines that structure leaves
+open go if the paired page has them. Inside an article or main element, one pair is too little: a line goes if at least half of the pairs of the host, and at least
+LEAST_PAIRS, share it there. Pairs that share half of their content or more do not count, since they may be versions of one article.
 
 Defined results: a null or empty page has the text "". A page whose host has no page with other lines is not
 differenced; equal pages of a host get equal texts. Null URLs form a host of their own, without pairs. Repeated rows each give a row. Extra columns are ignored.
@@ -56,6 +56,9 @@ OPEN, CONTENT, TEMPLATE, HIDDEN = 0, 1, 2, 3
 SHOWN, APART_KINDS = (OPEN, CONTENT), (TEMPLATE, HIDDEN)
 #: Elements that no class or id makes a template.
 WHOLE = frozenset("html body main article".split())
+#: Fixed value: pairs of a host that must share a line inside their content before it can be the site's.
+LEAST_PAIRS = 5
+HOST_PIECE = 1000  # groups of a host that are joined with its lines in one piece, about
 
 
 def named_apart(value: str, words: frozenset) -> bool:
@@ -204,15 +207,9 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return sorted(out)
 
 
-def shared_with(lines: list[str], other: list[str]) -> set[int]:
-    numbers: dict[str, int] = {}
-    a, b = ([numbers.setdefault(text, len(numbers)) for text in x] for x in (lines, other))
-    return set(common_lines(a, b))
-
-
-def main_text(lines: list[tuple[str, int]], shared: set[int]) -> str:
+def main_text(lines: list[tuple[str, int]], removed: set[int]) -> str:
     marked = any(kind == CONTENT for _, kind in lines)
-    return "\n".join(text for at, (text, kind) in enumerate(lines) if kind == CONTENT or not marked and kind == OPEN and at not in shared)
+    return "\n".join(text for at, (text, kind) in enumerate(lines) if kind == (CONTENT if marked else OPEN) and at not in removed)
 
 
 def nearness(path: str, other: str) -> int:
@@ -256,110 +253,160 @@ def digest_of(lines: list[tuple[str, int]]) -> str:
     return hashlib.blake2b("\n".join(text for text, _ in lines).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
-def is_open(host: str | None, lines: list[tuple[str, int]]) -> bool:
-    """Whether other pages of the host can matter to a page's text."""
-    kinds = {kind for _, kind in lines}
-    return bool(host) and OPEN in kinds and CONTENT not in kinds
+def prints_of(lines: list[tuple[str, int]]) -> bytes:
+    """64 bits for each line; lines are compared by these."""
+    return b"".join(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest() for text, _ in lines)
+
+
+def is_marked(kinds: bytes) -> bool:
+    return CONTENT in kinds
+
+
+def evidence(kinds: bytes, other: list[bytes], shared: list[int]) -> list[int] | None:
+    """Places of the content that a marked page shares with its pair. None if the pair says nothing: half of the content or more is shared, or is
+    all of the other's content, so the two may be versions of one article."""
+    content = [at for at, kind in enumerate(kinds) if kind == CONTENT]
+    found = sorted(set(content).intersection(shared))
+    sizes = [len(content), *(n for k in other if (n := k.count(CONTENT)))]
+    return found if 2 * len(found) < min(sizes) else None
+
+
+def removed_from(kinds: bytes, prints: list[int], shared: list[int], site: set[int]) -> list[int]:
+    """Places of the lines that a page shows by its structure and that differencing removes."""
+    if is_marked(kinds):
+        return [at for at, kind in enumerate(kinds) if kind == CONTENT and prints[at] in site]
+    near = set(shared)
+    return [at for at, kind in enumerate(kinds) if kind == OPEN and (at in near or prints[at] in site)]
 
 
 def parsed(slim: DataFrame, schema: T.StructType, row_of) -> DataFrame:
-    """Rows of `schema` from every page: row_of(host, lines) has the columns after the first four that are not in `slim`, or is None for no row."""
+    """Rows of `schema` from every page: row_of(host, lines, removed) has the columns that are not in `slim`, or is None for no row."""
     kept = [c for c in schema.names if c in slim.columns]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                found = [row_of(host, lines_of(page)) for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist())]
+                removed = part.column("removed").to_pylist() if "removed" in part.schema.names else [None] * part.num_rows
+                found = [row_of(host, lines_of(page), gone) for host, page, gone in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), removed)]
                 part = part.select(kept).filter(pa.array([x is not None for x in found], pa.bool_()))
-                rows = [x for x in found if x is not None]
-                made = [pa.array([x[i] for x in rows], kind) for i, kind in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns_of([x for x in found if x is not None], schema.fields[len(kept):])], names=schema.names)
 
-    kinds = [ARROW[f.dataType.simpleString()] for f in schema.fields[len(kept):]]
     return slim.mapInArrow(read, schema)
 
 
-ARROW = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+def columns_of(rows: list[tuple], fields: list[T.StructField]) -> list[pa.Array]:
+    return [pa.array([x[i] for x in rows], ARROW[f.dataType.simpleString()]) for i, f in enumerate(fields)]
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Per row: id, url, text, n_chars."""
-    spark = pages.sparkSession
-    ship_package(spark)
-    slim = pages.select(F.col(id_col), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumns(
-        {"host": host_of(F.col("url")), "path": path_of(F.col("url")), "id_text": F.coalesce(F.lpad(F.col(id_col).cast("string"), 20, "0"), F.lit(""))})
-    own = [pages.schema[id_col], T.StructField("url", T.StringType())]
-    schema = T.StructType([*own, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    place = [T.StructField(c, T.StringType()) for c in KEY]
-
-    # Kinds of the lines, for open pages only: copies may mark up the same lines in different ways.
-    keys = staged(parsed(slim, T.StructType([*own, *place, T.StructField("kinds", T.BinaryType())]), lambda host, lines: (
-        digest_of(lines), bytes(kind for _, kind in lines) if is_open(host, lines) else None)), "page-keys")
-    settled = parsed(slim, schema, lambda host, lines: None if is_open(host, lines) else (text := main_text(lines, set()), len(text)))
-    if keys.where(F.col("kinds").isNotNull()).isEmpty():
-        return settled
-
-    # One page stands for all pages of its host that have its lines; only hosts with open pages have any.
-    hosts = keys.where(F.col("kinds").isNotNull()).select("host").distinct()
-    groups = keys.join(hosts, "host", "left_semi").groupBy("host", "digest").agg(F.min(F.struct("path", "id_text")).alias("first"), F.collect_set("kinds").alias("variants"))
-    chosen = staged(groups.select("host", "first.path", "first.id_text", "digest", "variants"), "page-groups")
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary()), "array<bigint>": pa.list_(pa.int64())}
+
+
+def field(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind)
+
 
+def aligned(chosen: DataFrame) -> DataFrame:
+    """Per group of pages: host, digest, variants, prints, the places it shares with the nearest page, and those of them that count as evidence
+    (null where the pair gives none)."""
+    spark = chosen.sparkSession
     key = F.struct(*KEY)
     cuts = ranges(chosen.select(*KEY), 4 * partitions(spark))  # several ranges for each task, so that tasks are alike
     limits = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(KEY, cut)]) for cut in cuts]) if cuts else None
     part = F.size(F.filter(limits, lambda limit: limit <= key)).cast("bigint") if cuts else F.lit(0).cast("bigint")
+    placed = chosen.withColumns({"part": part, "guest": F.lit(False)})
     # The first and last page of each range also go to the range before and after: two rows for each range on the driver.
-    edges = sorted((r["part"], r["least"], r["most"]) for r in chosen.withColumn("part", part).groupBy("part").agg(F.min(key).alias("least"), F.max(key).alias("most")).collect())
+    edges = sorted((r["part"], r["least"], r["most"]) for r in placed.groupBy("part").agg(F.min(key).alias("least"), F.max(key).alias("most")).collect())
     visits: dict[tuple, list[int]] = {}
     for (left, _, most), (right, least, _) in zip(edges, edges[1:]):
         visits.setdefault(tuple(least), []).append(left)
         visits.setdefault(tuple(most), []).append(right)
-
-    def placed(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumns({"part": part, "guest": F.lit(False)})
-        if not visits:
-            return rows
+    if visits:
         listed = spark.createDataFrame([(*k, v) for k, v in visits.items()], ", ".join(f"{c} string" for c in KEY) + ", guest_of array<bigint>")
-        guests = rows.join(F.broadcast(listed), list(KEY)).withColumn("part", F.explode("guest_of")).withColumn("guest", F.lit(True))
-        return rows.unionByName(guests.select(rows.columns))
-
-    texts_of = parsed(slim, T.StructType([*place, T.StructField("lines", T.ArrayType(T.StringType()))]), lambda host, lines: (digest_of(lines), [text for text, _ in lines]) if host else None)
-    both = placed(texts_of.withColumn("variants", F.lit(None).cast("array<binary>"))).unionByName(placed(chosen.withColumn("lines", F.lit(None).cast("array<string>"))))
-    made = T.StructType([T.StructField("host", T.StringType()), T.StructField("digest", T.StringType()), T.StructField("kinds", T.BinaryType()), *schema.fields[2:]])
+        guests = chosen.join(F.broadcast(listed), list(KEY)).withColumn("part", F.explode("guest_of")).withColumn("guest", F.lit(True))
+        placed = placed.unionByName(guests.select(placed.columns))
+    made = T.StructType([field("host", T.StringType()), field("digest", T.StringType()), field("variants", T.ArrayType(T.BinaryType())), field("prints", T.BinaryType()),
+                         field("shared", T.ArrayType(T.LongType())), field("evidence", T.ArrayType(T.LongType()))])
+    names = (*KEY, "part", "guest", "variants", "prints")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            # A chosen key comes without lines just before the pages that have the key; the first of these is taken.
-            awaited = variants = None
             for batch in batches:
-                columns = {c: batch.column(c) for c in (*KEY, "part", "guest")}
-                for at in range(batch.num_rows):
-                    host, path, id_text, digest, here, guest = (columns[c][at].as_py() for c in columns)
-                    now = (here, host, path, id_text, digest)
-                    if not batch.column("lines")[at].is_valid:
-                        awaited, variants = now, batch.column("variants")[at].as_py()
-                    elif now == awaited:
-                        awaited = None
-                        yield (here, host), path, batch.column("lines")[at].as_py(), guest, digest, variants
+                for host, path, _, digest, here, guest, variants, prints in zip(*(batch.column(c).to_pylist() for c in names)):
+                    yield (here, host), path, np.frombuffer(prints, np.int64).tolist(), guest, digest, variants, prints
 
         out: list[tuple] = []
-        for ((_, host), _, lines, guest, digest, variants), pair in neighbours(rows()):
-            if guest or not variants:
+        for ((_, host), _, lines, guest, digest, variants, prints), pair in neighbours(rows()):
+            if guest:
                 continue
-            shared = shared_with(lines, pair[2]) if pair else set()
-            for kinds in variants:
-                text = main_text(list(zip(lines, kinds)), shared)
-                out.append((host, digest, kinds, text, len(text)))
+            shared = common_lines(lines, pair[2]) if pair else []
+            counted = [evidence(kinds, pair[5], shared) for kinds in variants if is_marked(kinds)] if pair else []
+            told = None if not counted or None in counted else sorted({lines[at] for one in counted for at in one})
+            out.append((host, digest, variants, prints, shared, told))
             if len(out) >= 500:
-                yield batch_of(out)
+                yield pa.RecordBatch.from_arrays(columns_of(out, made.fields), names=made.names)
                 out = []
         if out:
-            yield batch_of(out)
+            yield pa.RecordBatch.from_arrays(columns_of(out, made.fields), names=made.names)
+
+    return placed.repartition(partitions(spark), "part").sortWithinPartitions("part", *KEY).mapInArrow(read, made)
+
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, ARROW[f.dataType.simpleString()]) for x, f in zip(zip(*rows), made.fields)], names=made.names)
+def site_lines(pairs: DataFrame) -> DataFrame:
+    """Per host, the lines that at least half of its pairs share inside their content, and at least LEAST_PAIRS."""
+    told = pairs.where(F.col("evidence").isNotNull())
+    total = told.groupBy("host").agg(F.count(F.lit(1)).alias("pairs"))
+    times = told.select("host", F.explode("evidence").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= LEAST_PAIRS)
+    return times.join(total, "host").where(2 * F.col("times") >= F.col("pairs")).groupBy("host").agg(F.collect_list("line").alias("site"))
 
-    order = ["part", *KEY, F.col("lines").isNotNull()]
-    texts = both.repartition(partitions(spark), "part").sortWithinPartitions(*order).mapInArrow(read, made)
-    return settled.unionByName(keys.where(F.col("kinds").isNotNull()).join(texts, ["host", "digest", "kinds"]).select(schema.names))
+
+def removals(pairs: DataFrame) -> DataFrame:
+    """Per host, digest and kinds with any: the places of the lines that differencing removes."""
+    made = T.StructType([field("host", T.StringType()), field("digest", T.StringType()), field("kinds", T.BinaryType()), field("removed", T.ArrayType(T.LongType()))])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for host, digest, variants, prints, shared, site in zip(*(batch.column(c).to_pylist() for c in ("host", "digest", "variants", "prints", "shared", "site"))):
+                lines = np.frombuffer(prints, np.int64).tolist()
+                found = ((kinds, removed_from(kinds, lines, shared, set(site or ()))) for kinds in variants)
+                out += [(host, digest, kinds, gone) for kinds, gone in found if gone]
+            yield pa.RecordBatch.from_arrays(columns_of(out, made.fields), names=made.names)
+
+    # A large host is joined in pieces; of such hosts there is at most one for HOST_PIECE groups.
+    large = F.broadcast(pairs.groupBy("host").agg((F.floor(F.count(F.lit(1)) / HOST_PIECE) + 1).alias("pieces")).where("pieces > 1"))
+    pieces = F.coalesce("pieces", F.lit(1))
+    site = site_lines(pairs).join(large, "host", "left").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
+    dealt = pairs.join(large, "host", "left").withColumn("piece", F.pmod(F.xxhash64("digest"), pieces)).drop("pieces")
+    joined = dealt.join(site.drop("pieces"), ["host", "piece"], "left")
+    return joined.select("host", "digest", "variants", "prints", "shared", "site").mapInArrow(read, made)
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Per row: id, url, text, n_chars."""
+    ship_package(pages.sparkSession)
+    slim = pages.select(F.col(id_col), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumns(
+        {"host": host_of(F.col("url")), "path": path_of(F.col("url")), "id_text": F.coalesce(F.lpad(F.col(id_col).cast("string"), 20, "0"), F.lit("")),
+         "page": F.unhex(F.sha2(F.col("html"), 256))})
+    schema = T.StructType([pages.schema[id_col], field("url", T.StringType()), field("text", T.StringType()), field("n_chars", T.LongType())])
+    place = [field("host", T.StringType()), field("path", T.StringType()), field("id_text", T.StringType()), field("page", T.BinaryType())]
+
+    # Every page of a host takes part: its lines as numbers, and their kinds, since copies may mark up the same lines in different ways.
+    lines = staged(parsed(slim, T.StructType([*place, field("digest", T.StringType()), field("kinds", T.BinaryType()), field("prints", T.BinaryType())]), lambda host, lines, _: (
+        digest_of(lines), bytes(kind for _, kind in lines), prints_of(lines)) if host and lines else None), "page-lines")
+
+    # One page stands for all pages of its host that have its lines.
+    groups = lines.groupBy("host", "digest").agg(F.min(F.struct("path", "id_text", "prints")).alias("first"), F.collect_set("kinds").alias("variants"))
+    chosen = staged(groups.select("host", "first.path", "first.id_text", "digest", "variants", "first.prints"), "page-groups")
+    pairs = staged(aligned(chosen), "page-pairs")
+    gone = staged(removals(pairs), "page-removals")
+
+    def text_of(host: str | None, lines: list[tuple[str, int]], removed: list[int] | None) -> tuple[str, int]:
+        text = main_text(lines, set(removed or ()))
+        return text, len(text)
+
+    if gone.isEmpty():
+        return parsed(slim, schema, text_of)
+    # The same html on the same host has the same lines and kinds, so it loses the same places.
+    gone = lines.select("host", "page", "digest", "kinds").distinct().join(gone, ["host", "digest", "kinds"]).select("host", "page", "removed")
+    return parsed(slim.join(staged(gone, "page-places"), ["host", "page"], "left"), schema, text_of)

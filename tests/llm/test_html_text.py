@@ -103,6 +103,21 @@ def test_copies_are_differenced_alike(spark):
     assert got == want | {30: "Story 30 begins.\nIt ends 30.", 31: "Other"}
 
 
+def test_lines_of_the_site_inside_articles_are_differenced(spark, monkeypatch):
+    """Marked pages are paired and aligned too: what most pairs of a host share inside their articles goes, what few share or what versions of one article share stays."""
+    def page(k, *more):
+        return f"<nav>Home</nav><article><h1>Title {k}</h1><p>One {k}</p><p>Two {k}</p>{''.join(f'<div>{x}</div>' for x in more)}</article>"
+
+    monkeypatch.setattr(html_text, "HOST_PIECE", 3)
+    rows = [(k, f"http://h/a/{k}", page(k, "Read our other stories", *["They said so"] * (k < 12))) for k in range(10, 20)]
+    rows += [(k, f"http://few/a/{k}", page(k, "Read our other stories")) for k in range(20, 24)]
+    rows += [(k, f"http://one/a/{k}", page(1, "Three", f"Version {k}")) for k in range(30, 40)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages(spark, rows)).collect()}
+    want = {k: f"Title {k}\nOne {k}\nTwo {k}" + "\nThey said so" * (k < 12) for k in range(10, 20)}
+    want |= {k: f"Title {k}\nOne {k}\nTwo {k}\nRead our other stories" for k in range(20, 24)}
+    assert got == want | {k: f"Title 1\nOne 1\nTwo 1\nThree\nVersion {k}" for k in range(30, 40)}
+
+
 def test_articles_of_the_table_come_out_whole(spark):
     want = {}
     for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect():
