@@ -18,9 +18,7 @@ first. Extra columns are ignored by `matches` and kept by `remove_later`.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creaseline.llm.common import fresh_name, partitions, ship_package, staged
-from creaseline.llm.near_dup import FOLD, M2, SPACE, by_group, components, in_blocks, mixed, overlaps
+from creaseline.llm.near_dup import FOLD, M2, by_group, components, in_blocks, mixed, overlaps, streamed
 
 COUNTER_BITS, SIEVE_BITS = 23, 24
 KEY = ["cid", "rest"]
@@ -40,40 +38,41 @@ LIST_BLOCK, FAMILY_BLOCK, SKETCH_BLOCK = 2048, 256, 2048
 SKETCH_BITS = 2048
 ROWS = 200_000  # postings that are compared at once; a list is never parted
 PLACE_BITS, LIST_BITS, POSTED = 28, 40, 300_000
-SLICE = 1 << 21  # bytes of text that are parsed at once
+SLICE = 1 << 19  # bytes of text that are parsed at once: their arrays stay in the processor's cache
 BASE = M2 | np.uint64(1)
-BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-
-
-@lru_cache(maxsize=2)
-def kept_powers(base: np.uint64) -> np.ndarray:
-    return np.cumprod(np.concatenate(([np.uint64(1)], np.full(2 * SLICE, base))))
-
-
-def powers_of(base: np.uint64, n: int) -> np.ndarray:
-    """At least n powers of the base."""
-    return kept_powers(base) if n <= 2 * SLICE else np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, base))))
+BLANK = bytes(c == 32 or 9 <= c <= 13 for c in range(256))
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LONG_WORD = 1024  # bytes; longer words are hashed one by one
+PACKED = "zstd"
 
 
 def line_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document of each line, number of the line in it, line of each word, hash of each word)."""
     folded = [(t or "").encode("utf-8", "surrogatepass").translate(FOLD) for t in texts]
-    data = np.frombuffer(b"\n".join(folded) + b"\n", np.uint8)
-    breaks = np.flatnonzero(data == 10)
+    held = b"\n".join(folded) + b"\n"
+    breaks = np.flatnonzero(np.frombuffer(held, np.uint8) == 10)
     begin = np.append(0, breaks[:-1] + 1)
     offsets = np.cumsum([0, *[len(t) + 1 for t in folded]])
     doc = np.searchsorted(offsets, begin, "right") - 1
     number = np.arange(len(begin)) - np.searchsorted(begin, offsets[doc])
-    word = ~SPACE[data]
-    edge = np.diff(word.view(np.int8), prepend=np.int8(0))
-    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    blank = np.frombuffer(held.translate(BLANK), np.bool_)
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edge = np.append(0, edge)
+    start, stop = edge[::2], edge[1::2]
     if not len(start):
         return doc, number, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    # A word's polynomial is a difference of running sums, moved back to its first character.
-    powers, back = (powers_of(b, len(data)) for b in (BASE, BASE_INVERSE))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data + np.uint64(1)) * powers[:len(data)], out=sums[1:])
-    hashes = mixed((sums[stop] - sums[start]) * back[start] + (stop - start).astype(np.uint64))
+    size = stop - start
+    eight = np.ndarray(len(held), "<u8", held + bytes(8), strides=(1,))  # the eight bytes from each place on
+    hashes = mixed(mixed(eight[start] & FIRST_BYTES[np.minimum(size, 8)]) + size.astype(np.uint64))
+    more = np.flatnonzero((size > 8) & (size <= LONG_WORD))
+    at, left = start[more] + 8, size[more] - 8
+    while len(more):
+        hashes[more] = mixed(hashes[more] * BASE + (eight[at] & FIRST_BYTES[np.minimum(left, 8)]))
+        on = left > 8
+        more, at, left = more[on], at[on] + 8, left[on] - 8
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        hashes[k] = np.frombuffer(hashlib.blake2b(held[start[k]:stop[k]], digest_size=8).digest(), "<u8")[0]
     return doc, number, np.repeat(np.arange(len(begin)), np.diff(np.searchsorted(start, breaks), prepend=0)), hashes
 
 
@@ -89,7 +88,7 @@ def slices(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
 def rarity(parsed: DataFrame) -> np.ndarray:
     """The counters of all tasks added up."""
     def add(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        total = sum(np.frombuffer(zlib.decompress(b), np.uint32).astype(np.uint64) for b in group.column("counters").to_pylist())
+        total = sum(np.frombuffer(pa.decompress(b, 4 * CHUNK, PACKED), np.uint32).astype(np.uint64) for b in group.column("counters").to_pylist())
         total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
         yield pa.RecordBatch.from_arrays([group.column("chunk").combine_chunks().slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=["chunk", "counters"])
 
@@ -117,20 +116,30 @@ def by_line(line: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def distinct_words(line: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = by_line(line, words)
-    line, words = line[order], words[order]
-    new = np.ones(len(words), bool)
-    new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
-    return line[new], words[new]
+    """Sorted by line, each word of a line once. One sort by the line and the upper 48 bits of the word does, unless different words share these."""
+    key = (line.astype(np.uint64) << np.uint64(48)) | (words >> np.uint64(16))
+    order = np.argsort(key)
+    key, held = key[order], words[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    if len(line) and line.max() >= 1 << 16 or (held[1:] != held[:-1])[~new[1:]].any():
+        order = by_line(line, words)
+        held = words[order]
+        new[1:] = (np.diff(line[order]) != 0) | (held[1:] != held[:-1])
+    order = order[new]
+    return line[order], words[order]
 
 
 def keyed(line: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words of each line, and the two halves of the 128-bit key of its word set). line and words are sorted and distinct."""
+    """(words of each line, and the two halves of the 128-bit key of its word set: sums of two hashes of each word). line and words are sorted by line and distinct."""
     size = np.bincount(line, minlength=n)
-    ends, held = (np.cumsum(size) * 8).tolist(), words.tobytes()
-    keys = b"".join([hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in zip([0, *ends[:-1]], ends)])
-    halves = np.frombuffer(keys, "<i8").reshape(-1, 2)
-    return size, halves[:, 0], halves[:, 1]
+    full = np.flatnonzero(size)
+    halves = np.zeros((2, n), np.uint64)
+    if len(full):
+        begin = (np.cumsum(size) - size)[full]
+        for half, hashes in zip(halves, (words, mixed(words))):
+            half[full] = np.add.reduceat(hashes, begin)
+    return size, halves[0].view(np.int64), halves[1].view(np.int64)
 
 
 def unseen(short: np.ndarray, posted: set[int]) -> np.ndarray:
@@ -164,7 +173,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     pa.nulls(len(doc), pa.binary())], names=schema.names)
                 held.append((words[unseen(cid, posted)[line]] >> np.uint64(64 - COUNTER_BITS)).astype(np.int32))
                 n += len(held[-1])
-                if n > 3_000_000:
+                if n > 6_000_000:
                     counters += np.bincount(np.concatenate(held), minlength=len(counters)).astype(np.uint32)
                     held, n = [], 0
         if held:
@@ -172,7 +181,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         chunks = counters.reshape(-1, CHUNK)
         for at in np.flatnonzero(chunks.any(1)).tolist():
             yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.array([at], pa.int64()), *[pa.nulls(1, pa.int64()) for _ in range(3)],
-                                              pa.array([zlib.compress(chunks[at].tobytes(), 1)], pa.binary())], names=schema.names)
+                                              pa.array([pa.compress(chunks[at].tobytes(), PACKED, asbytes=True)], pa.binary())], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(read, schema)
 
@@ -180,7 +189,8 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str) -> DataFrame:
     """A row for each prefix word of each line: list, cid, two maps, facts (size and place in one number, with the side of the block).
 
-    A list is named by 40 bits, in the upper part of the number; words that share them are compared, which the filters and the full sets undo.
+    A list is named by 40 bits, in the upper part of the number; words that share them are compared, which the filters and the full sets undo. The lower part has bits of
+    the line, so that a sort by this one number brings copies of a line together.
     The list of a frequent word is cut into blocks; block i meets block j once, as side 0 and 1 of a list of their own, or itself (side 2).
     """
     shared = docs.sparkSession.sparkContext.broadcast(counters)
@@ -209,6 +219,7 @@ def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str)
                 side = np.where(low == high, 2, np.where(own[copies] == low, 0, 1))
                 at = at[copies]
                 lists = mixed(words[at] + mixed((low * (1 << 31) + high).astype(np.uint64))) >> np.uint64(64 - LIST_BITS) << np.uint64(64 - LIST_BITS)
+                lists |= short[line[at]].view(np.uint64) & np.uint64((1 << 64 - LIST_BITS) - 1)
                 facts = (n[at] << (PLACE_BITS + 2)) | (place[at] << 2) | side
                 yield pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(short[line[at]]), *[pa.array(maps[line[at], k].view(np.int64)) for k in (0, 1)], pa.array(facts.astype(np.int64))], names=POSTING)
 
@@ -275,6 +286,7 @@ def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             columns = [batch.column(c).to_numpy() for c in POSTING]
+            columns[0] = columns[0] >> (64 - LIST_BITS)
             # Copies of a line stand next to each other; one is enough.
             new = np.ones(batch.num_rows, bool)
             new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
@@ -291,11 +303,14 @@ def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
             yield edges([np.concatenate(c) for c in zip(*held)])
 
     def edges(columns: list[np.ndarray]) -> pa.RecordBatch:
+        number = np.cumsum(np.diff(columns[0], prepend=columns[0][0]) != 0)
+        order = np.argsort((number << 40) | (columns[4] >> (PLACE_BITS + 2)))  # by list and size
+        columns = [c[order] for c in columns]
         a, b = filtered(columns[0], columns[1], columns[4], [m.view(np.uint64) for m in columns[2:4]], percent)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    dealt = posts.repartition(partitions(posts.sparkSession), "list").sortWithinPartitions("list", "facts", "cid")
+    dealt = posts.repartition(partitions(posts.sparkSession), F.shiftright("list", 64 - LIST_BITS)).sortWithinPartitions("list")
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
@@ -321,6 +336,37 @@ def counted(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*keys, pa.array(links[at].astype(np.int64)), pa.array(earlier[at])], names=[*KEY, "links", "earlier"])
 
 
+def counted_pair(group: pa.Table, percent: int) -> list[tuple]:
+    """What `counted` gives for a group of two classes, as rows."""
+    (side, other), (a, b) = group.column("side").to_pylist(), (np.frombuffer(x, np.uint64) for x in group.column("words").to_pylist())
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    if side == other != 2 or 100 * both < percent * (len(a) + len(b) - both):
+        return []
+    keys = zip(*(group.column(c).to_pylist() for c in KEY))
+    first, second = zip(*(group.column(c).to_pylist() for c in ("first_null", "first_id", "first_line")))
+    return [(*key, 1, earlier) for key, earlier in zip(keys, (second < first, first < second))]
+
+
+def family_links(full: DataFrame, percent: int) -> DataFrame:
+    """`counted` over all groups; most groups are pairs, whose rows go out together."""
+    keys, names = ["root", "low", "high"], [*KEY, "links", "earlier"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for group in streamed(batches, keys):
+            if group.num_rows != 2:
+                yield from counted(group, percent)
+                continue
+            held += counted_pair(group, percent)
+            if len(held) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=names)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=names)
+
+    return full.repartition(partitions(full.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(run, "cid bigint, rest bigint, links bigint, earlier boolean")
+
+
 def sieve_of(families: DataFrame) -> np.ndarray:
     """A bit for the low bits of each cid in a family: a table of one fixed size, whatever the corpus."""
     rows = families.select(F.expr(f"shiftright(cid & {(1 << SIEVE_BITS) - 1}L, 6)").alias("at"), F.expr("shiftleft(1L, CAST(cid & 63 AS INT))").alias("bits"))
@@ -375,26 +421,32 @@ def sketches(sets: DataFrame) -> DataFrame:
 
 
 def near_sketches(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
-    """Edges that connect the classes of a group (or of two of its blocks) which sizes and sketches leave possible matches."""
+    """Edges that connect the classes of a group (or of two of its blocks) which sizes and sketches leave possible matches.
+
+    Classes of the next band are larger, and meet each other in a group of their own: here they are only compared with the classes of this band.
+    """
     n = group.column("n").to_numpy()
     order = np.argsort(n, kind="stable")
     n, cid, side = n[order], group.column("cid").to_numpy()[order], group.column("side").to_numpy()[order]
-    maps = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)[order]
+    own = group.column("own").to_numpy(zero_copy_only=False)[order]
+    maps = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)[order].T.copy()
     stop = np.searchsorted(n, 100 * n // percent, "right")
     first: list[np.ndarray] = []
     second: list[np.ndarray] = []
-    for i in range(len(n)):
-        j = np.arange(i + 1, stop[i])
-        j = j[(side[j] != side[i]) | (side[i] == 2)]
-        most = (100 - percent) * (n[i] + n[j]) // (100 + percent)  # words in which a matching pair differs
-        apart = np.zeros(len(j), np.int64)
-        for low in range(0, maps.shape[1], 8):  # the distance only grows
-            apart += np.bitwise_count(maps[j, low:low + 8] ^ maps[i, low:low + 8]).sum(1, dtype=np.int64)
-            near = apart <= most
-            j, most, apart = j[near], most[near], apart[near]
+    half = len(maps) // 2
+    for i in np.flatnonzero(own).tolist():
+        low, high = i + 1, int(stop[i])
+        most = (100 - percent) * (n[i] + n[low:high]) // (100 + percent)  # words in which a matching pair differs
+        apart = np.bitwise_count(maps[:half, low:high] ^ maps[:half, i, None]).sum(0, dtype=np.uint16)
+        near = apart <= most
+        if side[i] != 2:
+            near &= side[low:high] != side[i]
+        some = np.flatnonzero(near)
+        rest = np.bitwise_count(maps[half:, low + some] ^ maps[half:, i, None]).sum(0, dtype=np.uint16)  # the distance only grows
+        j = low + some[apart[some] + rest <= most[some]]
         first.append(np.full(len(j), i))
         second.append(j)
-        if i % 256 == 255:
+        if len(first) == 256:
             first, second = linked(first, second, len(n))
     i, j = linked(first, second, len(n))
     if len(i) and len(i[0]):
@@ -418,7 +470,8 @@ def parted(sets: DataFrame, percent: int) -> DataFrame:
     """
     bands = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent + 1e-9)))
     small, large = sets.where("blocks = 1"), sets.where("blocks > 1")
-    grouped = sketches(large).withColumn("band", F.explode(F.array(bands, bands - 1)))
+    band = F.array(F.struct(bands.alias("band"), F.lit(True).alias("own")), F.struct((bands - 1).alias("band"), F.lit(False).alias("own")))
+    grouped = sketches(large).select("*", F.inline(band))
     grouped = staged(grouped, "line-sketches")
     sizes = grouped.groupBy("root", "band").agg((F.floor(F.count(F.lit(1)) / SKETCH_BLOCK) + 1).alias("parts"))
     dealt = in_blocks(grouped.join(sizes, ["root", "band"]), F.col("parts")).drop("parts")
@@ -447,8 +500,7 @@ def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     sets = staged(words_of(docs, family, text_col).join(wanted.hint("merge"), KEY).dropDuplicates(KEY), "line-sets")
     full = in_blocks(parted(sets, percent), F.col("blocks")).select(
         "root", "low", "high", *KEY, "side", F.col("first_id").isNull().alias("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
-    links = by_group(full, ["root", "low", "high"], lambda group: counted(group, percent), "cid bigint, rest bigint, links bigint, earlier boolean")
-    links = staged(links.groupBy(*KEY).agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier")), "line-links")
+    links = staged(family_links(full, percent).groupBy(*KEY).agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier")), "line-links")
     judged = classes.join(links, KEY, "left").select(*KEY, "first_id", "first_line", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("earlier", F.lit(False)).alias("earlier"))
     judged = staged(judged, "line-judged")
     out = lines.join(judged.hint("merge"), KEY, "left")

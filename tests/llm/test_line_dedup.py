@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from creaseline.llm import line_dedup
 from tests.llm import cases
@@ -72,3 +73,55 @@ def test_remove_later_keeps_columns(spark):
 
 def test_empty_table(spark):
     assert line_dedup.matches(cases.nothing(spark)).collect() == []
+
+
+def test_each_pair_of_sketches_is_compared_once():
+    """Classes of the next band meet in a group of their own, not also in that of the band before."""
+    def edges(own, side):
+        sketch = np.packbits(np.arange(line_dedup.SKETCH_BITS) % 20 == 0).tobytes()
+        group = pa.table({"cid": [1, 2, 3], "n": [100, 101, 102], "side": side, "sketch": [sketch] * 3, "own": own})
+        return sorted((a, b) for out in line_dedup.near_sketches(group, 80) for a, b in zip(*(out.column(c).to_pylist() for c in "ab")))
+
+    assert edges([False] * 3, [2] * 3) == [] and edges([True, False, False], [2] * 3) == edges([True] * 3, [2] * 3) == [(1, 2), (1, 3)]
+    assert edges([True] * 3, [0, 0, 1]) == [(1, 2), (1, 3)]
+    assert edges([True] * 3, [0] * 3) == []
+
+
+def test_lists_are_sorted_by_one_number(spark):
+    posts = spark.createDataFrame([], ", ".join(f"{c} bigint" for c in line_dedup.POSTING))
+    plan = line_dedup.candidate_edges(posts, 80)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Sort \[list#\d+L ASC NULLS FIRST\], false", plan), plan
+
+
+def test_words_have_one_hash_and_one_key_wherever_they_stand():
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in [*range(1, 40), 1023, 1024, 1025, 5000]] + ["a\0", "a\0\0", "\0", "x" * 8, "x" * 8 + "\0", "x" * 16, "é", "è"]
+    _, number, line, one = line_dedup.line_words([" ".join(words) + "\n" + "\t".join(reversed(words)), *words])
+    k = len(words)
+    assert len(set(one[:k].tolist())) == k and one[:k].tolist() == one[k:2 * k].tolist()[::-1] == one[2 * k:].tolist()
+    assert number.tolist() == [0, 1] + [0] * k
+    line, one = line_dedup.distinct_words(line, one)
+    size, cid, rest = line_dedup.keyed(line, one, k + 2)
+    assert size.tolist() == [k, k] + [1] * k and cid[0] == cid[1] and rest[0] == rest[1] and len(set(cid.tolist())) == k + 1
+
+
+def test_distinct_words_against_numpy():
+    """Words that share their upper 48 bits, and lines beyond 16 bits."""
+    rng = np.random.default_rng(5)
+    for lines, top in ((50, 48), (50, 8), (70_000, 8)):
+        line = np.sort(rng.integers(0, lines, 4000))
+        words = (rng.integers(0, 3, 4000).astype(np.uint64) << np.uint64(top)) + rng.integers(0, 2, 4000).astype(np.uint64)
+        got = line_dedup.distinct_words(line, words)
+        assert sorted(set(zip(line.tolist(), words.tolist()))) == sorted(zip(got[0].tolist(), got[1].tolist())) and (np.diff(got[0]) >= 0).all()
+
+
+def test_pairs_are_counted_like_other_groups():
+    rng = np.random.default_rng(6)
+    for k in range(200):
+        a = np.unique(rng.integers(0, 12, 10)).astype(np.uint64)
+        b = a[int(rng.integers(0, 3)):] if k % 2 else np.unique(rng.integers(0, 12, 10)).astype(np.uint64)
+        side = [[2, 2], [0, 1], [1, 0], [0, 0]][k % 4]
+        group = pa.table({"cid": [1, 2], "rest": [3, 4], "side": side, "first_null": [False, k % 5 == 0], "first_id": [k % 3, 1], "first_line": [0, k % 2], "words": [a.tobytes(), b.tobytes()]})
+        want = [row for out in line_dedup.counted(group, 80) for row in zip(*(c.to_pylist() for c in out.columns))]
+        if group.select(["first_null", "first_id", "first_line"]).to_pylist()[0] != group.select(["first_null", "first_id", "first_line"]).to_pylist()[1]:
+            assert line_dedup.counted_pair(group, 80) == want
