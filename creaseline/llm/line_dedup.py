@@ -30,13 +30,14 @@ from pyspark.sql import types as T
 from creaseline.llm.common import fresh_name, partitions, ship_package, staged
 from creaseline.llm.near_dup import FOLD, M2, by_group, components, in_blocks, mixed, overlaps, streamed
 
-COUNTER_BITS, SIEVE_BITS = 23, 24
+COUNTER_BITS, SIEVE_BITS = 23, 26
 KEY = ["cid", "rest"]
-POSTING = ["list", "cid", "map0", "map1", "facts"]
+POSTING = ["list", "posts"]  # a number that stands for many lists, and postings of these: PARTS numbers each
+PARTS = 5
 CHUNK = 1 << 14  # counters in one row of the table
 LIST_BLOCK, FAMILY_BLOCK, SKETCH_BLOCK = 2048, 256, 2048
-SKETCH_BITS = 2048
-ROWS = 200_000  # postings that are compared at once; a list is never parted
+SKETCH_BITS, WIDE = 2048, 800  # from WIDE words on, a quarter of the map tells lines apart badly
+ROWS = 200_000  # postings that are compared at once, about; a list is never parted
 PLACE_BITS, LIST_BITS, POSTED = 28, 40, 300_000
 SLICE = 1 << 19  # bytes of text that are parsed at once: their arrays stay in the processor's cache
 BASE = M2 | np.uint64(1)
@@ -46,16 +47,18 @@ LONG_WORD = 1024  # bytes; longer words are hashed one by one
 PACKED = "zstd"
 
 
-def line_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def line_words(texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document of each line, number of the line in it, line of each word, hash of each word)."""
-    folded = [(t or "").encode("utf-8", "surrogatepass").translate(FOLD) for t in texts]
-    held = b"\n".join(folded) + b"\n"
-    breaks = np.flatnonzero(np.frombuffer(held, np.uint8) == 10)
+    texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), "\n")[0].as_buffer()
+    held = (joined.to_pybytes() + b"\n" + bytes(8)).translate(FOLD)
+    length = len(held) - 8
+    breaks = np.flatnonzero(np.frombuffer(held, np.uint8, length) == 10)
     begin = np.append(0, breaks[:-1] + 1)
-    offsets = np.cumsum([0, *[len(t) + 1 for t in folded]])
+    offsets = np.append(0, np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1))
     doc = np.searchsorted(offsets, begin, "right") - 1
     number = np.arange(len(begin)) - np.searchsorted(begin, offsets[doc])
-    blank = np.frombuffer(held.translate(BLANK), np.bool_)
+    blank = np.frombuffer(held.translate(BLANK), np.bool_, length)
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if not blank[0]:
         edge = np.append(0, edge)
@@ -63,7 +66,7 @@ def line_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     if not len(start):
         return doc, number, np.zeros(0, np.int64), np.zeros(0, np.uint64)
     size = stop - start
-    eight = np.ndarray(len(held), "<u8", held + bytes(8), strides=(1,))  # the eight bytes from each place on
+    eight = np.ndarray(length, "<u8", held, strides=(1,))  # the eight bytes from each place on
     hashes = mixed(mixed(eight[start] & FIRST_BYTES[np.minimum(size, 8)]) + size.astype(np.uint64))
     more = np.flatnonzero((size > 8) & (size <= LONG_WORD))
     at, left = start[more] + 8, size[more] - 8
@@ -100,34 +103,54 @@ def rarity(parsed: DataFrame) -> np.ndarray:
 
 
 def maps_of(line: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
-    """Two 64-bit maps for each line: a bit for each of its words."""
-    bit = (words >> np.uint64(57)).astype(np.int64)
+    """Two 64-bit maps for each line: a bit for each of its words. line is sorted."""
+    bit = words >> np.uint64(57)
+    one, upper = np.uint64(1) << (bit & np.uint64(63)), bit > 63
     out = np.zeros((n, 2), np.uint64)
-    np.bitwise_or.at(out, (line, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+    size = np.bincount(line, minlength=n)
+    full = np.flatnonzero(size)
+    if len(full):
+        begin = (np.cumsum(size) - size)[full]
+        for half, mine in enumerate((~upper, upper)):
+            out[full, half] = np.bitwise_or.reduceat(one * mine, begin)
     return out
 
 
-def by_line(line: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """The order by line, then by value."""
-    if not len(line) or line.max() >= 1 << 16:
-        return np.lexsort((value, line))
-    order = np.argsort(value)
-    return order[np.argsort(line[order].astype(np.uint16), kind="stable")]  # short numbers are sorted by counting
+def in_order(line: np.ndarray, value: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """The order by line, then by the upper bits of value, at least `bits` of the 64, then by place, and which of its rows tie with the one before in line and these bits.
+
+    The three stand in one number, which is sorted; None if they do not fit. line is sorted.
+    """
+    lows, highs = len(line).bit_length(), int(line[-1]).bit_length() if len(line) else 0
+    rest = 64 - lows - highs
+    if rest < bits:
+        return None
+    key = (line.astype(np.uint64) << np.uint64(64 - highs) if highs else 0) | value >> np.uint64(64 - rest) << np.uint64(lows) | np.arange(len(line), dtype=np.uint64)
+    key.sort()
+    tie = np.zeros(len(key), bool)
+    tie[1:] = (key[1:] ^ key[:-1]) >> np.uint64(lows) == 0
+    return (key & np.uint64((1 << lows) - 1)).astype(np.int64), tie
 
 
 def distinct_words(line: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted by line, each word of a line once. One sort by the line and the upper 48 bits of the word does, unless different words share these."""
-    key = (line.astype(np.uint64) << np.uint64(48)) | (words >> np.uint64(16))
-    order = np.argsort(key)
-    key, held = key[order], words[order]
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    if len(line) and line.max() >= 1 << 16 or (held[1:] != held[:-1])[~new[1:]].any():
-        order = by_line(line, words)
+    """Sorted by line, each word of a line once. One sort by the line and the upper bits of the word does, unless different words of a line share these. line is sorted."""
+    found = in_order(line, words, 32)
+    if found is not None:
+        order, tie = found
         held = words[order]
-        new[1:] = (np.diff(line[order]) != 0) | (held[1:] != held[:-1])
-    order = order[new]
-    return line[order], words[order]
+        if not (held[1:] != held[:-1])[tie[1:]].any():
+            return line[order[~tie]], held[~tie]
+    order = np.lexsort((words, line))
+    line, words = line[order], words[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
+    return line[new], words[new]
+
+
+def by_rarity(line: np.ndarray, words: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The order by line, then by count, then by word, of words in the order of `distinct_words`."""
+    found = in_order(line, seen.astype(np.uint64) << np.uint64(32), 32)
+    return np.lexsort((words, seen, line)) if found is None else found[0]
 
 
 def keyed(line: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +188,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             id_type = batch.schema.field(id_col).type
             for part in slices(batch, text_col):
-                doc, number, line, words = line_words(part.column(text_col).to_pylist())
+                doc, number, line, words = line_words(part.column(text_col))
                 line, words = distinct_words(line, words)
                 size, cid, rest = keyed(line, words, len(doc))
                 yield pa.RecordBatch.from_arrays([
@@ -187,26 +210,31 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str) -> DataFrame:
-    """A row for each prefix word of each line: list, cid, two maps, facts (size and place in one number, with the side of the block).
+    """A posting for each prefix word of each line: list, cid, two maps, facts (size and place in one number, with the side of the block).
 
     A list is named by 40 bits, in the upper part of the number; words that share them are compared, which the filters and the full sets undo. The lower part has bits of
     the line, so that a sort by this one number brings copies of a line together.
     The list of a frequent word is cut into blocks; block i meets block j once, as side 0 and 1 of a list of their own, or itself (side 2).
+    Lists are dealt to groups of about ROWS postings, by the sum of the counters; what a task has for a group goes out in few rows, not one a posting.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counters)
+    dealt = partitions(docs.sparkSession)
+    groups = -(-(int(counters.sum(dtype=np.int64)) * (100 - percent) // (100 * ROWS) + 1) // dealt) * dealt
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, posted = shared.value, set()  # lines that this task has posted: of a frequent line, a task sends one copy
+        held, n_held = [], 0
         for batch in batches:
             for part in slices(batch, text_col):
-                doc, _, line, words = line_words(part.column(text_col).to_pylist())
+                doc, _, line, words = line_words(part.column(text_col))
                 line, words = distinct_words(line, words)
                 size, short, _ = keyed(line, words, len(doc))
                 new = unseen(short, posted)
                 mine = new[line]
                 line, words, size = line[mine], words[mine], np.where(new, size, 0)
-                maps = maps_of(line, words, len(doc))
+                maps = maps_of(line, words, len(doc)).view(np.int64)
                 seen = counts[(words >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-                order = by_line(line, (seen.astype(np.uint64) << np.uint64(32)) | (words >> np.uint64(32)))  # ties by the upper half of the hash
+                order = by_rarity(line, words, seen)
                 line, words, seen = line[order], words[order], seen[order]
                 place = np.arange(len(line)) - (np.cumsum(size) - size)[line]
                 n = size[line]
@@ -221,9 +249,28 @@ def postings(docs: DataFrame, counters: np.ndarray, percent: int, text_col: str)
                 lists = mixed(words[at] + mixed((low * (1 << 31) + high).astype(np.uint64))) >> np.uint64(64 - LIST_BITS) << np.uint64(64 - LIST_BITS)
                 lists |= short[line[at]].view(np.uint64) & np.uint64((1 << 64 - LIST_BITS) - 1)
                 facts = (n[at] << (PLACE_BITS + 2)) | (place[at] << 2) | side
-                yield pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(short[line[at]]), *[pa.array(maps[line[at], k].view(np.int64)) for k in (0, 1)], pa.array(facts.astype(np.int64))], names=POSTING)
-
-    return docs.select(text_col).mapInArrow(read, ", ".join(f"{c} bigint" for c in POSTING))
+                held.append(np.stack([lists.view(np.int64), short[line[at]], maps[line[at], 0], maps[line[at], 1], facts], 1))
+                n_held += len(at)
+                if n_held >= POSTED:
+                    yield from grouped_posts(np.concatenate(held), groups)
+                    held, n_held = [], 0
+        if n_held:
+            yield from grouped_posts(np.concatenate(held), groups)
+
+    return docs.select(text_col).mapInArrow(read, "list bigint, posts binary")
+
+
+def grouped_posts(posts: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
+    """Rows (group of lists, its postings as bytes). The list numbers are hashes, so groups are alike in size."""
+    for low in range(0, len(posts), 2 * POSTED):
+        some = posts[low:low + 2 * POSTED]
+        group = (some[:, 0].view(np.uint64) >> np.uint64(64 - LIST_BITS)) % np.uint64(groups)
+        order = np.argsort(group.astype(np.uint16) if groups <= 1 << 16 else group, kind="stable")  # short numbers are sorted by counting
+        group = group[order].astype(np.int64)
+        begin = np.flatnonzero(np.diff(group, prepend=-1))
+        offsets = (np.append(begin, len(group)) * (8 * PARTS)).astype(np.int32)
+        held = pa.BinaryArray.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(some[order])])
+        yield pa.RecordBatch.from_arrays([pa.array(group[begin]), held], names=POSTING)
 
 
 def filtered(lists: np.ndarray, cid: np.ndarray, facts: np.ndarray, maps: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,39 +325,27 @@ def rooted(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def candidate_edges(posts: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) over all lists."""
+    """Edges (a, b) over all lists. The numbers of the groups of lists count from 0, so partitions take them in turn."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        rows = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(c).to_numpy() for c in POSTING]
-            columns[0] = columns[0] >> (64 - LIST_BITS)
-            # Copies of a line stand next to each other; one is enough.
-            new = np.ones(batch.num_rows, bool)
-            new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
-            new[0] = not held or not len(held[-1][0]) or held[-1][0][-1] != columns[0][0] or held[-1][1][-1] != columns[1][0]
-            held.append([c[new] for c in columns])
-            rows += int(new.sum())
-            if rows >= ROWS:
-                columns = [np.concatenate(c) for c in zip(*held)]
-                cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last list may go on
-                if cut:
-                    yield edges([c[:cut] for c in columns])
-                held, rows = [[c[cut:] for c in columns]], rows - cut
-        if rows:
-            yield edges([np.concatenate(c) for c in zip(*held)])
-
-    def edges(columns: list[np.ndarray]) -> pa.RecordBatch:
-        number = np.cumsum(np.diff(columns[0], prepend=columns[0][0]) != 0)
-        order = np.argsort((number << 40) | (columns[4] >> (PLACE_BITS + 2)))  # by list and size
-        columns = [c[order] for c in columns]
-        a, b = filtered(columns[0], columns[1], columns[4], [m.view(np.uint64) for m in columns[2:4]], percent)
+        for group in streamed(batches, ["list"]):
+            yield edges(np.frombuffer(b"".join(group.column("posts").to_pylist()), np.int64).reshape(-1, PARTS))
+
+    def edges(rows: np.ndarray) -> pa.RecordBatch:
+        lists = rows[:, 0].view(np.uint64)
+        order = np.argsort(lists)
+        lists, cid = lists[order], rows[order, 1]
+        new = np.ones(len(lists), bool)  # copies of a line stand next to each other; one is enough
+        new[1:] = (lists[1:] != lists[:-1]) | (cid[1:] != cid[:-1])
+        lists, order = lists[new] >> np.uint64(64 - LIST_BITS), order[new]
+        number = np.cumsum(np.diff(lists, prepend=lists[0]) != 0)
+        size = rows[order, 4] >> (PLACE_BITS + 2)
+        sized = np.argsort((number << 40) | size)  # by list and size
+        order = order[sized]
+        a, b = filtered(number[sized], rows[order, 1], rows[order, 4], [rows[order, k].view(np.uint64) for k in (2, 3)], percent)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    dealt = posts.repartition(partitions(posts.sparkSession), F.shiftright("list", 64 - LIST_BITS)).sortWithinPartitions("list")
+    dealt = posts.repartitionById(partitions(posts.sparkSession), F.col("list").cast("int")).sortWithinPartitions("list")
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
@@ -367,31 +402,45 @@ def family_links(full: DataFrame, percent: int) -> DataFrame:
     return full.repartition(partitions(full.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(run, "cid bigint, rest bigint, links bigint, earlier boolean")
 
 
-def sieve_of(families: DataFrame) -> np.ndarray:
-    """A bit for the low bits of each cid in a family: a table of one fixed size, whatever the corpus."""
-    rows = families.select(F.expr(f"shiftright(cid & {(1 << SIEVE_BITS) - 1}L, 6)").alias("at"), F.expr("shiftleft(1L, CAST(cid & 63 AS INT))").alias("bits"))
+def sieve_of(wanted: DataFrame) -> np.ndarray:
+    """A bit for where each class of a family occurs first (a hash of the id, xor the line): a table of one fixed size, whatever the corpus."""
+    place = wanted.select(F.xxhash64("first_id").bitwiseXOR(F.col("first_line")).alias("place"))
+    rows = place.select(F.expr(f"shiftright(place & {(1 << SIEVE_BITS) - 1}L, 6)").alias("at"), F.expr("shiftleft(1L, CAST(place & 63 AS INT))").alias("bits"))
     out = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
     for row in rows.groupBy("at").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
         out[row["at"]] = row["bits"]
     return out.view(np.uint64)
 
 
-def words_of(docs: DataFrame, families: DataFrame, text_col: str) -> DataFrame:
-    """(cid, rest, words) of the lines in a family, and of the few others that the sieve lets pass; a task sends a line once."""
-    shared = docs.sparkSession.sparkContext.broadcast(sieve_of(families))
+def sieved(batch: pa.RecordBatch, sieve: np.ndarray) -> list[str]:
+    """The lines of (hash of the id, text) that the sieve lets pass."""
+    lines, counts = [], []
+    for text in batch.column(1).to_pylist():
+        held = (text or "").split("\n")
+        lines += held
+        counts.append(len(held))
+    number = np.arange(len(lines)) - np.repeat(np.cumsum(counts) - counts, counts)
+    low = (np.repeat(batch.column(0).to_numpy(), counts) ^ number) & ((1 << SIEVE_BITS) - 1)
+    return [lines[k] for k in np.flatnonzero((sieve[low >> 6] >> (low & 63).astype(np.uint64)) & np.uint64(1)).tolist()]
+
+
+def words_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cid, rest, words) of the lines where a class of a family occurs first, and of others that the sieve lets pass; only these are parsed, and a task sends a line once."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve_of(wanted))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve, sent = shared.value, set()
         for batch in batches:
             for part in slices(batch, text_col):
-                doc, _, line, words = line_words(part.column(text_col).to_pylist())
+                lines = sieved(part, sieve)
+                if not lines:
+                    continue
+                doc, _, line, words = line_words(lines)
                 line, words = distinct_words(line, words)
                 size, short, rest = keyed(line, words, len(doc))
-                low = short & ((1 << SIEVE_BITS) - 1)
-                passed = (sieve[low >> 6] >> (low & 63).astype(np.uint64)) & np.uint64(1)
                 ends = np.cumsum(size)
                 found = []
-                for k in np.flatnonzero((passed == 1) & (size > 0)).tolist():
+                for k in np.flatnonzero(size).tolist():
                     key = (int(short[k]), int(rest[k]))
                     if key not in sent:
                         sent.add(key)
@@ -401,7 +450,7 @@ def words_of(docs: DataFrame, families: DataFrame, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(short[found]), pa.array(rest[found]),
                                                   pa.array([words[ends[k] - size[k]:ends[k]].tobytes() for k in found], pa.binary())], names=[*KEY, "words"])
 
-    return docs.select(text_col).mapInArrow(read, "cid bigint, rest bigint, words binary")
+    return docs.select(F.xxhash64(id_col).alias(fresh_name(docs, "place")), text_col).mapInArrow(read, "cid bigint, rest bigint, words binary")
 
 
 def sketches(sets: DataFrame) -> DataFrame:
@@ -433,16 +482,16 @@ def near_sketches(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     stop = np.searchsorted(n, 100 * n // percent, "right")
     first: list[np.ndarray] = []
     second: list[np.ndarray] = []
-    half = len(maps) // 2
     for i in np.flatnonzero(own).tolist():
         low, high = i + 1, int(stop[i])
         most = (100 - percent) * (n[i] + n[low:high]) // (100 + percent)  # words in which a matching pair differs
-        apart = np.bitwise_count(maps[:half, low:high] ^ maps[:half, i, None]).sum(0, dtype=np.uint16)
+        part = len(maps) // (4 if n[i] < WIDE else 2)  # a look at part of the map does for most
+        apart = np.bitwise_count(maps[:part, low:high] ^ maps[:part, i, None]).sum(0, dtype=np.uint16)
         near = apart <= most
         if side[i] != 2:
             near &= side[low:high] != side[i]
         some = np.flatnonzero(near)
-        rest = np.bitwise_count(maps[half:, low + some] ^ maps[half:, i, None]).sum(0, dtype=np.uint16)  # the distance only grows
+        rest = np.bitwise_count(maps[part:, low + some] ^ maps[part:, i, None]).sum(0, dtype=np.uint16)  # the distance only grows
         j = low + some[apart[some] + rest <= most[some]]
         first.append(np.full(len(j), i))
         second.append(j)
@@ -497,7 +546,7 @@ def matches(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     family = staged(family.unionByName(family.select(F.col("root").alias("cid"), "root").distinct()), "line-families")
     blocks = family.groupBy("root").agg((F.floor(F.count(F.lit(1)) / FAMILY_BLOCK) + 1).alias("blocks"))
     wanted = staged(family.join(classes, "cid").join(blocks, "root"), "line-wanted")
-    sets = staged(words_of(docs, family, text_col).join(wanted.hint("merge"), KEY).dropDuplicates(KEY), "line-sets")
+    sets = staged(words_of(docs, wanted, id_col, text_col).join(wanted.hint("merge"), KEY).dropDuplicates(KEY), "line-sets")
     full = in_blocks(parted(sets, percent), F.col("blocks")).select(
         "root", "low", "high", *KEY, "side", F.col("first_id").isNull().alias("first_null"), F.coalesce("first_id", F.lit(0)).alias("first_id"), "first_line", "words")
     links = staged(family_links(full, percent).groupBy(*KEY).agg(F.sum("links").alias("n_links"), F.max("earlier").alias("earlier")), "line-links")

@@ -125,3 +125,69 @@ def test_pairs_are_counted_like_other_groups():
         want = [row for out in line_dedup.counted(group, 80) for row in zip(*(c.to_pylist() for c in out.columns))]
         if group.select(["first_null", "first_id", "first_line"]).to_pylist()[0] != group.select(["first_null", "first_id", "first_line"]).to_pylist()[1]:
             assert line_dedup.counted_pair(group, 80) == want
+
+
+def test_postings_travel_in_few_rows(spark):
+    """One row for each group of lists that a task has, not one a posting; groups hold whole lists, and their numbers are dealt in turn."""
+    rows = [(k, "\n".join(" ".join(f"w{(k * 7 + j * 3 + m) % 50}" for m in range(12)) for j in range(5))) for k in range(40)]
+    docs = cases.documents(spark, rows).coalesce(1)
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = line_dedup.postings(docs, np.full(1 << line_dedup.COUNTER_BITS, 2, np.uint32), 80, "text").collect()
+    posts = [np.frombuffer(r["posts"], np.int64).reshape(-1, line_dedup.PARTS) for r in out]
+    groups = -(-((2 << line_dedup.COUNTER_BITS) * 20 // (100 * line_dedup.ROWS) + 1) // dealt) * dealt
+    assert len({r["list"] for r in out}) == len(out) and max(r["list"] for r in out) < groups and sum(map(len, posts)) > 5 * len(out)
+    where = {}
+    for r, held in zip(out, posts):
+        for name in (held[:, 0] >> (64 - line_dedup.LIST_BITS)).tolist():
+            assert where.setdefault(name, r["list"]) == r["list"]
+
+
+def test_only_lines_where_a_class_occurs_first_are_parsed(spark):
+    docs = cases.documents(spark, [(k, "\n".join(f"line {j} of {k}" for j in range(20))) for k in range(20)] + [(None, "no id\nat all")])
+    wanted = spark.createDataFrame([(3, 4), (7, 0), (None, 1)], "first_id bigint, first_line bigint")
+    sieve = line_dedup.sieve_of(wanted)
+    assert int(np.bitwise_count(sieve).sum()) == 3
+    ids = docs.selectExpr("xxhash64(doc_id) AS place", "text").toArrow().combine_chunks().to_batches()[0]
+    assert sorted(line_dedup.sieved(ids, sieve)) == ["at all", "line 0 of 7", "line 4 of 3"]
+    assert line_dedup.words_of(docs, wanted, "doc_id", "text").count() == 3
+
+
+def test_ids_that_repeat_with_other_texts(spark):
+    """Where a class occurs first may name lines of several rows."""
+    words = [f"w{k}" for k in range(20)]
+    near = [" ".join(words[:20 - k]) for k in range(4)]
+    check(spark, [(1, near[0] + "\nx"), (1, near[1] + "\ny\n" + near[2]), (None, near[3]), (None, "z " + near[0]), (2, near[3] + "\n\n" + near[0]), (2, None)])
+
+
+def test_orders_and_maps_against_numpy():
+    rng = np.random.default_rng(8)
+    for lines, n in ((1, 50), (40, 3000), (70_000, 3000), (1 << 40, 3000), (5, 0)):
+        line, words = line_dedup.distinct_words(np.sort(rng.integers(0, lines, n)), rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+        seen = rng.integers(0, 3, len(line)).astype(np.uint32)
+        got = line_dedup.by_rarity(line, words, seen)
+        assert (got == np.lexsort((words, seen, line))).all()
+    line = np.sort(rng.integers(0, 40, 300)) * 2
+    words = rng.integers(0, 2**63, 300).astype(np.uint64) * np.uint64(2)
+    want = np.zeros((90, 2), np.uint64)
+    for at, word in zip(line.tolist(), words.tolist()):
+        want[at, word >> 63] |= np.uint64(1 << (word >> 57 & 63))
+    assert (line_dedup.maps_of(line, words, 90) == want).all()
+
+
+def test_wide_and_narrow_sketches_against_all_pairs():
+    rng = np.random.default_rng(9)
+    n = np.sort(rng.integers(line_dedup.WIDE - 60, line_dedup.WIDE + 60, 60))
+    base = rng.random((6, line_dedup.SKETCH_BITS)) < 0.3
+    bits = base[rng.integers(0, 6, 60)] ^ (rng.random((60, line_dedup.SKETCH_BITS)) < rng.choice([0.02, 0.04, 0.06, 0.1], 60)[:, None])
+    group = pa.table({"cid": np.arange(60), "n": n, "side": [2] * 60, "sketch": [np.packbits(b).tobytes() for b in bits], "own": [True] * 60})
+    got = [e for out in line_dedup.near_sketches(group, 80) for e in zip(*(out.column(c).to_pylist() for c in "ab"))]
+    pairs = [(i, j) for i in range(60) for j in range(i + 1, 60) if 80 * n[j] <= 100 * n[i] and 180 * (bits[i] ^ bits[j]).sum() <= 20 * (n[i] + n[j])]
+
+    def parts(edges):
+        root = list(range(60))
+        for a, b in edges:
+            old, new = root[b], root[a]
+            root = [new if r == old else r for r in root]
+        return [root.index(r) for r in root]
+
+    assert pairs and parts(got) == parts(pairs)
