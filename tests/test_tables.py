@@ -91,6 +91,32 @@ def test_compact_and_stats(spark, folder):
     assert tables.table_stats(spark, plain).first().file_count == 1 and read_table(spark, plain).count() == 100
 
 
+@pytest.mark.parametrize("apart_bytes", [0, 1 << 40])
+def test_compact_keeps_no_copy_and_takes_odd_partitions(spark, folder, apart_bytes):
+    import glob
+    import os
+    path, kept = folder + "/a b", spark.conf.get("spark.checkpoint.dir") + "/creaseline/compact-*"
+    odd = F.element_at(F.array(F.lit("x y"), F.lit("a:b"), F.lit("007"), F.lit(None)), (F.col("id") % 4 + 1).cast("int"))
+    spark.range(400).withColumn("p", odd).repartition(5).write.partitionBy("p").parquet(path)
+    rows = lambda: sorted(map(str, read_table(spark, path, schema="id bigint, p string").collect()))
+    before, copies = rows(), len(glob.glob(kept))
+    tables.compact_table(spark, path, ["p"], apart_bytes=apart_bytes)
+    assert rows() == before and len(glob.glob(kept)) == copies and glob.glob(f"{path}/.compact-*") == []
+    assert tables.table_stats(spark, path).first().file_count == 4
+    stamps = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*.parquet")}
+    tables.compact_table(spark, path, ["p"], apart_bytes=apart_bytes)  # nothing is too small any more
+    assert {f: os.stat(f).st_mtime_ns for f in stamps} == stamps
+
+
+def test_compacted_files_have_about_the_target_size(spark, folder):
+    path = folder + "/t"
+    spark.range(60000).selectExpr("id", "xxhash64(id) AS v", "id % 2 AS p").repartition(10).write.partitionBy("p").parquet(path)
+    before = tables.table_stats(spark, path).first()
+    tables.compact_table(spark, path, ["p"], target_bytes=before.total_bytes // 5, apart_bytes=0)
+    after = tables.table_stats(spark, path).first()
+    assert (before.file_count, after.file_count, after.row_count) == (20, 6, 60000)
+
+
 def test_export_goes_on_after_a_failure(spark, folder):
     spark.range(3).write.parquet(folder + "/in/a")
     rows = tables.export_tables(spark, ["missing", "a"], folder + "/in", folder + "/out").collect()
