@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from creaseline.operators import flatten, quality
 from creaseline.plans import batch_run
 from creaseline.plans.reports import REPORTS, report
+from creaseline.sources import bridge
 from creaseline.sources.documents import read_match_documents
 
 
@@ -169,6 +170,38 @@ def test_runs_read_only_new_loads(spark, documents, folder):
     assert spark.read.parquet(f"{base}/gold/batch_kpis/top_run_scorers").first().matches == 3
 
 
+@pytest.fixture
+def lines(spark, folder):
+    """A table of lines with null and repeated keys, over three matches and the lines without a key."""
+    import random
+    rnd = random.Random(5)
+    maybe = lambda value: None if rnd.random() < 0.1 else value
+    rows = [(maybe(rnd.randrange(180)), maybe(rnd.randrange(1, 90)), maybe(rnd.randrange(1, 30)), maybe(rnd.randrange(1, 5)), maybe(float(rnd.randrange(1, 51))), float(k),
+             maybe(rnd.choice([0.0, 0.09])), maybe(rnd.choice([0.0, 0.07])), maybe(rnd.choice("NRA")), maybe(rnd.choice("FO"))) for k in range(900)]
+    spark.createDataFrame(rows + rows[:40], bridge.LINES).repartition(5).write.parquet(f"{folder}/lines/lineitem.parquet")
+    return f"{folder}/lines"
+
+
+def test_bridged_documents_deal_out_lines_once(spark, lines):
+    documents = bridge.match_documents(spark, lines)
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "AS batsman" not in plan[plan.index("Exchange "):]
+    facts = ["match_id", "match_type", "venue", "winner", "toss_decision", "inning", "inning_no", "over_num", "ball_num", "batsman", "bowler", "non_striker",
+             "runs_batsman", "runs_extras", "runs_total", "wicket_kind", "wicket_player_out"]
+    found = sorted(map(str, flatten.flatten_matches(documents).select(facts).collect()))
+    assert found == sorted(map(str, bridge.numbered_balls(spark, lines).select(facts).collect())) and len(found) == 940
+    assert {r.match_id: [i.team for i in r.innings] for r in documents.collect()} == {
+        "match_0": ["India", "Sri Lanka"], "match_1": ["Sri Lanka", "Oman"], "match_2": ["Oman", "T3x XI"], None: [None, None]}
+
+
+def test_packed_documents(spark, folder):
+    spark.createDataFrame([(json.dumps(document()),)], "value string").coalesce(1).write.text(f"{folder}/packed", compression="gzip")
+    name, = [f for f in os.listdir(f"{folder}/packed") if f.startswith("part-")]
+    os.rename(f"{folder}/packed/{name}", f"{folder}/packed/m1.json.gz")
+    for one_per_file in (True, False):
+        assert flatten.flatten_matches(read_match_documents(spark, f"{folder}/packed", one_per_file)).select("match_id").distinct().collect() == [("m1",)]
+
+
 def test_job_modes(spark, documents, folder):
     from creaseline import job
     base = f"{folder}/lake"
