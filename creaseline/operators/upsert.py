@@ -45,6 +45,13 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return t.join(s, same, "left_anti").unionByName(updates)
 
 
+def count_known(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Keys of the source that the target does not have, and those that it has. Of both only the keys are read; as in `only_new_rows`, a null key is never known."""
+    known = target.select(*keys, F.lit(True).alias("_known")).distinct()
+    found = source.select(*keys).distinct().join(known, list(keys), "left").agg(F.count_if(F.col("_known").isNull()).alias("new"), F.count("_known").alias("old")).first()
+    return found["new"], found["old"]
+
+
 def only_new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target does not have."""
     return source.join(target.select(*keys).distinct(), list(keys), "left_anti")

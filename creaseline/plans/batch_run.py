@@ -54,12 +54,27 @@ def _fresh(spark: SparkSession, base: str, reader: str) -> set[int]:
     return loads.numbers(spark, f"{base}/bronze/loads") - loads.numbers(spark, f"{base}/{reader}/loads")
 
 
-def pending_documents(spark: SparkSession, base: str) -> DataFrame:
-    """Raw documents of the loads that the clean layer has not taken, where it does not have the match in their revision or a later one."""
+def _fresh_documents(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Raw documents of the loads that the clean layer has not taken, and the matches and revisions that it has."""
     raw, done = read_table(spark, f"{base}/bronze/matches"), f"{base}/silver/matches"
     raw = loads.of_loads(raw.withColumn("season", F.col("season").cast("string")), _fresh(spark, base, "silver"))
-    known = read_table(spark, done).select(*REVISION) if path_exists(spark, done) else raw.select(*REVISION).filter(F.lit(False))
-    return not_loaded_revisions(raw, known)
+    return raw, read_table(spark, done).select(*REVISION) if path_exists(spark, done) else raw.select(*REVISION).filter(F.lit(False))
+
+
+def pending_documents(spark: SparkSession, base: str) -> DataFrame:
+    """Raw documents of the loads that the clean layer has not taken, where it does not have the match in their revision or a later one."""
+    return not_loaded_revisions(*_fresh_documents(spark, base))
+
+
+def _pending_table(spark: SparkSession, base: str) -> DataFrame:
+    """The pending documents to be read several times: the raw table itself if all of its new loads are pending, which their keys tell, or else a copy of those that are."""
+    raw, known = _fresh_documents(spark, base)
+    keys = raw.select(*REVISION)
+    if keys.count() == not_loaded_revisions(keys, known).count():
+        return raw
+    staged = scratch_dir(spark, "pending")
+    pending_documents(spark, base).write.parquet(staged)
+    return spark.read.parquet(staged)
 
 
 def load_clean(spark: SparkSession, base: str) -> None:
@@ -69,9 +84,7 @@ def load_clean(spark: SparkSession, base: str) -> None:
     left out by the next.
     """
     taken = _fresh(spark, base, "silver")
-    staged = scratch_dir(spark, "pending")
-    pending_documents(spark, base).write.parquet(staged)  # three tables are made of them
-    pending = spark.read.parquet(staged)
+    pending = _pending_table(spark, base)  # three tables are made of them
     kept = ["season", "revision", loads.LOAD]
     balls = flatten_matches(pending, keep=kept)
     write_clean_balls(spark, clean_balls(balls), f"{base}/silver/deliveries")

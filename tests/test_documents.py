@@ -202,6 +202,24 @@ def test_packed_documents(spark, folder):
         assert flatten.flatten_matches(read_match_documents(spark, f"{folder}/packed", one_per_file)).select("match_id").distinct().collect() == [("m1",)]
 
 
+def test_pending_documents_are_copied_only_if_some_are_not(spark, documents, folder):
+    import glob
+    base, copies = f"{folder}/lake", spark.conf.get("spark.checkpoint.dir") + "/creaseline/pending-*"
+    before = len(glob.glob(copies))
+    path = documents(m1=document(), m2=document())
+    batch_run.load_files(spark, path, base)
+    batch_run.load_clean(spark, base)
+    assert len(glob.glob(copies)) == before and spark.read.parquet(f"{base}/silver/deliveries").count() == 8
+    later = {**document(), "meta": {"data_version": "1", "created": "2024", "revision": 2}}
+    documents(m1=later)
+    batch_run.load_files(spark, path, base)
+    documents(m1={**later, "meta": {**later["meta"], "revision": 3}}, m3=document())
+    batch_run.load_files(spark, path, base)
+    batch_run.load_clean(spark, base)  # of m1 only the last revision
+    found = spark.read.parquet(f"{base}/silver/deliveries").groupBy("match_id", "revision").count().collect()
+    assert sorted(map(tuple, found)) == [("m1", 1, 4), ("m1", 3, 4), ("m2", 1, 4), ("m3", 1, 4)] and len(glob.glob(copies)) == before + 1
+
+
 def test_job_modes(spark, documents, folder):
     from creaseline import job
     base = f"{folder}/lake"

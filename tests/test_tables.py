@@ -74,6 +74,22 @@ def test_append_new_keeps_season_as_text(spark, folder):
     assert read_table(spark, folder + "/t").count() == 2
 
 
+def test_append_reads_whole_rows_only_if_some_are_new(spark, folder):
+    path, schema = folder + "/t", "k string, r int, v int"
+    tables.append_new(spark, spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", 1, 3)], schema), path, ["k", "r"])
+    again = spark.createDataFrame([("b", 1), ("a", 1)], "k string, r int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with tables of some size
+    try:
+        tables.append_new(spark, again.withColumn("v", F.when(F.rand() >= 0, F.raise_error(F.lit("a whole row was read"))).cast("int")), path, ["k", "r"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tables.append_new(spark, spark.createDataFrame([("c", 1, 4), ("c", 1, 4), ("b", 2, 5)], schema), path, ["k", "r"])
+    tables.append_new(spark, spark.createDataFrame([("c", 1, 6), ("d", 1, 7), (None, 1, 8)], schema), path, ["k", "r"])
+    tables.append_new(spark, spark.createDataFrame([(None, 1, 9)], schema), path, ["k", "r"])  # a null key is never known
+    assert sorted((r.v, r.k) for r in read_table(spark, path).collect()) == [
+        (1, "a"), (2, "a"), (3, "b"), (4, "c"), (4, "c"), (5, "b"), (7, "d"), (8, None), (9, None)]
+
+
 def test_compact_and_stats(spark, folder):
     path = folder + "/t"
     spark.range(1000).withColumn("p", F.col("id") % 2).repartition(20).write.partitionBy("p").parquet(path)
