@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from creaseline.operators.flatten import revision_of, slim_info
 from creaseline.operators.upsert import count_known, latest_per_key, merge_rows, only_new_rows
 from creaseline.sinks.loads import LOAD
-from creaseline.sources.kpi_tables import note_types, read_table
+from creaseline.sources.kpi_tables import copy_notes, read_table
 from creaseline.workspace import delete_path, literal_path, path_exists, path_of_uri, read_text, replace_path, scratch_dir, write_text
 
 MB = 1024 * 1024
@@ -226,14 +226,15 @@ def export_tables(spark: SparkSession, names: Sequence[str], source: str, target
 
     Tables larger than one file's target size keep several files.
     """
-    results = []
-    for name in names:
+    def export(name: str) -> tuple[str, int | None, str]:
         try:
             table = read_table(spark, f"{source}/{name}", fmt)
             stats = table_stats(spark, f"{source}/{name}", fmt).first()
             table.coalesce(max(1, -(-stats["total_bytes"] // (256 * MB)))).write.mode("overwrite").parquet(f"{target}/{name}.parquet")
-            note_types(spark, f"{target}/{name}.parquet")
-            results.append((name, stats["row_count"], "ok"))
+            copy_notes(spark, f"{source}/{name}", f"{target}/{name}.parquet", stats["row_count"])
+            return name, stats["row_count"], "ok"
         except Exception as e:
-            results.append((name, None, f"failed: {type(e).__name__}"))
-    return spark.createDataFrame(results, "kpi STRING, row_count BIGINT, status STRING")
+            return name, None, f"failed: {type(e).__name__}"
+
+    with ThreadPoolExecutor(4) as pool:
+        return spark.createDataFrame(list(pool.map(export, names)), "kpi STRING, row_count BIGINT, status STRING")

@@ -45,6 +45,15 @@ def note_types(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
     write_text(spark, f"{path}/{NOTES}", json.dumps({"schema": table.schema.jsonValue(), "rows": rows, "numbers": numbers}))
 
 
+def copy_notes(spark: SparkSession, source: str, target: str, rows: int, fmt: str = "parquet") -> None:
+    """The notes of a report table for a whole copy of it; they are made anew if the table has none or they are not of so many rows."""
+    notes = read_text(spark, f"{source}/{NOTES}")
+    if notes and json.loads(notes)["rows"] == rows:
+        write_text(spark, f"{target}/{NOTES}", notes)
+    else:
+        note_types(spark, target, fmt)
+
+
 def read_kpi(spark: SparkSession, name: str, base: str, fallback: str | None = None, fmt: str = "parquet") -> DataFrame:
     """A report table from its main place, else from the fallback, else an empty frame; numbers kept as text are converted.
 

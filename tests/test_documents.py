@@ -220,6 +220,29 @@ def test_pending_documents_are_copied_only_if_some_are_not(spark, documents, fol
     assert sorted(map(tuple, found)) == [("m1", 1, 4), ("m1", 3, 4), ("m2", 1, 4), ("m3", 1, 4)] and len(glob.glob(copies)) == before + 1
 
 
+def test_reports_join_their_inputs_only_if_a_revision_is_out_of_date(spark, documents, folder):
+    from creaseline.plans.match_data import INPUTS, ReportInputs
+    base = f"{folder}/lake"
+
+    def inputs():
+        data = ReportInputs(spark, f"{base}/gold/inputs").data(batch_run.latest_matches(spark, base))
+        assert all("Join" not in getattr(data, frame)._jdf.queryExecution().optimizedPlan().toString() for frame in [*INPUTS.values(), "matches"])
+        return data
+
+    assert batch_run.run_batch(spark, documents(m1=document(), m2=document()), base) == []
+    assert inputs().batting_innings.agg(F.sum("balls")).first()[0] == 8
+    later = {**document(), "meta": {"data_version": "1", "created": "2024", "revision": 2}}
+    later["innings"] = later["innings"][:1]
+    assert batch_run.run_batch(spark, documents(m1=later, m3=document()), base) == []
+    assert {r.match_id: r.b for r in inputs().batting_innings.groupBy("match_id").agg(F.sum("balls").alias("b")).collect()} == {"m1": 3, "m2": 4, "m3": 4}
+    # Rows of a run that failed before it listed its matches do not count.
+    stored = spark.read.parquet(f"{base}/gold/inputs/batting")
+    stored.where("match_id = 'm2'").withColumn("match_id", F.lit("m9")).write.mode("append").parquet(f"{base}/gold/inputs/batting")
+    assert inputs().batting_innings.agg(F.sum("balls")).first()[0] == 11
+    direct = batch_run.match_data_of(spark, base)
+    assert sorted(map(str, report("partnership_analysis", inputs()).collect())) == sorted(map(str, report("partnership_analysis", direct).collect()))
+
+
 def test_job_modes(spark, documents, folder):
     from creaseline import job
     base = f"{folder}/lake"

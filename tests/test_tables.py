@@ -1,5 +1,6 @@
 """Upserts, appends, compaction, statistics, exports, reading back."""
 
+import json
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from creaseline.functions.labels import team_short
 from creaseline.operators import squads, upsert
 from creaseline.sinks import tables
 from creaseline.sources.kpi_tables import coerce_numeric, note_types, read_kpi, read_table
+from creaseline.workspace import read_text, write_text
 
 
 def test_upsert_is_a_dictionary_update(spark, folder):
@@ -140,6 +142,21 @@ def test_export_goes_on_after_a_failure(spark, folder):
     assert spark.read.parquet(folder + "/out/a.parquet").count() == 3
 
 
+def test_export_takes_over_the_notes_of_a_table(spark, folder):
+    for name, text in (("a", "1"), ("b", "x"), ("c", "2")):
+        spark.createDataFrame([(text,)], "v string").write.parquet(f"{folder}/in/{name}")
+    write_text(spark, f"{folder}/in/a/_types.json", read_noted(spark, f"{folder}/in/a").replace('"numbers": ["v"]', '"numbers": []'))
+    write_text(spark, f"{folder}/in/c/_types.json", read_noted(spark, f"{folder}/in/c").replace('"rows": 1', '"rows": 7'))  # not of this table
+    tables.export_tables(spark, ["a", "b", "c"], folder + "/in", folder + "/out")
+    notes = {name: json.loads(read_text(spark, f"{folder}/out/{name}.parquet/_types.json")) for name in "abc"}
+    assert [(n["rows"], n["numbers"]) for n in notes.values()] == [(1, []), (1, []), (1, ["v"])]
+
+
+def read_noted(spark, path):
+    note_types(spark, path)
+    return read_text(spark, f"{path}/_types.json")
+
+
 def test_coerce_and_fallback(spark, folder):
     df = spark.createDataFrame([("1", "x", "1"), ("2.5", "y", None), ("z", "1", "2")], "a string, b string, c string")
     out = coerce_numeric(df)
