@@ -243,6 +243,21 @@ def test_reports_join_their_inputs_only_if_a_revision_is_out_of_date(spark, docu
     assert sorted(map(str, report("partnership_analysis", inputs()).collect())) == sorted(map(str, report("partnership_analysis", direct).collect()))
 
 
+def test_document_files_are_packed_and_read_in_parts(spark, lines, monkeypatch):
+    import glob
+    from creaseline import catalog
+    monkeypatch.setattr(catalog, "MOST_FILES", 1)
+    made, asked = spark.conf.get("spark.checkpoint.dir") + "/creaseline/document-files-*", []
+    before, read = set(glob.glob(made)), catalog.read_match_documents
+    monkeypatch.setattr(catalog, "read_match_documents", lambda spark, path, *rest: asked.append(path) or read(spark, path, *rest))
+    found = catalog.src_match_documents__files(spark, lines).collect()
+    path, = set(glob.glob(made)) - before
+    assert len(glob.glob(f"{path}/part=*/file=*/*.json.gz")) == 4 and len(asked) == len(glob.glob(f"{path}/part=*")) > 1
+    flat = bridge.numbered_balls(spark, lines).groupBy("match_id").agg(F.count("*"), F.sum("runs_total"), F.count("wicket_kind"), F.count_distinct("inning_no"))
+    named = lambda r: (r[0] if r[0] and r[0].startswith("match_") else None, *r[-4:])  # a document without a name has its file's
+    assert sorted(map(named, found), key=str) == sorted(map(named, flat.collect()), key=str)
+
+
 def test_job_modes(spark, documents, folder):
     from creaseline import job
     base = f"{folder}/lake"
