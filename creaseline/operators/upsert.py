@@ -52,6 +52,13 @@ def count_known(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> tu
     return found["new"], found["old"]
 
 
-def only_new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key the target does not have."""
-    return source.join(target.select(*keys).distinct(), list(keys), "left_anti")
+#: Keys that are sent to all executors rather than to have wide rows shuffled; some 50 MB of match numbers.
+MOST_KEYS = 500_000
+
+
+def only_new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], most_sent: int = 0) -> DataFrame:
+    """Source rows whose key the target does not have. With `most_sent` the keys are counted, and sent to the rows if they are no more."""
+    known = target.select(*keys).distinct()
+    if most_sent and known.limit(most_sent + 1).count() <= most_sent:
+        known = F.broadcast(known)
+    return source.join(known, list(keys), "left_anti")

@@ -92,6 +92,17 @@ def test_append_reads_whole_rows_only_if_some_are_new(spark, folder):
         (1, "a"), (2, "a"), (3, "b"), (4, "c"), (4, "c"), (5, "b"), (7, "d"), (8, None), (9, None)]
 
 
+def test_rows_stay_where_they_are_if_the_known_keys_are_few(spark):
+    source, target = spark.range(50).selectExpr("id AS k", "id % 3 AS v"), spark.range(20).selectExpr("id AS k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for most, join in ((20, "BroadcastHashJoin"), (19, "SortMergeJoin")):
+            new = upsert.only_new_rows(source, target, ["k"], most)
+            assert join in new._jdf.queryExecution().executedPlan().toString() and {r.k for r in new.collect()} == {*range(20, 50)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_compact_and_stats(spark, folder):
     path = folder + "/t"
     spark.range(1000).withColumn("p", F.col("id") % 2).repartition(20).write.partitionBy("p").parquet(path)
